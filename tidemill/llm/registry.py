@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import substring_dedup
+from tidemill.llm import jaccard_join, mixing, packing, quality_rules, substring_dedup
 
-MODULES = (substring_dedup,)
+MODULES = (substring_dedup, quality_rules, mixing, packing, jaccard_join)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
