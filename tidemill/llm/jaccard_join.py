@@ -13,10 +13,13 @@ A pair that shares no signature differs in at least 2d + (m - d - e) places, so
 allocation (d, e) of each band comes from a cost model: signatures written against candidates expected by chance, from
 the number of documents in the band; more documents buy larger or fewer empty segments.
 
-Sets, not documents, are joined: equal sets are one node, so copies never multiply. Of each shared signature only the
-pairs with its least set (the hub) are verified first, one hub for each set; components of the links found leave few
-signatures whose sets lie in different components, and of these every pair across components is verified. A pair inside
-a component needs no proof, since the result is reachability. Verification compares whole sets.
+Sets, not documents, are joined: equal sets are one node, so copies never multiply. Each set that shares a signature has
+a parity sketch, SKETCH bits of which each element flips one; two sets differ in at least as many elements as their
+sketches in bits, which turns away most pairs beyond H without sending a set. Each set is first verified against one hub,
+of the sets that share a signature with it the one with most shared signatures (of a group of copies that is the text they
+derive from). Components of the links found leave few signatures whose sets lie in different components; of these, pairs
+across components that the sketches allow are verified. A pair inside a component needs no proof, since the result is
+reachability. Verification compares whole sets.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ from tidemill.llm.components import connected_components
 from tidemill.llm.shared import documents, dropped, written
 
 U64 = np.uint64
+SKETCH = 1024  # bits
 STEP = 1.2  # a band's largest size over its smallest
 
 
@@ -171,16 +175,24 @@ def _describe(n: int, bands: list[Band], t: int, schema: pa.Schema) -> Callable[
     return run
 
 
+def sketch(s: np.ndarray) -> list[int]:
+    """Parities of the elements by SKETCH classes of their hashes, as 64-bit words."""
+    odd = np.bincount((K.mix(s) & U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
+
+
 def _sets(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             want = batch.column(0).to_pylist()
-            key, out = [], []
+            key, size, odd, out = [], [], [], []
             for k, s in zip(want, ngram_sets(batch.column(1), n)):
                 if len(s) and set_key(s) == k:
                     key.append(k)
+                    size.append(len(s))
+                    odd.append(sketch(s))
                     out.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(out, pa.binary())], ["key", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(size, pa.int64()), pa.array(odd, pa.list_(pa.int64())), pa.array(out, pa.binary())], ["key", "n", "sketch", "set"])
 
     return run
 
@@ -212,7 +224,7 @@ def verified(pairs: DataFrame, sets: DataFrame, t: int, salt_rows: int = 2000) -
     salts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_rows)).cast("int").alias("n"))
     hubs = salts.select("hub", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.col("hub").alias("key"))
     members = pairs.join(salts, "hub").select("hub", F.pmod(F.xxhash64("key"), F.col("n")).cast("int").alias("salt"), "key")
-    rows = members.unionByName(hubs).join(sets, "key").select("hub", "salt", "key", "set")
+    rows = members.unionByName(hubs).join(sets.select("key", "set"), "key").select("hub", "salt", "key", "set")
     dealt = rows.repartition(F.col("hub"), F.col("salt")).sortWithinPartitions("hub", "salt", F.col("key") != F.col("hub"))
     return dealt.mapInArrow(_verify(t), "a long, b long")
 
@@ -233,20 +245,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     schema = T.StructType([base.schema["id"], T.StructField("n_shingles", T.LongType()), T.StructField("key", T.LongType()), T.StructField("sigs", T.ArrayType(T.LongType()))])
     told = written(base.mapInArrow(_describe(n, bands, t, to_arrow_schema(schema)), schema), "sets")
     rows = told.where("key is not null").select(F.explode("sigs").alias("sig"), "key")
-    shared = rows.groupBy("sig").agg(F.min("key").alias("hub"), F.max("key").alias("far")).where("hub != far").select("sig", "hub")
-    met = written(rows.join(shared, "sig").select("sig", "hub", "key").distinct(), "met")  # signatures of two sets or more
-    least = met.groupBy("key").agg(F.min("hub").alias("hub"))
-    involved = met.select("key").distinct()
-    rep = told.join(involved, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
-    sets = written(rep.join(base, "id").select("key", "text").mapInArrow(_sets(n), "key long, set binary").dropDuplicates(["key"]), "hashes")
-    links = written(verified(least.where("hub != key").select("hub", "key"), sets, t), "links")
+    shared = rows.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a != b").select("sig")
+    met = written(rows.join(shared, "sig").distinct(), "met")  # signatures of two sets or more
+    rep = told.join(met.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
+    sets = written(rep.join(base, "id").select("key", "text").mapInArrow(_sets(n), "key long, n long, sketch array<long>, set binary").dropDuplicates(["key"]), "hashes")
+    small = sets.select("key", "n", "sketch")
+    differ = sum((F.bit_count(F.expr(f"asketch[{i}] ^ bsketch[{i}]")) for i in range(SKETCH // 64)), F.lit(0))
+    near = differ <= F.floor((F.col("an") + F.col("bn")) * (100 - t) / (100 + t))
+    shares = met.groupBy("key").agg(F.count(F.lit(1)).alias("deg"))
+    may = written(met.join(shares.join(small, "key"), "key"), "may")
+    hub = may.groupBy("sig").agg(F.max(F.struct("deg", "key")).alias("hub"))
+    one = may.join(hub, "sig").groupBy("key").agg(F.max("hub").alias("hub")).select(F.col("key"), F.col("hub.key").alias("hub")).where("hub != key")
+    side = lambda c: small.select(*[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch")])
+    one = one.join(side("a"), F.col("key") == F.col("akey")).join(side("b"), F.col("hub") == F.col("bkey")).where(near).select("hub", "key")
+    links = written(verified(one, sets, t), "links")
     parts = connected_components(links)
     # what still crosses components
-    own = met.select("sig", "key").join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("part", F.coalesce("component", "key")).select("sig", "key", "part")
-    mixed = own.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("sig")
-    open_ = written(own.join(mixed, "sig", "left_semi"), "open")
-    a, b = open_.select("sig", F.col("key").alias("hub"), F.col("part").alias("p")), open_.select("sig", "key", F.col("part").alias("q"))
-    cross = a.join(b, "sig").where((F.col("p") != F.col("q")) & (F.col("hub") < F.col("key"))).select("hub", "key").distinct()
+    part = may.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("part", F.coalesce("component", "key")).select("sig", "key", "n", "sketch", "part")
+    mixed = part.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("sig")
+    open_ = written(part.join(mixed, "sig", "left_semi"), "open")
+    a, b = (open_.select("sig", *[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch", "part")]) for c in "ab")
+    cross = a.join(b, "sig").where((F.col("apart") != F.col("bpart")) & (F.col("akey") < F.col("bkey")) & near).select(F.col("akey").alias("hub"), F.col("bkey").alias("key")).distinct()
     more = written(verified(written(cross, "cross"), sets, t), "links")
     all_parts = connected_components(links.unionByName(more)).withColumnRenamed("node", "key")
     of_key = told.where("key is not null").groupBy("key").agg(F.min("id").alias("first"))

@@ -73,13 +73,13 @@ def parts(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, int, np.
         a = b
 
 
-def words(data: np.ndarray, offs: np.ndarray, fold: bool = False) -> Words:
-    """Every word with its hash, its document's index and its bytes' place. fold: A-Z count as a-z."""
+def words(data: np.ndarray, offs: np.ndarray, fold: bool = False, sep: np.ndarray = SEP) -> Words:
+    """Every word with its hash, its document's index and its bytes' place. fold: A-Z count as a-z. sep: bytes between words."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return Words(np.zeros(0, U64), z, z, z)
-    solid = ~SEP[data]
+    solid = ~sep[data]
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]
@@ -106,6 +106,19 @@ def words(data: np.ndarray, offs: np.ndarray, fold: bool = False) -> Words:
     return Words(mix(out + (end - start).astype(U64) * U64(WINDOW_BASE)), doc, start, end)
 
 
+#: Bytes between letters and digits; UTF-8's bytes from 128 on count as letters.
+PUNCT = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
+
+
+def prefixes(data: np.ndarray, w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of at least k bytes (indices) and the folded hash of their first k bytes."""
+    at = np.flatnonzero(w.end - w.start >= k)
+    h = np.full(len(at), k * 0x5851F42D4C957F2D & (1 << 64) - 1, U64)
+    for i in range(k):
+        h = h * U64(BASE) + FOLDED[data[w.start[at] + i]]
+    return at, mix(h)
+
+
 def rabin_karp(h: np.ndarray, width: int) -> np.ndarray:
     """The polynomial hash of each run of width values: sum of h[i+j] * base**(width-1-j) modulo 2**64.
 

@@ -19,6 +19,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain
 from typing import NamedTuple
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -123,6 +124,7 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok, self.most, self.cache = Tokenizer.from_file(path), most, {}
+        self.cores: dict[str, bytes] = {}
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.space = regex.compile(r"[^\s" + self.CONTROL + r"]+|[" + self.CONTROL + r"]+")
         vocab = self.tok.get_vocab(with_added_tokens=True)
@@ -148,27 +150,49 @@ class WordIds:
         if run:
             yield run
 
-    def _learn(self, new: list[str]) -> None:
-        from unicodedata import normalize
+    def _batch(self, some: list[str], pieces: list[int] | None) -> list[bytes]:
+        """Ids of words, encoded together; pieces: how many each has (None: one)."""
+        ids = np.array(self.tok.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+        at = np.concatenate([[0], np.cumsum(pieces)]) if pieces else np.arange(len(some) + 1)
+        if len(ends) != at[-1] + 1:  # words that can't be told apart: one by one
+            return [np.array(self.tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in some]
+        cut, raw = (ends[at] * 4).tolist(), ids.tobytes()
+        return [raw[x:y] for x, y in zip(cut[:-1], cut[1:])]
 
-        plain, odd = [], []
+    def _learn(self, new: list[str]) -> None:
+        """A word of letters is one piece; letters and closing marks are two, cached apart; other words go whole."""
+        cores, tails, other = {}, {}, []
         for w in new:
-            (odd if w.startswith(self.special) or any(c in w for c in self.special) else plain).append(w)
+            if w.isalpha():
+                core = w.lower()
+            else:
+                core = w.rstrip(".,!?;:")
+                if not core.isalpha():
+                    other.append(w)
+                    continue
+                tails[w] = w[len(core) :]
+                core = core.lower()
+            if core.isalpha() and "\u03c2" not in core:  # no mark split off, no final sigma
+                cores[w] = core
+            else:
+                tails.pop(w, None)
+                other.append(w)
+        fresh = list({c for c in cores.values() if c not in self.cores} | {t for t in tails.values() if t not in self.cores})
+        for a in range(0, len(fresh), 1000):
+            self.cores.update(zip(fresh[a : a + 1000], self._batch(fresh[a : a + 1000], None)))
+        for w, c in cores.items():
+            self.cache[w] = self.cores[c] + self.cores[tails[w]] if w in tails else self.cores[c]
+        odd = [w for w in other if any(c in w for c in self.special)]
         for w in odd:
             self.cache[w] = np.array(self.tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-        for a in range(0, len(plain), 1000):
-            some = plain[a : a + 1000]
-            ids = np.array(self.tok.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            n = [1 if w.isascii() and w.isalpha() else len(self.pieces.findall("".join(c.lower() for c in normalize("NFC", w)))) for w in some]
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != sum(n):  # a word that can't be told apart: one by one
-                for w in some:
-                    self.cache[w] = np.array(self.tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-                continue
-            at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n)])] * 4
-            raw = ids.tobytes()
-            for w, x, y in zip(some, at[:-1].tolist(), at[1:].tolist()):
-                self.cache[w] = raw[x:y]
+        other = [w for w in other if w not in self.cache]
+        for a in range(0, len(other), 1000):
+            some = other[a : a + 1000]
+            n = [len(self.pieces.findall("".join(c.lower() for c in normalize("NFC", w)))) for w in some]
+            self.cache.update(zip(some, self._batch(some, n)))
+        if len(self.cores) > self.most:
+            self.cores = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
