@@ -118,7 +118,7 @@ class WordIds:
 
     CONTROL = "\x1c\x1d\x1e\x1f"  # str.split takes these for white space, the tokenizer doesn't
 
-    def __init__(self, path: str, most: int = 300_000) -> None:
+    def __init__(self, path: str, most: int = 600_000) -> None:
         import regex
         from tokenizers import Tokenizer
 
@@ -279,4 +279,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(documents(spark, sf_dir))
 
 
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in the sequences."""
+    return best_fit_packing(docs)
+
+
 QUERIES = {"op9_best_fit_packing": op9_best_fit_packing}

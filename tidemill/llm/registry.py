@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import jaccard_join, mixing, packing, quality_rules, substring_dedup
+from tidemill.llm import co_training, jaccard_join, mixing, packing, quality_rules, substring_dedup, tiff, token_counts, toxicity, warc
 
-MODULES = (substring_dedup, quality_rules, mixing, packing, jaccard_join)
+MODULES = (warc, co_training, substring_dedup, quality_rules, tiff, toxicity, token_counts, mixing, packing, jaccard_join)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -128,6 +128,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; of those with repeated passages the text is what is left, words joined by one space."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *others).withColumn("_original", F.col("text"))
+    cut = substring_dedup(plain, carry=("_original", *others))
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("_original"))
+    out = cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
 #: For DuckDB; windows are compared as word sequences.
 SQL = {
     "op3_substring_dedup": r"""
