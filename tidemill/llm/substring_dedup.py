@@ -62,7 +62,7 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table({"_g": table["_g"].cast(pa.int64()), "_b": table["_b"].cast(pa.int64()), "_bits": pa.array([np.packbits(x).tobytes() for x in np.split(twice, cuts)], pa.binary())})
 
 
-def _cut(width: int, buckets: int, schema: pa.Schema) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _cut(width: int, buckets: int, schema: pa.Schema, rejoin: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def cut(docs: pa.Table, bits: pa.Table) -> pa.Table:
         u, count = np.unique(_hashes(docs, width), return_counts=True)
         twice, b = count > 1, _bounds(u, buckets)
@@ -78,8 +78,9 @@ def _cut(width: int, buckets: int, schema: pa.Schema) -> Callable[[pa.Table, pa.
             removed = np.concatenate([[0], np.cumsum(gone)])[cuts]
             raw = data.tobytes()
             for i in range(len(offs) - 1):
-                own, n = raw[offs[i] : offs[i + 1]].split(), int(cuts[i + 1] - cuts[i])
+                text, n = raw[offs[i] : offs[i + 1]], int(cuts[i + 1] - cuts[i])
                 k = int(removed[i + 1] - removed[i])
+                own = text.split() if k or rejoin else [text]
                 runs = []
                 if k:
                     mine = gone[cuts[i] : cuts[i + 1]]
@@ -101,11 +102,12 @@ def _cut(width: int, buckets: int, schema: pa.Schema) -> Callable[[pa.Table, pa.
     return cut
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 35, carry: tuple[str, ...] = (), group_bytes: int = 8 << 20, bucket_windows: int = 1 << 21) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 35, carry: tuple[str, ...] = (), rejoin: bool = True, group_bytes: int = 8 << 20, bucket_windows: int = 1 << 21) -> DataFrame:
     """One row per input row: the id, the carried columns, n_words, n_removed, spans (word intervals taken out), kept_text.
 
     A word goes when it lies in a window of width words whose word sequence also starts elsewhere in the corpus, same
-    document included; windows are judged on the input. kept_text joins the words that stay by one space.
+    document included; windows are judged on the input. kept_text joins the words that stay by one space; with rejoin=False
+    a text that loses no word stays as it is.
     Null and empty texts have no words: n_words 0, kept_text ''. Texts shorter than a window keep all words. Repeated
     rows are rows of their own and repeat each other. Null ids are a group member like any other. An empty table gives
     an empty result. Columns beside id, text and carry are not read, so their names can't clash.
@@ -120,7 +122,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("spans", span), T.StructField("kept_text", T.StringType())]
     schema = T.StructType([base.schema[id_col], *[base.schema[c] for c in carry], *added])
-    return base.groupBy("_g").cogroup(bits.groupBy("_g")).applyInArrow(_cut(width, buckets, to_arrow_schema(schema)), schema)
+    return base.groupBy("_g").cogroup(bits.groupBy("_g")).applyInArrow(_cut(width, buckets, to_arrow_schema(schema), rejoin), schema)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,10 +133,8 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; of those with repeated passages the text is what is left, words joined by one space."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *others).withColumn("_original", F.col("text"))
-    cut = substring_dedup(plain, carry=("_original", *others))
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("_original"))
-    out = cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    cut = substring_dedup(docs, carry=others, rejoin=False).withColumnRenamed("kept_text", "text")
+    out = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
