@@ -14,7 +14,7 @@ allocation (d, e) of each band comes from a cost model: signatures written again
 the number of documents in the band; more documents buy larger or fewer empty segments.
 
 Sets, not documents, are joined: equal sets are one node, so copies never multiply. Each set that shares a signature has
-a parity sketch, SKETCH bits of which each element flips one; two sets differ in at least as many elements as their
+a parity sketch, bits of which each element flips one; two sets differ in at least as many elements as their
 sketches in bits, which turns away most pairs beyond H without sending a set. Each set is first verified against one hub,
 of the sets that share a signature with it the one with most shared signatures (of a group of copies that is the text they
 derive from). Components of the links found leave few signatures whose sets lie in different components; of these, pairs
@@ -40,8 +40,7 @@ from tidemill.llm.components import connected_components
 from tidemill.llm.shared import documents, dropped, written
 
 U64 = np.uint64
-SKETCH = 1024  # bits
-STEP = 1.2  # a band's largest size over its smallest
+SKETCH, LARGE, WIDE = 1024, 1500, 16384  # bits; sets from LARGE elements on have a sketch of WIDE bits as well
 
 
 class Band(NamedTuple):
@@ -57,10 +56,15 @@ def differences(a: int, b: int, t: int) -> int:
     return (a + b) * (100 - t) // (100 + t)
 
 
+def step(t: int) -> float:
+    """A band's largest size over its smallest: wider bands write sets to fewer of them, narrower ones cut H closer."""
+    return (100 / t) ** 2
+
+
 def limits(t: int, largest: int = 1 << 40) -> list[tuple[int, int]]:
     out, low = [], 1
     while low <= largest:
-        high = max(low, int(low * STEP))
+        high = max(low, int(low * step(t)))
         out.append((low, high))
         low = high + 1
     return out
@@ -71,7 +75,7 @@ def allocate(low: int, high: int, docs: int, t: int, pair_cost: float = 40.0) ->
     h = differences(high, high * 100 // t, t)
     best, chosen = math.inf, Band(low, high, h + 1, 0, 0)
     for d in range(0, 3):
-        for e in range(0, 5):
+        for e in (0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48):
             m = h + 1 + e - d
             if m < max(d, 1) or (m == d and e) or m - d - e < 0:
                 continue
@@ -79,7 +83,7 @@ def allocate(low: int, high: int, docs: int, t: int, pair_cost: float = 40.0) ->
             empty, one = math.exp(-size), size * math.exp(-size)
             plain = m - d
             # chance that a given plain segment is empty and still indexed, as more than e are empty
-            over = sum(max(0, k - e) * math.exp(k * math.log(max(plain * empty, 1e-300)) - plain * empty - math.lgamma(k + 1)) for k in range(e + 1, e + 12)) / max(plain, 1)
+            over = sum(max(0, k - e) * math.exp(k * math.log(max(plain * empty, 1e-300)) - plain * empty - math.lgamma(k + 1)) for k in range(e + 1, e + 40)) / max(plain, 1)
             chance = plain * (over**2 + 1e-4 * (one / (1 + e)) ** 2) + d * ((empty + one) ** 2)
             written_ = (m - d - e) + d * (1 + size)
             cost = written_ + pair_cost * docs / 2 * chance
@@ -153,31 +157,49 @@ class Signer:
         return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, np.int64)
 
 
-def _describe(n: int, bands: list[Band], t: int, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _describe(n: int, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sign, recent = Signer(bands, t), {}
         for batch in batches:
-            count, key, lens, sigs = [], [], [0], []
+            count, key, odd, wide = [], [], [], []
             for s in ngram_sets(batch.column(1), n):
                 count.append(len(s))
-                key.append(k := set_key(s) if len(s) else None)
-                own = np.zeros(0, np.int64)
-                if k is not None and k not in recent:  # a copy that this task has signed lately needs no more signatures
-                    recent[k] = None
-                    own = sign(s)
-                    if len(recent) > 50_000:
-                        recent.clear()
-                lens.append(lens[-1] + len(own))
+                key.append(set_key(s) if len(s) else None)
+                odd.append(sketch(s) if len(s) else None)
+                wide.append(sketch(s, WIDE) if len(s) >= LARGE else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(schema.field(0).type), *(pa.array(x, f.type) for x, f in zip((count, key, odd, wide), list(schema)[1:]))], schema=schema)
+
+    return run
+
+
+def _sign(n: int, bands: list[Band], t: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (sig, key); a set that this task has signed lately is not signed again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sign, recent = Signer(bands, t), set()
+        for batch in batches:
+            sigs, keys, held = [], [], 0
+            for s in ngram_sets(batch.column(0), n):
+                if not len(s) or (k := set_key(s)) in recent:
+                    continue
+                recent.add(k)
+                own = sign(s)
                 sigs.append(own)
-            flat = pa.array(np.concatenate(sigs) if sigs else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(schema.field(0).type), pa.array(count, pa.int64()), pa.array(key, pa.int64()), pa.ListArray.from_arrays(pa.array(lens, pa.int32()), flat).cast(schema.field(3).type)], schema=schema)
+                keys.append(np.full(len(own), k))
+                held += len(own)
+                if held > 200_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(keys))], ["sig", "key"])
+                    sigs, keys, held = [], [], 0
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(keys))], ["sig", "key"])
+            if len(recent) > 50_000:
+                recent.clear()
 
     return run
 
 
-def sketch(s: np.ndarray) -> list[int]:
-    """Parities of the elements by SKETCH classes of their hashes, as 64-bit words."""
-    odd = np.bincount((K.mix(s) & U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+def sketch(s: np.ndarray, bits: int = SKETCH) -> list[int]:
+    """Parities of the elements by classes of their hashes, as 64-bit words."""
+    odd = np.bincount((K.mix(s) & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(bool)).view(np.int64).tolist()
 
 
@@ -185,14 +207,8 @@ def _sets(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             want = batch.column(0).to_pylist()
-            key, size, odd, out = [], [], [], []
-            for k, s in zip(want, ngram_sets(batch.column(1), n)):
-                if len(s) and set_key(s) == k:
-                    key.append(k)
-                    size.append(len(s))
-                    odd.append(sketch(s))
-                    out.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(size, pa.int64()), pa.array(odd, pa.list_(pa.int64())), pa.array(out, pa.binary())], ["key", "n", "sketch", "set"])
+            found = [(k, s.tobytes()) for k, s in zip(want, ngram_sets(batch.column(1), n)) if len(s) and set_key(s) == k]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.binary())], ["key", "set"])
 
     return run
 
@@ -219,12 +235,19 @@ def _verify(t: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, t: int, salt_rows: int = 2000) -> DataFrame:
-    """Of pairs(hub, key) those whose sets are similar, as (a, b). A hub with many partners is dealt to several tasks."""
+def verified(pairs: DataFrame, told: DataFrame, base: DataFrame, n: int, t: int, salt_rows: int = 2000) -> DataFrame:
+    """Of pairs(hub, key), a written table, those whose sets are similar, as (a, b).
+
+    Only the texts of these pairs are read for their sets: by a broadcast of the ids where Spark's size check allows it,
+    else by a shuffle. A hub with many partners is dealt to several tasks.
+    """
+    keys = pairs.select("key").union(pairs.select("hub")).distinct()
+    rep = written(told.join(keys, "key").groupBy("key").agg(F.min("id").alias("id")), "wanted")
+    sets = rep.join(base, "id").select("key", "text").mapInArrow(_sets(n), "key long, set binary").dropDuplicates(["key"])
     salts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_rows)).cast("int").alias("n"))
     hubs = salts.select("hub", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.col("hub").alias("key"))
     members = pairs.join(salts, "hub").select("hub", F.pmod(F.xxhash64("key"), F.col("n")).cast("int").alias("salt"), "key")
-    rows = members.unionByName(hubs).join(sets.select("key", "set"), "key").select("hub", "salt", "key", "set")
+    rows = members.unionByName(hubs).join(sets, "key").select("hub", "salt", "key", "set")
     dealt = rows.repartition(F.col("hub"), F.col("salt")).sortWithinPartitions("hub", "salt", F.col("key") != F.col("hub"))
     return dealt.mapInArrow(_verify(t), "a long, b long")
 
@@ -239,34 +262,34 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # sizes only steer the cost model: words by the spaces between them
     size = F.greatest(F.lit(1), F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" "))) + 1 - (n - 1))
-    step = F.floor(F.log(size.cast("double")) / math.log(STEP)).cast("int")
-    by = {r["k"]: r["count"] for r in base.where("text is not null").groupBy(step.alias("k")).count().collect()}  # about 13 rows for each power of ten in size
-    bands = [allocate(lo, hi, by.get(int(math.log(lo) / math.log(STEP) + 1e-9), 0), t) for lo, hi in limits(t, 1 << 26)]
-    schema = T.StructType([base.schema["id"], T.StructField("n_shingles", T.LongType()), T.StructField("key", T.LongType()), T.StructField("sigs", T.ArrayType(T.LongType()))])
-    told = written(base.mapInArrow(_describe(n, bands, t, to_arrow_schema(schema)), schema), "sets")
-    rows = told.where("key is not null").select(F.explode("sigs").alias("sig"), "key")
+    rung = F.floor(F.log(size.cast("double")) / math.log(step(t))).cast("int")
+    by = {r["k"]: r["count"] for r in base.where("text is not null").groupBy(rung.alias("k")).count().collect()}  # a dozen rows for each power of ten in size
+    bands = [allocate(lo, hi, by.get(int(math.log(lo) / math.log(step(t)) + 1e-9), 0), t) for lo, hi in limits(t, 1 << 26)]
+    schema = T.StructType([base.schema["id"], T.StructField("n_shingles", T.LongType()), T.StructField("key", T.LongType()), *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("sketch", "wide")]])
+    told = written(base.mapInArrow(_describe(n, to_arrow_schema(schema)), schema), "sets")
+    rows = base.select("text").mapInArrow(_sign(n, bands, t), "sig long, key long").repartition("sig")  # one exchange, read twice
     shared = rows.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a != b").select("sig")
     met = written(rows.join(shared, "sig").distinct(), "met")  # signatures of two sets or more
-    rep = told.join(met.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
-    sets = written(rep.join(base, "id").select("key", "text").mapInArrow(_sets(n), "key long, n long, sketch array<long>, set binary").dropDuplicates(["key"]), "hashes")
-    small = sets.select("key", "n", "sketch")
+    small = written(told.join(met.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]).select("key", F.col("n_shingles").alias("n"), "sketch", "wide"), "sketches")
     differ = sum((F.bit_count(F.expr(f"asketch[{i}] ^ bsketch[{i}]")) for i in range(SKETCH // 64)), F.lit(0))
-    near = differ <= F.floor((F.col("an") + F.col("bn")) * (100 - t) / (100 + t))
+    most = F.floor((F.col("an") + F.col("bn")) * (100 - t) / (100 + t))
+    apart = F.aggregate(F.zip_with("awide", "bwide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    near = (differ <= most) & (F.col("awide").isNull() | F.col("bwide").isNull() | (apart <= most))
     shares = met.groupBy("key").agg(F.count(F.lit(1)).alias("deg"))
-    may = written(met.join(shares.join(small, "key"), "key"), "may")
+    may = met.join(shares, "key")
     hub = may.groupBy("sig").agg(F.max(F.struct("deg", "key")).alias("hub"))
     one = may.join(hub, "sig").groupBy("key").agg(F.max("hub").alias("hub")).select(F.col("key"), F.col("hub.key").alias("hub")).where("hub != key")
-    side = lambda c: small.select(*[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch")])
+    side = lambda c: small.select(*[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch", "wide")])
     one = one.join(side("a"), F.col("key") == F.col("akey")).join(side("b"), F.col("hub") == F.col("bkey")).where(near).select("hub", "key")
-    links = written(verified(one, sets, t), "links")
+    links = written(verified(written(one, "pairs"), told, base, n, t), "links")
     parts = connected_components(links)
     # what still crosses components
-    part = may.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("part", F.coalesce("component", "key")).select("sig", "key", "n", "sketch", "part")
+    part = may.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("part", F.coalesce("component", "key")).select("sig", "key", "part")
     mixed = part.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("sig")
-    open_ = written(part.join(mixed, "sig", "left_semi"), "open")
-    a, b = (open_.select("sig", *[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch", "part")]) for c in "ab")
+    open_ = written(part.join(mixed, "sig", "left_semi"), "open").join(small, "key")
+    a, b = (open_.select("sig", *[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch", "wide", "part")]) for c in "ab")
     cross = a.join(b, "sig").where((F.col("apart") != F.col("bpart")) & (F.col("akey") < F.col("bkey")) & near).select(F.col("akey").alias("hub"), F.col("bkey").alias("key")).distinct()
-    more = written(verified(written(cross, "cross"), sets, t), "links")
+    more = written(verified(written(cross, "pairs"), told, base, n, t), "links")
     all_parts = connected_components(links.unionByName(more)).withColumnRenamed("node", "key")
     of_key = told.where("key is not null").groupBy("key").agg(F.min("id").alias("first"))
     node = of_key.join(all_parts, "key", "left").withColumn("part", F.coalesce("component", "key"))
