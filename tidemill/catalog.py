@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from importlib import import_module
 
-from pyspark.sql import DataFrame, SparkSession
+from tidemill.plans import registry
 
+MODULES = ("operators.bars", "operators.features", "operators.rules")
+for _m in MODULES:
+    import_module(f"tidemill.{_m}")
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+
+def queries() -> dict[str, registry.Query]:
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(registry.SQL)
