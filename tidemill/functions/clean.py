@@ -34,6 +34,12 @@ def clip(x: Column, low: float, high: float) -> Column:
     return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(low)), F.lit(high)))
 
 
+def half_up(x: Column, digits: int) -> Column:
+    """x rounded to digits; ties, and values within a ten-thousandth of one, go up, so that the order of a sum can't tell."""
+    unit = 10.0**digits
+    return F.floor(x * unit + 0.5001).cast("double") / unit
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, so that results don't depend on the order of sums."""
-    return df.withColumns({c: F.round(c, digits) for c, t in df.dtypes if t == "double"})
+    return df.withColumns({c: half_up(F.col(c), digits) for c, t in df.dtypes if t == "double"})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions.clean import half_up
+
 CLICK = "click"
 
 
@@ -72,7 +74,7 @@ def fires(spark: SparkSession, sf_dir: str) -> DataFrame:
 def book_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order book levels: lineitem as book, side, level price and size."""
     li = table(spark, sf_dir, "lineitem")
-    return li.select(F.col("l_orderkey").alias("book"), F.when(F.col("l_returnflag") == "N", "ask").otherwise("bid").alias("side"), F.col("l_linenumber").alias("lvl"), F.round(F.col("l_extendedprice") / F.col("l_quantity"), 4).alias("price"), F.col("l_quantity").alias("size"))
+    return li.select(F.col("l_orderkey").alias("book"), F.when(F.col("l_returnflag") == "N", "ask").otherwise("bid").alias("side"), F.col("l_linenumber").alias("lvl"), half_up(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("price"), F.col("l_quantity").alias("size"))
 
 
 #: The same views for DuckDB.
@@ -91,7 +93,7 @@ SQL = {
     "mids": "SELECT user_id % 8 AS token, epoch_us(ts) // 1000 AS t, event_id AS seq, value AS mid FROM events WHERE event_type = 'view'",
     "fires": "SELECT user_id % 8 AS token, epoch_us(ts) // 1000 AS t, event_id AS seq, value FROM events WHERE event_type = 'error'",
     "book_levels": """SELECT l_orderkey AS book, CASE WHEN l_returnflag = 'N' THEN 'ask' ELSE 'bid' END AS side, l_linenumber AS lvl,
-        round(l_extendedprice / l_quantity, 4) AS price, l_quantity AS size FROM lineitem""",
+        round(l_extendedprice / l_quantity, 2) AS price, l_quantity AS size FROM lineitem""",
 }
 NEEDS = {"bars_raw": ["bars_1h"]}
 
