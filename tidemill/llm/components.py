@@ -34,5 +34,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             if old is not None:
                 dropped(old)
         left, labels = rest, nxt
+    if labels is None:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
     dropped(left)
-    return labels if labels is not None else left.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return labels

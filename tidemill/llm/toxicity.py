@@ -5,7 +5,7 @@ Features of a text are the presence of words and of word beginnings of 4, 5 and
 as 64-bit hashes. From a bounded sample of labelled rows come the features' counts by class; the words that mark toxic
 rows become lexicon voters, the beginnings pattern voters, and shouting and symbols further pattern voters. A voter fires
 or abstains. The label model takes P(fires | class) of each voter from expectation maximisation over the sample's votes,
-unlabelled rows included, started at the labelled rates; votes that correlate within a class share their weight, as a
+unlabelled rows included at a lower weight; votes that correlate within a class share their weight, as a
 word and its beginnings say the same thing. The classifier, logistic over a small vocabulary, learns the posteriors; its
 intercept is set from the sample's to the corpus's share of toxic rows.
 """
@@ -113,8 +113,10 @@ def _hits(vocabulary: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     return run
 
 
-def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, dict]:
-    """Posterior P(toxic) of each row from 0/1 votes; known: 1, 0 or -1 (unlabelled), used for the start alone.
+def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 50, unlabelled: float = 0.25) -> tuple[np.ndarray, dict]:
+    """Posterior P(toxic) of each row from 0/1 votes; known: 1, 0 or -1 (unlabelled).
+
+    Rates start from the labelled rows, which stay in their classes in later rounds; an unlabelled row counts a quarter.
 
     A voter that does not fire abstains, which says nothing by itself (voters for one language are quiet on the others);
     that none of them fires is a vote of its own, the last column here. The rates P(fires | class) come from EM. Correlated
@@ -122,17 +124,22 @@ def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 50) -> tuple
     over the classes and estimated with the rates.
     """
     v = np.concatenate([votes, ~votes.any(axis=1, keepdims=True)], axis=1).astype(np.float64)
-    post = np.where(known == 1, 0.98, np.where(known == 0, 0.02, 0.1))
+    labelled = known >= 0
+    if not labelled.any():
+        known, labelled = votes.any(axis=1).astype(int), np.ones(len(v), bool)
+    post = np.where(known == 1, 1.0, 0.0)
     rate = np.zeros((2, v.shape[1]))
     share, prior = np.ones(v.shape[1]), 0.5
     for r in range(rounds):
         before = post
-        for c, p in ((1, post), (0, 1 - post)):
+        weight = np.where(labelled, 1.0, 0.0 if r == 0 else unlabelled)
+        held = np.where(labelled, known == 1, post)  # labelled rows hold the classes in place; their own posterior is the model's
+        for c, p in ((1, held * weight), (0, (1 - held) * weight)):
             rate[c] = (p @ v + 0.05) / (p.sum() + 0.1)
-        prior = np.clip(post.mean(), 1e-3, 1 - 1e-3)
+        prior = np.clip((held * weight).sum() / weight.sum(), 1e-3, 1 - 1e-3)
         if r % 10 == 0:
             corr = np.zeros((v.shape[1],) * 2)
-            for c, p in ((1, post), (0, 1 - post)):
+            for c, p in ((1, held * weight), (0, (1 - held) * weight)):
                 d = v - rate[c]
                 cov = (d * p[:, None]).T @ d / max(p.sum(), 1)
                 sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
