@@ -33,7 +33,7 @@ def _plan(sources: DataFrame) -> DataFrame:
     done = lambda a, x: F.aggregate(a, F.lit(0).cast("long"), lambda acc, y: acc + F.when(ended(x, y), y["n"]).otherwise(0))
     rate = lambda a, x: F.aggregate(a, F.lit(0).cast("long"), lambda acc, y: acc + F.when(ended(x, y), 0).otherwise(y["w"]))
     a = F.col("a")
-    return all_.select(F.transform(a, lambda x: F.struct(x["n"].alias("n"), x["w"].alias("w"), done(a, x).alias("done"), rate(a, x).alias("rate"))).alias("p"))
+    return all_.select(F.transform(a, lambda x: F.struct(x["s"].alias("s"), x["n"].alias("n"), x["w"].alias("w"), done(a, x).alias("done"), rate(a, x).alias("rate"))).alias("p"))
 
 
 def _pair(plan: Column, over) -> tuple[Column, Column]:
@@ -64,8 +64,8 @@ def schedule(sources: DataFrame, frame: int = 64) -> DataFrame:
     spark = sources.sparkSession
     size = F.greatest(F.lit(frame), sources.agg(F.count(F.lit(1))).scalar())
     ends = spark.range(1).select(F.explode(F.sequence(F.lit(0).cast("long"), _div(total + size - 1, size))).alias("f"), size.alias("size"))
-    ends = ends.select("f", F.least(F.col("f") * F.col("size"), total).alias("t"), F.lit(1).alias("one"))
-    at = ends.join(sources.withColumn("one", F.lit(1)), "one").withColumn("p", plan)
+    ends = ends.select("f", F.least(F.col("f") * F.col("size"), total).alias("t"), plan.alias("p"))
+    at = ends.withColumn("x", F.explode("p")).select("f", "t", "p", "x.s", "x.n", "x.w")
     n, rate = _pair(F.col("p"), lambda x: x["done"] * x["w"] + x["n"] * x["rate"] <= F.col("t") * x["w"])
     at = at.withColumn("gone", n).withColumn("rate", rate)
     ideal = F.col("w") * (F.col("t") - F.col("gone"))

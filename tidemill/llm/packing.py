@@ -118,7 +118,7 @@ class WordIds:
 
     CONTROL = "\x1c\x1d\x1e\x1f"  # str.split takes these for white space, the tokenizer doesn't
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 250_000) -> None:
         import regex
         from tokenizers import Tokenizer
 
