@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemill.functions.clean import clip, floor_at, holds, ratio, rounded
@@ -13,23 +13,27 @@ from tidemill.plans.registry import query
 from tidemill.sources import views as V
 
 c = F.col
-W = order()
+
+
+def W() -> WindowSpec:  # noqa: N802
+    """A symbol's bars in order. A function, as windows need a session."""
+    return order()
 
 
 def parkinson(n: int) -> Column:
     """WIN-02: high-low volatility of the last n bars."""
-    return F.sqrt(rolling(F.avg, F.pow(F.log(ratio(c("high"), c("low"))), F.lit(2.0)), n, W) / (4 * math.log(2)))
+    return F.sqrt(rolling(F.avg, F.pow(F.log(ratio(c("high"), c("low"))), F.lit(2.0)), n, W()) / (4 * math.log(2)))
 
 
 def volume_ratio(n: int) -> Column:
     """WIN-04: volume over its mean of the last n bars."""
-    return ratio(c("volume"), rolling(F.avg, c("volume"), n, W))
+    return ratio(c("volume"), rolling(F.avg, c("volume"), n, W()))
 
 
 def log_zscore(x: Column, n: int, least: int | None = None) -> Column:
     """WIN-05: z of log(1 + x) in the last n bars, within -5 and 5."""
     v = F.log1p(x)
-    return clip((v - rolling(F.avg, v, n, W, least)) / (rolling(F.stddev_samp, v, n, W, least) + 1e-12), -5.0, 5.0)
+    return clip((v - rolling(F.avg, v, n, W(), least)) / (rolling(F.stddev_samp, v, n, W(), least) + 1e-12), -5.0, 5.0)
 
 
 def typical() -> Column:
@@ -38,13 +42,13 @@ def typical() -> Column:
 
 def vwap(n: int) -> Column:
     """WIN-06: volume-weighted mean of the typical price of n bars."""
-    return ratio(rolling(F.sum, typical() * c("volume"), n, W), rolling(F.sum, c("volume"), n, W))
+    return ratio(rolling(F.sum, typical() * c("volume"), n, W()), rolling(F.sum, c("volume"), n, W()))
 
 
 def cross(price: Column, line: Column) -> Column:
     """WIN-07: 1 where price goes over the line, -1 where under, else 0."""
-    up = holds(price > line) & holds(F.lag(price).over(W) <= F.lag(line).over(W))
-    down = holds(price < line) & holds(F.lag(price).over(W) >= F.lag(line).over(W))
+    up = holds(price > line) & holds(F.lag(price).over(W()) <= F.lag(line).over(W()))
+    down = holds(price < line) & holds(F.lag(price).over(W()) >= F.lag(line).over(W()))
     return F.when(up, 1).when(down, -1).otherwise(0)
 
 
@@ -58,18 +62,18 @@ def cross_rate(state: str, n: int) -> Column:
 
     A bar's first state counts against no state, so the first row is a change.
     """
-    return F.sum(F.col(state)).over(trailing(n, W))
+    return F.sum(F.col(state)).over(trailing(n, W()))
 
 
 def cum_return(k: int) -> Column:
     """WIN-09: return over the last k bars, from the first one's open."""
-    return ratio(c("close"), F.lag("open", k - 1).over(W)) - 1
+    return ratio(c("close"), F.lag("open", k - 1).over(W())) - 1
 
 
 def efficiency(n: int) -> Column:
     """WIN-10: net over path of n closes, 0 to 1."""
-    step = F.abs(c("close") - F.lag("close").over(W))
-    return step, clip(ratio(F.abs(c("close") - F.lag("close", n).over(W)), rolling(F.sum, c("_step"), n, W)), 0.0, 1.0)
+    step = F.abs(c("close") - F.lag("close").over(W()))
+    return step, clip(ratio(F.abs(c("close") - F.lag("close", n).over(W())), rolling(F.sum, c("_step"), n, W())), 0.0, 1.0)
 
 
 def ewm(x: Column, span: int, back: int, least: int | None = None) -> Column:
@@ -78,19 +82,19 @@ def ewm(x: Column, span: int, back: int, least: int | None = None) -> Column:
     With back rows beyond the series' length it is exact; the weight of what is left out is (1 - alpha) ** back.
     """
     alpha = 2 / (span + 1)
-    seen = F.collect_list(x).over(trailing(back, W))
+    seen = F.collect_list(x).over(trailing(back, W()))
     fold = F.aggregate(F.slice(seen, 2, back), F.element_at(seen, 1), lambda a, v: a * (1 - alpha) + v * alpha)
     return F.when(F.size(seen) >= (max(2, span // 5) if least is None else least), fold)
 
 
 def forward_return(n: int) -> Column:
     """WIN-15: log return to the n-th next close."""
-    return F.log(ratio(F.lead("close", n).over(W), c("close")))
+    return F.log(ratio(F.lead("close", n).over(W()), c("close")))
 
 
 def mean_abs_return(n: int) -> Column:
     """WIN-16: mean absolute log return of the last n bars, over a column _ret."""
-    return rolling(F.avg, F.abs(c("_ret")), n, W)
+    return rolling(F.avg, F.abs(c("_ret")), n, W())
 
 
 def time_to_strike(elapsed: Column, n: int = 15) -> Column:
@@ -135,7 +139,7 @@ def win03(spark: SparkSession, d: str) -> DataFrame:
 
 @query("win04_volume_ratio", V.sql("bars_1h", f"SELECT symbol, ts, round({least('avg', 'close', 20)}, 6) AS sma_20, round(volume / nullif({least('avg', 'volume', 20)}, 0), 6) AS vol_ratio_20 FROM bars_1h"))
 def win04(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(_bars(spark, d).select("symbol", "ts", rolling(F.avg, c("close"), 20, W).alias("sma_20"), volume_ratio(20).alias("vol_ratio_20")))
+    return rounded(_bars(spark, d).select("symbol", "ts", rolling(F.avg, c("close"), 20, W()).alias("sma_20"), volume_ratio(20).alias("vol_ratio_20")))
 
 
 def _z(x: str, n: int) -> str:
@@ -167,7 +171,7 @@ f AS (SELECT symbol, ts, CASE WHEN s IS DISTINCT FROM lag(s) OVER (PARTITION BY
 SELECT symbol, ts, CAST(sum(x) {over(24)} AS BIGINT) AS crosses_24 FROM f"""))
 def win08(spark: SparkSession, d: str) -> DataFrame:
     b = _bars(spark, d).withColumn("v", vwap(24)).withColumn("s", side(c("close"), c("v")))
-    b = b.withColumn("x", (~c("s").eqNullSafe(F.lag("s").over(W))).cast("int"))
+    b = b.withColumn("x", (~c("s").eqNullSafe(F.lag("s").over(W()))).cast("int"))
     return b.select("symbol", "ts", cross_rate("x", 24).alias("crosses_24"))
 
 
@@ -195,12 +199,12 @@ def win11(spark: SparkSession, d: str) -> DataFrame:
 @query("win12_intrabar_zscore", V.sql("bars_1h", f"SELECT symbol, ts, round((r - ({least('avg', 'r', 240, 100)})) / nullif({least('stddev_samp', 'r', 240, 100)}, 0), 6) AS z_intrabar FROM (SELECT symbol, ts, close / open - 1 AS r FROM bars_1h)"))
 def win12(spark: SparkSession, d: str) -> DataFrame:
     b = _bars(spark, d).withColumn("r", ratio(c("close"), c("open")) - 1)
-    return rounded(b.select("symbol", "ts", ratio(c("r") - rolling(F.avg, c("r"), 240, W, 100), rolling(F.stddev_samp, c("r"), 240, W, 100)).alias("z_intrabar")))
+    return rounded(b.select("symbol", "ts", ratio(c("r") - rolling(F.avg, c("r"), 240, W(), 100), rolling(F.stddev_samp, c("r"), 240, W(), 100)).alias("z_intrabar")))
 
 
 @query("win14_forward_sum", V.sql("bars_1h", "SELECT symbol, ts, CASE WHEN count(volume) OVER w = 5 THEN round(sum(volume) OVER w, 6) END AS fwd_sum_5, CASE WHEN count(volume) OVER w = 5 THEN round(avg(volume) OVER w, 6) END AS fwd_mean_5 FROM bars_1h WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)"))
 def win14(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(_bars(spark, d).select("symbol", "ts", forward(F.sum, c("volume"), 5, W).alias("fwd_sum_5"), forward(F.avg, c("volume"), 5, W).alias("fwd_mean_5")))
+    return rounded(_bars(spark, d).select("symbol", "ts", forward(F.sum, c("volume"), 5, W()).alias("fwd_sum_5"), forward(F.avg, c("volume"), 5, W()).alias("fwd_mean_5")))
 
 
 @query("win15_forward_return", V.sql("bars_1h", "SELECT symbol, ts, " + ", ".join(f"round(ln(lead(close, {n}) OVER w / close), 6) AS fwd_{n}" for n in range(1, 16)) + " FROM bars_1h WINDOW w AS (PARTITION BY symbol ORDER BY ts)"))
@@ -210,7 +214,7 @@ def win15(spark: SparkSession, d: str) -> DataFrame:
 
 @query("win16_mean_abs_return", V.sql("bars_1h", "WITH a AS (SELECT symbol, ts, ln(close / lag(close) OVER (PARTITION BY symbol ORDER BY ts)) AS r FROM bars_1h) SELECT symbol, ts, " + ", ".join(f"round({least('avg', 'abs(r)', n)}, 6) AS mar_{n}" for n in range(1, 5)) + " FROM a"))
 def win16(spark: SparkSession, d: str) -> DataFrame:
-    b = _bars(spark, d).withColumn("_ret", F.log(ratio(c("close"), F.lag("close").over(W))))
+    b = _bars(spark, d).withColumn("_ret", F.log(ratio(c("close"), F.lag("close").over(W()))))
     return rounded(b.select("symbol", "ts", *[mean_abs_return(n).alias(f"mar_{n}") for n in range(1, 5)]))
 
 
@@ -219,8 +223,8 @@ SELECT symbol, ts, CAST(ttl AS BIGINT) AS ttl, coalesce(last_value(CASE WHEN ttl
 def win17(spark: SparkSession, d: str) -> DataFrame:
     """FN-01 and WIN-17: the close of the group's last bar is the strike of what follows; before the first, the first open."""
     b = _bars(spark, d).withColumn("ttl", time_to_strike(F.hour("ts")).cast("bigint"))
-    filled = F.last(F.when(c("ttl") == 15, c("close")), ignorenulls=True).over(W.rowsBetween(Window.unboundedPreceding, 0))
-    return b.select("symbol", "ts", "ttl", F.coalesce(filled, F.first("open").over(W.rowsBetween(Window.unboundedPreceding, 0))).alias("strike"))
+    filled = F.last(F.when(c("ttl") == 15, c("close")), ignorenulls=True).over(W().rowsBetween(Window.unboundedPreceding, 0))
+    return b.select("symbol", "ts", "ttl", F.coalesce(filled, F.first("open").over(W().rowsBetween(Window.unboundedPreceding, 0))).alias("strike"))
 
 
 @query("fn05_sigma", V.sql("bars_1h", f"""WITH a AS (SELECT symbol, ts, ln(close / lag(close) OVER (PARTITION BY symbol ORDER BY ts)) AS r, (((13 - extract(hour FROM ts)) % 15) + 15) % 15 + 1 AS ttl FROM bars_1h),
@@ -228,7 +232,7 @@ m AS (SELECT symbol, ts, ttl, 0.2 * ({least('avg', 'abs(r)', 1)}) + 0.3 * ({leas
 SELECT symbol, ts, round(mar, 6) AS mar, round(CASE WHEN mar IS NOT NULL THEN sqrt(pi() / 2) * greatest(mar, 0) * sqrt(ttl) END, 6) AS sigma FROM m"""))
 def fn05(spark: SparkSession, d: str) -> DataFrame:
     """FN-03 and FN-05: blended mean absolute return, less a bias, and the volatility to the strike."""
-    b = _bars(spark, d).withColumn("_ret", F.log(ratio(c("close"), F.lag("close").over(W)))).withColumn("ttl", time_to_strike(F.hour("ts")))
+    b = _bars(spark, d).withColumn("_ret", F.log(ratio(c("close"), F.lag("close").over(W())))).withColumn("ttl", time_to_strike(F.hour("ts")))
     mar = 0.2 * mean_abs_return(1) + 0.3 * mean_abs_return(2) + 0.5 * mean_abs_return(3) - 0.01
     return rounded(b.withColumn("mar", mar).select("symbol", "ts", "mar", sigma_over(c("mar"), c("ttl")).alias("sigma")))
 

@@ -49,7 +49,7 @@ def walk_forward(rows: DataFrame, days: int, horizon_hours: int) -> DataFrame:
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:
-    b = V.bars_1h(spark, d).withColumn("_ret", F.log(ratio(c("close"), F.lag("close").over(X.W))))
+    b = V.bars_1h(spark, d).withColumn("_ret", F.log(ratio(c("close"), F.lag("close").over(X.W()))))
     return b.select("symbol", "ts", "close", X.mean_abs_return(1).alias("mar_1"), X.mean_abs_return(4).alias("mar_4"), F.abs(X.forward_return(1)).alias("target"))
 
 

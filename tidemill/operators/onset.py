@@ -43,7 +43,10 @@ STEP = 900_000
 GRID = f"""WITH per AS (SELECT token, t // 86400000 AS day, (t % 86400000) // {STEP} AS k, sum(price * size) / sum(size) AS p FROM trades GROUP BY ALL),
 dense AS (SELECT token, day, unnest(range(0, {86_400_000 // STEP})) AS k FROM (SELECT DISTINCT token, day FROM per)),
 grid AS (SELECT d.token, d.day, d.k, last_value(p IGNORE NULLS) OVER w AS p, d.k - max(CASE WHEN p IS NOT NULL THEN d.k END) OVER w AS age FROM dense d LEFT JOIN per USING (token, day, k) WINDOW w AS (PARTITION BY d.token, d.day ORDER BY d.k ROWS UNBOUNDED PRECEDING))"""
-BY_DAY = Window.partitionBy("token", "day").orderBy("k")
+
+
+def by_day():
+    return Window.partitionBy("token", "day").orderBy("k")
 
 
 def _grid(spark: SparkSession, d: str) -> DataFrame:
@@ -57,14 +60,14 @@ def win18(spark: SparkSession, d: str) -> DataFrame:
 
 def trail_ratio(n: int) -> Column:
     """WIN-19: price over its mean of the last n steps, where n steps ago there was a fresh one."""
-    fresh = F.lag("age", n).over(BY_DAY) <= n
-    w = BY_DAY.rowsBetween(-(n - 1), 0)
+    fresh = F.lag("age", n).over(by_day()) <= n
+    w = by_day().rowsBetween(-(n - 1), 0)
     return F.when(holds(fresh) & (F.count("p").over(w) == n), ratio(c("p"), F.avg("p").over(w)))
 
 
 def consistent_ratio(steps: tuple[int, ...]) -> Column:
     """WIN-20: the least of the ratios to several steps ago, NULL if one is missing."""
-    r = [ratio(c("p"), F.lag("p", n).over(BY_DAY)) for n in steps]
+    r = [ratio(c("p"), F.lag("p", n).over(by_day())) for n in steps]
     known = r[0].isNotNull()
     for x in r[1:]:
         known = known & x.isNotNull()
@@ -73,7 +76,7 @@ def consistent_ratio(steps: tuple[int, ...]) -> Column:
 
 def asym_ratio(recent: int, gap: int, base: int) -> Column:
     """WIN-21: the recent steps' mean over that of a base window further back."""
-    now, then = BY_DAY.rowsBetween(-(recent - 1), 0), BY_DAY.rowsBetween(-(recent + gap + base - 1), -(recent + gap))
+    now, then = by_day().rowsBetween(-(recent - 1), 0), by_day().rowsBetween(-(recent + gap + base - 1), -(recent + gap))
     return F.when(F.count("p").over(then) > 0, ratio(F.avg("p").over(now), F.avg("p").over(then)))
 
 
