@@ -133,3 +133,24 @@ def test_repartitioning_changes_nothing(spark):
 def test_plans_read_only_the_columns_they_need(spark):
     plan = catalog.queries()["agg02_by_group"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "props" not in plan.split("ReadSchema")[-1]
+
+
+def test_entry_imports_without_a_session_and_without_the_corpus_operators(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+
+    from tests.conftest import ROOT
+
+    shutil.copytree(ROOT / "tidemill", tmp_path / "tidemill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and not any(n.startswith('op') or n == 'pipeline' for n in q); assert set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+
+
+def test_sequence_ratio(spark):
+    from tidemill.operators import text
+
+    df = spark.createDataFrame([("abcd", "bcde"), (None, "x")], "a string, b string")
+    got = df.select(text.sequence_ratio("a", "b").alias("r"), text.words(F.lit("Olympique de Lyon FC, Été")).alias("w")).collect()
+    assert got[0]["r"] == 0.75 and got[1]["r"] is None and got[0]["w"] == ["de", "ete", "lyon", "olympique"]

@@ -86,11 +86,11 @@ def agg02(spark: SparkSession, d: str) -> DataFrame:
     return rounded(V.events(spark, d).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.count_if(c("value") > 250).alias("large")), 4)
 
 
-@query("agg04_elementwise_mean", "WITH a AS (SELECT l_orderkey, list(CASE WHEN l_discount > 0 THEN l_quantity END ORDER BY l_linenumber) AS q FROM lineitem GROUP BY 1), e AS (SELECT q[pos + 1] AS v, pos FROM (SELECT q, unnest(range(len(q))) AS pos FROM a)) SELECT CAST(pos AS INT) AS pos, round(avg(v), 4) AS mean, CAST(count(v) AS BIGINT) AS n FROM e GROUP BY pos")
+@query("agg04_elementwise_mean", "WITH a AS (SELECT l_orderkey, list(CASE WHEN l_discount > 0 THEN l_quantity END ORDER BY l_linenumber, l_quantity, l_discount) AS q FROM lineitem GROUP BY 1), e AS (SELECT q[pos + 1] AS v, pos FROM (SELECT q, unnest(range(len(q))) AS pos FROM a)) SELECT CAST(pos AS INT) AS pos, round(avg(v), 4) AS mean, CAST(count(v) AS BIGINT) AS n FROM e GROUP BY pos")
 def agg04(spark: SparkSession, d: str) -> DataFrame:
     """AGG-04: mean at each position of JSON arrays, NULLs left out."""
     li = V.table(spark, d, "lineitem")
-    q = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", F.when(c("l_discount") > 0, c("l_quantity")).alias("q")))).alias("a"))
+    q = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity", "l_discount", F.when(c("l_discount") > 0, c("l_quantity")).alias("q")))).alias("a"))
     js = q.select(F.to_json(F.transform("a", lambda x: F.struct(x["q"].alias("q")))).alias("js"))
     e = js.select(F.posexplode(F.from_json("js", "array<struct<q:double>>")).alias("pos", "x"))
     return rounded(e.groupBy("pos").agg(F.avg("x.q").alias("mean"), F.count("x.q").alias("n")), 4)
