@@ -376,6 +376,8 @@ def test_mixing_rows(spark, odd, empty):
     given = spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, weight double")
     assert mixing.mix_sources(odd, given, block_size=1000).count() == len(ODD)
     assert mixing.mix_sources(empty).count() == 0
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    assert mixing.stage(spark, docs, "").count() == len(ODD)
 
 
 def test_packing_equals_plain_best_fit():

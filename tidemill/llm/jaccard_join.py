@@ -256,8 +256,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per input row: id, n_shingles (set size), component_id (least id reachable by links, itself included).
 
     Rows link when 100 * |intersection| >= t * |union| of their n-word shingle sets, A-Z folded. Null, empty and wordless
-    texts have no set and link with nothing. Repeated rows and equal texts are one node. Null ids: a row of its own whose
-    component is the least id it reaches, or null. Columns beside id and text are not read. Empty in, empty out.
+    texts have no set and link with nothing. Repeated rows and equal texts are one node. A set that only rows
+    with null ids have links with nothing, and their component is null; other null ids share their set's component. Columns beside id and text are not read. Empty in, empty out.
     """
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # sizes only steer the cost model: words by the spaces between them

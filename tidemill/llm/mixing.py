@@ -127,8 +127,8 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix: files follow each other by slot, and rows within a file."""
-    order = mix_sources(docs).select("doc_id", "slot", "within")
-    return docs.join(order.dropDuplicates(["doc_id"]), "doc_id").repartitionByRange("slot", "within").sortWithinPartitions("slot", "within").select(*docs.columns)
+    order = mix_sources(docs).select(F.col("doc_id").alias("_of"), "slot", "within").dropDuplicates(["_of"])
+    return docs.join(order, docs["doc_id"].eqNullSafe(order["_of"])).repartitionByRange("slot", "within").sortWithinPartitions("slot", "within").select(*docs.columns)
 
 
 QUERIES = {"op8_mix_sources": op8_mix_sources}
