@@ -31,3 +31,12 @@ def test_change_log_covers_every_customer(spark):
     got = run(spark, "win25_change_log")
     assert got == sorted((g, i, k, kind) for g, i, k, kind in want)
     assert {r[2] for r in got} == set(orders["o_custkey"])
+
+
+def test_routing_of_late_events(spark, tmp_path):
+    events = pd.read_parquet(f"{SMALL}/events.parquet")
+    events["event_id"] += 5_000
+    events.to_parquet(tmp_path / "events.parquet", coerce_timestamps="us")
+    slugs = {(u % 50, f"u{u % 10}") for u in events["user_id"]}
+    want = {(e, slug) for e, u in zip(events["event_id"], events["user_id"]) for key, slug in slugs if key in (u, e % 50)}
+    assert want and run(spark, "jn16_routing", tmp_path) == sorted(want)

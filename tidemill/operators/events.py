@@ -212,7 +212,7 @@ def jn16(spark: SparkSession, d: str) -> DataFrame:
     """JN-15/16: rows routed by any of several keys: exploded to one key each, joined, made distinct."""
     e = V.events(spark, d)
     route = e.select((c("user_id") % 50).alias("key"), F.concat(F.lit("u"), (c("user_id") % 10).cast("string")).alias("slug")).distinct()
-    keys = e.where("event_id < 2000").select("event_id", F.explode(F.array(c("user_id"), c("event_id") % 50)).alias("key"))
+    keys = e.select("event_id", F.explode(F.array(c("user_id"), c("event_id") % 50)).alias("key"))
     return keys.join(route, "key").select("event_id", "slug").distinct()
 
 
