@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from difflib import SequenceMatcher
 
 import pandas as pd
 
@@ -40,3 +41,19 @@ def test_routing_of_late_events(spark, tmp_path):
     slugs = {(u % 50, f"u{u % 10}") for u in events["user_id"]}
     want = {(e, slug) for e, u in zip(events["event_id"], events["user_id"]) for key, slug in slugs if key in (u, e % 50)}
     assert want and run(spark, "jn16_routing", tmp_path) == sorted(want)
+
+
+def test_names_of_a_brand_are_compared_across_id_blocks(spark, tmp_path):
+    types = ["LARGE BRASS CASE", "SMALL CASE", "small case", None, "LARGE TIN CASE", "PIN"]
+    parts = [(k, f"b{k % 3}", types[k % 5 if k % 7 else 5]) for k in range(1, 70)]
+    pd.DataFrame(parts, columns=["p_partkey", "p_brand", "p_type"]).to_parquet(tmp_path / "part.parquet")
+    pairs = [(a, b, x, y) for a, p, x in parts for b, q, y in parts if p == q and a < b]
+    ratio = {(a, b): r for a, b, r in run(spark, "fn24_sequence_ratio", tmp_path)}
+    assert set(ratio) == {(a, b) for a, b, _, _ in pairs}
+    assert all(pd.isna(ratio[a, b]) if x is None or y is None else abs(ratio[a, b] - SequenceMatcher(None, x, y).ratio()) < 1e-6 for a, b, x, y in pairs)
+    shared = {(a, b): o for a, b, o in run(spark, "fn24_name_overlap", tmp_path)}
+    assert set(shared) == set(ratio)
+    for a, b, x, y in pairs:
+        if x is not None and y is not None:
+            v, w = set(x.lower().split()), set(y.lower().split())
+            assert abs(shared[a, b] - len(v & w) / max(len(v), len(w))) < 1e-6

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -52,20 +53,29 @@ def fn23(spark: SparkSession, d: str) -> DataFrame:
 PAIRS = "p AS (SELECT p_partkey, p_brand, list_distinct(string_split(lower(p_type), ' ')) AS w FROM part), q AS (SELECT a.p_partkey AS a, b.p_partkey AS b, len(list_intersect(a.w, b.w)) * 1.0 / greatest(len(a.w), len(b.w), 1) AS o FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_partkey // 20 = b.p_partkey // 20 AND a.p_partkey < b.p_partkey)"
 
 
+def brand_pairs(spark: SparkSession, d: str, measure: Callable[[Column, Column], Column], name: str) -> DataFrame:
+    """All pairs of parts of the same brand with the measure of their types, which is taken once for two different types (in
+    either order, as it may not be symmetric) and then given to the parts that have them."""
+    p = V.table(spark, d, "part").select("p_partkey", "p_brand", "p_type")
+    one = p.select(c("p_brand").alias("brand"), c("p_type").alias("ta")).distinct()
+    types = one.join(one.withColumnRenamed("ta", "tb"), "brand").withColumn(name, measure(c("ta"), c("tb")))
+    a = p.select(c("p_partkey").alias("a"), c("p_brand").alias("brand_a"), c("p_type").alias("type_a"))
+    b = p.select(c("p_partkey").alias("b"), c("p_brand").alias("brand_b"), c("p_type").alias("type_b"))
+    left = types.join(a, (c("brand") == c("brand_a")) & c("ta").eqNullSafe(c("type_a")))
+    return left.join(b, (c("brand") == c("brand_b")) & c("tb").eqNullSafe(c("type_b")) & (c("a") < c("b"))).select("a", "b", name)
+
+
 @query("fn24_name_overlap", f"WITH {PAIRS} SELECT a, b, round(o, 6) AS overlap FROM q")
 def fn24(spark: SparkSession, d: str) -> DataFrame:
     """Overlap of the words of names that share a key."""
-    p = V.table(spark, d, "part").select("p_partkey", "p_brand", F.floor(c("p_partkey") / 20).alias("k"), F.array_distinct(F.split(F.lower("p_type"), " ")).alias("w"))
-    b = p.select(c("p_partkey").alias("b"), "p_brand", "k", c("w").alias("wb"))
-    return rounded(p.join(b, ["p_brand", "k"]).where("p_partkey < b").select(c("p_partkey").alias("a"), "b", overlap(c("w"), c("wb")).alias("overlap")))
+    w = lambda x: F.array_distinct(F.split(F.lower(x), " "))
+    return rounded(brand_pairs(spark, d, lambda a, b: overlap(w(a), w(b)), "overlap"))
 
 
 @query("fn24_sequence_ratio")
 def fn24_ratio(spark: SparkSession, d: str) -> DataFrame:
     """The matching-run ratio of the same pairs' types; no SQL has it."""
-    p = V.table(spark, d, "part").select("p_partkey", "p_brand", F.floor(c("p_partkey") / 20).alias("k"), "p_type")
-    b = p.select(c("p_partkey").alias("b"), "p_brand", "k", c("p_type").alias("other"))
-    return p.join(b, ["p_brand", "k"]).where("p_partkey < b").select(c("p_partkey").alias("a"), "b", F.round(sequence_ratio("p_type", "other"), 6).alias("ratio"))
+    return brand_pairs(spark, d, lambda a, b: F.round(sequence_ratio(a, b), 6), "ratio")
 
 
 @query("fn27_settlement", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_totalprice >= 100000 THEN 'Yes' WHEN o_orderstatus = 'F' THEN 'No' WHEN o_orderstatus = 'P' THEN 'PIN' END AS outcome FROM orders")
