@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections import defaultdict
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 
 from tests.conftest import SMALL
 from tidemill import catalog
+from tidemill.operators import model
 
 
 def run(spark, name, d=SMALL):
@@ -57,3 +59,20 @@ def test_names_of_a_brand_are_compared_across_id_blocks(spark, tmp_path):
         if x is not None and y is not None:
             v, w = set(x.lower().split()), set(y.lower().split())
             assert abs(shared[a, b] - len(v & w) / max(len(v), len(w))) < 1e-6
+
+
+def test_walk_forward_in_any_month(spark, tmp_path):
+    events = pd.read_parquet(f"{SMALL}/events.parquet")
+    events["ts"] += pd.Timedelta(days=75)
+    events.to_parquet(tmp_path / "events.parquet", coerce_timestamps="us")
+    rows = model.features(spark, str(tmp_path)).toPandas()
+    s = (rows["ts"] - pd.Timestamp("1970-01-01")) // pd.Timedelta(seconds=1)
+    want = {}
+    for day in range(s.min() // 86_400 - 9, s.max() // 86_400 + 10):
+        t = rows[(s < day * 86_400 - 3_600) & (s >= (day - 5) * 86_400)]
+        if len(t):
+            t = t.dropna(subset=["target", "mar_4"])
+            want[day] = (len(t), *(np.polyfit(t["mar_4"], t["target"], 1) if len(t) >= 30 else (np.nan, np.nan)))
+    got = {day: (n, b, a) for b, a, n, day in run(spark, "agg23_walk_forward", tmp_path)}
+    assert set(got) == set(want) and len(got) > 30
+    assert all(got[d][0] == want[d][0] and np.allclose(got[d][1:], want[d][1:], atol=1e-5, equal_nan=True) for d in want)

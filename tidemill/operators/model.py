@@ -66,7 +66,7 @@ def agg22(spark: SparkSession, d: str) -> DataFrame:
 
 @query("agg23_walk_forward", V.sql("bars_1h", f"WITH {WALK} SELECT score_day, CAST(regr_count(target, mar_4) AS BIGINT) AS n, CASE WHEN regr_count(target, mar_4) >= 30 THEN round(regr_intercept(target, mar_4), 6) END AS intercept, CASE WHEN regr_count(target, mar_4) >= 30 THEN round(regr_slope(target, mar_4), 6) END AS b_mar_4 FROM t WHERE score_day BETWEEN 19724 AND 19753 GROUP BY score_day"))
 def agg23(spark: SparkSession, d: str) -> DataFrame:
-    t = walk_forward(features(spark, d), 5, 1).where("score_day BETWEEN 19724 AND 19753")
+    t = walk_forward(features(spark, d), 5, 1)
     return rounded(ols(t, ["score_day"], "target", ["mar_4"]))
 
 
