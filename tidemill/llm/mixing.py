@@ -6,10 +6,12 @@ the slot in which an ideal fluid mix would begin it (release) to the slot in whi
 one block from its fluid share. Sources that run out leave their share to the others: the fluid mix is piecewise linear
 in virtual time V, slot t(V) = sum of min(n_j, w_j V), and all bounds come from it in integer arithmetic.
 
-EDF is sequential, yet frames of slots are independent: at a frame's first slot the blocks done are, of each source, its
-whole fluid blocks, and of the blocks in progress those with the earliest deadlines, as many as slots are left. No later
-block misses its deadline from such a state (a deadline either covers all those done early, or only blocks that begin
-after the boundary, which the fluid mix fits in). So each frame runs its own EDF, as a fold over its slots.
+EDF is sequential, yet frames of slots are independent once the blocks done at their borders are known. At a border these
+are, of each source, its whole fluid blocks, and of the blocks in progress as many as slots are left: first those begun
+early at a border before (a block begun stays begun), then those with the earliest deadlines among the ones that the frame
+has a slot for from their release on. Such a state leaves, for every later slot, as few done blocks with a deadline beyond
+it as any schedule can, so no block misses its deadline. One fold over the borders carries the state, a row of sources
+each; then each frame runs its own EDF, as a fold over its slots.
 
 Ranks of documents in a source come from hashed chunks and their prefix sums: a source with a third of all rows is
 summed in as many tasks as its size asks for.
@@ -57,6 +59,33 @@ def _deadline(plan: Column, k: Column, w: Column) -> Column:
     return n + _div((k + 1) * rate + w - 1, w)
 
 
+def _fitting(at: DataFrame) -> DataFrame:
+    """(f, misfits): sources whose block in progress at border f is released too late in the frame before it to run there.
+    Blocks released within the frame take the first free slot from their release on, those that end in it first."""
+    last = at.select((F.col("f") + 1).alias("f"), F.col("t").alias("from"), "i", F.col("whole").alias("start"))
+    both = at.join(last, ["f", "i"])
+    ends = both.where("whole > start").withColumn("k", F.explode(F.sequence("start", F.col("whole") - 1)))
+    ends = ends.select("f", "from", "t", F.struct(F.lit(0).alias("open"), F.lit(0).cast("long").alias("due"), "i", _release(F.col("p"), F.col("k"), F.col("w")).alias("release")).alias("j"))
+    going = both.where("busy").select("f", "from", "t", F.struct(F.lit(1).alias("open"), "due", "i", "release").alias("j"))
+    jobs = ends.unionByName(going).where(F.col("j.release") > F.col("from")).groupBy("f", "from", "t").agg(F.sort_array(F.collect_list("j")).alias("jobs"))
+    slot = "try_element_at(filter(x.free, q -> q >= j.release), 1)"
+    fold = f"""aggregate(jobs, struct(filter(sequence(from, t), q -> q > from AND q < t) AS free, slice(transform(jobs, j -> j.i), 1, 0) AS misfits), (x, j) -> struct(
+        array_remove(x.free, coalesce({slot}, -1L)) AS free, if({slot} IS NULL, concat(x.misfits, array(j.i)), x.misfits) AS misfits), x -> x.misfits)"""
+    return jobs.select("f", F.expr(fold).alias("misfits"))
+
+
+def _carried(at: DataFrame, fitting: DataFrame, plan: Column) -> DataFrame:
+    """(f, i, begun): blocks begun of source i at border f, by a fold over the borders in order."""
+    one = at.groupBy("f").agg((F.first("t") - F.sum("whole")).alias("left"), F.collect_list(F.struct("due", "i", F.col("whole").alias("k"), "busy")).alias("c"))
+    one = one.join(fitting, "f", "left").where("f > 0").select(F.struct("f", "left", "c", F.coalesce("misfits", F.array().cast("array<int>")).alias("misfits")).alias("g"))
+    kind = "CASE WHEN NOT j.busy THEN 3 WHEN element_at(x, -1)[j.i] > j.k THEN 0 WHEN array_contains(g.misfits, j.i) THEN 2 ELSE 1 END"
+    begun = f"""transform(array_sort(transform(array_sort(transform(g.c, j -> struct({kind} AS kind, j.due AS due, j.i AS i, j.k AS k))),
+        (j, n) -> struct(j.i AS i, j.k + if(n < g.left, 1L, 0L) AS begun))), y -> y.begun)"""
+    borders = one.agg(F.sort_array(F.collect_list("g")).alias("a")).withColumn("zero", F.array(F.array_repeat(F.lit(0).cast("long"), F.size(plan))))
+    borders = borders.select(F.posexplode(F.expr(f"aggregate(a, zero, (x, g) -> concat(x, array({begun})))")).alias("f", "b"))
+    return borders.select(F.col("f").cast("long").alias("f"), F.posexplode("b").alias("i", "begun"))
+
+
 def schedule(sources: DataFrame, frame: int = 64) -> DataFrame:
     """sources(s, n blocks, w weight) -> (s, k, release, deadline, slot) for every block; slots run from 0 without a gap."""
     plan = _plan(sources).scalar()
@@ -65,7 +94,7 @@ def schedule(sources: DataFrame, frame: int = 64) -> DataFrame:
     size = F.greatest(F.lit(frame), sources.agg(F.count(F.lit(1))).scalar())
     ends = spark.range(1).select(F.explode(F.sequence(F.lit(0).cast("long"), _div(total + size - 1, size))).alias("f"), size.alias("size"))
     ends = ends.select("f", F.least(F.col("f") * F.col("size"), total).alias("t"), plan.alias("p"))
-    at = ends.withColumn("x", F.explode("p")).select("f", "t", "p", "x.s", "x.n", "x.w")
+    at = ends.select("f", "t", "p", F.posexplode("p").alias("i", "x")).select("f", "t", "p", "i", "x.s", "x.n", "x.w")
     n, rate = _pair(F.col("p"), lambda x: x["done"] * x["w"] + x["n"] * x["rate"] <= F.col("t") * x["w"])
     at = at.withColumn("gone", n).withColumn("rate", rate)
     ideal = F.col("w") * (F.col("t") - F.col("gone"))
@@ -73,10 +102,8 @@ def schedule(sources: DataFrame, frame: int = 64) -> DataFrame:
     at = at.withColumn("whole", F.when(over, F.col("n")).otherwise(F.least(F.col("n"), _div(ideal, F.greatest(F.col("rate"), F.lit(1))))))
     at = at.withColumn("busy", ~over & (F.col("whole") < F.col("n")) & (F.pmod(ideal, F.greatest(F.col("rate"), F.lit(1))) > 0))
     at = at.withColumn("due", _deadline(F.col("p"), F.col("whole"), F.col("w")))
-    by = Window.partitionBy("f")
-    early = F.row_number().over(by.orderBy(F.col("busy").desc(), "due", "s"))
-    at = at.withColumn("begun", F.col("whole") + F.when(F.col("busy") & (early <= F.col("t") - F.sum("whole").over(by)), 1).otherwise(0))
-    state = at.select("f", "t", "s", "w", "p", "begun")
+    at = at.withColumn("release", _release(F.col("p"), F.col("whole"), F.col("w")))
+    state = _carried(at, _fitting(at), plan).join(at.select("f", "i", "t", "s", "w", "p"), ["f", "i"])
     nxt = state.select((F.col("f") - 1).alias("f"), "s", F.col("begun").alias("until"))
     run = state.join(nxt, ["f", "s"]).where("until > begun").withColumn("k", F.explode(F.sequence("begun", F.col("until") - 1)))
     run = run.select("f", "t", F.struct(_deadline(F.col("p"), F.col("k"), F.col("w")).alias("deadline"), F.col("s"), F.col("k"), _release(F.col("p"), F.col("k"), F.col("w")).alias("release")).alias("j"))
