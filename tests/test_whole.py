@@ -8,9 +8,9 @@ from difflib import SequenceMatcher
 import numpy as np
 import pandas as pd
 
-from tests.conftest import SMALL
+from tests.conftest import MIDDLE, SMALL
 from tidemill import catalog
-from tidemill.operators import model
+from tidemill.operators import model, rules
 
 
 def run(spark, name, d=SMALL):
@@ -76,3 +76,14 @@ def test_walk_forward_in_any_month(spark, tmp_path):
     got = {day: (n, b, a) for b, a, n, day in run(spark, "agg23_walk_forward", tmp_path)}
     assert set(got) == set(want) and len(got) > 30
     assert all(got[d][0] == want[d][0] and np.allclose(got[d][1:], want[d][1:], atol=1e-5, equal_nan=True) for d in want)
+
+
+def test_legs_of_all_cells(spark):
+    bars = rules.deciles(spark, MIDDLE).toPandas()
+    want = []
+    for cell in rules.CELLS:
+        for r in bars.to_dict("records"):
+            if r["d_pk"] in rules.REGIME and all(r[f] == q for f, q in cell.legs):
+                want += [(q, cell.cell_id, f, q, r["symbol"], r["ts"]) for f, q in cell.legs]
+    got = run(spark, "prj05_leg_detail", MIDDLE)
+    assert got == sorted(want) and len({r[1] for r in got}) > 1

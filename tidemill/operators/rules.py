@@ -140,7 +140,7 @@ def prj04(spark: SparkSession, d: str) -> DataFrame:
 
 @query("prj05_leg_detail", V.sql("bars_1h", f"""WITH {DEC} SELECT symbol, ts, 1 AS cell_id, unnest(['d_pk', 'd_ret']) AS feature, unnest([d_pk, d_ret]) AS actual, 10 AS required FROM dec WHERE d_pk = 10 AND d_ret = 10"""))
 def prj05(spark: SparkSession, d: str) -> DataFrame:
-    f = firings(deciles(spark, d), CELLS[:1])
+    f = firings(deciles(spark, d))
     return f.select("symbol", "ts", "cell_id", F.explode("legs").alias("leg")).select("symbol", "ts", "cell_id", "leg.*")
 
 
