@@ -37,6 +37,11 @@ def texts(n, seed, vocabulary=40, longest=60):
     return out
 
 
+def morse(n, letters):
+    """Thue-Morse words, on which polynomials modulo a power of two collide whatever their base."""
+    return "".join(letters[bin(i).count("1") & 1] for i in range(n))
+
+
 def docs_of(spark, ts):
     return spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t)) for i, t in enumerate(ts)], SCHEMA)
 
@@ -84,11 +89,44 @@ def test_substring_dedup_equals_brute_force(spark, width):
         assert all(a["end"] < b["start"] for a, b in zip(r["spans"], r["spans"][1:]))
 
 
-def test_substring_dedup_odd_rows(odd, empty):
+def test_texts_that_differ_in_one_long_word(spark):
+    """35 words, one of which differs: a word of 1,024 letters, its letters swapped."""
+    rest = " ".join(f"w{i}" for i in range(34))
+    ts = [f"{morse(1024, 'ab')} {rest}", f"{morse(1024, 'ba')} {rest}", f"{morse(70_000, 'ab')} {rest}", f"{morse(70_000, 'ba')} {rest}"]
+    got = substring_dedup.substring_dedup(docs_of(spark, ts)).collect()
+    assert [r["n_removed"] for r in got] == [0] * 4
+    pairs = [f"a {morse(1024, 'ab')}", f"a {morse(1024, 'ba')}", *(" ".join(morse(2048, x)) for x in ("cd", "dc"))]
+    found = jaccard_join.jaccard_components(docs_of(spark, pairs)).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in found] == [c for _, c in brute_components(pairs, 3, 90)] and found[0]["component_id"] != found[1]["component_id"]
+    wide = [" ".join(morse(4096, x)) for x in (["p", "q"], ["q", "p"])]
+    assert [r["n_removed"] for r in substring_dedup.substring_dedup(docs_of(spark, wide), width=4096).collect()] == [0, 0]
+
+
+def test_windows_with_equal_hashes_are_told_apart():
+    h, check = np.array([5, 7, 5, 5, 7], np.uint64), np.array([1, 2, 9, 1, 2], np.uint32)
+    found = substring_dedup.distinct(h, check)
+    assert found.count.tolist() == [2, 1, 2] and found.which.tolist() == [0, 2, 1, 0, 2]
+
+
+def test_shingles_are_compared_by_their_words():
+    a, b = jaccard_join.shingles(pa.array(["a b C d e f", "x A B c D e z"]), 3, 1)
+    assert jaccard_join.common(a, b) == 3
+    forged = b._replace(hash=np.append(a.hash, np.uint64(2**64 - 1)))  # all hashes equal, few words
+    words = lambda s, i: [bytes(kernels.LOWER[s.data[s.start[s.first[i] + k] : s.end[s.first[i] + k]]]) for k in range(s.width)]
+    assert jaccard_join.common(a, forged) == sum(words(a, i) == words(forged, i) for i in range(len(a.hash)))
+
+
+def test_substring_dedup_odd_rows(spark, odd, empty):
     got = sorted((r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in substring_dedup.substring_dedup(odd).collect())
     want = sorted((d or 0, n, k) for (d, *_), (n, k, _) in zip(ODD, brute_dedup([r[1] for r in ODD], 35)))
     assert got == want
     assert substring_dedup.substring_dedup(empty).count() == 0
+    cut = substring_dedup.stage(spark, odd, "")
+    assert cut.columns == odd.columns and {r["doc_id"]: r["text"] for r in cut.collect()} == {d: (" ".join(f"v{i}" for i in range(100)) if d == 8 else t if d != 7 else "") for d, t, *_ in ODD}
+    assert substring_dedup.stage(spark, empty, "").count() == 0
+    nulls = docs_of(spark, texts(60, 1, longest=90)).selectExpr("CAST(null AS long) AS doc_id", "text")
+    found = Counter((r["n_words"], r["n_removed"], r["kept_text"]) for r in substring_dedup.substring_dedup(nulls, width=3, group_bytes=500).collect())
+    assert found == Counter(brute_dedup(texts(60, 1, longest=90), 3))
 
 
 def brute_components(ts, n, t):
@@ -136,7 +174,25 @@ def test_similar_sets_always_share_a_signature(t):
                 assert sum(bin(int(v) & (1 << 64) - 1).count("1") for v in x ^ y) <= len(base) + len(other) - 2 * both
 
 
-def test_jaccard_odd_rows(odd, empty):
+def test_hot_signatures_are_refined_and_joined_in_blocks(spark):
+    """Unlike sets with one long passage in common, and near copies of a few of them, at a bound of 5 sets a signature."""
+    rng = random.Random(9)
+    shared = [f"s{i}" for i in range(40)]
+    ts = []
+    for i in range(120):
+        own = [f"o{rng.randint(0, 10**9)}" for _ in range(rng.randint(10, 30))]
+        ts.append(" ".join(shared + own))
+        if i % 10 == 0:
+            ts.append(" ".join(shared + own[:-1] + ["end"]))
+    got = jaccard_join.jaccard_components(docs_of(spark, ts), n=1, t=90, hot_rows=5).orderBy("doc_id").collect()
+    assert [(r["n_shingles"], r["component_id"]) for r in got] == brute_components(ts, 1, 90)
+
+
+def test_jaccard_odd_rows(spark, odd, empty):
+    kept = jaccard_join.stage(spark, odd, "")
+    assert kept.columns == odd.columns
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7, 7, 8, 9]
+    assert jaccard_join.stage(spark, empty, "").count() == 0
     got = {(r["doc_id"], r["component_id"], r["n_shingles"]) for r in jaccard_join.jaccard_components(odd).collect()}
     assert {(4, 4, 1), (5, 4, 1), (1, 1, 0), (2, 2, 0), (3, 3, 0), (7, 7, 8998)} <= got
     assert jaccard_join.jaccard_components(empty).count() == 0

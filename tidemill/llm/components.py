@@ -9,7 +9,7 @@ from tidemill.llm.shared import dropped, written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """edges(a, b), longs -> (node, component) for every node of an edge; component is the least node that it reaches.
+    """edges(a, b), of any type with an order -> (node, component) for every node of an edge; component is the least node that it reaches.
 
     Each round hooks every node to the least of itself and its neighbours, halves the hooks' chains, and contracts the
     graph to its roots, so the edges that remain shrink by a factor each round; rounds are written to the shared folder.

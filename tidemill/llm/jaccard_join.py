@@ -13,13 +13,17 @@ A pair that shares no signature differs in at least 2d + (m - d - e) places, so
 allocation (d, e) of each band comes from a cost model: signatures written against candidates expected by chance, from
 the number of documents in the band; more documents buy larger or fewer empty segments.
 
-Sets, not documents, are joined: equal sets are one node, so copies never multiply. Each set that shares a signature has
-a parity sketch, bits of which each element flips one; two sets differ in at least as many elements as their
-sketches in bits, which turns away most pairs beyond H without sending a set. Each set is first verified against one hub,
-of the sets that share a signature with it the one with most shared signatures (of a group of copies that is the text they
-derive from). Components of the links found leave few signatures whose sets lie in different components; of these, pairs
-across components that the sketches allow are verified. A pair inside a component needs no proof, since the result is
-reachability. Verification compares whole sets.
+Sets, not documents, are joined: equal sets are one node, so copies never multiply. A node's name is a 128-bit hash of its
+set. Each set that shares a signature has a parity sketch, bits of which each element flips one; two sets differ in at
+least as many elements as their sketches in bits, which turns away most pairs beyond H without sending a text. Each set is
+first verified against one hub, of the sets that share a signature with it the one with most shared signatures (of a group
+of copies that is the text they derive from). Components of the links found leave few signatures whose sets lie in
+different components; of these, pairs across components that the sketches allow are verified. A pair inside a component
+needs no proof, since the result is reachability. Verification compares the shingles' words themselves.
+
+Hot signatures. A sample of the sets shows which signatures are very common; their rows are dealt to several tasks. A
+signature that still joins more than hot_rows sets across components is refined: a similar pair also shares a signature of
+any other cut of the universe, so the group falls apart into groups by both. What stays large is joined in blocks.
 """
 
 from __future__ import annotations
@@ -92,59 +96,101 @@ def allocate(low: int, high: int, docs: int, t: int, pair_cost: float = 40.0) ->
     return chosen
 
 
-def ngram_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
-    """Each text's sorted distinct hashes of n-word shingles; of fewer words the whole sequence; none without words."""
+class Shingles(NamedTuple):
+    """A text's distinct shingles: their hashes in order, the first word of one occurrence of each, words in a shingle,
+    and the words' places in the folded text."""
+
+    hash: np.ndarray
+    first: np.ndarray
+    width: int
+    data: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+
+
+def shingles(column: pa.Array, n: int, seed: int) -> Iterator[Shingles]:
+    """Each text's n-word shingles; of fewer words the whole sequence; none without words."""
     for _, _, data, offs in K.parts(column, 1 << 20):
-        w = K.words(data, offs, fold=True)
-        at, h = K.windows(w, n)
+        w = K.words(data, offs, fold=True, seed=seed)
+        at, h = K.windows(w, n, seed)
         docs = len(offs) - 1
         count = np.bincount(w.doc, minlength=docs)
         begin = np.concatenate([[0], np.cumsum(count)])
         owner, values = w.doc[at], h
         short = np.flatnonzero((count > 0) & (count < n))
         if len(short):
-            own = np.array([int(K.mix(K.rabin_karp(w.hash[begin[i] : begin[i + 1]], int(count[i])) + U64(count[i]))[0]) for i in short], U64)
-            owner, values = np.concatenate([owner, short]), np.concatenate([values, own])
+            own = np.array([int(K.mix(K.rabin_karp(w.hash[begin[i] : begin[i + 1]], int(count[i]), seed) + U64(count[i]))[0]) for i in short], U64)
+            owner, values, at = np.concatenate([owner, short]), np.concatenate([values, own]), np.concatenate([at, begin[short]])
         order = np.lexsort((values, owner))
-        owner, values = owner[order], values[order]
+        owner, values, at = owner[order], values[order], at[order]
         fresh = np.ones(len(values), bool)
         fresh[1:] = (owner[1:] != owner[:-1]) | (values[1:] != values[:-1])
-        owner, values = owner[fresh], values[fresh]
-        yield from np.split(values, np.searchsorted(owner, np.arange(1, docs)))
+        owner, values, at = owner[fresh], values[fresh], at[fresh]
+        edge = np.searchsorted(owner, np.arange(docs + 1))
+        for i in range(docs):
+            x, y = edge[i], edge[i + 1]
+            yield Shingles(values[x:y], at[x:y], min(n, int(count[i])), data, w.start, w.end)
+
+
+def ngram_sets(column: pa.Array, n: int, seed: int = 0) -> Iterator[np.ndarray]:
+    """Each text's sorted distinct hashes of n-word shingles."""
+    return (s.hash for s in shingles(column, n, seed))
 
 
-def set_key(s: np.ndarray) -> int:
-    """A set's 64-bit name."""
-    return int(K.mix(np.array([int(K.mix(s ^ U64(0xA5A5A5A5A5A5A5A5)).sum(dtype=U64)) + len(s) & (1 << 64) - 1], U64)).view(np.int64)[0])
+def common(a: Shingles, b: Shingles) -> int:
+    """Shingles that both texts have, compared word by word: runs of shingles that follow each other in both texts are
+    compared once; only where a word differs is each shingle compared by itself."""
+    _, i, j = np.intersect1d(a.hash, b.hash, assume_unique=True, return_indices=True)
+    if a.width != b.width or not len(i):
+        return 0
+    order = np.argsort(a.first[i])
+    x, y = a.first[i][order], b.first[j][order]
+    same = lambda x, y: K.same_bytes(a.data, a.start[x], a.end[x], b.data, b.start[y], b.end[y], K.LOWER)
+    ends = np.append((np.diff(x) != 1) | (np.diff(y) != 1), True)
+    tail = np.arange(1, a.width)
+    if same(np.append(x, np.add.outer(x[ends], tail)), np.append(y, np.add.outer(y[ends], tail))).all():
+        return len(x)
+    return int(np.logical_and.reduce([same(x + k, y + k) for k in range(a.width)]).sum())
+
+
+def set_key(s: np.ndarray, salt: int = 0xA5A5A5A5A5A5A5A5) -> int:
+    """A set's 64-bit name; two salts give 128 bits."""
+    return int(K.mix(np.array([int(K.mix(s ^ U64(salt)).sum(dtype=U64)) + len(s) & (1 << 64) - 1], U64)).view(np.int64)[0])
+
+
+CHECK = 0x3C6EF372FE94F82B
 
 
 class Signer:
-    """Signatures of sets under an allocation."""
+    """Signatures of sets under an allocation. salt: another one cuts the universe in other places."""
 
-    def __init__(self, bands: list[Band], t: int) -> None:
-        self.bands, self.t = bands, t
+    def __init__(self, bands: list[Band], t: int, salt: int = 0) -> None:
+        self.bands, self.t, self.salt = bands, t, salt
         self.lows = [b.low for b in bands]
-        self.edges = {b.segments: np.array([(i << 64) // b.segments for i in range(1, b.segments)], U64) for b in bands if b.segments < 1 << 20}
 
     def __call__(self, s: np.ndarray) -> np.ndarray:
         n, out = len(s), []
         if not n:
             return np.zeros(0, np.int64)
+        if self.salt:
+            s = np.sort(K.mix(s ^ U64(self.salt)))
         own = K.mix(s)
         sums = np.concatenate([np.zeros(1, U64), np.cumsum(own, dtype=U64)])
-        last = int(np.searchsorted(self.lows, n, "right")) - 1
-        k = last
+        k = int(np.searchsorted(self.lows, n, "right")) - 1
+        if 100 * self.bands[-1].high < self.t * n:
+            raise ValueError(f"a set of {n} elements is beyond the last band")
         while k >= 0 and 100 * self.bands[k].high >= self.t * n:
             b = self.bands[k]
             if differences(b.high, b.high * 100 // self.t, self.t):
-                salt = int(K.mix(np.array([k + 1], U64))[0])
-                edges = self.edges.get(b.segments)
-                if edges is None:
-                    edges = self.edges[b.segments] = np.array([(i << 64) // b.segments for i in range(1, b.segments)], U64)
-                cut = np.concatenate([[0], np.searchsorted(s, edges), [n]])
-                name = np.arange(b.segments, dtype=U64) * U64(K.WINDOW_BASE) + U64(salt)
+                salt = int(K.mix(np.array([k + 1 + self.salt & (1 << 64) - 1], U64))[0])
+                if b.segments >= 1 << 32:
+                    raise ValueError(f"{b.segments} segments")
+                place = ((s >> U64(32)) * U64(b.segments) >> U64(32)).astype(np.int64)
+                size = np.bincount(place, minlength=b.segments)
+                cut = np.concatenate([[0], np.cumsum(size)])
+                name = np.arange(b.segments, dtype=U64) * U64(K.BASE) + U64(salt)
                 total = sums[cut[1:]] - sums[cut[:-1]]
-                sig, size = K.mix(total + name), np.diff(cut)
+                sig = K.mix(total + name)
                 d = b.deletions
                 plain, many = sig[d:], size[d:]
                 if b.skipped and len(plain):
@@ -157,28 +203,26 @@ class Signer:
         return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, np.int64)
 
 
-def _describe(n: int, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _describe(n: int, seed: int, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            count, key, odd, wide = [], [], [], []
-            for s in ngram_sets(batch.column(1), n):
-                count.append(len(s))
-                key.append(set_key(s) if len(s) else None)
-                odd.append(sketch(s) if len(s) else None)
-                wide.append(sketch(s, WIDE) if len(s) >= LARGE else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(schema.field(0).type), *(pa.array(x, f.type) for x, f in zip((count, key, odd, wide), list(schema)[1:]))], schema=schema)
+            rows = []
+            for s in ngram_sets(batch.column(1), n, seed):
+                rows.append((len(s), set_key(s), set_key(s, CHECK), sketch(s), sketch(s, WIDE) if len(s) >= LARGE else None) if len(s) else (0, None, None, None, None))
+            own = [pa.array(x, f.type) for x, f in zip(zip(*rows) if rows else [[]] * 5, list(schema)[2:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(schema.field(0).type), batch.column(2), *own], schema=schema)
 
     return run
 
 
-def _sign(n: int, bands: list[Band], t: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (sig, key); a set that this task has signed lately is not signed again."""
+def _sign(n: int, seed: int, bands: list[Band], t: int, salt: int = 0) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (sig, key) of texts in the first column; a set that this task has signed lately is not signed again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sign, recent = Signer(bands, t), set()
+        sign, recent = Signer(bands, t, salt), set()
         for batch in batches:
             sigs, keys, held = [], [], 0
-            for s in ngram_sets(batch.column(0), n):
+            for s in ngram_sets(batch.column(0), n, seed):
                 if not len(s) or (k := set_key(s)) in recent:
                     continue
                 recent.add(k)
@@ -203,73 +247,110 @@ def sketch(s: np.ndarray, bits: int = SKETCH) -> list[int]:
     return np.packbits(odd.astype(bool)).view(np.int64).tolist()
 
 
-def _sets(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            want = batch.column(0).to_pylist()
-            found = [(k, s.tobytes()) for k, s in zip(want, ngram_sets(batch.column(1), n)) if len(s) and set_key(s) == k]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.binary())], ["key", "set"])
+NODE = "struct<key: long, check: long>"
 
-    return run
 
+def _verify(n: int, seed: int, t: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows in order of hub, the hub's own text first in each salt: one text is held, however many follow it.
 
-def _verify(t: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows in order of hub, the hub's own set first in each salt: one set is held, however many follow it."""
+    Two sets may share a hub's 64-bit key; then each is held.
+    """
+    kind = pa.struct([("key", pa.int64()), ("check", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, hub = None, np.zeros(0, U64)
+        held, hubs = None, []
         for batch in batches:
             a, b = [], []
-            cols = [batch.column(i).to_pylist() for i in range(3)]
-            for h, salt, key, x in zip(*cols, batch.column(3)):
-                s = np.frombuffer(x.as_buffer(), U64)
+            cols = [batch.column(i).to_pylist() for i in range(4)]
+            for h, salt, key, check, s in zip(*cols, shingles(batch.column(4), n, seed)):
                 if key == h:
-                    held, hub = (h, salt), s
+                    if held != (h, salt):
+                        held, hubs = (h, salt), []
+                    own = slice(int(s.start[s.first.min()]), int(s.end[s.first.max() + s.width - 1])) if len(s.first) else slice(0, 0)
+                    hubs.append((check, s._replace(data=s.data[own].copy(), start=s.start - own.start, end=s.end - own.start)))
                 elif held == (h, salt):
-                    both = len(np.intersect1d(s, hub, assume_unique=True))
-                    if 100 * both >= t * (len(s) + len(hub) - both):
-                        a.append(h)
-                        b.append(key)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                    for of, hub in hubs:
+                        both = common(s, hub)
+                        if 100 * both >= t * (len(s.hash) + len(hub.hash) - both):
+                            a.append({"key": h, "check": of})
+                            b.append({"key": key, "check": check})
+            yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
 
     return run
 
 
-def verified(pairs: DataFrame, told: DataFrame, base: DataFrame, n: int, t: int, salt_rows: int = 2000) -> DataFrame:
-    """Of pairs(hub, key), a written table, those whose sets are similar, as (a, b).
+def _texts(keys: DataFrame, told: DataFrame, base: DataFrame) -> DataFrame:
+    """(key, check, text) for each set with one of these keys: by a broadcast of the rows wanted where Spark's size check
+    allows it, else by a shuffle."""
+    rep = told.join(keys, "key").where("id is not null").groupBy("key", "check").agg(F.min(F.struct("id", "th")).alias("r"))
+    wanted = written(rep.select("key", "check", F.col("r.id").alias("id"), F.col("r.th").alias("th")), "wanted")
+    return wanted.join(base, ["id", "th"]).dropDuplicates(["key", "check"]).select("key", "check", "text")
 
-    Only the texts of these pairs are read for their sets: by a broadcast of the ids where Spark's size check allows it,
-    else by a shuffle. A hub with many partners is dealt to several tasks.
-    """
-    keys = pairs.select("key").union(pairs.select("hub")).distinct()
-    rep = written(told.join(keys, "key").groupBy("key").agg(F.min("id").alias("id")), "wanted")
-    sets = rep.join(base, "id").select("key", "text").mapInArrow(_sets(n), "key long, set binary").dropDuplicates(["key"])
+
+def verified(pairs: DataFrame, told: DataFrame, base: DataFrame, n: int, t: int, seed: int, salt_rows: int = 2000) -> DataFrame:
+    """Of pairs(hub, key), a written table, those whose sets are similar, as nodes (a, b). Only the texts of these pairs are
+    read. A hub with many partners is dealt to several tasks."""
+    texts = _texts(pairs.select("key").union(pairs.select("hub")).distinct(), told, base)
     salts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_rows)).cast("int").alias("n"))
     hubs = salts.select("hub", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.col("hub").alias("key"))
     members = pairs.join(salts, "hub").select("hub", F.pmod(F.xxhash64("key"), F.col("n")).cast("int").alias("salt"), "key")
-    rows = members.unionByName(hubs).join(sets, "key").select("hub", "salt", "key", "set")
+    rows = members.unionByName(hubs).join(texts, "key").select("hub", "salt", "key", "check", "text")
     dealt = rows.repartition(F.col("hub"), F.col("salt")).sortWithinPartitions("hub", "salt", F.col("key") != F.col("hub"))
-    return dealt.mapInArrow(_verify(t), "a long, b long")
+    return dealt.mapInArrow(_verify(n, seed, t), f"a {NODE}, b {NODE}")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, t: int = 90) -> DataFrame:
+def _met(base: DataFrame, n: int, t: int, seed: int, bands: list[Band], hot_rows: int) -> DataFrame:
+    """(sig, key): every signature that two sets or more share, in one exchange of all signatures.
+
+    The sets of one text in 64 show the common signatures, of which the 4096 most common ones are dealt by set as well; that
+    steers where rows go, not which there are. Rows of a salted signature stay without a look at the others.
+    """
+    few = base.where(F.pmod("th", F.lit(64)) == 7).select("text").mapInArrow(_sign(n, seed, bands, t), "sig long, key long").distinct()
+    hot = few.groupBy("sig").count().where(F.col("count") >= max(2, hot_rows // 64)).orderBy(F.desc("count"), "sig").limit(4096)
+    hot = written(hot.select("sig", F.ceil(F.col("count") * 64 / hot_rows).cast("int").alias("salts")), "hot")
+    rows = base.select("text").mapInArrow(_sign(n, seed, bands, t), "sig long, key long")
+    salt = F.when(F.col("salts").isNull(), -1).otherwise(F.pmod(F.xxhash64("key"), F.col("salts"))).cast("int")
+    rows = rows.join(F.broadcast(hot), "sig", "left").select("sig", "key", salt.alias("salt")).repartition("sig", "salt")  # read twice
+    shared = rows.groupBy("sig", "salt").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a != b or salt >= 0").select("sig", "salt")
+    return written(rows.join(shared, ["sig", "salt"]).distinct().select("sig", "key"), "met")
+
+
+def _refined(open_: DataFrame, told: DataFrame, base: DataFrame, n: int, t: int, seed: int, bands: list[Band], hot_rows: int, levels: int = 3) -> DataFrame:
+    """open_(sig, key, part), a written table, with signatures of more than hot_rows sets replaced by those that its sets
+    share in another cut of the universe as well: similar sets share one there too."""
+    for level in range(1, levels + 1):
+        hot = written(open_.groupBy("sig").count().where(F.col("count") > hot_rows).select("sig"), "hot")
+        if hot.isEmpty():
+            break
+        again = open_.join(hot, "sig", "left_semi")
+        salt = int(K.mix(np.array([level], U64))[0])
+        signed = _texts(again.select("key").distinct(), told, base).select("text").mapInArrow(_sign(n, seed, bands, t, salt), "other long, key long").distinct()
+        finer = written(again.join(signed, "key").select(F.xxhash64("sig", "other", F.lit(level)).alias("sig"), "key", "part"), "finer")
+        mixed = finer.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("sig")
+        open_ = written(open_.join(hot, "sig", "left_anti").unionByName(finer.join(mixed, "sig", "left_semi")), "open")
+    return open_
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, t: int = 90, seed: int | None = None, hot_rows: int = 1000) -> DataFrame:
     """One row per input row: id, n_shingles (set size), component_id (least id reachable by links, itself included).
 
     Rows link when 100 * |intersection| >= t * |union| of their n-word shingle sets, A-Z folded. Null, empty and wordless
-    texts have no set and link with nothing. Repeated rows and equal texts are one node. A set that only rows
-    with null ids have links with nothing, and their component is null; other null ids share their set's component. Columns beside id and text are not read. Empty in, empty out.
+    texts have no set and link with nothing. Repeated rows and equal texts are one node. A set that only rows with null ids
+    have links with nothing, and their component is null; other null ids share their set's component. Columns beside id and
+    text are not read. Empty in, empty out. A set's size counts the distinct 64-bit hashes of its shingles; which shingles
+    two sets share is compared by their words. seed: of the hashes' keys, drawn if not given.
     """
-    base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    seed = K.draw(seed)
+    text = F.col(f"`{text_col}`").cast("string")
+    base = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.xxhash64(text).alias("th"))
     # sizes only steer the cost model: words by the spaces between them
     size = F.greatest(F.lit(1), F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" "))) + 1 - (n - 1))
     rung = F.floor(F.log(size.cast("double")) / math.log(step(t))).cast("int")
     by = {r["k"]: r["count"] for r in base.where("text is not null").groupBy(rung.alias("k")).count().collect()}  # a dozen rows for each power of ten in size
-    bands = [allocate(lo, hi, by.get(int(math.log(lo) / math.log(step(t)) + 1e-9), 0), t) for lo, hi in limits(t, 1 << 26)]
-    schema = T.StructType([base.schema["id"], T.StructField("n_shingles", T.LongType()), T.StructField("key", T.LongType()), *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("sketch", "wide")]])
-    told = written(base.mapInArrow(_describe(n, to_arrow_schema(schema)), schema), "sets")
-    rows = base.select("text").mapInArrow(_sign(n, bands, t), "sig long, key long").repartition("sig")  # one exchange, read twice
-    shared = rows.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a != b").select("sig")
-    met = written(rows.join(shared, "sig").distinct(), "met")  # signatures of two sets or more
+    bands = [allocate(lo, hi, by.get(int(math.log(lo) / math.log(step(t)) + 1e-9), 0), t) for lo, hi in limits(t)]
+    schema = T.StructType([base.schema["id"], base.schema["th"], *[T.StructField(c, T.LongType()) for c in ("n_shingles", "key", "check")], *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("sketch", "wide")]])
+    told = written(base.select("id", "text", "th").mapInArrow(_describe(n, seed, to_arrow_schema(schema)), schema), "sets")
+    met = _met(base, n, t, seed, bands, hot_rows)
     small = written(told.join(met.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]).select("key", F.col("n_shingles").alias("n"), "sketch", "wide"), "sketches")
     differ = sum((F.bit_count(F.expr(f"asketch[{i}] ^ bsketch[{i}]")) for i in range(SKETCH // 64)), F.lit(0))
     most = F.floor((F.col("an") + F.col("bn")) * (100 - t) / (100 + t))
@@ -281,22 +362,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     one = may.join(hub, "sig").groupBy("key").agg(F.max("hub").alias("hub")).select(F.col("key"), F.col("hub.key").alias("hub")).where("hub != key")
     side = lambda c: small.select(*[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch", "wide")])
     one = one.join(side("a"), F.col("key") == F.col("akey")).join(side("b"), F.col("hub") == F.col("bkey")).where(near).select("hub", "key")
-    links = written(verified(written(one, "pairs"), told, base, n, t), "links")
-    parts = connected_components(links)
-    # what still crosses components
-    part = may.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("part", F.coalesce("component", "key")).select("sig", "key", "part")
+    links = written(verified(written(one, "pairs"), told, base, n, t, seed), "links")
+    # what still crosses components; a key that two sets share goes by the lesser one's component, which only asks for more pairs
+    of = connected_components(links).groupBy("node.key").agg(F.min("component").alias("component"))
+    part = met.join(of, "key", "left").select("sig", "key", F.coalesce("component", F.struct("key", F.lit(0).cast("long").alias("check"))).alias("part"))
     mixed = part.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("sig")
-    open_ = written(part.join(mixed, "sig", "left_semi"), "open").join(small, "key")
-    a, b = (open_.select("sig", *[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch", "wide", "part")]) for c in "ab")
-    cross = a.join(b, "sig").where((F.col("apart") != F.col("bpart")) & (F.col("akey") < F.col("bkey")) & near).select(F.col("akey").alias("hub"), F.col("bkey").alias("key")).distinct()
-    more = written(verified(written(cross, "pairs"), told, base, n, t), "links")
-    all_parts = connected_components(links.unionByName(more)).withColumnRenamed("node", "key")
-    of_key = told.where("key is not null").groupBy("key").agg(F.min("id").alias("first"))
-    node = of_key.join(all_parts, "key", "left").withColumn("part", F.coalesce("component", "key"))
-    least_id = node.groupBy("part").agg(F.min("first").alias("_least"))
-    final = node.join(least_id, "part").select("key", "_least")
-    out = told.join(final, "key", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("_least", "id").alias("component_id"))
-    return out
+    open_ = _refined(written(part.join(mixed, "sig", "left_semi"), "open"), told, base, n, t, seed, bands, hot_rows)
+    # in blocks of hot_rows sets: each set meets every block of its signature, in a task each
+    blocks = open_.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / hot_rows).cast("int").alias("blocks"))
+    full = open_.join(blocks, "sig").join(small, "key")
+    a, b = (full.select("sig", "blocks", *[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch", "wide", "part")]) for c in "ab")
+    a = a.withColumn("block", F.pmod(F.xxhash64("akey"), F.col("blocks")).cast("int")).drop("blocks")
+    b = b.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    cross = a.join(b, ["sig", "block"]).where((F.col("apart") != F.col("bpart")) & (F.col("akey") < F.col("bkey")) & near).select(F.col("akey").alias("hub"), F.col("bkey").alias("key")).distinct()
+    more = written(verified(written(cross, "pairs"), told, base, n, t, seed), "links")
+    all_parts = connected_components(links.unionByName(more))
+    node = F.struct("key", "check")
+    of_node = told.where("key is not null").groupBy(node.alias("node")).agg(F.min("id").alias("first"))
+    named = of_node.join(all_parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    least_id = named.groupBy("part").agg(F.min("first").alias("_least"))
+    final = named.join(least_id, "part").select("node", "_least")
+    out = told.withColumn("node", F.when(F.col("key").isNotNull(), node)).select("id", "n_shingles", "node")
+    return out.join(final, "node", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("_least", "id").alias("component_id"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,10 +391,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that 5-word shingles link at 0.8 or more, the one with the least doc_id."""
+    """Of each group of documents that 5-word shingles link at 0.8 or more, the rows with the least doc_id.
+
+    Null, empty and wordless texts link with nothing and stay. Repeated rows (one doc_id, one text) all stay or all go; rows
+    with a null doc_id stay, as nothing names them. Extra columns pass through under any name. Empty in, empty out.
+    """
     found = jaccard_components(docs, n=5, t=80)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
 
 
 SQL = {
