@@ -385,10 +385,26 @@ def test_edit_aware_counts_equal_full_counts(spark, odd, empty):
     tree = token_counts.Counted(long, count)
     tree.apply(50_000, 50_004, "other")
     assert tree.encoded < 2000 and tree.total == count(tree.text())
-    for r in token_counts.edit_aware_counts(odd.where("doc_id = 9")).collect():
-        assert r["n_tokens"] == count(ODD[9][1])
-    assert token_counts.edit_aware_counts(odd).count() == len(ODD)
     assert token_counts.edit_aware_counts(empty).count() == 0
+    mixed = [*(r[1] for r in ODD), "write to a.b@c.org, or x@y.z now", "漢字，" * 400 + "q@w.de" + "漢字。" * 400, "a" * 300_000 + "@" + "b." * 300_000, "tel +49 (0)30 1234-5678 " * 200]
+    got = token_counts.edit_aware_counts(spark.createDataFrame(list(enumerate(mixed)), "doc_id long, text string")).collect()
+    assert len(got) == len(mixed)
+    for r in got:
+        text = mixed[r["doc_id"]] or ""
+        assert r["n_tokens"] == count(text)
+        after = text
+        for e in reversed(token_counts.redactions(text)):
+            after = after[: e.start] + e.text + after[e.end :]
+        assert (r["n_tokens_after"], r["n_chars_after"]) == (count(after), len(after))
+    tree = token_counts.Counted("漢字，" * 5000, count)
+    tree.apply(7000, 7001, "x")
+    assert tree.encoded < 2000 and tree.total == count(tree.text())
+    import time
+
+    begin = time.perf_counter()
+    assert len(token_counts.redactions("a" * 500_000 + "@" + "b" * 500_000)) == 0 and len(token_counts.redactions("@a.b" * 250_000)) == 125_000
+    assert time.perf_counter() - begin < 5
+    assert token_counts.redactions("x" * 100 + "@y.z..") == [token_counts.Edit(36, 104, "[EMAIL]")]
     assert [e.text for e in token_counts.redactions("mail a.b@c.org or +49 (0)30 1234-5678.")] == ["[EMAIL]", "[NUMBER]"]
 
 

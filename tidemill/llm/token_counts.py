@@ -3,8 +3,9 @@ tokens below them. An edit re-encodes only the runs that it touches, with their
 holds, and updates the sums above them.
 
 Runs are cut where a pre-token must begin whatever lies on either side: before a single space that follows a character
-and precedes one, none of them white space. The byte-level pattern always starts a pre-token there, so counts of runs
-add up to the count of the text.
+and precedes one, none of them white space, and between a letter or number and a mark. The byte-level pattern always starts
+a pre-token there, so counts of runs add up to the count of the text. A stretch of letters alone or of marks alone is one
+pre-token under that pattern, so an edit in it encodes it whole, as any exact count must.
 """
 
 from __future__ import annotations
@@ -34,21 +35,21 @@ class Edit(NamedTuple):
     text: str
 
 
+CUT = re.compile(r"(?<=\S) (?=\S)|(?<=[^\W\d_])(?=[^\w\s])")
+
+
 def cuts(text: str, least: int = 512) -> list[str]:
     """The text in runs of at least so many characters."""
-    out, a, at = [], 0, least
-    while (p := text.find(" ", at)) >= 0:
-        if p and p + 1 < len(text) and not text[p - 1].isspace() and not text[p + 1].isspace():
-            out.append(text[a:p])
-            a, at = p, p + least
-        else:
-            at = p + 1
+    out, a = [], 0
+    while m := CUT.search(text, a + least):
+        out.append(text[a : m.start()])
+        a = m.start()
     return [*out, text[a:]] if a < len(text) or not out else out
 
 
 def joined(left: str, right: str) -> bool:
     """Whether the border between two runs is not one of cuts()."""
-    return not (left and len(right) > 1 and right[0] == " " and not left[-1].isspace() and not right[1].isspace())
+    return not (left and right and CUT.match(left[-1] + right[:2], 1))
 
 
 class Counted:
@@ -125,14 +126,27 @@ class Counted:
             self.apply(e.start, e.end, e.text)
 
 
-EMAIL = re.compile(r"[^\s@<>()\[\],;:\"]+@[^\s@<>()\[\],;:\"]+\.[^\s@<>()\[\],;:\".]+")
+LOCAL = re.compile(r"[^\s@<>()\[\],;:\"]+\Z")
+DOMAIN = re.compile(r"[^\s@<>()\[\],;:\"]+")
 NUMBER = re.compile(r"\+?\d(?:[ .()/-]{0,2}\d){7,}")
 
 
+def addresses(text: str, most: int = 64) -> Iterator[Edit]:
+    """E-mail addresses, found outward from each '@': at most so many characters before it, and a dotted name after it."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        local = LOCAL.search(text[max(done, at - most) : at])
+        domain = DOMAIN.match(text, at + 1)
+        name = domain[0].rstrip(".") if domain else ""
+        if local and name.find(".", 1) > 0:
+            done = at + 1 + len(name)
+            yield Edit(at - len(local[0]), done, "[EMAIL]")
+        at = text.find("@", at + 1)
+
+
 def redactions(text: str) -> list[Edit]:
     """Edits that replace e-mail addresses and long numbers by a mark."""
-    found = [Edit(m.start(), m.end(), "[EMAIL]") for m in EMAIL.finditer(text)] if "@" in text else []
-    found += [Edit(m.start(), m.end(), "[NUMBER]") for m in NUMBER.finditer(text)]
+    found = [*addresses(text), *(Edit(m.start(), m.end(), "[NUMBER]") for m in NUMBER.finditer(text))]
     out: list[Edit] = []
     for e in sorted(found):
         if not out or e.start >= out[-1].end:
