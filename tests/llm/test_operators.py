@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 from fractions import Fraction
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -228,15 +229,77 @@ def test_thresholds_keep_their_promise():
     assert abs(quality_rules.binomial_tail(0, 100, 0.05) - 0.95**100) < 1e-12
     assert quality_rules.binomial_tail(5, 5, 0.3) == 1.0
     few = {("upper_share", "en"): {20: (0, 50), 70: (100, 0)}}
-    assert quality_rules.choose(few).cutoffs["upper_share"] == {}  # 100 good documents certify nothing at this level
+    assert quality_rules.choose(few, 1).cutoffs["upper_share"] == {}  # 100 good documents certify nothing at this level
     many = {("upper_share", "en"): {20: (0, 50), 30: (4000, 0), 70: (6000, 0)}}
-    rules = quality_rules.choose(many)
+    rules = quality_rules.choose(many, 1)
     cut = rules.cutoffs["upper_share"]["en"]
     assert quality_rules.GRID[29] <= cut <= quality_rules.GRID[20]
     assert next(r for r in rules.report if r["signal"] == "upper_share")["good_rejected"] == 0
 
 
-def test_quality_rules_query_and_stage(spark, empty):
+def plain_verdicts(rows, labels, alpha=0.03, delta=0.05):
+    """Documents (id, lang, counts) kept by plain loops over signals, strata and cutoffs; labels: id -> set of labels."""
+    signals = {
+        "symbols_a_word": lambda r: r["n_symbols"] / r["n_words"],
+        "dup_line_share": lambda r: r["n_dup_lines"] / r["n_lines"],
+        "repeat_share": lambda r: r["n_repeat_words"] / r["n_words"],
+        "upper_share": lambda r: r["n_upper"] / max(r["n_letters"], 1),
+        "bangs_a_word": lambda r: r["n_bangs"] / r["n_words"],
+        "echo_share": lambda r: r["n_echoes"] / r["n_words"],
+    }
+    good = {i: max(x) for i, x in labels.items()}
+    held = [r for r in rows if not r["base_failed"] and r["doc_id"] in good]
+    strata = {r["lang"] or "" for r in held}
+    level, share = delta / (6 * len(strata)), alpha / 6
+    cut = {}
+    for name, f in signals.items():
+        for s in strata:
+            own = [(f(r), good[r["doc_id"]]) for r in held if (r["lang"] or "") == s]
+            n = sum(y for _, y in own)
+            best = 0
+            for c in quality_rules.GRID:
+                k, bad = sum(y for v, y in own if v > c), sum(1 - y for v, y in own if v > c)
+                tail = sum(Fraction(comb(n, i)) * Fraction(share) ** i * (1 - Fraction(share)) ** (n - i) for i in range(k + 1)) if n < 3000 else quality_rules.binomial_tail(k, n, share)
+                if not n or tail > level:
+                    break
+                if bad - 10 * k > best:
+                    best, cut[name, s] = bad - 10 * k, c
+    return {r["doc_id"]: not r["base_failed"] and not any((name, r["lang"] or "") in cut and f(r) > cut[name, r["lang"] or ""] for name, f in signals.items()) for r in rows}, cut
+
+
+def test_verdicts_equal_plain_loops(spark, odd, empty):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(4000):
+        bad = rng.random() < 0.2
+        w = [f"w{rng.randint(0, 500)}" for _ in range(rng.randint(20, 30))]
+        text = " ".join(x + "#!"[rng.randint(0, 1)] * 2 if bad and rng.random() < 0.5 else x for x in w)
+        rows.append((i, text, rng.choice(["en", "en", "en", None])))
+        labels += [(i, int(not bad))] * rng.choice([1, 1, 5])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    told = spark.createDataFrame(labels, "doc_id long, quality int")
+    stats = quality_rules.statistics(docs, carry=("doc_id", "lang")).cache()
+    by = {}
+    for i, y in labels:
+        by.setdefault(i, set()).add(y)
+    want, cut = plain_verdicts([r.asDict() for r in stats.collect()], by)
+    rules = quality_rules.fit(stats, told)
+    assert {(n, s): c for n, cuts in rules.cutoffs.items() for s, c in cuts.items()} == cut and cut
+    assert {r["doc_id"]: r["kept"] for r in quality_rules.verdict(stats, rules).collect()} == want
+    one = spark.createDataFrame([(0, 1)] * 5000, "doc_id long, quality int")  # copies of a label certify nothing
+    assert not any(quality_rules.fit(stats, one).cutoffs.values())
+
+
+def test_quality_rules_query_and_stage(spark, odd, empty):
+    kept = quality_rules.stage(spark, odd, SMALL)
+    assert kept.columns == odd.columns and Counter(r["doc_id"] for r in kept.collect()) == {7: 2, 8: 1}
+    assert quality_rules.stage(spark, empty, SMALL).count() == 0
+    stats = quality_rules.statistics(spark.read.parquet(f"{MIDDLE}/documents.parquet"), carry=("doc_id", "lang"))
+    told = {}
+    for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect():
+        told.setdefault(r["doc_id"], set()).add(r["quality"])
+    want, _ = plain_verdicts([r.asDict() for r in stats.collect()], told)
+    assert {r["doc_id"]: r["kept"] for r in quality_rules.op4_quality_rules(spark, MIDDLE).collect()} == want
     rows = quality_rules.op4_quality_rules(spark, MIDDLE).collect()
     assert len(rows) == 1000 and not any(r["kept"] and r["base_failed"] for r in rows)
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
@@ -304,8 +367,14 @@ def test_tiff_query_and_odd_rows(spark, odd, empty):
         p = tiff.padded(r["text"].encode())
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(r["text"].encode()), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]))
     media = tiff.encode_texts(odd)
-    got = tiff.tiff_pages(media, carry=("doc_id", "n_bytes")).collect()
+    got = tiff.tiff_pages(media, carry=("doc_id", "n_bytes", "row")).collect()
     assert all(r["error"] is None for r in got) and len({r["doc_id"] for r in got}) == 10
+    files = tiff.folded(tiff.tiff_pages(media, carry=("doc_id", "row")), ("doc_id",)).collect()
+    want = sorted((r[0] or 0, hashlib.sha256(tiff.padded((r[1] or "").encode())).hexdigest()) for r in ODD)
+    assert sorted((r["doc_id"] or 0, r["payload_sha256"]) for r in files) == want
+    assert tiff.folded(tiff.tiff_pages(tiff.encode_texts(empty), carry=("row",)), ()).count() == 0
+    styles = Counter((r["compression"], r["predictor"], r["tiled"]) for r in tiff.tiff_pages(tiff.encode_texts(spark.read.parquet(f"{MIDDLE}/documents.parquet"))).select("compression", "predictor", "tiled").collect())
+    assert len(styles) == 12 and min(styles.values()) > 40
     assert tiff.tiff_pages(tiff.encode_texts(empty)).count() == 0
 
 
@@ -421,11 +490,11 @@ def fluid(sources, t):
     return n
 
 
-@pytest.mark.parametrize("frame", [3, 64])
-def test_pfair_deviates_less_than_a_block(spark, frame):
-    rng = random.Random(frame)
+@pytest.mark.parametrize("seed", [3, 64])
+def test_pfair_deviates_less_than_a_block(spark, seed):
+    rng = random.Random(seed)
     for sources in ([("a", 5, 1), ("b", 7, 3), ("c", 20, 6)], [(f"s{i}", rng.randint(1, 25), rng.randint(1, 50)) for i in range(7)], [("only", 4, 3)]):
-        got = mixing.schedule(spark.createDataFrame(sources, "s string, n long, w long"), frame).orderBy("slot").collect()
+        got = mixing.schedule(spark.createDataFrame(sources, "s string, n long, w long")).orderBy("slot").collect()
         assert [r["slot"] for r in got] == list(range(sum(n for _, n, _ in sources)))
         assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
         done = Counter()
@@ -448,8 +517,14 @@ def test_mixing_rows(spark, odd, empty):
     given = spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, weight double")
     assert mixing.mix_sources(odd, given, block_size=1000).count() == len(ODD)
     assert mixing.mix_sources(empty).count() == 0
-    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
-    assert mixing.stage(spark, docs, "").count() == len(ODD)
+    staged = mixing.stage(spark, odd, "")
+    assert staged.columns == odd.columns and Counter(r["doc_id"] for r in staged.collect()) == Counter(r[0] for r in ODD)
+    assert mixing.stage(spark, empty, "").count() == 0
+    size = {d: max(1, len(t or "")) for d, t, *_ in ODD}
+    for rows in by.values():  # each row begins where the one before it in its source ends
+        rows.sort(key=lambda r: r["block"] * 1000 + r["within"])
+        begin = [r["block"] * 1000 + r["within"] for r in rows]
+        assert begin[0] == 0 and [b - a for a, b in zip(begin, begin[1:])] == [size[r["doc_id"]] for r in rows[:-1]]
 
 
 def test_packing_equals_plain_best_fit():

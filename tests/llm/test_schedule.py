@@ -21,3 +21,11 @@ def test_schedule_of_thousands_of_blocks(spark, blocks):
     for r in got:
         assert r["k"] == done[r["s"]]
         done[r["s"]] += 1
+
+
+def test_schedule_of_twenty_thousand_sources(spark):
+    from pyspark.sql import functions as F
+
+    sources = spark.range(20_000).select(F.concat(F.lit("s"), "id").alias("s"), (1 + F.col("id") % 2).alias("n"), F.lit(1).cast("long").alias("w"))
+    got = mixing.schedule(sources).agg(F.count(F.lit(1)), F.countDistinct("slot"), F.min("slot"), F.max("slot"), F.count_if(F.expr("release <= slot AND slot < deadline"))).first()
+    assert tuple(got) == (30_000, 30_000, 0, 29_999, 30_000)

@@ -6,12 +6,10 @@ the slot in which an ideal fluid mix would begin it (release) to the slot in whi
 one block from its fluid share. Sources that run out leave their share to the others: the fluid mix is piecewise linear
 in virtual time V, slot t(V) = sum of min(n_j, w_j V), and all bounds come from it in integer arithmetic.
 
-EDF is sequential, yet frames of slots are independent once the blocks done at their borders are known. At a border these
-are, of each source, its whole fluid blocks, and of the blocks in progress as many as slots are left: first those begun
-early at a border before (a block begun stays begun), then those with the earliest deadlines among the ones that the frame
-has a slot for from their release on. Such a state leaves, for every later slot, as few done blocks with a deadline beyond
-it as any schedule can, so no block misses its deadline. One fold over the borders carries the state, a row of sources
-each; then each frame runs its own EDF, as a fold over its slots.
+Weights are whole numbers, so at every whole V the fluid mix has given each source a whole number of blocks: min(n_j, w_j V).
+Frames between whole V therefore begin and end with no block in progress and are independent, and all frames between two
+ends of sources are alike. One EDF run for each kind of frame, a fold over its slots, gives the schedule of all of them;
+there are at most two kinds for each source and one more. A frame has at most UNITS slots and one for each source.
 
 Ranks of documents in a source come from hashed chunks and their prefix sums: a source with a third of all rows is
 summed in as many tasks as its size asks for.
@@ -25,108 +23,94 @@ from pyspark.sql import functions as F
 from tidemill.llm.shared import documents, written
 
 UNITS = 10_000  # target weights are rounded to whole units of one in so many
-MAX_SOURCES = 10_000
-
-
-def _plan(sources: DataFrame) -> DataFrame:
-    """One row: all sources as structs (n, w, done, rate): blocks, weight, and at its end others' blocks and weights left."""
-    all_ = sources.agg(F.sort_array(F.collect_list(F.struct("s", "n", "w"))).alias("a"))
-    ended = lambda x, y: y["n"] * x["w"] <= x["n"] * y["w"]  # noqa: E731  y ends no later than x
-    done = lambda a, x: F.aggregate(a, F.lit(0).cast("long"), lambda acc, y: acc + F.when(ended(x, y), y["n"]).otherwise(0))
-    rate = lambda a, x: F.aggregate(a, F.lit(0).cast("long"), lambda acc, y: acc + F.when(ended(x, y), 0).otherwise(y["w"]))
-    a = F.col("a")
-    return all_.select(F.transform(a, lambda x: F.struct(x["s"].alias("s"), x["n"].alias("n"), x["w"].alias("w"), done(a, x).alias("done"), rate(a, x).alias("rate"))).alias("p"))
-
-
-def _pair(plan: Column, over) -> tuple[Column, Column]:
-    """Blocks of the sources for which over holds, and the weights of the others."""
-    n = F.aggregate(plan, F.lit(0).cast("long"), lambda acc, x: acc + F.when(over(x), x["n"]).otherwise(0))
-    w = F.aggregate(plan, F.lit(0).cast("long"), lambda acc, x: acc + F.when(over(x), 0).otherwise(x["w"]))
-    return n, w
 
 
 def _div(a: Column, b: Column) -> Column:
+    """The whole quotient of whole numbers of 0 and more."""
     return F.floor((a - F.pmod(a, b)) / b).cast("long")  # exact: the dividend is a multiple, far below 2**53
 
 
-def _release(plan: Column, k: Column, w: Column) -> Column:
-    n, rate = _pair(plan, lambda x: x["n"] * w <= k * x["w"])
-    return n + _div(k * rate, w)
-
-
-def _deadline(plan: Column, k: Column, w: Column) -> Column:
-    n, rate = _pair(plan, lambda x: x["n"] * w <= (k + 1) * x["w"])
-    return n + _div((k + 1) * rate + w - 1, w)
-
+def kinds(sources: DataFrame) -> DataFrame:
+    """(kind, first, last, slot, each): frames first .. last - 1 of one kind, the first one's slot, and slots in each.
 
-def _fitting(at: DataFrame) -> DataFrame:
-    """(f, misfits): sources whose block in progress at border f is released too late in the frame before it to run there.
-    Blocks released within the frame take the first free slot from their release on, those that end in it first."""
-    last = at.select((F.col("f") + 1).alias("f"), F.col("t").alias("from"), "i", F.col("whole").alias("start"))
-    both = at.join(last, ["f", "i"])
-    ends = both.where("whole > start").withColumn("k", F.explode(F.sequence("start", F.col("whole") - 1)))
-    ends = ends.select("f", "from", "t", F.struct(F.lit(0).alias("open"), F.lit(0).cast("long").alias("due"), "i", _release(F.col("p"), F.col("k"), F.col("w")).alias("release")).alias("j"))
-    going = both.where("busy").select("f", "from", "t", F.struct(F.lit(1).alias("open"), "due", "i", "release").alias("j"))
-    jobs = ends.unionByName(going).where(F.col("j.release") > F.col("from")).groupBy("f", "from", "t").agg(F.sort_array(F.collect_list("j")).alias("jobs"))
-    slot = "try_element_at(filter(x.free, q -> q >= j.release), 1)"
-    fold = f"""aggregate(jobs, struct(filter(sequence(from, t), q -> q > from AND q < t) AS free, slice(transform(jobs, j -> j.i), 1, 0) AS misfits), (x, j) -> struct(
-        array_remove(x.free, coalesce({slot}, -1L)) AS free, if({slot} IS NULL, concat(x.misfits, array(j.i)), x.misfits) AS misfits), x -> x.misfits)"""
-    return jobs.select("f", F.expr(fold).alias("misfits"))
-
-
-def _carried(at: DataFrame, fitting: DataFrame, plan: Column) -> DataFrame:
-    """(f, i, begun): blocks begun of source i at border f, by a fold over the borders in order."""
-    one = at.groupBy("f").agg((F.first("t") - F.sum("whole")).alias("left"), F.collect_list(F.struct("due", "i", F.col("whole").alias("k"), "busy")).alias("c"))
-    one = one.join(fitting, "f", "left").where("f > 0").select(F.struct("f", "left", "c", F.coalesce("misfits", F.array().cast("array<int>")).alias("misfits")).alias("g"))
-    kind = "CASE WHEN NOT j.busy THEN 3 WHEN element_at(x, -1)[j.i] > j.k THEN 0 WHEN array_contains(g.misfits, j.i) THEN 2 ELSE 1 END"
-    begun = f"""transform(array_sort(transform(array_sort(transform(g.c, j -> struct({kind} AS kind, j.due AS due, j.i AS i, j.k AS k))),
-        (j, n) -> struct(j.i AS i, j.k + if(n < g.left, 1L, 0L) AS begun))), y -> y.begun)"""
-    borders = one.agg(F.sort_array(F.collect_list("g")).alias("a")).withColumn("zero", F.array(F.array_repeat(F.lit(0).cast("long"), F.size(plan))))
-    borders = borders.select(F.posexplode(F.expr(f"aggregate(a, zero, (x, g) -> concat(x, array({begun})))")).alias("f", "b"))
-    return borders.select(F.col("f").cast("long").alias("f"), F.posexplode("b").alias("i", "begun"))
+    sources(s, n blocks, w weight), a written table. A source is whole in the frames before n div w, and has blocks in those
+    before that quotient rounded up; kinds change where one of the two does.
+    """
+    q = _div(F.col("n"), F.col("w"))
+    up = _div(F.col("n") + F.col("w") - 1, F.col("w"))
+    # t(V) = n of the sources that ended by frame V + V * w of the others
+    ends = sources.groupBy(up.alias("first")).agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+    cuts = ends.unionByName(sources.select(F.explode(F.array(F.lit(0).cast("long"), q)).alias("first"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("w")))
+    order = Window.partitionBy(F.lit(0)).orderBy("first")  # two rows for each source
+    total = sources.agg(F.sum("w")).scalar()
+    cuts = cuts.groupBy("first").agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    at = cuts.select("first", (F.row_number().over(order) - 1).alias("kind"), F.lead("first").over(order).alias("last"), F.sum("n").over(upto).alias("ended"), (total - F.sum("w").over(upto)).alias("rate"))
+    slot = F.col("ended") + F.col("first") * F.col("rate")
+    return at.withColumn("slot", slot).withColumn("each", _div(F.lead("slot").over(order) - F.col("slot"), F.col("last") - F.col("first"))).where("last IS NOT NULL").select("kind", "first", "last", "slot", "each")
+
+
+def templates(sources: DataFrame, frames: DataFrame) -> DataFrame:
+    """(kind, s, i, pos, release, deadline): where in a frame of this kind block i of the source's share runs, and its window."""
+    up = _div(F.col("n") + F.col("w") - 1, F.col("w"))
+    # the kinds in which a source has blocks are those before the one that begins where it has ended
+    last = sources.withColumn("first", up).join(frames.select("first", F.col("kind").alias("k")), "first", "left")
+    count = frames.agg(F.max("kind") + 1).scalar()
+    within = last.select("s", "n", "w", F.explode(F.sequence(F.lit(0), F.coalesce("k", count) - 1)).alias("kind"))
+    own = within.join(frames.select("kind", "first"), "kind").withColumn("m", F.least("w", F.col("n") - F.col("w") * F.col("first"))).where("m > 0").select("kind", "s", "w", "m")
+    # t(v) within the frame, by one order of the sources' ends (v = m / w) and the blocks' bounds (v = i / w). Weights are
+    # far below 2**26, so quotients are equal as doubles only where they are equal
+    share = own.groupBy("kind").agg(F.sum("w").alias("all"))
+    ends = own.where("m < w").select("kind", (F.col("m") / F.col("w")).alias("v"), F.col("m").alias("em"), F.col("w").alias("ew"), F.lit(None).cast("long").alias("i"), "s", "w", "m")
+    bounds = own.select("kind", F.explode(F.sequence(F.lit(0).cast("long"), "m")).alias("i"), "s", "w", "m")
+    bounds = bounds.select("kind", (F.col("i") / F.col("w")).alias("v"), F.lit(0).cast("long").alias("em"), F.lit(0).cast("long").alias("ew"), "i", "s", "w", "m")
+    upto = Window.partitionBy("kind").orderBy("v").rangeBetween(Window.unboundedPreceding, 0)
+    t = ends.unionByName(bounds).withColumn("em", F.sum("em").over(upto)).withColumn("ew", F.sum("ew").over(upto)).where("i IS NOT NULL").join(share, "kind")
+    top = (F.col("all") - F.col("ew")) * F.col("i")
+    t = t.select("kind", "s", "i", "m", (F.col("em") + _div(top, F.col("w"))).alias("down"), (F.col("em") + _div(top + F.col("w") - 1, F.col("w"))).alias("up"))
+    jobs = t.withColumn("deadline", F.lead("up").over(Window.partitionBy("kind", "s").orderBy("i"))).where("i < m").withColumnRenamed("down", "release")
+    # a frame's jobs by release, then the fold: slot by slot the released ones in order of deadline, the first of which runs
+    groups = jobs.groupBy("kind", "release").agg(F.sort_array(F.collect_list(F.struct("deadline", "s", "i", "release"))).alias("jobs"))
+    frame = groups.groupBy("kind").agg(F.sort_array(F.collect_list(F.struct("release", "jobs"))).alias("g"), F.sum(F.size("jobs")).alias("slots"), F.first("jobs").alias("some"))
+    due = "coalesce(try_element_at(g, x.at).release = p, false)"
+    fold = f"""aggregate(sequence(0L, slots - 1), struct(slice(some, 1, 0) AS ready, slice(some, 1, 0) AS done, 1 AS at),
+        (x, p) -> aggregate(array(if({due}, array_sort(concat(x.ready, element_at(g, x.at).jobs)), x.ready)), x,
+            (y, r) -> struct(slice(r, 2, size(r)) AS ready, concat(y.done, slice(r, 1, 1)) AS done, y.at + if({due}, 1, 0) AS at)), x -> x.done)"""
+    return frame.select("kind", F.posexplode(F.expr(fold)).alias("pos", "j")).select("kind", "j.s", "j.i", "pos", "j.release", "j.deadline")
+
+
+def placed(blocks: DataFrame, frames: DataFrame, inner: DataFrame) -> DataFrame:
+    """blocks(s, k, w, ...) with release, deadline and slot. frames: from kinds; inner: from templates; both written."""
+    each = frames.select("kind", F.explode(F.sequence("first", F.col("last") - 1)).alias("frame"), (F.col("slot") - F.col("first") * F.col("each")).alias("base"), "each")
+    begin = each.select("kind", "frame", (F.col("base") + F.col("frame") * F.col("each")).alias("starts"))
+    own = blocks.withColumn("frame", _div(F.col("k"), F.col("w"))).withColumn("i", F.pmod("k", "w"))
+    at = own.join(begin, "frame").join(inner, ["kind", "s", "i"])
+    return at.withColumn("slot", F.col("starts") + F.col("pos")).withColumn("release", F.col("starts") + F.col("release")).withColumn("deadline", F.col("starts") + F.col("deadline")).drop("kind", "frame", "i", "starts", "pos")
+
+
+def schedule(sources: DataFrame) -> DataFrame:
+    """sources(s, n blocks, w weight) -> (s, k, release, deadline, slot) for every block; slots run from 0 without a gap."""
+    sources = written(sources, "sources")
+    frames = written(kinds(sources), "kinds")
+    inner = written(templates(sources, frames), "templates")
+    blocks = sources.select("s", "w", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k"))
+    return placed(blocks, frames, inner).select("s", "k", "release", "deadline", "slot")
 
 
-def schedule(sources: DataFrame, frame: int = 64) -> DataFrame:
-    """sources(s, n blocks, w weight) -> (s, k, release, deadline, slot) for every block; slots run from 0 without a gap."""
-    plan = _plan(sources).scalar()
-    total = sources.agg(F.sum("n")).scalar()
-    spark = sources.sparkSession
-    size = F.greatest(F.lit(frame), sources.agg(F.count(F.lit(1))).scalar())
-    ends = spark.range(1).select(F.explode(F.sequence(F.lit(0).cast("long"), _div(total + size - 1, size))).alias("f"), size.alias("size"))
-    ends = ends.select("f", F.least(F.col("f") * F.col("size"), total).alias("t"), plan.alias("p"))
-    at = ends.select("f", "t", "p", F.posexplode("p").alias("i", "x")).select("f", "t", "p", "i", "x.s", "x.n", "x.w")
-    n, rate = _pair(F.col("p"), lambda x: x["done"] * x["w"] + x["n"] * x["rate"] <= F.col("t") * x["w"])
-    at = at.withColumn("gone", n).withColumn("rate", rate)
-    ideal = F.col("w") * (F.col("t") - F.col("gone"))
-    over = F.col("rate") <= 0
-    at = at.withColumn("whole", F.when(over, F.col("n")).otherwise(F.least(F.col("n"), _div(ideal, F.greatest(F.col("rate"), F.lit(1))))))
-    at = at.withColumn("busy", ~over & (F.col("whole") < F.col("n")) & (F.pmod(ideal, F.greatest(F.col("rate"), F.lit(1))) > 0))
-    at = at.withColumn("due", _deadline(F.col("p"), F.col("whole"), F.col("w")))
-    at = at.withColumn("release", _release(F.col("p"), F.col("whole"), F.col("w")))
-    state = _carried(at, _fitting(at), plan).join(at.select("f", "i", "t", "s", "w", "p"), ["f", "i"])
-    nxt = state.select((F.col("f") - 1).alias("f"), "s", F.col("begun").alias("until"))
-    run = state.join(nxt, ["f", "s"]).where("until > begun").withColumn("k", F.explode(F.sequence("begun", F.col("until") - 1)))
-    run = run.select("f", "t", F.struct(_deadline(F.col("p"), F.col("k"), F.col("w")).alias("deadline"), F.col("s"), F.col("k"), _release(F.col("p"), F.col("k"), F.col("w")).alias("release")).alias("j"))
-    frames = run.groupBy("f", "t").agg(F.sort_array(F.collect_list("j")).alias("jobs"))
-    first = "coalesce(try_element_at(filter(x.left, j -> j.release <= i), 1), element_at(x.left, 1))"
-    fold = f"""aggregate(sequence(t, t + size(jobs) - 1), struct(jobs AS left, slice(jobs, 1, 0) AS done), (x, i) -> struct(
-        filter(x.left, j -> NOT (j.s = {first}.s AND j.k = {first}.k)) AS left, concat(x.done, array({first})) AS done), x -> x.done)"""
-    done = frames.select("t", F.posexplode(F.expr(fold)).alias("pos", "j"))
-    return done.select("j.s", "j.k", "j.release", "j.deadline", (F.col("t") + F.col("pos")).alias("slot"))
-
-
-def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", block_size: int = 1 << 16, power: float = 0.5, chunk_rows: int = 50_000) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", block_size: int = 1 << 16, power: float = 0.5, chunk_rows: int = 4096) -> DataFrame:
     """One row per input row: id, source, block, release, deadline, slot, within (where in its block it begins).
 
     Ordering by slot and within gives the mixed stream. weights(source, weight): target shares; without them a source's
     share is its characters to the given power (0.5: small sources come up more often). A block is block_size characters;
     a document belongs to the block in which it begins, one longer than a block takes the slots of all that it covers.
-    A null source counts as ''. Null and empty texts count one character. Repeated rows are rows of their own. Sources
-    without a weight, or with one of 0 or less, get the least unit. An empty table gives an empty result. At most
-    MAX_SOURCES sources, which is checked. Columns beside id, source and text are not read.
+    A null source counts as ''. Null and empty texts count one character. Repeated rows and rows with null ids are rows of
+    their own, dealt by their place in the input. Sources without a weight, or with one of 0 or less, get the least unit, of
+    which there is one for each source at least, however many sources there are. An empty table gives an empty result.
+    Columns beside id, source and text are not read.
     """
     size = F.greatest(F.coalesce(F.length(F.col(f"`{text_col}`").cast("string")), F.lit(0)), F.lit(1)).cast("long")
-    base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("")).alias("s"), size.alias("size"))
+    source = F.col(f"`{source_col}`")
+    base = docs.select(F.col(f"`{id_col}`").alias("id"), source.alias("source"), F.coalesce(source.cast("string"), F.lit("")).alias("s"), size.alias("size"), F.monotonically_increasing_id().alias("u"))
     base = written(base, "mix")
     totals = base.groupBy("s").agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("rows"))
     if weights is None:
@@ -135,17 +119,17 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str =
         given = weights.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("s"), F.col("weight").cast("double").alias("share")).groupBy("s").agg(F.sum("share").alias("share"))
         totals = totals.join(given, "s", "left").withColumn("share", F.greatest(F.coalesce("share", F.lit(0.0)), F.lit(0.0)))
     all_ = totals.agg(F.sum("share")).scalar()
-    sources = written(totals.select("s", "rows", _div(F.col("total") + block_size - 1, F.lit(block_size)).alias("n"), F.greatest(F.coalesce(F.round(UNITS * F.col("share") / F.nullif(all_, F.lit(0.0))), F.lit(1)), F.lit(1)).cast("long").alias("w")), "sources")
-    if (found := sources.count()) > MAX_SOURCES:
-        raise ValueError(f"{found} sources; at most {MAX_SOURCES}")
-    slots = written(schedule(sources.select("s", "n", "w")), "slots")
-    chunked = base.join(sources.select("s", "rows"), "s").withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / chunk_rows)))
-    running = F.sum("size").over(Window.partitionBy("s", "chunk").orderBy("id", "size").rowsBetween(Window.unboundedPreceding, -1))
+    unit = F.greatest(F.coalesce(F.round(UNITS * F.col("share") / F.nullif(all_, F.lit(0.0))), F.lit(1)), F.lit(1)).cast("long")
+    sources = written(totals.select("s", "rows", _div(F.col("total") + block_size - 1, F.lit(block_size)).alias("n"), unit.alias("w")), "sources")
+    frames = written(kinds(sources), "kinds")
+    inner = written(templates(sources, frames), "templates")
+    chunked = base.join(sources.select("s", "rows", "w"), "s").withColumn("chunk", F.pmod(F.xxhash64("id", "u"), F.ceil(F.col("rows") / chunk_rows)))
+    running = F.sum("size").over(Window.partitionBy("s", "chunk").orderBy("id", "u").rowsBetween(Window.unboundedPreceding, -1))
     sums = chunked.groupBy("s", "chunk").agg(F.sum("size").alias("size"))
     before = sums.select("s", "chunk", F.coalesce(F.sum("size").over(Window.partitionBy("s").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     begin = chunked.withColumn("own", F.coalesce(running, F.lit(0))).join(before, ["s", "chunk"]).withColumn("begin", F.col("own") + F.col("before"))
-    placed = begin.withColumn("k", _div(F.col("begin"), F.lit(block_size))).join(slots, ["s", "k"])
-    return placed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), F.col("k").alias("block"), "release", "deadline", "slot", (F.col("begin") - F.col("k") * block_size).alias("within"))
+    rows = begin.select("id", "source", "s", "w", "begin", _div(F.col("begin"), F.lit(block_size)).alias("k"))
+    return placed(rows, frames, inner).select(F.col("id").alias(id_col), F.col("source").alias(source_col), F.col("k").alias("block"), "release", "deadline", "slot", (F.col("begin") - F.col("k") * block_size).alias("within"))
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,9 +137,18 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mix: files follow each other by slot, and rows within a file."""
-    order = mix_sources(docs).select(F.col("doc_id").alias("_of"), "slot", "within").dropDuplicates(["_of"])
-    return docs.join(order, docs["doc_id"].eqNullSafe(order["_of"])).repartitionByRange("slot", "within").sortWithinPartitions("slot", "within").select(*docs.columns)
+    """All documents, in the order of the mix: files follow each other by slot, and rows within a file.
+
+    Null sources count as one source, null and empty texts as one character. Rows of one doc_id come at one place, rows with
+    a null doc_id at the end. Extra columns pass through under any name. Empty in, empty out.
+    """
+    order = mix_sources(docs.select("doc_id", "source", "text")).where("doc_id IS NOT NULL")
+    order = order.groupBy(F.col("doc_id").alias("_of")).agg(F.min(F.struct("slot", "within")).alias("_at"))
+    carried = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)], F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
+    at = carried.join(order, carried["_id"] == order["_of"], "left")
+    at = at.withColumns({"_slot": F.coalesce("_at.slot", F.lit((1 << 63) - 1)), "_within": F.coalesce("_at.within", F.lit(0).cast("long"))})
+    dealt = at.repartitionByRange("_slot", "_within", "_h").sortWithinPartitions("_slot", "_within", "_h")
+    return dealt.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 QUERIES = {"op8_mix_sources": op8_mix_sources}

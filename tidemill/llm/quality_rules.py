@@ -70,7 +70,7 @@ def _dup_lines(text: bytes) -> tuple[int, int]:
     return again, len(lines)
 
 
-def _stats(names: list[str], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _stats(names: list[str], text: int, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def count(column: pa.Array) -> dict[str, np.ndarray]:
         found: dict[str, list] = {s: [] for s in STATS}
         for _, _, data, offs in K.parts(column):
@@ -106,7 +106,7 @@ def _stats(names: list[str], schema: pa.Schema) -> Callable[[Iterator[pa.RecordB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stats = count(batch.column(len(names)))
+            stats = count(batch.column(text))
             yield pa.RecordBatch.from_arrays([*(batch.column(i).cast(schema.field(i).type) for i in range(len(names))), *(pa.array(stats[s]) for s in STATS)], schema=schema)
 
     return run
@@ -114,9 +114,11 @@ def _stats(names: list[str], schema: pa.Schema) -> Callable[[Iterator[pa.RecordB
 
 def statistics(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns, the counts of STATS and base_failed for each row, over the whole text (null: no words)."""
-    base = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text_col}`").cast("string").alias("_text"))
-    schema = T.StructType([*base.schema.fields[:-1], *[T.StructField(s, T.LongType()) for s in STATS]])
-    out = base.mapInArrow(_stats(list(carry), to_arrow_schema(schema)), schema)
+    text = F.col(f"`{text_col}`")
+    plain = text_col in carry and docs.schema[text_col].dataType == T.StringType()
+    base = docs.select(*[F.col(f"`{c}`") for c in carry], *([] if plain else [text.cast("string").alias("_text")]))
+    schema = T.StructType([*base.schema.fields[: len(carry)], *[T.StructField(s, T.LongType()) for s in STATS]])
+    out = base.mapInArrow(_stats(list(carry), carry.index(text_col) if plain else len(carry), to_arrow_schema(schema)), schema)
     return out.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
@@ -129,10 +131,15 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs))
 
 
-def choose(counts: dict[tuple[str, str], dict[int, tuple[int, int]]], alpha: float = 0.03, delta: float = 0.05, good_weight: float = 10.0) -> Rules:
-    """counts: (signal, stratum) -> strictness at which a document is first rejected -> (good, bad) documents."""
-    strata = {s for _, s in counts}
-    level = delta / max(1, len(SIGNALS) * len(strata))
+def least_good(n_strata: int, alpha: float, delta: float) -> int:
+    """Good documents that a stratum must have for a cutoff that rejects none of them to be certified."""
+    return math.ceil(math.log(delta / max(1, len(SIGNALS) * n_strata)) / math.log1p(-alpha / len(SIGNALS)))
+
+
+def choose(counts: dict[tuple[str, str], dict[int, tuple[int, int]]], n_strata: int, alpha: float = 0.03, delta: float = 0.05, good_weight: float = 10.0) -> Rules:
+    """counts: (signal, stratum) -> strictness at which a document is first rejected -> (good, bad) documents. n_strata: all
+    strata with labelled documents, of which those without the least good documents may be left out."""
+    level = delta / max(1, len(SIGNALS) * n_strata)
     share = alpha / len(SIGNALS)
     cutoffs: dict[str, dict[str, float]] = {s: {} for s in SIGNALS}
     report = []
@@ -153,28 +160,41 @@ def choose(counts: dict[tuple[str, str], dict[int, tuple[int, int]]], alpha: flo
     return Rules(cutoffs, report)
 
 
-def fit(stats: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", good_col: str = "quality", alpha: float = 0.03, delta: float = 0.05) -> Rules:
-    """Cutoffs from every labelled row that passes the base rules. A null stratum is the stratum ''."""
-    held = labels.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{good_col}`").alias("_good")).where(F.col("_good").isNotNull())
-    rows = stats.where(~F.col("base_failed")).join(held, id_col)
+def fit(stats: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", good_col: str = "quality", alpha: float = 0.03, delta: float = 0.05, label_id: str = "doc_id") -> Rules:
+    """Cutoffs from every labelled document that passes the base rules. A null stratum is the stratum ''.
+
+    A document is an id: one with several labels is good if one of them is, and of several rows with its id the one that is
+    rejected first counts, so copies of a label or of a row add nothing. Only strata with enough good documents to
+    certify a cutoff reach the driver, of which there are at most one for each least_good labelled documents.
+    """
+    held = labels.where(F.col(f"`{label_id}`").isNotNull()).groupBy(F.col(f"`{label_id}`").alias("_id")).agg(F.max(F.col(f"`{good_col}`")).alias("_good")).where(F.col("_good").isNotNull())
+    own = F.coalesce(F.col(f"`{stratum}`").cast("string"), F.lit(""))
     edges = F.array(*[F.lit(x) for x in GRID])
     first = lambda s: F.aggregate(edges, F.lit(0), lambda n, e: n + F.when(s <= e, 1).otherwise(0))  # noqa: E731  rejected from the first cutoff below the signal on
-    long = rows.select(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "_good", F.explode(F.array(*[F.struct(F.lit(n).alias("signal"), first(s()).alias("at")) for n, s in SIGNALS.items()])).alias("x"))
+    rows = stats.where(~F.col("base_failed")).select(F.col(f"`{id_col}`").alias("_id"), own.alias("stratum"), *[first(s()).alias(f"at_{n}") for n, s in SIGNALS.items()]).join(held, "_id")
+    docs = rows.groupBy("_id").agg(F.min("stratum").alias("stratum"), F.max("_good").alias("_good"), *[F.min(f"at_{n}").alias(f"at_{n}") for n in SIGNALS])
+    long = docs.select("stratum", "_good", F.explode(F.array(*[F.struct(F.lit(n).alias("signal"), F.col(f"at_{n}").alias("at")) for n in SIGNALS])).alias("x"))
+    sums = written(long.groupBy("stratum", "x.signal", "x.at").agg(F.count_if(F.col("_good") == 1).alias("good"), F.count_if(F.col("_good") == 0).alias("bad")), "sums")
+    n_strata = sums.select("stratum").distinct().count()
+    enough = sums.groupBy("stratum", "signal").agg(F.sum("good").alias("n")).where(F.col("n") >= least_good(n_strata, alpha, delta)).select("stratum").distinct()
     counts: dict[tuple[str, str], dict[int, tuple[int, int]]] = {}
-    for r in long.groupBy("stratum", "x.signal", "x.at").agg(F.count_if(F.col("_good") == 1).alias("good"), F.count_if(F.col("_good") == 0).alias("bad")).collect():
+    for r in sums.join(enough, "stratum").collect():
         counts.setdefault((r["signal"], r["stratum"]), {})[r["at"]] = (r["good"], r["bad"])
-    return choose(counts, alpha, delta)
+    dropped(sums)
+    return choose(counts, n_strata, alpha, delta)
 
 
 def verdict(stats: DataFrame, rules: Rules, stratum: str = "lang") -> DataFrame:
-    """Adds kept: false if a base rule fails or a signal exceeds its stratum's cutoff."""
-    out = F.lit(False)
-    own = F.coalesce(F.col(stratum).cast("string"), F.lit(""))
-    for signal, cuts in rules.cutoffs.items():
-        if cuts:
-            by = F.create_map(*[F.lit(x) for kv in sorted(cuts.items()) for x in kv])
-            out = out | F.coalesce(SIGNALS[signal]() > F.try_element_at(by, own), F.lit(False))
-    return stats.withColumn("kept", ~F.when(F.col("base_failed"), True).otherwise(out))
+    """Adds kept: false if a base rule fails or a signal exceeds its stratum's cutoff. The cutoffs are a table, a row for each
+    stratum that has some, joined as Spark's size check sees fit."""
+    strata = sorted({s for cuts in rules.cutoffs.values() for s in cuts})
+    table = stats.sparkSession.createDataFrame([(s, *(cuts.get(s) for cuts in rules.cutoffs.values())) for s in strata], ", ".join(["_stratum string", *(f"_cut_{n} double" for n in rules.cutoffs)]))
+    over = F.lit(False)
+    for signal in rules.cutoffs:
+        over = over | F.coalesce(SIGNALS[signal]() > F.col(f"_cut_{signal}"), F.lit(False))
+    kept = ~F.when(F.col("base_failed"), True).otherwise(over)
+    joined = stats.join(table, F.coalesce(stats[f"`{stratum}`"].cast("string"), F.lit("")) == table["_stratum"], "left")
+    return joined.withColumn("kept", kept).drop(*table.columns)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,12 +204,17 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the rules keep, with their columns; cutoffs are fitted on the stage's own input."""
-    columns = tuple(docs.columns)
-    stats = written(statistics(docs, carry=("doc_id", "lang")), "rules")
-    rules = fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    dropped(stats)
-    return verdict(statistics(docs, carry=columns), rules).where("kept").select(*columns)
+    """The documents that the rules keep, with their columns; cutoffs are fitted on the stage's own input.
+
+    Null and empty texts have no words and go by the base rules, as do texts of under 20 words; a null lang is the stratum ''.
+    Repeated rows are judged alike and stay or go together; null ids have no label and are judged like others. Extra columns
+    pass through under any name. Empty in, empty out. The rows are counted once: a copy is written with the counts.
+    """
+    names = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    stats = written(statistics(plain, names["text"], tuple(names.values())), "rules")
+    rules = fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"), names["lang"], names["doc_id"])
+    return verdict(stats, rules, names["lang"]).where("kept").select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 QUERIES = {"op4_quality_rules": op4_quality_rules}

@@ -8,6 +8,7 @@ its error; the pages before it stand.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -115,32 +116,24 @@ def lzw_decode(data: bytes, most: int) -> bytes:
     return b"".join(out)
 
 
+RUN = re.compile(rb"(.)\1{2,127}", re.DOTALL)
+
+
 def packbits_encode(data: bytes) -> bytes:
-    out, n = bytearray(), len(data)
-    a = np.frombuffer(data, np.uint8)
-    edges = np.concatenate([[0], np.flatnonzero(a[1:] != a[:-1]) + 1, [n]]) if n else np.zeros(1, np.int64)
-    sizes = np.diff(edges)
-    literal = 0
-    long = np.flatnonzero(sizes >= 3)
+    out, at = bytearray(), 0
 
     def literals(end: int) -> None:
-        for i in range(literal, end, 128):
+        for i in range(at, end, 128):
             some = data[i : min(i + 128, end)]
             out.append(len(some) - 1)
             out.extend(some)
 
-    for i in long.tolist():
-        start, end = int(edges[i]), int(edges[i + 1])
-        literals(start)
-        while start < end:
-            k = min(128, end - start)
-            if k == 1:
-                out += b"\0" + data[start : start + 1]
-            else:
-                out += bytes([257 - k]) + data[start : start + 1]
-            start += k
-        literal = end
-    literals(n)
+    for m in RUN.finditer(data):
+        literals(m.start())
+        at = m.end()
+        out.append(257 - at + m.start())
+        out.append(data[at - 1])
+    literals(len(data))
     return bytes(out)
 
 
@@ -319,8 +312,8 @@ def tiff_pages(files: DataFrame, data_col: str = "media", carry: tuple[str, ...]
 
 
 UNIT = 576
-#: How a text is stored, by its payload's CRC-32: mostly deflate, some PackBits and LZW, strips and tiles, with and without differences.
-STYLES = [(LZW, 2, None), (LZW, 1, (48, 16)), (PACKBITS, 1, None), (PACKBITS, 1, (48, 16)), *[(DEFLATE, p, t) for _ in range(3) for p in (1, 2) for t in (None, (48, 16))]]
+#: How a text is stored, by its payload's CRC-32: each scheme, strips and tiles, with and without differences, as often.
+STYLES = [(c, p, t) for c in (LZW, PACKBITS, DEFLATE) for p in (1, 2) for t in (None, (48, 16))]
 
 
 def padded(text: bytes) -> bytes:
@@ -329,57 +322,92 @@ def padded(text: bytes) -> bytes:
 
 
 def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each text as a TIFF file: id, n_bytes of the text, media."""
-    base = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    schema = T.StructType([base.schema[0], T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
+    """Each text as a TIFF file: id, row (a number of the row's own), n_bytes of the text, media.
+
+    Null and empty texts are one page of padding; repeated rows are stored each; columns beside id and text are not read.
+    """
+    base = docs.select(F.col(f"`{id_col}`"), F.monotonically_increasing_id().alias("row"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+    schema = T.StructType([*base.schema.fields[:2], T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, offs in K.parts(batch.column(1)):
+            for a, b, data, offs in K.parts(batch.column(2)):
                 media = []
                 for x, y in zip(offs[:-1].tolist(), offs[1:].tolist()):
                     payload = padded(data[x:y].tobytes())
                     compression, predictor, tile = STYLES[zlib.crc32(payload) % len(STYLES)]
                     media.append(encode(payload, compression=compression, predictor=predictor, tile=tile))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(arrow.field(0).type), pa.array(np.diff(offs), pa.int64()), pa.array(media, pa.binary())], schema=arrow)
+                own = [batch.column(i).slice(a, b - a).cast(arrow.field(i).type) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(offs), pa.int64()), pa.array(media, pa.binary())], schema=arrow)
 
     return base.mapInArrow(run, schema)
 
 
-def _fold(id_type: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = [id_type, pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+class Folded:
+    """A file's digest, gathered from its pages in order."""
+
+    def __init__(self) -> None:
+        self.sha, self.size, self.tail, self.total, self.steps, self.n = hashlib.sha256(), 0, b"", 0, 0, 0
+        self.bins = np.zeros(256, np.int64)
+        self.kind = ""
+
+    def add(self, pixels: bytes, compression: int, predictor: int, tiled: bool) -> None:
+        own = np.frombuffer(pixels, np.uint8)
+        self.sha.update(pixels)
+        self.size, self.tail, self.n = self.size + len(own), (self.tail + pixels[-32:])[-32:], self.n + 1
+        self.bins += np.bincount(own, minlength=256)
+        self.steps += int(np.count_nonzero(own[1:] != own[:-1]))
+        self.total += int(own.sum(dtype=np.int64))
+        self.kind = f"compression={compression};predictor={predictor};tiled={int(tiled)}"
+
+    def row(self) -> tuple:
+        feature = f"pages={self.n};{self.kind};sum={self.total};levels={np.count_nonzero(self.bins)};mode={self.bins.argmax()};steps={self.steps}"
+        return self.size, self.sha.hexdigest(), zlib.crc32(self.tail), feature
+
+
+def folded(pages: DataFrame, carry: tuple[str, ...], row: str = "row") -> DataFrame:
+    """One row per file from its page rows, which follow each other as tiff_pages gives them: the carried columns,
+    payload_bytes, payload_sha256, tail_crc32, feature. A page with an error is an error."""
+    base = pages.select(*[F.col(f"`{c}`") for c in carry], row, "pixels", "compression", "predictor", "tiled", "error")
+    kinds = [("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("feature", T.StringType())]
+    schema = T.StructType([*base.schema.fields[: len(carry)], *[T.StructField(c, t) for c, t in kinds]])
+    arrow, k = to_arrow_schema(schema), len(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, file = None, Folded()
+        done: list[tuple] = []
+
+        def out() -> pa.RecordBatch:
+            cols = list(zip(*done)) if done else [[]] * len(schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
+
         for batch in batches:
-            rows = []
-            for i, x in enumerate(batch.column(2)):
-                media = x.as_py()
-                sha, size, tail, total, steps, n = hashlib.sha256(), 0, b"", 0, 0, 0
-                bins = np.zeros(256, np.int64)
-                for p in pages(media):
-                    if p.error:
-                        raise ValueError(p.error)
-                    sha.update(p.pixels)
-                    own = np.frombuffer(p.pixels, np.uint8)
-                    size, tail, n = size + len(own), (tail + p.pixels[-32:])[-32:], n + 1
-                    bins += np.bincount(own, minlength=256)
-                    steps += int(np.count_nonzero(own[1:] != own[:-1]))
-                    total += int(own.sum(dtype=np.int64))
-                feature = f"pages={n};compression={p.compression};predictor={p.predictor};tiled={int(p.tiled)};sum={total};levels={np.count_nonzero(bins)};mode={bins.argmax()};steps={steps}"
-                rows.append((batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), size, sha.hexdigest(), zlib.crc32(tail), len(media), hashlib.sha256(media).hexdigest(), feature))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 8, kinds)], names)
-
-    return run
+            own = list(zip(*(batch.column(i).to_pylist() for i in range(k)))) if k else [()] * len(batch)
+            for i, (r, c, p, t, e) in enumerate(zip(*(batch.column(j).to_pylist() for j in (k, k + 2, k + 3, k + 4, k + 5)))):
+                if e:
+                    raise ValueError(e)
+                if open_ is not None and open_[0] != r:
+                    done.append((*open_[1], *file.row()))
+                    file = Folded()
+                open_ = (r, own[i])
+                file.add(batch.column(k + 1)[i].as_buffer().to_pybytes(), c, p, t)
+            if len(done) > 10_000:
+                yield out()
+                done = []
+        if open_ is not None:
+            done.append((*open_[1], *file.row()))
+        yield out()
+
+    return base.mapInArrow(run, schema)
 
 
 def op5_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row per text: stored as TIFF pages by encode_texts, read back page by page (pages, as in tiff_pages) and folded."""
-    media = encode_texts(documents(spark, sf_dir))
-    arrow = to_arrow_schema(T.StructType([media.schema[0]])).field(0).type
-    kind = media.schema[0].dataType.simpleString()
-    return media.mapInArrow(_fold(arrow), f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    """A row per text: stored as a TIFF file by encode_texts, read back as page rows by tiff_pages, which are then folded."""
+    media = encode_texts(documents(spark, sf_dir)).select("doc_id", "row", "n_bytes", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "media")
+    carry = ("doc_id", "n_bytes", "media_bytes", "media_sha256")
+    out = folded(tiff_pages(media, carry=(*carry, "row")), carry)
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
 QUERIES = {"op5_tiff_pages": op5_tiff_pages}
