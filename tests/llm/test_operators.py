@@ -571,6 +571,17 @@ def test_packing_rows(spark, odd, empty):
         v.sort()
         assert [o for o, _ in v] == [0, *np.cumsum([n for _, n in v])[:-1]] and sum(n for _, n in v) <= 256
     assert packing.best_fit_packing(empty).count() == 0
+    assert packing.stage(spark, odd, "").count() == len(packing.best_fit_packing(odd).collect()) and packing.stage(spark, empty, "").count() == 0
+
+
+def test_sequences_follow_the_mix(spark, tmp_path):
+    """Documents of one length fill sequences in the order of files and rows, whatever their ids."""
+    from pyspark.sql import functions as F
+
+    docs = spark.range(3000).select((F.lit(5000) - F.col("id")).alias("doc_id"), F.lit("one two three").alias("text"), F.col("id").alias("place"))
+    docs.repartitionByRange(7, "place").sortWithinPartitions("place").select("doc_id", "text").write.parquet(str(tmp_path / "mixed"))
+    got = packing.stage(spark, spark.read.parquet(str(tmp_path / "mixed")), "").orderBy("sequence_id", "offset").collect()
+    assert [r["doc_id"] for r in got] == list(range(5000, 2000, -1)) and [r["sequence_id"] for r in got] == sorted(r["sequence_id"] for r in got)
 
 
 def test_pipeline_stages(spark):
@@ -593,7 +604,30 @@ def test_pipeline_stages(spark):
     for r, (_, removed, text) in zip(rest, brute_dedup([r["text"] for r in rest], 35)):
         assert cut[r["doc_id"]] == (text if removed else r["text"])
     assert sorted(ids("mix_sources")) == sorted(cut)
-    assert {r["doc_id"] for r in steps["best_fit_packing"].collect()} == set(cut)
+    order = [r["doc_id"] for r in mixing.mix_sources(steps["substring_dedup"]).orderBy("slot", "within").collect()]
+    at = {d: i for i, d in enumerate(order)}
+    stream = [r["doc_id"] for r in steps["mix_sources"].select("doc_id", packing.file_order(steps["mix_sources"]).alias("at")).orderBy("at").collect()]
+    assert [at[d] for d in stream] == sorted(at.values())
+    # the packed rows: every piece as a plain tokeniser cuts it, sequences without gaps, numbered by their first piece in the mix
+    import public_tokenizers
+
+    tok = packing.tokenizer(public_tokenizers.path("word_bpe_49k.json")).tok
+    packed = {}
+    sequences = {}
+    for r in steps["best_fit_packing"].collect():
+        packed[r["doc_id"], r["piece"]] = (r["start"], r["length"], r["ids_crc32"])
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"], at[r["doc_id"]], r["piece"]))
+    want = {}
+    for d, text in cut.items():
+        run = [*tok.encode(text or "", add_special_tokens=False).ids, 1]
+        for k in range(0, len(run), 4096):
+            want[d, k // 4096] = (k, len(run[k : k + 4096]), zlib.crc32(np.array(run[k : k + 4096], "<u4").tobytes()))
+    assert packed == want
+    for v in sequences.values():
+        v.sort()
+        assert [o for o, *_ in v] == [0, *np.cumsum([n for _, n, *_ in v])[:-1]]
+    first = [min(x[2:] for x in sequences[i]) for i in sorted(sequences)]
+    assert first == sorted(first)
 
 
 def test_queries_equal_their_sql(spark):

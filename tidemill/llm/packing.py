@@ -7,6 +7,9 @@ sequence_len rows reach the driver), the driver places lengths with their counts
 takes a run of equal pieces at once - and Spark deals the pieces, by their rank among those of the same length, to the
 places. Every find in the tree still stands for best fit of the next piece; runs only repeat it.
 
+Pieces of one length take their places in the order of the input, and sequences are numbered by the first of their pieces
+in that order: of a mixed stream neighbours in the stream come out as near each other as their lengths allow.
+
 The places are few whatever the input: a length opens or splits at most three runs, and a run that takes pieces is left
 with less than half its room, so there are at most 3 * L * log2(L) rows for sequences of L tokens (150,000 for 4096,
 about 7 MB), which is why they are broadcast.
@@ -23,7 +26,8 @@ from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -220,7 +224,7 @@ def _pieces(path: str, size: int, end_id: int, schema: pa.Schema) -> Callable[[I
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, end = tokenizer(path), end_id.to_bytes(4, "little")
         for batch in batches:
-            column = batch.column(1)
+            column = batch.column(2)
             for a, b, _, _ in K.parts(column):
                 row, piece, start, length, crc = [], [], [], [], []
                 for i, ids in enumerate(tok.encode(column.slice(a, b - a).to_pylist())):
@@ -232,56 +236,85 @@ def _pieces(path: str, size: int, end_id: int, schema: pa.Schema) -> Callable[[I
                         start.append(k // 4)
                         length.append(len(own) // 4)
                         crc.append(zlib.crc32(own))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())).cast(schema.field(0).type), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], schema=schema)
+                of = [batch.column(i).take(pa.array(row, pa.int64())).cast(schema.field(i).type) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([*of, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], schema=schema)
 
     return run
 
 
-def pieces(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each piece of each tokenised document: id, piece, start, length, ids_crc32."""
-    base = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+def pieces(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", order: Column | None = None) -> DataFrame:
+    """A row for each piece of each tokenised document: id, _at, piece, start, length, ids_crc32. order: a whole number that
+    places a row in the stream, as the input's parts and their rows if not given."""
+    at = F.monotonically_increasing_id() if order is None else order.cast("long")
+    base = docs.select(F.col(f"`{id_col}`"), at.alias("_at"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     kinds = [("piece", T.IntegerType()), *((c, T.LongType()) for c in ("start", "length", "ids_crc32"))]
-    schema = T.StructType([base.schema[0], *[T.StructField(c, t) for c, t in kinds]])
+    schema = T.StructType([base.schema[0], base.schema[1], *[T.StructField(c, t) for c, t in kinds]])
     return base.mapInArrow(_pieces(path, size, end_id, to_arrow_schema(schema)), schema)
 
 
-def pack(cut: DataFrame, size: int = 4096, id_col: str = "doc_id", chunk_rows: int = 50_000) -> DataFrame:
+def ranked(rows: DataFrame, key: list[str], rank: str) -> DataFrame:
+    """Adds each row's place from 0 among those of its key, in the order of _at and piece: by places within stretches of the
+    stream and counts of the stretches before, so that a frequent key is ranked in as many tasks as it has stretches."""
+    dealt = rows.withColumn("_part", F.shiftright("_at", 16))
+    own = F.row_number().over(Window.partitionBy(*key, "_part").orderBy("_at", "piece")) - 1
+    counts = dealt.groupBy(*key, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*(key or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return dealt.withColumn("_own", own).join(counts.withColumn("_before", before).drop("_n"), [*key, "_part"]).withColumn(rank, (F.col("_own") + F.col("_before")).cast("long")).drop("_own", "_before", "_part")
+
+
+def pack(cut: DataFrame, size: int = 4096) -> DataFrame:
     """Adds sequence_id and offset to pieces (a table that can be read again) by best fit decreasing over all of them."""
     spark = cut.sparkSession
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most size rows
-    chunks = max(1, sum(counts.values()) // chunk_rows)
-    chunked = cut.withColumn("_chunk", F.pmod(F.xxhash64(F.col(f"`{id_col}`"), "piece"), F.lit(chunks)))
-    before = chunked.groupBy("length", "_chunk").count().withColumn("_before", F.coalesce(F.sum("count").over(Window.partitionBy("length").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
-    ranked = chunked.withColumn("_own", F.row_number().over(Window.partitionBy("length", "_chunk").orderBy(F.col(f"`{id_col}`"), "piece")) - 1).join(before, ["length", "_chunk"])
-    ranked = ranked.withColumn("_rank", F.col("_own") + F.col("_before")).drop("_own", "_before", "_chunk")
     kinds = "length long, _first long, _count long, _sequence long, _each long, _offset long"
     places = spark.createDataFrame([tuple(p) for p in best_fit_decreasing(counts, size)], kinds)
     i = F.col("_rank") - F.col("_first")
-    placed = ranked.join(F.broadcast(places), ["length"]).where((i >= 0) & (i < F.col("_count")))
-    return placed.select(*cut.columns, (F.col("_sequence") + F.floor(i / F.col("_each"))).cast("long").alias("sequence_id"), (F.col("_offset") + i % F.col("_each") * F.col("length")).cast("long").alias("offset"))
+    placed = ranked(cut, ["length"], "_rank").join(F.broadcast(places), ["length"]).where((i >= 0) & (i < F.col("_count")))
+    placed = placed.select(*cut.columns, (F.col("_sequence") + F.floor(i / F.col("_each"))).cast("long").alias("_of"), (F.col("_offset") + i % F.col("_each") * F.col("length")).cast("long").alias("offset"))
+    placed = written(placed, "placed")
+    first = placed.groupBy("_of").agg(F.min(F.struct("_at", "piece")).alias("_head")).select("_of", "_head._at", "_head.piece")
+    named = ranked(first, [], "sequence_id").select("_of", "sequence_id")
+    return placed.join(named, "_of").drop("_of", "_at")
 
 
-def best_fit_packing(docs: DataFrame, path: str | None = None, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def best_fit_packing(docs: DataFrame, path: str | None = None, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", order: Column | None = None) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document's ids end with end_id; only documents longer than a sequence are cut. Null and empty texts are the end id
-    alone. Repeated rows are packed each; equal lengths take places in the order of id and piece within hashed chunks.
-    An empty table gives an empty result. Columns beside id and text are not read. path: the tokenizer's file.
+    alone. Repeated rows and rows with null ids are packed each; equal lengths take places in the order of the input. An
+    empty table gives an empty result. Columns beside id and text are not read. path: the tokenizer's file. order: as in pieces.
     """
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("word_bpe_49k.json")
-    return pack(written(pieces(docs, path, size, end_id, id_col, text_col), "pieces"), size, id_col)
+    out = pack(written(pieces(docs, path, size, end_id, id_col, text_col, order), "pieces"), size)
+    return out.select(F.col(f"`{id_col}`"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(documents(spark, sf_dir))
 
 
+def file_order(docs: DataFrame) -> Column | None:
+    """A row's place by its file's part number and its place in the file; None where docs is not read from files."""
+    path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    try:
+        docs.select(path, row).schema  # noqa: B018
+    except AnalysisException:
+        return None
+    part = lambda i: F.coalesce(F.regexp_extract(path, r"part-(\d+)-[^/]*-c(\d+)[^/]*$", i).try_cast("long"), F.lit(0))
+    return F.shiftleft(part(1), 42) + F.shiftleft(part(2), 32) + row
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in the sequences."""
-    return best_fit_packing(docs)
+    """The pieces of all documents with their places in the sequences, which follow the order of docs' files and rows: that of
+    the mix.
+
+    Null and empty texts are the end id alone; repeated rows and null ids are packed each. Extra columns are not read. Empty
+    in, empty out.
+    """
+    return best_fit_packing(docs, order=file_order(docs))
 
 
 QUERIES = {"op9_best_fit_packing": op9_best_fit_packing}

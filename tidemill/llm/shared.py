@@ -15,6 +15,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not at:
         at = spark.sparkContext.getCheckpointDir()
         if not at:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             at = "file://" + tempfile.mkdtemp(prefix="tidemill-")
             spark.sparkContext.setCheckpointDir(at)
     return at if "://" in at or at.startswith("file:") else f"file://{at}"
@@ -31,12 +33,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dropped(df: DataFrame) -> None:
-    """Deletes the files of a table from written() that nothing reads any more."""
-    spark = df.sparkSession
-    for f in {x.rpartition("/")[0] for x in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the files of tables from written() that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for f in {x.rpartition("/")[0] for x in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> tuple[int, int]:
