@@ -13,7 +13,7 @@ from tests.conftest import SMALL
 from tidemill import catalog
 from tidemill.functions import clean
 from tidemill.operators import asof, bars, book, events, features, model, onset, rules
-from tidemill.plans.registry import even_rounding
+from tidemill.plans.registry import same_rounding
 
 
 def frames_equal(a: pd.DataFrame, b: pd.DataFrame) -> bool:
@@ -53,7 +53,7 @@ def test_latest_version_breaks_ties_by_id(spark):
 
 
 def test_walk_by_notional_and_quantity(spark):
-    df = spark.sql("SELECT array(struct(100D AS price, 1D AS size), struct(101D, 2D), struct(102D, 5D)) AS asks, array(struct(0.31D AS price, 5D AS size), struct(0.32D, 20D)) AS q")
+    df = spark.sql("SELECT array(struct(100D AS price, 1D AS size), struct(101D AS price, 2D AS size), struct(102D AS price, 5D AS size)) AS asks, array(struct(0.31D AS price, 5D AS size), struct(0.32D AS price, 20D AS size)) AS q")
     r = df.select(book.walk_notional(F.col("asks"), 150.0).alias("a"), book.walk_notional(F.col("asks"), 10_000.0).alias("b"), book.walk_quantity(F.col("q"), 10.0).alias("c"), book.walk_quantity(F.col("q"), 30.0).alias("d")).first()
     assert r["a"]["filled"] and math.isclose(r["a"]["avg_px"], 150 / (1 + 50 / 101))
     assert not r["b"]["filled"] and r["b"]["usd"] == 812.0
@@ -118,7 +118,7 @@ def test_division_and_missing_values(spark):
 
 
 def test_rounding_in_sql_is_rewritten_inside_out():
-    assert even_rounding("round(a + round(b, 2), 4)") == "(floor((a + (floor((b) * 1e2 + 0.5001) / 1e2)) * 1e4 + 0.5001) / 1e4)"
+    assert same_rounding("round(a + round(b, 2), 4)") == "(floor((a + (floor((b) * 1e2 + 0.5) / 1e2)) * 1e4 + 0.5) / 1e4)"
 
 
 def test_repartitioning_changes_nothing(spark):
@@ -148,9 +148,40 @@ def test_entry_imports_without_a_session_and_without_the_corpus_operators(tmp_pa
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
 
 
-def test_sequence_ratio(spark):
+def test_names(spark):
+    """Words and similarity of club names, by hand."""
+    from difflib import SequenceMatcher
+
     from tidemill.operators import text
 
     df = spark.createDataFrame([("abcd", "bcde"), (None, "x")], "a string, b string")
-    got = df.select(text.sequence_ratio("a", "b").alias("r"), text.words(F.lit("Olympique de Lyon FC, Été")).alias("w")).collect()
-    assert got[0]["r"] == 0.75 and got[1]["r"] is None and got[0]["w"] == ["de", "ete", "lyon", "olympique"]
+    got = df.select(text.sequence_ratio("a", "b").alias("r"), text.words(F.lit("Olympique de Lyon FC 1899, \u00c9t\u00e9 \u0160k\u014fda")).alias("w")).collect()
+    assert got[0]["r"] == 0.75 and got[1]["r"] is None and got[0]["w"] == ["ete", "lyon", "olympique", "skoda"]
+    pairs = spark.createDataFrame([("FC Internazionale Milano", "Inter Milano"), ("Real Betis Balompie", "Betis"), ("FC", "AC"), ("A B", "a b c")], "a string, b string")
+    got = [r["s"] for r in pairs.select(text.similarity(F.col("a"), F.col("b")).alias("s")).collect()]
+    ratio = lambda x, y: SequenceMatcher(None, x, y).ratio()
+    want = [100 / 2 + 10 + ratio("internazionale milano", "inter milano"), 100 + 10 + ratio("betis real", "betis"), 0, 100 + 20 + ratio("a b", "a b c")]
+    assert all(math.isclose(a, b) for a, b in zip(got, want))
+
+
+def test_clocks_and_minutes(spark):
+    from tidemill.operators import text
+
+    clocks = [("45+2'", 45), ("90+4", 90), ("HT", None), ("121", None), ("7\u2032", 7), (" 12 ", 12), ("45+123", None), ("", None), (None, None)]
+    df = spark.createDataFrame(clocks, "clock string, want int")
+    assert all(r["got"] == r["want"] for r in df.select("want", text.minute_hint(F.col("clock")).alias("got")).collect())
+    rows = [(1, 100.0, "inprogress", 160_000, 1.0), (2, 100.0, "inprogress", 160_000, 46.0), (1, 100.0, "finished", 160_000, None), (3, 100.0, "inprogress", 160_000, None), (1, 100.0, "inprogress", 40_000, None), (1, None, "inprogress", 160_000, None)]
+    df = spark.createDataFrame(rows, "period int, start double, status string, at long, want double")
+    assert all(r["got"] == r["want"] for r in df.select("want", text.match_minute(F.col("period"), F.col("start"), F.col("status"), F.col("at")).alias("got")).collect())
+
+
+def test_levels_and_settlements(spark):
+    from tidemill.operators import text
+
+    rows = spark.createDataFrame([("0.5", "3", True, False), ("1", "0", True, True), ("1.01", "1", False, None), ("0.5", "-1", False, None), ("NaN", "1", False, None), (None, "1", False, None)], "p string, q string, ok boolean, deletion boolean")
+    for r in rows.select("*", text.level(F.col("p"), F.col("q")).alias("v")).collect():
+        assert (r["v"] is not None) == r["ok"] and (r["v"] is None or r["v"]["deletion"] == r["deletion"])
+    cases = [('["Yes","No"]', '["1","0"]', True, "resolved", (1, "resolved")), ('["No","Yes"]', '["1","0"]', True, "resolved", (0, "resolved")), ('["Yes","No"]', '["0.5","0.5"]', True, "resolved", (None, "non_binary_resolution")), ('["Yes","No"]', '["1","0"]', False, "resolved", None), ('["Up","Down"]', '["1","0"]', True, "resolved", None), ('["Yes","No"]', '["1","0"]', True, "proposed", None)]
+    df = spark.createDataFrame([(i, *x[:4]) for i, x in enumerate(cases)], "i int, o string, p string, closed boolean, st string")
+    for r in df.select("i", text.settlement(F.col("o"), F.col("p"), F.col("closed"), F.col("st")).alias("s")).collect():
+        assert (tuple(r["s"]) if r["s"] else None) == cases[r["i"]][4]

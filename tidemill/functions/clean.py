@@ -35,11 +35,11 @@ def clip(x: Column, low: float, high: float) -> Column:
 
 
 def half_up(x: Column, digits: int) -> Column:
-    """x rounded to digits; ties, and values within a ten-thousandth of one, go up, so that the order of a sum can't tell."""
+    """x rounded to digits, ties up, by arithmetic that SQL engines share."""
     unit = 10.0**digits
-    return F.floor(x * unit + 0.5001).cast("double") / unit
+    return F.floor(x * unit + 0.5).cast("double") / unit
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, so that results don't depend on the order of sums."""
+    """Doubles rounded for comparison, so that results don't depend on the order of sums. Queries use it last; operators don't."""
     return df.withColumns({c: half_up(F.col(c), digits) for c, t in df.dtypes if t == "double"})

@@ -118,10 +118,10 @@ def jn09(spark: SparkSession, d: str) -> DataFrame:
     return rounded(got.select("token", "t", "seq", ratio(c("pq"), c("q")).alias("vwap"), c("n").cast("bigint").alias("n")))
 
 
-@query("win30_prefix_vwap", V.sql("fires trades", f"SELECT f.token, f.t, f.seq, round(sum(x.price * x.size) / nullif(sum(x.size), 0), 4) AS vwap FROM fires f LEFT JOIN trades x ON x.token = f.token AND x.t > f.t - {6 * HOUR} AND x.t <= f.t GROUP BY ALL"))
+@query("win30_prefix_vwap", V.sql("fires trades", f"SELECT f.token, f.t, f.seq, round(sum(x.price * x.size) / nullif(sum(x.size), 0), 6) AS vwap FROM fires f LEFT JOIN trades x ON x.token = f.token AND x.t > f.t - {6 * HOUR} AND x.t <= f.t GROUP BY ALL"))
 def win30(spark: SparkSession, d: str) -> DataFrame:
     f, t = fire_trades(spark, d)
-    return rounded(prefix_vwap(f, t, 6 * HOUR), 4)
+    return rounded(prefix_vwap(f, t, 6 * HOUR))
 
 
 SPANS = f"(SELECT token, seq, t AS start, t + {4 * HOUR} AS stop, value AS entry FROM fires)"

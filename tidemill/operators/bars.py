@@ -198,5 +198,4 @@ def srt08(spark: SparkSession, d: str) -> DataFrame:
 @query("src24_sql_passthrough", V.sql("bars_1h", "SELECT symbol, CAST(count(*) AS BIGINT) AS n, round(avg(close), 6) AS mean_close FROM bars_1h WHERE high > low GROUP BY symbol"))
 def src24(spark: SparkSession, d: str) -> DataFrame:
     """SRC-24: SQL of the caller's over the bars."""
-    V.bars_1h(spark, d).createOrReplaceTempView("tidemill_bars")
-    return rounded(spark.sql("SELECT symbol, count(*) AS n, avg(close) AS mean_close FROM tidemill_bars WHERE high > low GROUP BY symbol"))
+    return rounded(spark.sql("SELECT symbol, count(*) AS n, avg(close) AS mean_close FROM {bars} WHERE high > low GROUP BY symbol", bars=V.bars_1h(spark, d)))

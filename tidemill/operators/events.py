@@ -10,6 +10,7 @@ from tidemill.plans.registry import query
 from tidemill.sources import views as V
 
 c = F.col
+HOUR = 3_600_000
 
 
 def robust(x: str, key: str, order: tuple[str, ...], n: int = 10, least: int = 5, floor: float = 0.01) -> tuple[Column, Column]:
@@ -40,7 +41,7 @@ def agg29(spark: SparkSession, d: str) -> DataFrame:
 SELECT token, seq, CASE WHEN NOT (price > p) OR NOT (size >= 30) OR NOT (price < 250) THEN false WHEN price > p AND size >= 30 AND price < 250 THEN true END AS passes,
 array_to_string(list_filter([CASE WHEN NOT (price > p) THEN 'not_up' END, CASE WHEN NOT (size >= 30) THEN 'small' END, CASE WHEN NOT (price < 250) THEN 'dear' END], lambda x: x IS NOT NULL), ',') AS reasons FROM a"""))
 def prj13(spark: SparkSession, d: str) -> DataFrame:
-    """PRJ-13/14: three-valued checks with the reasons that fail: false if one is false, else unknown if one is unknown."""
+    """PRJ-13: three-valued checks with the reasons that fail: false if one is false, else unknown if one is unknown."""
     p = F.lag("price").over(Window.partitionBy("token").orderBy("t", "seq"))
     a = V.trades(spark, d).withColumn("p", p)
     checks = {"not_up": c("price") > c("p"), "small": c("size") >= 30, "dear": c("price") < 250}
@@ -106,8 +107,7 @@ def agg05(spark: SparkSession, d: str) -> DataFrame:
 @query("agg19_grouping_sets", V.sql("fires", "SELECT token % 2 AS gap, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT t // 86400000) AS BIGINT) AS windows, round(avg(value), 4) AS mean_entry, round(avg(CASE WHEN value > 100 THEN 1.0 ELSE 0 END), 4) AS win_rate FROM fires GROUP BY GROUPING SETS ((), (token % 2))"))
 def agg19(spark: SparkSession, d: str) -> DataFrame:
     f = V.fires(spark, d).select((c("token") % 2).alias("gap"), "value", F.floor(c("t") / 86_400_000).alias("w"))
-    f.createOrReplaceTempView("tidemill_fires")
-    return rounded(spark.sql("SELECT gap, count(*) AS n, count(DISTINCT w) AS windows, avg(value) AS mean_entry, avg(CASE WHEN value > 100 THEN 1D ELSE 0D END) AS win_rate FROM tidemill_fires GROUP BY GROUPING SETS ((), (gap))"), 4)
+    return rounded(spark.sql("SELECT gap, count(*) AS n, count(DISTINCT w) AS windows, avg(value) AS mean_entry, avg(CASE WHEN value > 100 THEN 1D ELSE 0D END) AS win_rate FROM {f} GROUP BY GROUPING SETS ((), (gap))", f=f), 4)
 
 
 @query("agg20_cluster_t", V.sql("fires", "WITH m AS (SELECT avg(value) AS mu, count(*) AS n FROM fires), w AS (SELECT sum(value - mu) AS s FROM fires, m GROUP BY t // 86400000) SELECT round(any_value(mu), 4) AS mean, round(sqrt(sum(s * s)) / any_value(n), 4) AS se, round(any_value(mu) / (sqrt(sum(s * s)) / any_value(n)), 4) AS t FROM w, m"))
@@ -154,7 +154,7 @@ def win24(spark: SparkSession, d: str) -> DataFrame:
     return m.withColumn("p", p).where(~c("level").eqNullSafe(c("p"))).select("token", "t", "seq", "level")
 
 
-CDC = """WITH p AS (SELECT o_custkey % 20 AS grp, CAST(o_orderdate AS DATE) - DATE '1992-01-01' AS d, o_custkey AS k, max(o_totalprice) AS v FROM orders WHERE o_custkey % 20 < 4 GROUP BY ALL),
+CDC = """WITH p AS (SELECT o_custkey % 20 AS grp, CAST(o_orderdate AS DATE) - DATE '1992-01-01' AS d, o_custkey AS k, max(o_totalprice) AS v FROM orders GROUP BY ALL),
 polls AS (SELECT grp, d, row_number() OVER (PARTITION BY grp ORDER BY d) AS i FROM (SELECT DISTINCT grp, d FROM p)), x AS (SELECT p.grp, i, k, v FROM p JOIN polls USING (grp, d)),
 l AS (SELECT *, lag(i) OVER w AS pi, lag(v) OVER w AS pv, lead(i) OVER w AS ni FROM x WINDOW w AS (PARTITION BY grp, k ORDER BY i)), n AS (SELECT grp, max(i) AS m FROM polls GROUP BY grp)"""
 
@@ -186,28 +186,79 @@ def win28(spark: SparkSession, d: str) -> DataFrame:
     return V.mids(spark, d).groupBy("token").agg(F.max_by("mid", F.struct("t", "seq")).alias("final_mid"))
 
 
-@query("jn17_nearest_entity", """WITH s AS (SELECT s_suppkey, s_nationkey, s_acctbal FROM supplier), d AS (SELECT s_suppkey, c_custkey, abs(c_acctbal - s_acctbal) AS delta FROM s JOIN customer ON c_nationkey = s_nationkey AND abs(c_acctbal - s_acctbal) <= 300),
-r AS (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY delta, c_custkey) AS k, lead(delta) OVER (PARTITION BY s_suppkey ORDER BY delta, c_custkey) AS nxt FROM d) SELECT s_suppkey, CASE WHEN nxt - delta <= 10 THEN NULL ELSE c_custkey END AS c_custkey, coalesce(nxt - delta <= 10, false) AS ambiguous FROM r WHERE k = 1""")
+def resolved_entities(matches: DataFrame, feed: DataFrame, within_ms: int = 3 * HOUR, close_ms: int = 30 * 60_000) -> DataFrame:
+    """JN-17, SRT-06: each match(slug, home, away, kickoff_ms; team ids) with the feed event(id, home, away, start_ms) of the
+    same two teams, in either order, that starts nearest to its kickoff, at most within_ms away.
+
+    Gives slug, status, id, swapped, delta_ms. status: team_not_whitelisted where an id is NULL, team_identity_conflict where
+    both are one, missing, ambiguous where the runner-up is at most close_ms farther off than the nearest, else matched.
+    The join is on the pair of teams and a bucket of within_ms, with the two buckets beside it.
+    """
+    pair = lambda p: (F.least(c(f"{p}home"), c(f"{p}away")), F.greatest(c(f"{p}home"), c(f"{p}away")))
+    m = matches.select("slug", "home", "away", "kickoff_ms")
+    ids = m.where("home <> away")
+    lo, hi = pair("")
+    bucket = F.floor(c("kickoff_ms") / within_ms)
+    want = ids.select("slug", "home", "kickoff_ms", lo.alias("lo"), hi.alias("hi"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("bucket"))
+    have = feed.select("id", c("home").alias("ehome"), c("away").alias("eaway"), "start_ms")
+    lo, hi = pair("e")
+    have = have.select("id", "ehome", "start_ms", lo.alias("lo"), hi.alias("hi"), F.floor(c("start_ms") / within_ms).alias("bucket")).dropDuplicates(["id"])
+    near = want.join(have, ["lo", "hi", "bucket"]).withColumn("delta_ms", F.abs(c("start_ms") - c("kickoff_ms"))).where(c("delta_ms") <= within_ms)
+    w = Window.partitionBy("slug").orderBy("delta_ms", "id")
+    first = near.withColumns({"k": F.row_number().over(w), "nxt": F.lead("delta_ms").over(w)}).where("k = 1")
+    first = first.select("slug", "id", (c("ehome") != c("home")).alias("swapped"), "delta_ms", holds(c("nxt") - c("delta_ms") <= close_ms).alias("close"))
+    j = m.join(first, "slug", "left")
+    status = F.when(c("home").isNull() | c("away").isNull(), "team_not_whitelisted").when(c("home") == c("away"), "team_identity_conflict").when(c("id").isNull(), "missing").when(c("close"), "ambiguous").otherwise("matched")
+    known = lambda x: F.when(status == "matched", c(x)).alias(x)
+    return j.select("slug", status.alias("status"), known("id"), known("swapped"), known("delta_ms"))
+
+
+MATCHES = """m AS (SELECT o_orderkey AS slug, CASE WHEN o_custkey % 10 < 9 THEN o_custkey % 10 END AS home, (o_custkey // 10) % 10 AS away, epoch_ms(o_orderdate) + (o_orderkey % 300) * 60000 AS kickoff_ms FROM orders),
+f AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey % 10 ELSE (o_custkey // 10) % 10 END AS home, CASE WHEN o_orderkey % 2 = 0 THEN (o_custkey // 10) % 10 ELSE o_custkey % 10 END AS away, epoch_ms(o_orderdate) + (o_orderkey % 7) * 5400000 AS start_ms FROM orders)"""
+
+
+def fixtures(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as matches, and as a feed that knows half of them with the sides swapped and other times."""
+    o = V.table(spark, d, "orders").withColumn("ts", c("o_orderdate").cast("timestamp_ntz"))
+    k, a, b = c("o_orderkey"), c("o_custkey") % 10, F.floor(c("o_custkey") / 10) % 10
+    day = V.epoch("ts") * 1000
+    matches = o.select(k.alias("slug"), F.when(a < 9, a).alias("home"), b.alias("away"), (day + k % 300 * 60_000).alias("kickoff_ms"))
+    feed = o.select(k.alias("id"), F.when(k % 2 == 0, a).otherwise(b).alias("home"), F.when(k % 2 == 0, b).otherwise(a).alias("away"), (day + k % 7 * 5_400_000).alias("start_ms"))
+    return matches, feed
+
+
+@query("jn17_nearest_entity", f"""WITH {MATCHES}, n AS (SELECT m.slug, f.id, f.home <> m.home AS swapped, abs(f.start_ms - m.kickoff_ms) AS delta FROM m JOIN f ON m.home <> m.away AND ((f.home = m.home AND f.away = m.away) OR (f.home = m.away AND f.away = m.home)) AND abs(f.start_ms - m.kickoff_ms) <= 10800000),
+r AS (SELECT *, row_number() OVER w AS k, lead(delta) OVER w AS nxt FROM n WINDOW w AS (PARTITION BY slug ORDER BY delta, id)),
+s AS (SELECT m.slug, CASE WHEN home IS NULL OR away IS NULL THEN 'team_not_whitelisted' WHEN home = away THEN 'team_identity_conflict' WHEN id IS NULL THEN 'missing' WHEN coalesce(nxt - delta <= 1800000, false) THEN 'ambiguous' ELSE 'matched' END AS status, id, swapped, delta FROM m LEFT JOIN r ON r.slug = m.slug AND r.k = 1)
+SELECT slug, status, CASE WHEN status = 'matched' THEN id END AS id, CASE WHEN status = 'matched' THEN swapped END AS swapped, CASE WHEN status = 'matched' THEN delta END AS delta_ms FROM s""")
 def jn17(spark: SparkSession, d: str) -> DataFrame:
-    """JN-17, SRT-06: the nearest candidate of the same key within a bound; ambiguous if the runner-up is close to it."""
-    s, cu = V.table(spark, d, "supplier"), V.table(spark, d, "customer")
-    delta = F.abs(c("c_acctbal") - c("s_acctbal"))
-    j = s.join(cu, s["s_nationkey"] == cu["c_nationkey"]).withColumn("delta", delta).where("delta <= 300")
-    near = j.groupBy("s_suppkey").agg(F.min(F.struct("delta", "c_custkey")).alias("a"))
-    rest = j.join(near, "s_suppkey").where(F.struct("delta", "c_custkey") > c("a")).groupBy("s_suppkey").agg(F.min("delta").alias("nxt"))
-    out = near.join(rest, "s_suppkey", "left").withColumn("ambiguous", holds(c("nxt") - c("a.delta") <= 10))
-    return out.select("s_suppkey", F.when(~c("ambiguous"), c("a.c_custkey")).alias("c_custkey"), "ambiguous")
+    return resolved_entities(*fixtures(spark, d))
+
 
+def named_entities(games: DataFrame, feed: DataFrame, alias: dict[str, str] | None = None) -> DataFrame:
+    """JN-18: each game(slug, a, b; names) with the one feed event(id, home, away) of the same two names, an alias counting as
+    the name that it stands for. Gives slug, status (missing, ambiguous, matched), id, a_home (whether a is at home)."""
+    name = lambda x: F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for kv in alias.items() for v in kv]), x), x) if alias else x
+    key = lambda x, y: F.array_sort(F.array_distinct(F.array(x, y)))
+    ev = feed.select(key(c("home"), c("away")).alias("k"), "id", "home").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct("id", "home"), "id").alias("e"))
+    j = games.withColumn("k", key(name(c("a")), name(c("b")))).join(ev, "k", "left")
+    status = F.when(c("n").isNull(), "missing").when(c("n") > 1, "ambiguous").otherwise("matched")
+    return j.select("slug", status.alias("status"), F.when(c("n") == 1, c("e.id")).alias("id"), F.when(c("n") == 1, c("e.home") == name(c("a"))).alias("a_home"))
 
-@query("jn18_set_equality", "WITH w AS (SELECT p_partkey, list_sort(string_split(lower(p_type), ' ')) AS k FROM part), n AS (SELECT k, count(*) AS n, min(p_partkey) AS one FROM w GROUP BY k) SELECT p_partkey, CASE WHEN n = 1 THEN 'matched' ELSE 'ambiguous' END AS status, one FROM w JOIN n USING (k)")
+
+@query("jn18_set_equality", """WITH g AS (SELECT o_orderkey AS slug, CASE WHEN o_custkey % 40 = 7 THEN 'Sevens' ELSE 'T' || (o_custkey % 40) END AS a, 'T' || (o_orderkey % 40) AS b FROM orders),
+e AS (SELECT l_orderkey * 10 + l_linenumber AS id, 'T' || (l_suppkey % 40) AS home, 'T' || (l_partkey % 40) AS away FROM lineitem WHERE l_quantity < 3),
+n AS (SELECT list_sort(list_distinct([home, away])) AS k, count(*) AS n, min(id) AS id, arg_min(home, id) AS home FROM e GROUP BY 1), x AS (SELECT slug, CASE WHEN a = 'Sevens' THEN 'T7' ELSE a END AS a, b FROM g)
+SELECT slug, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE 'matched' END AS status, CASE WHEN n = 1 THEN id END AS id, CASE WHEN n = 1 THEN home = a END AS a_home FROM x LEFT JOIN n ON n.k = list_sort(list_distinct([a, b]))""")
 def jn18(spark: SparkSession, d: str) -> DataFrame:
-    """JN-18: equality of word sets through their sorted arrays; more than one match is ambiguous."""
-    w = V.table(spark, d, "part").select("p_partkey", F.array_sort(F.split(F.lower("p_type"), " ")).alias("k"))
-    n = w.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("one"))
-    return w.join(n, "k").select("p_partkey", F.when(c("n") == 1, "matched").otherwise("ambiguous").alias("status"), "one")
+    team = lambda x: F.concat(F.lit("T"), (x % 40).cast("string"))
+    a = team(c("o_custkey"))
+    games = V.table(spark, d, "orders").select(c("o_orderkey").alias("slug"), F.when(a == "T7", "Sevens").otherwise(a).alias("a"), team(c("o_orderkey")).alias("b"))
+    feed = V.table(spark, d, "lineitem").where("l_quantity < 3").select((c("l_orderkey") * 10 + c("l_linenumber")).alias("id"), team(c("l_suppkey")).alias("home"), team(c("l_partkey")).alias("away"))
+    return named_entities(games, feed, {"Sevens": "T7"})
 
 
-@query("jn16_routing", "SELECT DISTINCT e.event_id, k.slug FROM events e JOIN (SELECT DISTINCT user_id % 50 AS key, 'u' || CAST(user_id % 10 AS VARCHAR) AS slug FROM events) k ON k.key = e.user_id OR k.key = e.event_id % 50 WHERE e.event_id < 2000")
+@query("jn16_routing", "WITH k AS (SELECT DISTINCT user_id % 50 AS key, 'u' || CAST(user_id % 10 AS VARCHAR) AS slug FROM events) SELECT e.event_id, k.slug FROM events e JOIN k ON k.key = e.user_id UNION SELECT e.event_id, k.slug FROM events e JOIN k ON k.key = e.event_id % 50")
 def jn16(spark: SparkSession, d: str) -> DataFrame:
     """JN-15/16: rows routed by any of several keys: exploded to one key each, joined, made distinct."""
     e = V.events(spark, d)
@@ -216,11 +267,15 @@ def jn16(spark: SparkSession, d: str) -> DataFrame:
     return keys.join(route, "key").select("event_id", "slug").distinct()
 
 
-@query("jn02_star", V.sql("fires trades", "SELECT DISTINCT f.token, CAST(count(*) OVER (PARTITION BY f.token) AS BIGINT) AS n FROM fires f JOIN (SELECT DISTINCT token, t // 3600000 AS h FROM trades) x ON x.token = f.token AND x.h = f.t // 3600000"))
+def children(parents: DataFrame, rows: DataFrame, key: str, foreign: str) -> DataFrame:
+    """JN-02: the distinct rows whose foreign key names a parent, with the parent's columns; rows without one go."""
+    return parents.join(rows, parents[key] == rows[foreign]).drop(foreign).distinct()
+
+
+@query("jn02_star", "SELECT DISTINCT o_orderkey, o_orderpriority, l_suppkey, l_returnflag FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'O'")
 def jn02(spark: SparkSession, d: str) -> DataFrame:
-    h = lambda t: F.floor(c(t) / 3_600_000)
-    x = V.trades(spark, d).select("token", h("t").alias("h")).distinct()
-    return V.fires(spark, d).withColumn("h", h("t")).join(x, ["token", "h"]).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    o = V.table(spark, d, "orders").where("o_orderstatus <> 'O'").select("o_orderkey", "o_orderpriority")
+    return children(o, V.table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag"), "o_orderkey", "l_orderkey")
 
 
 @query("jn03_semi", "SELECT o_orderkey FROM orders o WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_discount > 0.09)")
@@ -233,7 +288,7 @@ def jn03(spark: SparkSession, d: str) -> DataFrame:
 
 @query("jn21_row_diff", V.sql("mids", "WITH a AS (SELECT token, mid, row_number() OVER (PARTITION BY token ORDER BY t, seq) AS i FROM mids), b AS (SELECT token, CASE WHEN i % 17 = 0 THEN mid + 1 ELSE mid END AS mid, i FROM a WHERE i % 101 <> 0) SELECT a.token, CAST(count(*) FILTER (b.i IS NULL) AS BIGINT) AS missing, CAST(count(*) FILTER (b.i IS NOT NULL AND a.mid IS DISTINCT FROM b.mid) AS BIGINT) AS different FROM a LEFT JOIN b USING (token, i) GROUP BY a.token"))
 def jn21(spark: SparkSession, d: str) -> DataFrame:
-    """JN-21/22/23: two runs' rows compared by position."""
+    """JN-21: two runs' rows compared by position."""
     a = V.mids(spark, d).select("token", "mid", F.row_number().over(Window.partitionBy("token").orderBy("t", "seq")).alias("i"))
     b = a.where("i % 101 <> 0").select("token", "i", F.when(c("i") % 17 == 0, c("mid") + 1).otherwise(c("mid")).alias("other"), F.lit(1).alias("there"))
     j = a.join(b, ["token", "i"], "left")
@@ -248,14 +303,28 @@ def prj10(spark: SparkSession, d: str) -> DataFrame:
     return V.events(spark, d).join(F.broadcast(rules), "event_type").where(hit).select("event_id", "target")
 
 
-@query("prj16_lifecycle", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'ended' WHEN o_totalprice > 200000 THEN 'extended' ELSE 'scheduled' END AS reason, epoch(o_orderdate) * 1000 + CASE WHEN o_orderstatus = 'F' THEN 0 WHEN o_totalprice > 200000 THEN 7200000 ELSE 3600000 END AS end_ms FROM orders")
+def in_discovery(kickoff_ms: Column, at_ms: Column, back_ms: int = 4 * HOUR, ahead_ms: int = 7 * 24 * HOUR) -> Column:
+    """PRJ-16: whether a match is near enough to be watched."""
+    return kickoff_ms.between(at_ms - back_ms, at_ms + ahead_ms)
+
+
+def collection_end(kickoff_ms: Column, expired_ms: Column, full_time_ms: Column, all_closed_ms: Column, any_closed: Column, score_ms: Column, back_ms: int = 4 * HOUR) -> Column:
+    """PRJ-16: struct(end_ms, reason) of a match's collection, NULL while it is still awaited: expired before, at the later
+    of its close and half an hour after full time, or four hours after a kickoff that left no score, full time or close."""
+    of = lambda ms, why: F.struct(ms.cast("long").alias("end_ms"), F.lit(why).alias("reason"))
+    nothing = score_ms.isNull() & full_time_ms.isNull() & all_closed_ms.isNull() & ~holds(any_closed)
+    return F.when(expired_ms.isNotNull(), of(expired_ms, "no_feed_or_close")).when(full_time_ms.isNotNull() & all_closed_ms.isNotNull(), of(F.greatest(all_closed_ms, full_time_ms + 30 * 60_000), "finished_and_closed")).when(nothing, of(kickoff_ms + back_ms, "no_feed_or_close"))
+
+
+@query("prj16_lifecycle", """WITH m AS (SELECT o_orderkey, epoch_ms(o_orderdate) AS k, o_orderkey % 11 = 0 AS x, o_orderstatus = 'F' AS f, o_orderkey % 3 = 0 AS z, o_orderkey % 5 = 0 AS any_closed, o_orderkey % 2 = 0 AS s FROM orders)
+SELECT o_orderkey, CASE WHEN x THEN k + 1 WHEN f AND z THEN greatest(k + 7000000 + (o_orderkey % 4) * 1000000, k + 6600000 + 1800000) WHEN NOT s AND NOT f AND NOT z AND NOT any_closed THEN k + 14400000 END AS end_ms,
+CASE WHEN x THEN 'no_feed_or_close' WHEN f AND z THEN 'finished_and_closed' WHEN NOT s AND NOT f AND NOT z AND NOT any_closed THEN 'no_feed_or_close' END AS reason, k BETWEEN 820454400000 - 14400000 AND 820454400000 + 604800000 AS watched FROM m""")
 def prj16(spark: SparkSession, d: str) -> DataFrame:
-    """PRJ-16: when a collection window ends, and why, as one struct."""
     o = V.table(spark, d, "orders").withColumn("ts", c("o_orderdate").cast("timestamp_ntz"))
-    s = V.epoch("ts") * 1000
-    one = lambda why, ms: F.struct(F.lit(why).alias("reason"), (s + ms).cast("double").alias("end_ms"))
-    end = F.when(c("o_orderstatus") == "F", one("ended", 0)).when(c("o_totalprice") > 200_000, one("extended", 7_200_000)).otherwise(one("scheduled", 3_600_000))
-    return o.select("o_orderkey", end.alias("e")).select("o_orderkey", "e.reason", "e.end_ms")
+    key, k = c("o_orderkey"), V.epoch("ts") * 1000
+    when = lambda x, y: F.when(x, y)
+    end = collection_end(k, when(key % 11 == 0, k + 1), when(c("o_orderstatus") == "F", k + 6_600_000), when(key % 3 == 0, k + 7_000_000 + key % 4 * 1_000_000), key % 5 == 0, when(key % 2 == 0, k))
+    return o.select(key, end.alias("e"), in_discovery(k, F.lit(820_454_400_000)).alias("watched")).select("o_orderkey", "e.end_ms", "e.reason", "watched")
 
 
 @query("srt07_stride_sample", V.sql("mids", "WITH m AS (SELECT token, t, seq, row_number() OVER (PARTITION BY token ORDER BY t, seq) - 1 AS i, count(*) OVER (PARTITION BY token) AS n FROM mids) SELECT token, t, seq FROM m WHERE (i % greatest(1, n // 5) = 0 AND i // greatest(1, n // 5) < 5) OR i = n - 1"))
@@ -314,12 +383,23 @@ def snk05(spark: SparkSession, d: str) -> DataFrame:
 
 @query("snk04_late_update", "SELECT o_orderkey, coalesce(u.p, o_totalprice) AS price FROM orders o LEFT JOIN (SELECT l_orderkey, max(l_extendedprice) AS p FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) u ON u.l_orderkey = o.o_orderkey")
 def snk04(spark: SparkSession, d: str) -> DataFrame:
-    """SNK-03/04: results completed by later rows, by key."""
+    """SNK-04: results completed by later rows, by key."""
     u = V.table(spark, d, "lineitem").where("l_returnflag = 'R'").groupBy(c("l_orderkey").alias("o_orderkey")).agg(F.max("l_extendedprice").alias("p"))
     return V.table(spark, d, "orders").join(u, "o_orderkey", "left").select("o_orderkey", F.coalesce("p", "o_totalprice").alias("price"))
 
 
-@query("pipe10_sequence_check", V.sql("mids", "SELECT token, seq, lag(seq) OVER (PARTITION BY token ORDER BY seq) + 8 >= seq AS in_sequence FROM mids"))
+def sequence_check(rows: DataFrame, scope: list[str], seq: str = "seq", at: str = "t") -> DataFrame:
+    """PIPE-10: of each scope whether its sequence numbers follow each other by one in order of arrival, the breaks, the first
+    and last number, and the largest wait between rows."""
+    w = Window.partitionBy(*scope).orderBy(at, seq)
+    x = rows.withColumns({"_p": F.lag(seq).over(w), "_w": c(at) - F.lag(at).over(w)})
+    broken = F.count_if(c("_p") + 1 != c(seq))
+    return x.groupBy(*scope).agg(F.count(F.lit(1)).alias("n"), broken.alias("breaks"), F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"), F.max("_w").alias("largest_wait"), (broken == 0).alias("in_sequence"))
+
+
+@query("pipe10_sequence_check", V.sql("mids", """WITH n AS (SELECT token, t, row_number() OVER (PARTITION BY token ORDER BY t, seq) + CASE WHEN token % 2 = 0 AND seq % 97 = 0 THEN 1 ELSE 0 END AS q FROM mids WHERE token < 6),
+l AS (SELECT *, lag(q) OVER w AS p, t - lag(t) OVER w AS wait FROM n WINDOW w AS (PARTITION BY token ORDER BY t, q))
+SELECT token, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (p + 1 <> q) AS BIGINT) AS breaks, min(q) AS first_seq, max(q) AS last_seq, max(wait) AS largest_wait, count(*) FILTER (p + 1 <> q) = 0 AS in_sequence FROM l GROUP BY token"""))
 def pipe10(spark: SparkSession, d: str) -> DataFrame:
-    p = F.lag("seq").over(Window.partitionBy("token").orderBy("seq"))
-    return V.mids(spark, d).select("token", "seq", (p + 8 >= c("seq")).alias("in_sequence"))
+    n = F.row_number().over(Window.partitionBy("token").orderBy("t", "seq")) + F.when((c("token") % 2 == 0) & (c("seq") % 97 == 0), 1).otherwise(0)
+    return sequence_check(V.mids(spark, d).where("token < 6").select("token", "t", n.cast("long").alias("q")), ["token"], "q")

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.clean import clip, floor_at, holds, ratio, rounded
 from tidemill.functions.frames import forward, order, rolling, trailing
@@ -76,15 +79,33 @@ def efficiency(n: int) -> Column:
     return step, clip(ratio(F.abs(c("close") - F.lag("close", n).over(W())), rolling(F.sum, c("_step"), n, W())), 0.0, 1.0)
 
 
-def ewm(x: Column, span: int, back: int, least: int | None = None) -> Column:
-    """WIN-11: exponentially weighted mean, not adjusted, as an ordered fold over the last `back` values.
+def ewm(df: DataFrame, x: str, span: int, name: str, key: str = "symbol", by: str = "ts", least: int | None = None, chunk_seconds: int = 30 * 86_400) -> DataFrame:
+    """WIN-11: adds the exponentially weighted mean of x, not adjusted, over all values so far; NULL until enough are seen.
 
-    With back rows beyond the series' length it is exact; the weight of what is left out is (1 - alpha) ** back.
+    Exact however long the series: it is cut into stretches of time, each of which is folded on its own as if it began with a
+    mean of 0; the mean at its end is linear in the one at its beginning, so one pass over the stretches' ends carries the
+    means on. Only NULL values are passed over.
     """
-    alpha = 2 / (span + 1)
-    seen = F.collect_list(x).over(trailing(back, W()))
-    fold = F.aggregate(F.slice(seen, 2, back), F.element_at(seen, 1), lambda a, v: a * (1 - alpha) + v * alpha)
-    return F.when(F.size(seen) >= (max(2, span // 5) if least is None else least), fold)
+    alpha, need = 2 / (span + 1), max(2, span // 5) if least is None else least
+    fields = T.StructType([*df.schema.fields, T.StructField("_part", T.LongType()), T.StructField("_own", T.DoubleType()), T.StructField("_n", T.LongType()), T.StructField("_first", T.DoubleType())])
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(by)
+        v = pdf[x].dropna()
+        own = pd.Series(np.r_[0.0, v.to_numpy(float)]).ewm(alpha=alpha, adjust=False).mean().iloc[1:].set_axis(v.index) if len(v) else v
+        return pdf.assign(_own=own.reindex(pdf.index).ffill().fillna(0.0), _n=pdf[x].notna().cumsum(), _first=float(v.iloc[0]) if len(v) else None)[fields.names]
+
+    part = F.floor(V.epoch(by) / chunk_seconds)
+    parts = df.withColumn("_part", part).groupBy(key, "_part").applyInPandas(fold, fields)
+    ends = parts.groupBy(key, "_part").agg(F.max("_n").alias("n"), F.max_by("_own", by).alias("own"), F.first("_first", True).alias("first"))
+    series = ends.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_part", "n", "own", "first"))).alias("e"))
+    # the first value of all starts the mean, which weighs as one value before it
+    step = f"named_struct('m', coalesce(x.m, y.first, 0D) * pow({1 - alpha!r}D, y.n) + y.own, 'n', x.n + y.n, 'first', coalesce(x.first, y.first))"
+    carried = series.select(key, F.explode(F.expr("transform(sequence(1, size(e)), i -> named_struct('_part', e[i - 1]._part, 'before', aggregate(slice(e, 1, i - 1), named_struct('m', CAST(NULL AS DOUBLE), 'n', 0L, 'first', CAST(NULL AS DOUBLE)), (x, y) -> IF(y.n = 0, x, " + step + "))))")).alias("c"))
+    carried = carried.select(key, "c._part", F.col("c.before.m").alias("_m"), F.col("c.before.n").alias("_seen"))
+    at = F.coalesce("_m", "_first") * F.pow(F.lit(1 - alpha), F.col("_n").cast("double")) + F.col("_own")
+    out = parts.join(carried, [key, "_part"]).withColumn(name, F.when(F.col("_n") + F.col("_seen") >= need, F.coalesce(at, F.col("_m"))))
+    return out.drop("_part", "_own", "_n", "_first", "_m", "_seen")
 
 
 def forward_return(n: int) -> Column:
@@ -123,7 +144,7 @@ def least(agg: str, x: str, n: int, m: int | None = None) -> str:
     return f"CASE WHEN count({x}) {over(n)} >= {m or n} THEN {agg}({x}) {over(n)} END"
 
 
-PARK = {n: f"sqrt({least('avg', 'pow(ln(high / low), 2)', n)} / (4 * ln(2)))" for n in (5, 10, 15, 30, 45, 60)}
+PARK = {n: f"sqrt({least('avg', 'pow(ln(high / nullif(low, 0)), 2)', n)} / (4 * ln(2)))" for n in (5, 10, 15, 30, 45, 60, 1440)}
 
 
 @query("win02_parkinson", V.sql("bars_1h", "SELECT symbol, ts, " + ", ".join(f"round({x}, 6) AS pk_{n}" for n, x in PARK.items()) + " FROM bars_1h"))
@@ -193,13 +214,13 @@ r AS (SELECT symbol, ts, k, x AS m FROM a WHERE k = 1 UNION ALL SELECT a.symbol,
 SELECT symbol, ts, CASE WHEN k >= 2 THEN round(m, 6) END AS imb_ema FROM r"""))
 def win11(spark: SparkSession, d: str) -> DataFrame:
     x = 2 * ratio(c("taker"), c("volume")) - 1
-    return rounded(_bars(spark, d).withColumn("_x", x).select("symbol", "ts", ewm(c("_x"), 10, 240).alias("imb_ema")))
+    return rounded(ewm(_bars(spark, d).select("symbol", "ts", x.alias("_x")), "_x", 10, "imb_ema", chunk_seconds=5 * 86_400).select("symbol", "ts", "imb_ema"))
 
 
-@query("win12_intrabar_zscore", V.sql("bars_1h", f"SELECT symbol, ts, round((r - ({least('avg', 'r', 240, 100)})) / nullif({least('stddev_samp', 'r', 240, 100)}, 0), 6) AS z_intrabar FROM (SELECT symbol, ts, close / open - 1 AS r FROM bars_1h)"))
+@query("win12_intrabar_zscore", V.sql("bars_1h", f"SELECT symbol, ts, round((r - ({least('avg', 'r', 1440, 100)})) / nullif({least('stddev_samp', 'r', 1440, 100)}, 0), 6) AS z_intrabar FROM (SELECT symbol, ts, close / open - 1 AS r FROM bars_1h)"))
 def win12(spark: SparkSession, d: str) -> DataFrame:
     b = _bars(spark, d).withColumn("r", ratio(c("close"), c("open")) - 1)
-    return rounded(b.select("symbol", "ts", ratio(c("r") - rolling(F.avg, c("r"), 240, W(), 100), rolling(F.stddev_samp, c("r"), 240, W(), 100)).alias("z_intrabar")))
+    return rounded(b.select("symbol", "ts", ratio(c("r") - rolling(F.avg, c("r"), 1440, W(), 100), rolling(F.stddev_samp, c("r"), 1440, W(), 100)).alias("z_intrabar")))
 
 
 @query("win14_forward_sum", V.sql("bars_1h", "SELECT symbol, ts, CASE WHEN count(volume) OVER w = 5 THEN round(sum(volume) OVER w, 6) END AS fwd_sum_5, CASE WHEN count(volume) OVER w = 5 THEN round(avg(volume) OVER w, 6) END AS fwd_mean_5 FROM bars_1h WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)"))
@@ -243,6 +264,7 @@ def fn02(spark: SparkSession, d: str) -> DataFrame:
     return V.events(spark, d).select("event_id", (F.floor(s / 900) * 900).alias("epoch_15m"), (F.floor(s / 300) * 300).alias("epoch_5m"))
 
 
-@query("fn33_round_half_even", V.sql("bars_1h", "SELECT symbol, ts, round_even(close * 100 / 8, 0) AS half_even FROM bars_1h"))
+@query("fn33_round_half_even", V.sql("bars_1h", f"SELECT symbol, ts, round_even(volume / nullif({least('avg', 'volume', 20)}, 0), 6) AS vol_ratio_20, round_even(close / 8, 6) AS half_even FROM bars_1h"))
 def fn33(spark: SparkSession, d: str) -> DataFrame:
-    return _bars(spark, d).select("symbol", "ts", F.bround(c("close") * 100 / 8, 0).alias("half_even"))
+    """FN-33: features to six digits, ties to even."""
+    return _bars(spark, d).select("symbol", "ts", F.bround(volume_ratio(20), 6).alias("vol_ratio_20"), F.bround(c("close") / 8, 6).alias("half_even"))

@@ -54,7 +54,7 @@ def features(spark: SparkSession, d: str) -> DataFrame:
 
 
 F_SQL = f"f AS (SELECT symbol, ts, close, {X.least('avg', 'abs(r)', 1)} AS mar_1, {X.least('avg', 'abs(r)', 4)} AS mar_4, abs(ln(lead(close) OVER (PARTITION BY symbol ORDER BY ts) / close)) AS target FROM (SELECT *, ln(close / lag(close) OVER (PARTITION BY symbol ORDER BY ts)) AS r FROM bars_1h))"
-WALK = f"""{F_SQL}, d AS (SELECT unnest(range(19724, 19754)) AS score_day), t AS (SELECT d.score_day, f.* FROM d JOIN f ON epoch(ts) < score_day * 86400 - 3600 AND epoch(ts) >= (score_day - 5) * 86400)"""
+WALK = f"""{F_SQL}, d AS (SELECT unnest(range(CAST(epoch(min(ts)) AS BIGINT) // 86400 - 6, CAST(epoch(max(ts)) AS BIGINT) // 86400 + 8)) AS score_day FROM f), t AS (SELECT d.score_day, f.* FROM d JOIN f ON epoch(ts) < score_day * 86400 - 3600 AND epoch(ts) >= (score_day - 5) * 86400)"""
 
 
 @query("agg22_ols", V.sql("bars_1h", f"WITH {F_SQL} SELECT symbol, CAST(regr_count(target, mar_4) AS BIGINT) AS n, round(regr_slope(target, mar_4), 6) AS slope, round(regr_intercept(target, mar_4), 6) AS intercept FROM f GROUP BY symbol"))
@@ -64,7 +64,7 @@ def agg22(spark: SparkSession, d: str) -> DataFrame:
     return rounded(f.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), slope.alias("slope"), intercept.alias("intercept")))
 
 
-@query("agg23_walk_forward", V.sql("bars_1h", f"WITH {WALK} SELECT score_day, CAST(regr_count(target, mar_4) AS BIGINT) AS n, CASE WHEN regr_count(target, mar_4) >= 30 THEN round(regr_intercept(target, mar_4), 6) END AS intercept, CASE WHEN regr_count(target, mar_4) >= 30 THEN round(regr_slope(target, mar_4), 6) END AS b_mar_4 FROM t WHERE score_day BETWEEN 19724 AND 19753 GROUP BY score_day"))
+@query("agg23_walk_forward", V.sql("bars_1h", f"WITH {WALK} SELECT score_day, CAST(regr_count(target, mar_4) AS BIGINT) AS n, CASE WHEN regr_count(target, mar_4) >= 30 THEN round(regr_intercept(target, mar_4), 6) END AS intercept, CASE WHEN regr_count(target, mar_4) >= 30 THEN round(regr_slope(target, mar_4), 6) END AS b_mar_4 FROM t GROUP BY score_day"))
 def agg23(spark: SparkSession, d: str) -> DataFrame:
     t = walk_forward(features(spark, d), 5, 1)
     return rounded(ols(t, ["score_day"], "target", ["mar_4"]))

@@ -138,7 +138,8 @@ def prj04(spark: SparkSession, d: str) -> DataFrame:
     return firings(deciles(spark, d)).select("symbol", "ts", "cell_id", "side")
 
 
-@query("prj05_leg_detail", V.sql("bars_1h", f"""WITH {DEC} SELECT symbol, ts, 1 AS cell_id, unnest(['d_pk', 'd_ret']) AS feature, unnest([d_pk, d_ret]) AS actual, 10 AS required FROM dec WHERE d_pk = 10 AND d_ret = 10"""))
+@query("prj05_leg_detail", V.sql("bars_1h", f"""WITH {FIRE}, legs AS (SELECT f.symbol, f.ts, f.cell_id, unnest([{{'feature': 'd_pk', 'required': a, 'actual': d_pk}}, {{'feature': 'd_ret', 'required': b, 'actual': d_ret}}, {{'feature': 'd_vol', 'required': v, 'actual': d_vol}}]) AS l FROM fire f JOIN dec USING (symbol, ts)
+JOIN (VALUES (1, 10, 10, NULL), (2, 9, NULL, 9), (3, NULL, 1, 5), (4, 1, 5, NULL)) cells(cell_id, a, b, v) USING (cell_id)) SELECT symbol, ts, cell_id, l.feature AS feature, l.actual AS actual, l.required AS required FROM legs WHERE l.required IS NOT NULL"""))
 def prj05(spark: SparkSession, d: str) -> DataFrame:
     f = firings(deciles(spark, d))
     return f.select("symbol", "ts", "cell_id", F.explode("legs").alias("leg")).select("symbol", "ts", "cell_id", "leg.*")

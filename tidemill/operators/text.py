@@ -1,7 +1,8 @@
-"""Names, questions and settlement texts: normalisation, similarity, classification, schedules."""
+"""Names, questions and settlement texts: normalisation, similarity, classification, clocks, schedules."""
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 from difflib import SequenceMatcher
 
@@ -15,20 +16,29 @@ from tidemill.plans.registry import query
 from tidemill.sources import views as V
 
 c = F.col
-# Accented letters and what they fold to, and words that names share.
-ACCENTED, PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
-STOP = ("fc", "cf", "sc", "ac", "the", "of")
+# Words that say nothing about which club a name means, beside numbers of two to four digits.
+GENERIC = "fc cf sc ac as afc cd ca sv fk bk if sk us ss ssc rc rcd sd ud cs club calcio balompie futbol fussball de di da del la le el los and".split()
 
 
-def words(name: Column) -> Column:
-    """FN-23: a name's words in lower case, accents folded, common words left out, each once, sorted."""
-    plain = F.translate(F.lower(name), ACCENTED, PLAIN)
-    return F.array_sort(F.array_distinct(F.array_except(F.split(F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " ")), " "), F.array(*[F.lit(w) for w in STOP]))))
+@F.pandas_udf(T.StringType())
+def decomposed(name: pd.Series) -> pd.Series:
+    """Compatibility decomposition without combining marks, for the few names that aren't ASCII."""
+    return name.map(lambda x: None if x is None else "".join(ch for ch in unicodedata.normalize("NFKD", x) if not unicodedata.combining(ch)))
+
+
+def words(name: Column, generic: list[str] = GENERIC) -> Column:
+    """FN-23: a name's words in lower case, accents folded, generic words and numbers left out, each once, sorted."""
+    ascii_ = F.lower(F.regexp_replace(name, "[^A-Za-z0-9 ]+", " "))
+    plain = F.when(name.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.lower(decomposed(name)), "[^a-z0-9 ]+", " ")).otherwise(ascii_)
+    own = F.filter(F.split(plain, " +"), lambda w: (w != "") & ~w.isin(*generic) & ~w.rlike(r"^[0-9]{2,4}$"))
+    return F.array_sort(F.array_distinct(own))
 
 
 def overlap(a: Column, b: Column) -> Column:
-    """FN-24: shared words over the larger number of words."""
-    return F.size(F.array_intersect(a, b)) / F.greatest(F.size(a), F.size(b), F.lit(1))
+    """FN-24, its part that needs no alignment: 100 times the shared words over the fewer words, and 10 for each shared one;
+    0 where a name has no words."""
+    n, least = F.size(F.array_intersect(a, b)), F.least(F.size(a), F.size(b))
+    return F.when(a.isNull() | b.isNull(), None).when(least > 0, 100 * n / least + 10 * n).otherwise(0.0)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -37,6 +47,43 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
 
 
+def similarity(a: Column, b: Column) -> Column:
+    """FN-24: overlap plus the matching-run ratio of the sorted words; 0 where a name has no words."""
+    wa, wb = words(a), words(b)
+    return F.when(F.least(F.size(wa), F.size(wb)) > 0, overlap(wa, wb) + sequence_ratio(F.array_join(wa, " "), F.array_join(wb, " "))).otherwise(overlap(wa, wb))
+
+
+def settlement(outcomes: Column, prices: Column, closed: Column, status: Column) -> Column:
+    """FN-27: struct(y, status) of a two-outcome question from its JSON lists: resolved with y 1 or 0 if Yes and No pay 1 and 0,
+    non_binary_resolution for other payouts, NULL while open or where the lists are not a Yes and a No."""
+    o, p = F.from_json(outcomes, "array<string>"), F.transform(F.from_json(prices, "array<string>"), lambda x: x.try_cast("double"))
+    known = closed & (status == "resolved") & (F.size(o) == 2) & (F.size(p) == 2) & F.array_contains(o, "Yes") & F.array_contains(o, "No")
+    yes = F.when(F.get(o, F.lit(0)) == "Yes", F.get(p, F.lit(0))).otherwise(F.get(p, F.lit(1)))
+    no = F.when(F.get(o, F.lit(0)) == "Yes", F.get(p, F.lit(1))).otherwise(F.get(p, F.lit(0)))
+    binary = ((yes == 1) & (no == 0)) | ((yes == 0) & (no == 1))
+    of = lambda y, why: F.struct(y.cast("int").alias("y"), F.lit(why).alias("status"))
+    return F.when(known & binary, of(yes, "resolved")).when(known & yes.isNotNull() & no.isNotNull(), of(F.lit(None), "non_binary_resolution"))
+
+
+def level(price: Column, size: Column) -> Column:
+    """FN-28: struct(price, size, deletion) of a book level's texts; NULL unless 0 <= price <= 1 and size >= 0. Size 0 deletes."""
+    p, q = price.try_cast("decimal(20,6)"), size.try_cast("decimal(20,6)")
+    return F.when(p.between(0, 1) & (q >= 0), F.struct(p.alias("price"), q.alias("size"), (q == 0).alias("deletion")))
+
+
+def match_minute(period: Column, start_s: Column, status: Column, at_ms: Column) -> Column:
+    """FN-18: minutes played at a time, 45 and on in the second period; NULL unless in progress in one of the two."""
+    elapsed = (at_ms / 1000 - start_s) / 60
+    return F.when(period.isin(1, 2) & (status == "inprogress") & (elapsed >= 0), F.when(period == 1, 0).otherwise(45) + elapsed)
+
+
+def minute_hint(clock: Column) -> Column:
+    """FN-19: the minute that a display clock states. Added time stays within its period, so 45+2 is 45; other texts and minutes
+    over 120 are unknown."""
+    minute = F.regexp_extract(F.trim(clock), "^([0-9]{1,3})(?:[+][0-9]{1,2})?['\u2032]?$", 1).try_cast("int")
+    return F.when(minute <= 120, minute)
+
+
 def all_known(*checks: Column) -> Column:
     """Three-valued: false if one is false, else unknown if one is unknown, else true. SQL's AND."""
     out = checks[0]
@@ -45,12 +92,20 @@ def all_known(*checks: Column) -> Column:
     return out
 
 
-@query("fn23_name_words", "SELECT p_partkey, array_to_string(list_sort(list_distinct(list_filter(string_split(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: NOT list_contains(['fc', 'cf', 'sc', 'ac', 'the', 'of'], w)))), ' ') AS words FROM part")
+GENERIC_SQL = "[" + ", ".join(f"'{w}'" for w in GENERIC) + "]"
+
+
+def words_sql(x: str) -> str:
+    return f"list_sort(list_distinct(list_filter(string_split(regexp_replace(lower(strip_accents({x})), '[^a-z0-9 ]+', ' ', 'g'), ' '), lambda w: w <> '' AND NOT list_contains({GENERIC_SQL}, w) AND NOT regexp_full_match(w, '[0-9]{{2,4}}'))))"
+
+
+@query("fn23_name_words", f"SELECT p_partkey, array_to_string({words_sql('p_name')}, ' ') AS words FROM part")
 def fn23(spark: SparkSession, d: str) -> DataFrame:
     return V.table(spark, d, "part").select("p_partkey", F.array_join(words(c("p_name")), " ").alias("words"))
 
 
-PAIRS = "p AS (SELECT p_partkey, p_brand, list_distinct(string_split(lower(p_type), ' ')) AS w FROM part), q AS (SELECT a.p_partkey AS a, b.p_partkey AS b, len(list_intersect(a.w, b.w)) * 1.0 / greatest(len(a.w), len(b.w), 1) AS o FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_partkey // 20 = b.p_partkey // 20 AND a.p_partkey < b.p_partkey)"
+PAIRS = f"""t AS (SELECT DISTINCT p_brand, p_type, {words_sql('p_type')} AS w FROM part), m AS (SELECT a.p_brand, a.p_type AS ta, b.p_type AS tb, len(list_intersect(a.w, b.w)) AS n, least(len(a.w), len(b.w)) AS k FROM t a JOIN t b ON a.p_brand = b.p_brand),
+q AS (SELECT a.p_partkey AS a, b.p_partkey AS b, CASE WHEN k > 0 THEN 100.0 * n / k + 10 * n ELSE 0 END AS o FROM m JOIN part a ON a.p_brand = m.p_brand AND a.p_type = ta JOIN part b ON b.p_brand = m.p_brand AND b.p_type = tb AND a.p_partkey < b.p_partkey)"""
 
 
 def brand_pairs(spark: SparkSession, d: str, measure: Callable[[Column, Column], Column], name: str) -> DataFrame:
@@ -67,40 +122,58 @@ def brand_pairs(spark: SparkSession, d: str, measure: Callable[[Column, Column],
 
 @query("fn24_name_overlap", f"WITH {PAIRS} SELECT a, b, round(o, 6) AS overlap FROM q")
 def fn24(spark: SparkSession, d: str) -> DataFrame:
-    """Overlap of the words of names that share a key."""
-    w = lambda x: F.array_distinct(F.split(F.lower(x), " "))
-    return rounded(brand_pairs(spark, d, lambda a, b: overlap(w(a), w(b)), "overlap"))
+    """Shared words of the names of all pairs of a brand."""
+    return rounded(brand_pairs(spark, d, lambda a, b: overlap(words(a), words(b)), "overlap"))
 
 
 @query("fn24_sequence_ratio")
 def fn24_ratio(spark: SparkSession, d: str) -> DataFrame:
-    """The matching-run ratio of the same pairs' types; no SQL has it."""
-    return brand_pairs(spark, d, lambda a, b: F.round(sequence_ratio(a, b), 6), "ratio")
+    """The whole similarity, matching-run ratio included, of the same pairs; no SQL has it."""
+    return brand_pairs(spark, d, lambda a, b: F.round(similarity(a, b), 6), "ratio")
 
 
-@query("fn27_settlement", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_totalprice >= 100000 THEN 'Yes' WHEN o_orderstatus = 'F' THEN 'No' WHEN o_orderstatus = 'P' THEN 'PIN' END AS outcome FROM orders")
+@query("fn27_settlement", """WITH m AS (SELECT o_orderkey, o_orderstatus <> 'O' AS closed, CASE WHEN o_orderkey % 5 = 0 THEN 'proposed' ELSE 'resolved' END AS status,
+CASE WHEN o_orderkey % 7 = 0 THEN ['Up', 'Down'] WHEN o_orderkey % 2 = 0 THEN ['Yes', 'No'] ELSE ['No', 'Yes'] END AS o, CASE o_orderkey % 4 WHEN 0 THEN [1.0, 0.0] WHEN 1 THEN [0.0, 1.0] WHEN 2 THEN [0.5, 0.5] ELSE [1.0] END AS p FROM orders),
+y AS (SELECT *, closed AND status = 'resolved' AND len(p) = 2 AND list_contains(o, 'Yes') AS known, p[list_position(o, 'Yes')] AS yes FROM m)
+SELECT o_orderkey, CAST(CASE WHEN known AND yes IN (0, 1) THEN yes END AS INT) AS y, CASE WHEN known AND yes IN (0, 1) THEN 'resolved' WHEN known THEN 'non_binary_resolution' END AS status FROM y""")
 def fn27(spark: SparkSession, d: str) -> DataFrame:
-    """FN-27/31: nested classification; open ones are unknown."""
-    done = c("o_orderstatus") == "F"
-    return V.table(spark, d, "orders").select("o_orderkey", F.when(done & (c("o_totalprice") >= 100_000), "Yes").when(done, "No").when(c("o_orderstatus") == "P", "PIN").alias("outcome"))
+    k = c("o_orderkey")
+    outcomes = F.when(k % 7 == 0, '["Up", "Down"]').when(k % 2 == 0, '["Yes", "No"]').otherwise('["No", "Yes"]')
+    prices = F.when(k % 4 == 0, '["1", "0"]').when(k % 4 == 1, '["0", "1"]').when(k % 4 == 2, '["0.5", "0.5"]').otherwise('["1"]')
+    s = settlement(outcomes, prices, c("o_orderstatus") != "O", F.when(k % 5 == 0, "proposed").otherwise("resolved"))
+    return V.table(spark, d, "orders").select(k, s.alias("s")).select("o_orderkey", "s.y", "s.status")
 
 
-@query("fn28_level_validation", "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, (l_discount BETWEEN 0 AND 0.05 AND l_quantity >= 10) AS valid, l_quantity < 5 AS deletion FROM lineitem")
+@query("fn28_level_validation", """WITH t AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 7 THEN 'NaN' ELSE CAST(CAST(l_discount * 12 AS DECIMAL(10,2)) AS VARCHAR) END AS p, CASE l_orderkey % 3 WHEN 0 THEN '0' WHEN 1 THEN '-1.5' ELSE CAST(CAST(l_quantity AS DECIMAL(10,2)) AS VARCHAR) END AS q FROM lineitem),
+v AS (SELECT *, TRY_CAST(p AS DECIMAL(20,6)) AS price, TRY_CAST(q AS DECIMAL(20,6)) AS size FROM t), w AS (SELECT *, coalesce(price BETWEEN 0 AND 1 AND size >= 0, false) AS valid FROM v)
+SELECT l_orderkey, l_linenumber, valid, CAST(CASE WHEN valid THEN price END AS DOUBLE) AS price, CAST(CASE WHEN valid THEN size END AS DOUBLE) AS size, CASE WHEN valid THEN size = 0 END AS deletion FROM w""")
 def fn28(spark: SparkSession, d: str) -> DataFrame:
-    return V.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", all_known(c("l_discount").between(0, 0.05), c("l_quantity") >= 10).alias("valid"), (c("l_quantity") < 5).alias("deletion"))
+    text = lambda x: x.cast("decimal(10,2)").cast("string")
+    price = F.when(c("l_linenumber") == 7, "NaN").otherwise(text(c("l_discount") * 12))
+    size = F.when(c("l_orderkey") % 3 == 0, "0").when(c("l_orderkey") % 3 == 1, "-1.5").otherwise(text(c("l_quantity")))
+    rows = V.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", level(price, size).alias("v"))
+    return rows.select("l_orderkey", "l_linenumber", c("v").isNotNull().alias("valid"), c("v.price").cast("double").alias("price"), c("v.size").cast("double").alias("size"), "v.deletion")
 
 
-@query("fn18_match_minute", "SELECT event_id, CASE WHEN k < 45 THEN k + 1 WHEN k < 60 THEN 45 ELSE least(90, k - 14) END AS minute FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events)")
+@query("fn18_match_minute", """SELECT event_id, round(CASE WHEN k % 4 IN (1, 2) AND event_type <> 'signup' AND e >= 0 THEN CASE WHEN k % 4 = 1 THEN 0 ELSE 45 END + e END, 6) AS minute
+FROM (SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INT) AS k, (epoch_us(ts) // 1000 / 1000.0 - (epoch_us(ts) // 1000000 // 3600 * 3600 + 600)) / 60 AS e FROM events)""")
 def fn18(spark: SparkSession, d: str) -> DataFrame:
     k = F.from_json("props", "k int")["k"]
-    return V.events(spark, d).select("event_id", F.when(k < 45, k + 1).when(k < 60, 45).otherwise(F.least(F.lit(90), k - 14)).alias("minute"))
+    start = F.floor(V.epoch("ts") / 3600) * 3600 + 600
+    status = F.when(c("event_type") == "signup", "halftime").otherwise("inprogress")
+    return rounded(V.events(spark, d).select("event_id", match_minute(k % 4, start, status, V.millis("ts")).alias("minute")))
+
+
+CLOCKS = ("45+2'", "90'", "HT", "121", "7\u2032", " 12 ", "45+123", "90+4")
+
+
+CLOCK_SQL = "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in CLOCKS) + "]"
 
 
-@query("fn19_clock", "SELECT event_id, CAST(regexp_extract(t, '^([0-9]+)', 1) AS INT) + coalesce(TRY_CAST(regexp_extract(t, '[+]([0-9]+)', 1) AS INT), 0) AS minute FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '45+' || CAST(event_id % 7 AS VARCHAR) || '''' ELSE CAST(event_id % 90 AS VARCHAR) || '''' END AS t FROM events)")
+@query("fn19_clock", f"WITH t AS (SELECT event_id, trim({CLOCK_SQL}[event_id % 9 + 1]) AS t FROM events), m AS (SELECT event_id, TRY_CAST(regexp_extract(t, '^([0-9]{{1,3}})(?:[+][0-9]{{1,2}})?[''\u2032]?$', 1) AS INT) AS m FROM t) SELECT event_id, CASE WHEN m <= 120 THEN m END AS minute FROM m")
 def fn19(spark: SparkSession, d: str) -> DataFrame:
-    """A display clock such as 45+2' as minutes."""
-    e = V.events(spark, d).withColumn("t", F.when(c("event_id") % 3 == 0, F.concat(F.lit("45+"), (c("event_id") % 7).cast("string"), F.lit("'"))).otherwise(F.concat((c("event_id") % 90).cast("string"), F.lit("'"))))
-    return e.select("event_id", (F.regexp_extract("t", "^([0-9]+)", 1).cast("int") + F.coalesce(F.regexp_extract("t", "[+]([0-9]+)", 1).try_cast("int"), F.lit(0))).alias("minute"))
+    clock = F.try_element_at(F.array(*[F.lit(x) for x in CLOCKS]), (c("event_id") % 9 + 1).cast("int"))
+    return V.events(spark, d).select("event_id", minute_hint(clock).alias("minute"))
 
 
 @query("fn34_daily_schedule", "SELECT o_orderkey, date_trunc('day', o_orderdate) + INTERVAL 6 HOUR + CASE WHEN o_orderdate >= date_trunc('day', o_orderdate) + INTERVAL 6 HOUR THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS settle_at FROM orders")

@@ -12,8 +12,9 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def even_rounding(sql: str) -> str:
-    """Every round(x, n) as the arithmetic that functions.clean.half_up does, in SQL."""
+def same_rounding(sql: str) -> str:
+    """Every round(x, n) as the arithmetic that functions.clean.half_up does, in SQL: the engines' own functions differ in the
+    last bit of a tie."""
     out, at = "", 0
     for m in re.finditer(r"\bround\(", sql):
         if m.start() < at:
@@ -23,8 +24,8 @@ def even_rounding(sql: str) -> str:
             depth += (sql[i] == "(") - (sql[i] == ")")
             comma = i if sql[i] == "," and depth == 1 else comma
             i += 1
-        x, n = even_rounding(sql[m.end() : comma]), sql[comma + 1 : i - 1].strip()
-        out += sql[at : m.start()] + f"(floor(({x}) * 1e{n} + 0.5001) / 1e{n})"
+        x, n = same_rounding(sql[m.end() : comma]), sql[comma + 1 : i - 1].strip()
+        out += sql[at : m.start()] + f"(floor(({x}) * 1e{n} + 0.5) / 1e{n})"
         at = i
     return out + sql[at:]
 
@@ -35,7 +36,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             raise ValueError(f"{name} is there twice")
         QUERIES[name] = f
         if sql:
-            SQL[name] = even_rounding(sql)
+            SQL[name] = same_rounding(sql)
         return f
 
     return add
