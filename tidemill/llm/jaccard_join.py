@@ -41,7 +41,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemill.llm import kernels as K
 from tidemill.llm.components import connected_components
-from tidemill.llm.shared import documents, written
+from tidemill.llm.shared import documents, dropped, written
 
 U64 = np.uint64
 SKETCH, LARGE, WIDE = 1024, 1500, 16384  # bits; sets from LARGE elements on have a sketch of WIDE bits as well
@@ -280,11 +280,11 @@ def _verify(n: int, seed: int, t: int) -> Callable[[Iterator[pa.RecordBatch]], I
 
 
 def _texts(keys: DataFrame, told: DataFrame, base: DataFrame) -> DataFrame:
-    """(key, check, text) for each set with one of these keys: by a broadcast of the rows wanted where Spark's size check
-    allows it, else by a shuffle."""
+    """(key, check, text) for each set with one of these keys. The texts are shuffled at any size, against hash tables of the
+    rows wanted: a broadcast of these would only do for small corpora."""
     rep = told.join(keys, "key").where("id is not null").groupBy("key", "check").agg(F.min(F.struct("id", "th")).alias("r"))
     wanted = written(rep.select("key", "check", F.col("r.id").alias("id"), F.col("r.th").alias("th")), "wanted")
-    return wanted.join(base, ["id", "th"]).dropDuplicates(["key", "check"]).select("key", "check", "text")
+    return base.join(wanted.hint("shuffle_hash"), ["id", "th"]).dropDuplicates(["key", "check"]).select("key", "check", "text")
 
 
 def verified(pairs: DataFrame, told: DataFrame, base: DataFrame, n: int, t: int, seed: int, salt_rows: int = 2000) -> DataFrame:
@@ -312,7 +312,9 @@ def _met(base: DataFrame, n: int, t: int, seed: int, bands: list[Band], hot_rows
     salt = F.when(F.col("salts").isNull(), -1).otherwise(F.pmod(F.xxhash64("key"), F.col("salts"))).cast("int")
     rows = rows.join(F.broadcast(hot), "sig", "left").select("sig", "key", salt.alias("salt")).repartition("sig", "salt")  # read twice
     shared = rows.groupBy("sig", "salt").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a != b or salt >= 0").select("sig", "salt")
-    return written(rows.join(shared, ["sig", "salt"]).distinct().select("sig", "key"), "met")
+    met = written(rows.join(shared, ["sig", "salt"]).distinct().select("sig", "key"), "met")
+    dropped(hot)
+    return met
 
 
 def _refined(open_: DataFrame, told: DataFrame, base: DataFrame, n: int, t: int, seed: int, bands: list[Band], hot_rows: int, levels: int = 3) -> DataFrame:
@@ -327,7 +329,9 @@ def _refined(open_: DataFrame, told: DataFrame, base: DataFrame, n: int, t: int,
         signed = _texts(again.select("key").distinct(), told, base).select("text").mapInArrow(_sign(n, seed, bands, t, salt), "other long, key long").distinct()
         finer = written(again.join(signed, "key").select(F.xxhash64("sig", "other", F.lit(level)).alias("sig"), "key", "part"), "finer")
         mixed = finer.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("sig")
-        open_ = written(open_.join(hot, "sig", "left_anti").unionByName(finer.join(mixed, "sig", "left_semi")), "open")
+        rest = written(open_.join(hot, "sig", "left_anti").unionByName(finer.join(mixed, "sig", "left_semi")), "open")
+        dropped(open_, hot, finer)
+        open_ = rest
     return open_
 
 
@@ -362,7 +366,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     one = may.join(hub, "sig").groupBy("key").agg(F.max("hub").alias("hub")).select(F.col("key"), F.col("hub.key").alias("hub")).where("hub != key")
     side = lambda c: small.select(*[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch", "wide")])
     one = one.join(side("a"), F.col("key") == F.col("akey")).join(side("b"), F.col("hub") == F.col("bkey")).where(near).select("hub", "key")
-    links = written(verified(written(one, "pairs"), told, base, n, t, seed), "links")
+    pairs = written(one, "pairs")
+    links = written(verified(pairs, told, base, n, t, seed), "links")
+    dropped(pairs)
     # what still crosses components; a key that two sets share goes by the lesser one's component, which only asks for more pairs
     of = connected_components(links).groupBy("node.key").agg(F.min("component").alias("component"))
     part = met.join(of, "key", "left").select("sig", "key", F.coalesce("component", F.struct("key", F.lit(0).cast("long").alias("check"))).alias("part"))
@@ -375,8 +381,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     a = a.withColumn("block", F.pmod(F.xxhash64("akey"), F.col("blocks")).cast("int")).drop("blocks")
     b = b.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     cross = a.join(b, ["sig", "block"]).where((F.col("apart") != F.col("bpart")) & (F.col("akey") < F.col("bkey")) & near).select(F.col("akey").alias("hub"), F.col("bkey").alias("key")).distinct()
-    more = written(verified(written(cross, "pairs"), told, base, n, t, seed), "links")
+    pairs = written(cross, "pairs")
+    more = written(verified(pairs, told, base, n, t, seed), "links")
     all_parts = connected_components(links.unionByName(more))
+    dropped(pairs, met, small, open_, links, more)
     node = F.struct("key", "check")
     of_node = told.where("key is not null").groupBy(node.alias("node")).agg(F.min("id").alias("first"))
     named = of_node.join(all_parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
