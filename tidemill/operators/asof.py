@@ -12,22 +12,37 @@ from tidemill.sources import views as V
 c = F.col
 
 
-def asof(left: DataFrame, right: DataFrame, values: list[str], key: str = "token", on: str = "t", seq: str = "seq", forward: bool = False, prefix: str = "") -> DataFrame:
+DAY = 86_400_000
+
+
+def asof(left: DataFrame, right: DataFrame, values: list[str], key: str = "token", on: str = "t", seq: str = "seq", forward: bool = False, prefix: str = "", bucket: int = DAY) -> DataFrame:
     """JN-06/07, JN-14: each left row with the values of the last right row at or before it (forward: first at or after).
 
-    Both series are one, ordered by time; the right side comes first on ties, so equal times match.
+    Both series are one, ordered by time; the right side comes first on ties, so equal times match. Windows are by key and
+    bucket of time; into each bucket goes the nearest right row of the buckets beyond it, found from one row for each key
+    and bucket. So a key that holds most rows is spread over as many tasks as it has buckets.
     """
     struct = F.struct(*[c(v) for v in values])
     none = F.lit(None).cast(right.select(struct.alias("x")).schema["x"].dataType)
-    l = left.select(c(key).alias("_k"), c(on).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_row"), none.alias("_v"), c(seq).alias("_s"))
-    r = right.select(c(key).alias("_k"), c(on).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), struct.alias("_v"), c(seq).alias("_s"))
-    both = l.unionByName(r)
-    w = Window.partitionBy("_k")
+    at = F.floor(c("_t") / bucket)
+    l = left.select(c(key).alias("_k"), c(on).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_row"), none.alias("_v"), c(seq).alias("_s")).withColumn("_b", at)
+    row = F.lit(None).cast(l.schema["_row"].dataType)
+    r = right.select(c(key).alias("_k"), c(on).alias("_t"), F.lit(0).alias("_side"), row.alias("_row"), struct.alias("_v"), c(seq).alias("_s")).withColumn("_b", at)
+    best = F.min_by if forward else F.max_by
+    ends = r.groupBy("_k", "_b").agg(best("_v", F.struct("_t", "_s")).alias("_v"))
+    steps = ends.unionByName(l.select("_k", "_b", none.alias("_v"))).groupBy("_k", "_b").agg(F.first("_v", True).alias("_v"))
+    beyond = Window.partitionBy("_k").orderBy(F.desc("_b") if forward else "_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = steps.withColumn("_v", F.last("_v", ignorenulls=True).over(beyond)).where("_v IS NOT NULL")
+    # the carried row comes before all others of its bucket in the window's order
+    carried = carried.select("_k", F.lit(None).cast(l.schema["_t"].dataType).alias("_t"), F.lit(-1).alias("_side"), row.alias("_row"), "_v", F.lit(None).cast(l.schema["_s"].dataType).alias("_s"), "_b")
+    both = l.unionByName(r).unionByName(carried)
+    first = (c("_side") >= 0).cast("int")
+    w = Window.partitionBy("_k", "_b")
     if forward:
         # descending time: the nearest right row ahead is the last one seen, the first of equal times being kept
-        w = w.orderBy(F.desc("_t"), "_side", F.desc("_s")).rowsBetween(Window.unboundedPreceding, 0)
+        w = w.orderBy(first, F.desc("_t"), "_side", F.desc("_s")).rowsBetween(Window.unboundedPreceding, 0)
     else:
-        w = w.orderBy("_t", "_side", "_s").rowsBetween(Window.unboundedPreceding, 0)
+        w = w.orderBy(first, "_t", "_side", "_s").rowsBetween(Window.unboundedPreceding, 0)
     got = both.withColumn("_m", F.last("_v", ignorenulls=True).over(w)).where("_side = 1")
     return got.select("_row.*", *[c(f"_m.{v}").alias(prefix + v) for v in values])
 
@@ -43,20 +58,27 @@ def interpolated(points: DataFrame, series: DataFrame, value: str) -> DataFrame:
     return both.withColumn("at", F.coalesce(exact, line)).select(*points.columns, "at")
 
 
-def trailing_sums(points: DataFrame, series: DataFrame, sums: dict[str, Column], back_ms: int) -> DataFrame:
-    """JN-09, WIN-23: sums over the series in (t - back, t] for each point, by a RANGE frame over both."""
-    zero = {n: F.lit(0.0) for n in sums}
-    p = points.select(c("token").alias("_k"), c("t").alias("_t"), F.struct(*points.columns).alias("_row"), *[v.alias(n) for n, v in zero.items()])
+def trailing_sums(points: DataFrame, series: DataFrame, sums: dict[str, Column], back_ms: int, bucket: int = DAY) -> DataFrame:
+    """JN-09, WIN-23: sums over the series in (t - back, t] for each point, by a RANGE frame over both. By token and bucket of
+    time; a series row goes to every bucket whose points can reach it."""
+    own = F.floor(c("_t") / bucket)
+    p = points.select(c("token").alias("_k"), c("t").alias("_t"), F.struct(*points.columns).alias("_row"), *[F.lit(0.0).alias(n) for n in sums]).withColumn("_b", own)
     q = series.select(c("token").alias("_k"), c("t").alias("_t"), F.lit(None).cast(p.schema["_row"].dataType).alias("_row"), *[v.alias(n) for n, v in sums.items()])
-    w = Window.partitionBy("_k").orderBy("_t").rangeBetween(-(back_ms - 1), 0)
+    q = q.withColumn("_b", F.explode(F.sequence(own, F.floor((c("_t") + back_ms - 1) / bucket))))
+    w = Window.partitionBy("_k", "_b").orderBy("_t").rangeBetween(-(back_ms - 1), 0)
     got = p.unionByName(q).select("_row", *[F.sum(n).over(w).alias(n) for n in sums])
     return got.where("_row IS NOT NULL").select("_row.*", *sums)
 
 
 def prefix_vwap(points: DataFrame, trades: DataFrame, back_ms: int) -> DataFrame:
-    """WIN-30: the same VWAP from cumulative sums and two as-of lookups."""
-    w = Window.partitionBy("token").orderBy("t", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    cum = trades.select("token", "t", "seq", F.sum(c("price") * c("size")).over(w).alias("pq"), F.sum("size").over(w).alias("q"))
+    """WIN-30: the same VWAP from cumulative sums, of days and within them, and two as-of lookups."""
+    day = F.floor(c("t") / DAY)
+    w = Window.partitionBy("token", "_d").orderBy("t", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    days = trades.groupBy("token", day.alias("_d")).agg(F.sum(c("price") * c("size")).alias("dpq"), F.sum("size").alias("dq"))
+    upto = Window.partitionBy("token").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    before = days.select("token", "_d", *[F.coalesce(F.sum(x).over(upto), F.lit(0.0)).alias(x) for x in ("dpq", "dq")])
+    own = trades.withColumn("_d", day).select("token", "_d", "t", "seq", F.sum(c("price") * c("size")).over(w).alias("pq"), F.sum("size").over(w).alias("q"))
+    cum = own.join(before, ["token", "_d"]).select("token", "t", "seq", (c("pq") + c("dpq")).alias("pq"), (c("q") + c("dq")).alias("q"))
     now = asof(points, cum, ["pq", "q"])
     then = asof(now.withColumn("_now", c("t")).withColumn("t", c("t") - back_ms), cum, ["pq", "q"], prefix="b")
     zero = lambda x: F.coalesce(c(x), F.lit(0.0))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.clean import ratio, rounded
+from tidemill.functions.folds import fold
 from tidemill.plans.registry import query
 from tidemill.sources import views as V
 
@@ -144,16 +149,35 @@ def str14(spark: SparkSession, d: str) -> DataFrame:
     return validity(ladder_events(spark, d))
 
 
+def best_asks(ev: DataFrame) -> DataFrame:
+    """STR-14/15: the best ask after every event of ev(token, seq, kind, price, size); NULL after a gap until the next snapshot.
+
+    Each snapshot's life is folded on its own, event after event, with the ladder as state.
+    """
+    rows = grouped(ev).select("token", "grp", "seq", "state", "price", "size")
+    schema = T.StructType([rows.schema["token"], rows.schema["seq"], T.StructField("best", rows.schema["price"].dataType)])
+
+    def step(pdf: pd.DataFrame, state: tuple | None) -> tuple[pd.DataFrame, tuple]:
+        sizes, heap = state or ({}, [])
+        best: list = []
+        for live, price, size in zip(pdf["state"], pdf["price"], pdf["size"]):
+            if live == "book" and not pd.isna(price):
+                if price not in sizes:
+                    heapq.heappush(heap, price)
+                sizes[price] = size
+                while heap and not sizes[heap[0]] > 0:
+                    del sizes[heapq.heappop(heap)]
+            best.append(heap[0] if live == "book" and heap else None)
+        return pd.DataFrame({"token": pdf["token"], "seq": pdf["seq"], "best": pd.array(best, dtype="Int64") if whole else best}), (sizes, heap)
+
+    whole = isinstance(rows.schema["price"].dataType, T.IntegralType)
+    return fold(rows, ["token", "grp"], ["seq"], step, schema)
+
+
 @query("str14_best_ask", f"""{LADDER_SQL}, v AS (SELECT token, grp, price, size, seq, lead(seq) OVER (PARTITION BY token, grp, price ORDER BY seq) AS until FROM g WHERE state = 'book')
 SELECT e.token, e.seq, min(v.price) FILTER (v.size > 0) AS best FROM g e LEFT JOIN v ON e.state = 'book' AND v.token = e.token AND v.grp = e.grp AND v.seq <= e.seq AND (v.until IS NULL OR v.until > e.seq) GROUP BY ALL""")
 def str14_best(spark: SparkSession, d: str) -> DataFrame:
-    """STR-14/15: the best ask after every event; NULL after a gap until the next snapshot."""
-    ev = ladder_events(spark, d)
-    e = grouped(ev).select("token", "seq", "grp", "state")
-    v = validity(ev).where("size > 0").select("token", "grp", "price", c("seq").alias("since"), "until")
-    live = e.where("state = 'book'").join(v, ["token", "grp"]).where((c("since") <= c("seq")) & (c("until").isNull() | (c("until") > c("seq"))))
-    best = live.groupBy("token", "seq").agg(F.min("price").alias("best"))
-    return e.select("token", "seq").join(best, ["token", "seq"], "left")
+    return best_asks(ladder_events(spark, d))
 
 
 @query("str16_add_flow", f"{LADDER_SQL}, v AS (SELECT *, size - coalesce(lag(size) OVER (PARTITION BY token, grp, price ORDER BY seq), 0) AS d FROM g WHERE state = 'book') SELECT token, grp, CAST(count(*) FILTER (d > 0 AND kind = 'delta') AS BIGINT) AS adds, round(coalesce(sum(d) FILTER (d > 0 AND kind = 'delta'), 0), 4) AS added FROM v GROUP BY ALL")

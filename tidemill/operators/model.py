@@ -93,18 +93,24 @@ def agg24(spark: SparkSession, d: str) -> DataFrame:
     return rounded(z.groupBy("symbol").agg(F.count("z").alias("n"), F.min("z").alias("lo"), F.median("z").alias("mid"), F.max("z").alias("hi")), 5)
 
 
-def share_above(rows: DataFrame, pool: DataFrame, key: str, x: str, z: str, strict: bool = True) -> DataFrame:
-    """JN-20, FN-06: for each row the share of its key's pool over x (strict) or at least x, by one ordered window over
-    both; the pool is never collected."""
+def share_above(rows: DataFrame, pool: DataFrame, key: str, x: str, z: str, strict: bool = True, cuts: int = 200) -> DataFrame:
+    """JN-20, FN-06: for each row the share of its key's pool over x (strict) or at least x; the pool is never collected.
+
+    Both are dealt to ranges of values, between approximate quantiles of the key's pool, and ordered within a range; counts of
+    the ranges below complete the ranks, so a large pool is ranked in as many tasks as it has ranges.
+    """
     p = pool.where(c(z).isNotNull()).select(c(key).alias("_k"), c(z).alias("_x"), F.lit(1).alias("_n"), F.lit(None).cast(rows.select(F.struct("*").alias("r")).schema["r"].dataType).alias("_row"))
     r = rows.select(c(key).alias("_k"), c(x).alias("_x"), F.lit(0).alias("_n"), F.struct("*").alias("_row"))
-    w = Window.partitionBy("_k").orderBy("_x")
-    w = w.rangeBetween(Window.unboundedPreceding, 0)
-    upto = F.sum("_n").over(w)
+    edges = p.groupBy("_k").agg(F.percentile_approx("_x", [i / cuts for i in range(1, cuts)], 10_000).alias("_e"), F.count(F.lit(1)).alias("_total"))
+    both = p.unionByName(r).join(edges, "_k", "left").withColumn("_b", F.size(F.filter(F.array_distinct("_e"), lambda e: e < c("_x")))).drop("_e")
+    sizes = both.groupBy("_k", "_b").agg(F.sum("_n").alias("_in"))
+    below = F.coalesce(F.sum("_in").over(Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    both = both.join(sizes.select("_k", "_b", below.alias("_below")), ["_k", "_b"])
+    w = Window.partitionBy("_k", "_b").orderBy("_x").rangeBetween(Window.unboundedPreceding, 0)
+    upto = c("_below") + F.sum("_n").over(w)
     if not strict:
-        upto = upto - F.sum("_n").over(Window.partitionBy("_k", "_x"))
-    total = F.sum("_n").over(Window.partitionBy("_k"))
-    both = p.unionByName(r).withColumn("_p", ratio(total - upto, total)).where("_row IS NOT NULL")
+        upto = upto - F.sum("_n").over(Window.partitionBy("_k", "_b", "_x"))
+    both = both.withColumn("_p", ratio(c("_total") - upto, c("_total"))).where("_row IS NOT NULL")
     return both.select("_row.*", F.when(c("_x").isNotNull(), c("_p")).alias("share"))
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.clean import holds, ratio, rounded
+from tidemill.functions.folds import fold, kept_apart
 from tidemill.operators import rules as R
 from tidemill.plans.registry import query
 from tidemill.sources import views as V
@@ -14,13 +18,15 @@ c = F.col
 HOUR = 3_600_000
 
 
-def spaced(events: DataFrame, gap: int, key: list[str], on: str = "t", seq: str = "seq", part_ms: int | None = None) -> DataFrame:
-    """STR-05/06: greedily keeps events at least gap after the last one kept, by key. An ordered fold of each key's events."""
-    one = events.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(c(on).alias("t"), c(seq).alias("s")))).alias("a"))
-    none = F.expr("cast(array() as array<struct<t:bigint,s:bigint>>)")
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), none.alias("out"))
-    fold = F.aggregate("a", start, lambda x, e: F.when(x["last"].isNull() | (e["t"] - x["last"] >= gap), F.struct(e["t"].alias("last"), F.concat(x["out"], F.array(F.struct(e["t"].cast("bigint").alias("t"), e["s"].cast("bigint").alias("s")))).alias("out"))).otherwise(x), lambda x: x["out"])
-    return one.select(*key, F.explode(fold).alias("e")).select(*key, c("e.t").alias(on), c("e.s").alias(seq))
+def spaced(events: DataFrame, gap: int, key: list[str], on: str = "t", seq: str = "seq") -> DataFrame:
+    """STR-05/06: greedily keeps events at least gap after the last one kept, by key. An ordered fold whose state is one time."""
+    rows = events.select(*key, on, seq)
+
+    def step(pdf: pd.DataFrame, last: int | None) -> tuple[pd.DataFrame, int | None]:
+        keep, last = kept_apart(pdf[on].to_numpy(), gap, last)
+        return pdf.iloc[keep], last
+
+    return fold(rows, key, [on, seq], step, rows.schema)
 
 
 def rising(df: DataFrame, value: str, threshold: float, key: str = "token", order: tuple[str, ...] = ("t", "seq")) -> DataFrame:
@@ -137,19 +143,24 @@ def single_slot(firings: DataFrame, horizon: int, buffer: int, key: str = "symbo
 
     Every firing gets a reason: taken, in_position, buffer, lost_tie. Outcome: key, i, cell_id, reason.
     """
-    item = F.struct(c("i").cast("bigint").alias("i"), c("cell_id").cast("bigint").alias("cell"))
-    one = firings.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("a"))
-    none = F.expr("cast(array() as array<struct<i:bigint,cell:bigint,reason:string>>)")
-    start = F.struct(F.lit(None).cast("bigint").alias("entry"), none.alias("out"))
-
-    def step(x: Column, e: Column) -> Column:
-        free = x["entry"].isNull() | (e["i"] >= x["entry"] + horizon + buffer)
-        tie = e["i"] == x["entry"]
-        reason = F.when(free, "taken").when(tie, "lost_tie").when(e["i"] < x["entry"] + horizon, "in_position").otherwise("buffer")
-        return F.struct(F.when(free, e["i"]).otherwise(x["entry"]).alias("entry"), F.concat(x["out"], F.array(F.struct(e["i"].alias("i"), e["cell"].alias("cell"), reason.alias("reason")))).alias("out"))
-
-    done = F.aggregate("a", start, step, lambda x: x["out"])
-    return one.select(key, F.explode(done).alias("e")).select(key, c("e.i").alias("i"), c("e.cell").alias("cell_id"), c("e.reason").alias("reason"))
+    rows = firings.select(key, c("i").cast("bigint").alias("i"), c("cell_id").cast("bigint").alias("cell_id"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("reason", T.StringType())])
+
+    def step(pdf: pd.DataFrame, entry: int | None) -> tuple[pd.DataFrame, int | None]:
+        i = pdf["i"].to_numpy()
+        reason = np.full(len(i), "", object)
+        at = 0
+        while at < len(i):
+            if entry is None or i[at] >= entry + horizon + buffer:
+                entry, reason[at] = int(i[at]), "taken"
+                at += 1
+            ends = np.searchsorted(i, [entry + 1, entry + horizon, entry + horizon + buffer])
+            for a, b, why in zip([at, *ends], ends, ("lost_tie", "in_position", "buffer")):
+                reason[max(a, at) : max(b, at)] = why
+            at = max(at, int(ends[2]))
+        return pdf.assign(reason=reason), entry
+
+    return fold(rows, [key], ["i", "cell_id"], step, schema)
 
 
 def bar_firings(spark: SparkSession, d: str) -> DataFrame:

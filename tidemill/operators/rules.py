@@ -6,11 +6,12 @@ from functools import reduce
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.clean import holds, rounded
+from tidemill.functions.folds import positions
 from tidemill.functions.frames import order, overlap_chunks, trailing
 from tidemill.operators import features as X
 from tidemill.plans.registry import query
@@ -40,9 +41,10 @@ def decile(x: str, n: int, least: int, by=None) -> Column:
     return F.when(c(x).isNotNull() & (F.size(seen) >= least), F.least(F.lit(9), F.floor(pct * 10)).cast("int") + 1)
 
 
-def decile_chunked(df: DataFrame, x: str, n: int, least: int, chunk: int = 20_000, key: str = "symbol", by: str = "ts") -> DataFrame:
-    """WIN-13, large windows: the same, by overlap chunks, each ranked in pandas; the series is parallel in its chunks."""
-    at = df.withColumn("_at", F.row_number().over(Window.partitionBy(key).orderBy(by)) - 1)
+def decile_chunked(df: DataFrame, x: str, n: int, least: int, chunk: int = 20_000, key: str = "symbol", by: str = "ts", bucket: Column | None = None) -> DataFrame:
+    """WIN-13, large windows: the same, by overlap chunks, each ranked in pandas; the series is parallel in its chunks. Rows are
+    numbered by buckets of time (bucket; ten days of a timestamp if not given)."""
+    at = positions(df, key, by, F.floor(V.epoch(by) / 864_000) if bucket is None else bucket)
     out_schema = T.StructType([*df.schema.fields, T.StructField("decile", T.IntegerType())])
 
     def rank(pdf: pd.DataFrame) -> pd.DataFrame:
