@@ -58,9 +58,10 @@ def zip_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def klines_of_json(payload: DataFrame, column: str = "value") -> DataFrame:
-    """SRC-07: rows of a REST reply [[time, o, h, l, c, v, ...], ...]; ordered by time where it matters, not here."""
+    """SRC-07: rows of a REST reply [[time, o, h, l, c, v, close time, quote volume, trades, taker base, taker quote, ...], ...]; fields
+    that a reply leaves out are NULL. Ordered by time where it matters, not here."""
     rows = payload.select(F.explode(F.from_json(column, "array<array<string>>")).alias("r"))
-    return rows.select(F.timestamp_millis(F.col("r")[0].cast("bigint")).cast("timestamp_ntz").alias("ts"), *[F.col("r")[i].try_cast("double").alias(n) for i, n in ((1, "open"), (2, "high"), (3, "low"), (4, "close"), (5, "volume"))])
+    return rows.select(F.timestamp_millis(F.col("r")[0].cast("bigint")).cast("timestamp_ntz").alias("ts"), *[F.get("r", F.lit(i)).try_cast("bigint" if n in ("close_time", "num_trades") else "double").alias(n) for i, n in enumerate(KLINE[:11]) if i])
 
 
 def candles_of_json(payload: DataFrame, column: str = "value") -> DataFrame:
