@@ -327,6 +327,13 @@ def test_warc_round_trip(spark):
     assert b"".join(p["data"] for p in parts).decode() == rows[5][2]
     assert parts[2]["digest"] == base64.b32encode(hashlib.sha1(b"".join(p["data"] for p in parts[:3])).digest()).decode()
     assert warc.records(warc.archive_pages(pages.limit(0))).count() == 0
+    from pyspark.sql import functions as F
+
+    clashing = pages.withColumns({x: F.lit(1) for x in ("id", "digest", "payload", "refers_to", "own", "size", "file")})
+    assert {r["page_id"]: r["payload_digest"] for r in warc.records(warc.archive_pages(clashing)).collect()} == {i: r["payload_digest"] for i, r in got.items()}
+    lost = warc.write_warc(spark.createDataFrame([(1, "u", bytearray(b"x"), "A", None), (2, "u", None, "B", 1)], "id long, url string, payload binary, digest string, refers_to long"))
+    with pytest.raises(Exception, match="has another payload"):
+        warc.records(lost).collect()
     with pytest.raises(ValueError, match="within a record"):
         import gzip
         import io
@@ -403,36 +410,154 @@ def test_toxicity_on_held_out_rows(spark, odd, empty):
     assert toxicity.score(df, none).count() == len(rows)
 
 
-def test_label_model_finds_the_voters_worth():
+def plain_maximised(votes, toxic, weight, smooth=0.05):
+    """The tree of voters and its rates by loops over rows and pairs."""
+    k = votes.shape[1]
+    parent, fires = [-1] * k, np.zeros((2, 2, k))
+    mass = [[sum(w * (t if c else 1 - t) for w, t in zip(weight, toxic))] for c in (0, 1)]
+    share = lambda c, test: sum(w * (t if c else 1 - t) for v, w, t in zip(votes, weight, toxic) if test(v))
+    info = {}
+    for i in range(k - 1):
+        for j in range(i):
+            total = 0.0
+            for c in (0, 1):
+                n = mass[c][0]
+                for x in (True, False):
+                    for y in (True, False):
+                        p = share(c, lambda v, i=i, j=j, x=x, y=y: v[i] == x and v[j] == y) / n
+                        q = share(c, lambda v, i=i, x=x: v[i] == x) * share(c, lambda v, j=j, y=y: v[j] == y) / n / n
+                        total += n * p * np.log(max(p, 1e-12) / max(q, 1e-12)) if p > 0 else 0.0
+            info[i, j] = info[j, i] = total
+    inside = {0}
+    while len(inside) < k - 1:
+        gain, j, i = max((info[j, i], -j, -i) for j in range(k - 1) if j not in inside for i in inside)
+        inside.add(-j)
+        if gain > 3.84 / 2:
+            parent[-j] = -i
+    for c in (0, 1):
+        for i in range(k):
+            led = share(c, lambda v, i=i: parent[i] >= 0 and v[parent[i]])
+            both = share(c, lambda v, i=i: v[i] and parent[i] >= 0 and v[parent[i]])
+            one = share(c, lambda v, i=i: v[i])
+            fires[c, 1, i] = (both + smooth) / (led + 2 * smooth)
+            fires[c, 0, i] = (one - both + smooth) / (mass[c][0] - led + 2 * smooth)
+    prior = mass[1][0] / (mass[0][0] + mass[1][0])
+    post = []
+    for v in votes:
+        odds = prior / (1 - prior)
+        for i in range(k):
+            if v[i]:
+                at = int(parent[i] >= 0 and v[parent[i]])
+                odds *= fires[1, at, i] / fires[0, at, i]
+        post.append(odds / (1 + odds))
+    return parent, fires, np.array(post)
+
+
+def test_label_model_equals_plain_loops(spark):
+    """One step of the model by hand, then a corpus with a voter that repeats another one."""
     rng = np.random.default_rng(1)
-    y = rng.random(4000) < 0.2
-    votes = np.stack([(rng.random(4000) < np.where(y, a, b)) for a, b in ((0.7, 0.02), (0.6, 0.02), (0.5, 0.02), (0.1, 0.1))], axis=1)
-    votes = np.concatenate([votes, votes[:, :1]], axis=1)  # a copy of the first voter
-    known = np.where(rng.random(4000) < 0.2, y, -1)
-    post, report = toxicity.label_model(votes, known)
-    assert ((post > 0.5) == y).mean() > 0.93
-    assert report["weight"][0] < 0.6 and report["weight"][1] > 0.8
-
-
-def test_co_training(spark, odd, empty):
-    rng = np.random.default_rng(2)
-    y = rng.random(3000) < 0.7
-    c, m = rng.normal(size=(3000, 4)), rng.normal(size=(3000, 3))
-    c[:, 0] += 2.5 * y
-    m[:, 0] += 2.0 * y
-    few = slice(0, 40)
-    a, b, told = co_training.co_train(c[few], m[few], y[few].astype(float), c[40:2000], m[40:2000])
-    right = lambda x, w, z: ((x[2000:] @ w + z > 0) == y[2000:]).mean()
-    alone = co_training.logistic(m[few], y[few].astype(float), np.ones(40))
-    assert right(c, *a) > 0.85 and right(m, *b) > right(m, *alone) - 0.02 and told[0]["from_content"] > 0
+    y = rng.random(3000) < 0.2
+    votes = np.stack([(rng.random(3000) < np.where(y, a, b)) for a, b in ((0.7, 0.02), (0.6, 0.03), (0.5, 0.02), (0.1, 0.1))], axis=1)
+    copy = votes[:, 0] & (rng.random(3000) < 0.97)
+    votes = np.concatenate([votes, copy[:, None]], axis=1)
+    some = toxicity.with_none(votes[:200])
+    soft, weight = rng.random(200), rng.integers(1, 4, 200).astype(float)
+    m = toxicity.moments(some, soft, weight)
+    model = toxicity.maximised(m, toxicity.tree(m))
+    parent, fires, post = plain_maximised(some, soft, weight)
+    assert np.allclose(model.fires, np.clip(fires, 1e-6, 1 - 1e-6)) and [{i, int(p)} for i, p in enumerate(model.parent) if p >= 0] == [{i, p} for i, p in enumerate(parent) if p >= 0]
+    assert np.allclose(model.posterior(some), post)
+    rows, n = np.unique(np.packbits(votes, axis=1), axis=0, return_counts=True)
+    patterns = spark.createDataFrame([(bytearray(x.tobytes()), int(c)) for x, c in zip(rows, n)], "votes binary, n long")
+    fitted, told = toxicity.label_model(patterns, votes[:300], y[:300].astype(float))
+    own = toxicity.with_none(votes)
+    assert ((fitted.posterior(own) > 0.5) == y).mean() > 0.93
+    assert {0, 4} in [{i, int(p)} for i, p in enumerate(fitted.parent)]  # the copy leans on what it copies
+    led = fitted.fires[1, 1] / fitted.fires[0, 1]
+    assert abs(np.log(led[4] if fitted.parent[4] == 0 else led[0])) < 0.2  # and tells little beyond it
+    assert toxicity.label_model(patterns.limit(0), votes[:300], y[:300].astype(float))[0].posterior(own).shape == (3000,)
+
+
+def plain_co_training(rows, labels, rounds=4, sure=0.95):
+    """Scores by plain numpy: the rounds of co-training over (id, text, lang, source, size)."""
+    x = []
+    for _, text, lang, source, size in rows:
+        raw = (text or "").encode()
+        content = co_training.content_features(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0].astype(float)
+        x.append((content, co_training.meta_features([lang], [source], [size])[0].astype(float)))
+    x = [np.array([r[v] for r in x]) for v in (0, 1)]
+    held = np.array([i in labels and zlib.crc32(str(i).encode()) % 4 == 0 for i, *_ in rows])
+    known = np.array([i in labels for i, *_ in rows])
+    y = np.array([labels.get(i, -1) for i, *_ in rows])
+
+    def solved(good, bad, weight):
+        mean = [(m * w[:, None]).sum(0) / w.sum() for m, w in ((good, weight[0]), (bad, weight[1]))]
+        within = sum(((m - u) * w[:, None]).T @ (m - u) for m, u, w in zip((good, bad), mean, weight)) / (weight[0].sum() + weight[1].sum())
+        within += np.eye(len(within)) * (0.02 * np.trace(within) / len(within) + 1e-6)
+        return np.linalg.solve(within, mean[0] - mean[1])
+
+    def learn(v, said):
+        groups, weights = [], []
+        for k in (1, 0):
+            own = x[v][known & ~held & (y == k)]
+            more = x[v][~known][said == k] if said is not None and all((said == j).any() for j in (0, 1)) else own[:0]
+            groups.append(np.concatenate([own, more]))
+            weights.append(np.concatenate([np.ones(len(own)), np.full(len(more), min(1.0, len(own) / max(len(more), 1)))]))
+        w = solved(*groups, weights)
+        slope, shift = co_training.logistic((x[v][held] @ w)[:, None], y[held].astype(float))
+        return x[v] @ w * slope[0] + shift, w
+
+    logits, ws = zip(*(learn(v, None) for v in (0, 1)))
+    for _ in range(rounds):
+        p = [1 / (1 + np.exp(-np.clip(z[~known], -30, 30))) for z in logits]
+        said = [np.where(q >= sure, 1, np.where(q <= 1 - sure, 0, -1)) for q in p]
+        logits, fresh = zip(*(learn(v, said[1 - v]) for v in (0, 1)))
+        moved, ws = max(np.abs(a - b).max() for a, b in zip(ws, fresh)), fresh
+        if moved < 1e-3:
+            break
+    both = np.stack(logits, 1)
+    w, b = co_training.logistic(both[held], y[held].astype(float), 1.0)
+    return {r[0]: 1 / (1 + np.exp(-np.clip(both[i] @ np.maximum(w, 0) + b, -30, 30))) for i, r in enumerate(rows)}
+
+
+def two_views(n, seed):
+    """Documents whose words and whose source each say something about their quality, in ways of their own."""
+    rng = random.Random(seed)
+    rows, truth = [], {}
+    for i in range(n):
+        y = int(rng.random() < 0.5)
+        words = [rng.choice(["alpha", "beta", "gamma", "delta"] if rng.random() < (0.56 if y else 0.44) else ["omega", "sigma", "tau", "rho"]) for _ in range(60)]
+        rows.append((i, " ".join(words), "en", f"s{rng.randint(0, 3) + (0 if rng.random() < (0.97 if y else 0.03) else 4)}", 10))
+        truth[i] = y
+    return rows, truth
+
+
+def test_co_training_equals_plain_numpy_and_exchange_helps(spark, odd, empty):
+    rows, truth = two_views(3000, 2)
+    labels = {i: truth[i] for i in range(160)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    shown = co_training.views(docs).cache()
+    told = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+    model = co_training.fit(shown, told)
+    got = {r["doc_id"]: r["score"] for r in co_training.score(shown, model).collect()}
+    want = plain_co_training(rows, labels)
+    assert max(abs(got[i] - want[i]) for i in want) < 1e-3
+    right = lambda m, col: np.mean([(r[col] >= 0.5) == bool(truth[r["doc_id"]]) for r in co_training.score(shown, m).collect() if r["doc_id"] >= 160])
+    alone = co_training.fit(shown, told, rounds=0)
+    assert model.report["rounds"][0]["from_metadata"] > 100
+    assert right(model, "content_score") > right(alone, "content_score")  # what metadata taught it
+    assert right(model, "score") >= max(right(alone, "content_score"), right(alone, "metadata_score"), right(alone, "score"))
+
+
+def test_co_training_rows(spark, odd, empty):
     rows = co_training.op2_co_training(spark, MIDDLE).collect()
     assert len(rows) == 1000 and all(0 <= r["score"] <= 1 for r in rows)
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect()}
     assert np.mean([r["keep"] == bool(labels[r["doc_id"]]) for r in rows if r["doc_id"] in labels]) > 0.95
-    stats = quality_rules.statistics(odd, carry=("doc_id", "lang", "source"))
-    model = co_training.fit(stats, spark.createDataFrame([], "doc_id long, quality int"))
-    assert co_training.score(stats, model).count() == len(ODD)
-    assert co_training.score(quality_rules.statistics(empty, carry=("doc_id", "lang", "source")), model).count() == 0
+    shown = co_training.views(odd)
+    model = co_training.fit(shown, spark.createDataFrame([], "doc_id long, quality int"))
+    assert co_training.score(shown, model).count() == len(ODD)
+    assert co_training.score(co_training.views(empty), model).count() == 0
 
 
 def test_edit_aware_counts_equal_full_counts(spark, odd, empty):

@@ -1,13 +1,16 @@
-"""Toxicity by weak supervision: many lexicon and pattern voters, a generative label model over their votes, and a linear
-classifier trained on the posterior labels that scores every document.
+"""Toxicity by weak supervision: many lexicon and pattern voters, a generative label model over the votes on every document,
+and a linear classifier trained on the posterior labels that scores every document.
 
 Features of a text are the presence of words and of word beginnings of 4, 5 and 6 bytes (letters and digits, A-Z folded),
-as 64-bit hashes. From a bounded sample of labelled rows come the features' counts by class; the words that mark toxic
-rows become lexicon voters, the beginnings pattern voters, and shouting and symbols further pattern voters. A voter fires
-or abstains. The label model takes P(fires | class) of each voter from expectation maximisation over the sample's votes,
-unlabelled rows included at a lower weight; votes that correlate within a class share their weight, as a
-word and its beginnings say the same thing. The classifier, logistic over a small vocabulary, learns the posteriors; its
-intercept is set from the sample's to the corpus's share of toxic rows.
+as 64-bit hashes. Seeds, a bounded sample of labelled rows, show which of them mark toxic texts: such words become lexicon
+voters, beginnings pattern voters, and shouting and symbols further pattern voters. A voter fires or abstains.
+
+The label model is a tree of voters for each of the hidden classes: P(voter fires | class, its parent fires or not). It estimates
+how often voters are right and which ones repeat each other: a word's beginning that fires whenever the word does tells
+nothing more. Expectation maximisation fits it to the votes on all documents, labelled or not, as counts of distinct vote
+patterns that Spark keeps and adds up round by round; the seeds only start it and weigh as much as all documents together,
+which keeps the classes in their places. The classifier, logistic over a small vocabulary, learns the model's posteriors - not
+labels - on the seeds' texts; its scale and intercept are calibrated on the seeds (Platt) and set to the labelled rows' share of toxic ones.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemill.llm import kernels as K
-from tidemill.llm.shared import documents, written
+from tidemill.llm.shared import documents, dropped, written
 
 U64 = np.uint64
 BEGINNINGS = (4, 5, 6)
@@ -113,45 +116,123 @@ def _hits(vocabulary: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     return run
 
 
-def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 50, unlabelled: float = 0.25) -> tuple[np.ndarray, dict]:
-    """Posterior P(toxic) of each row from 0/1 votes; known: 1, 0 or -1 (unlabelled).
+def vote_patterns(docs: DataFrame, lexicon: np.ndarray, text_col: str = "text") -> DataFrame:
+    """(votes, n): each distinct pattern of votes of the lexicon (sorted hashes) and the shapes, packed, and its documents."""
 
-    Rates start from the labelled rows, which stay in their classes in later rounds; an unlabelled row counts a quarter.
-
-    A voter that does not fire abstains, which says nothing by itself (voters for one language are quiet on the others);
-    that none of them fires is a vote of its own, the last column here. The rates P(fires | class) come from EM. Correlated
-    voters: a vote's log-odds is divided by one plus the sum of its squared correlations with the other voters, averaged
-    over the classes and estimated with the rates.
-    """
-    v = np.concatenate([votes, ~votes.any(axis=1, keepdims=True)], axis=1).astype(np.float64)
-    labelled = known >= 0
-    if not labelled.any():
-        known, labelled = votes.any(axis=1).astype(int), np.ones(len(v), bool)
-    post = np.where(known == 1, 1.0, 0.0)
-    rate = np.zeros((2, v.shape[1]))
-    share, prior = np.ones(v.shape[1]), 0.5
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = Lookup(lexicon)
+        for batch in batches:
+            for a, b, data, offs in K.parts(batch.column(0)):
+                votes = np.zeros((b - a, len(lexicon) + len(SHAPES)), bool)
+                at, which = find(*features(data, offs))
+                votes[at, which] = True
+                votes[:, len(lexicon) :] = shapes(data, offs)
+                rows, n = np.unique(np.packbits(votes, axis=1), axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in rows], pa.binary()), pa.array(n, pa.int64())], ["votes", "n"])
+
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, "votes binary, n long")
+    return rows.groupBy("votes").agg(F.sum("n").alias("n"))
+
+
+class LabelModel(NamedTuple):
+    """parent: of each voter the one it leans on (-1: none); fires[class, parent's vote, voter]; prior of class 1. The last voter
+    says that no other fires."""
+
+    parent: np.ndarray
+    fires: np.ndarray
+    prior: float
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """P(class 1) of rows of votes. A voter that fires is evidence given its parent's vote; one that abstains is none, as
+        voters for one language are quiet on the others."""
+        v = votes.astype(np.float64)
+        led = np.where(self.parent >= 0, v[:, self.parent], 0.0)
+        odds = np.log(self.fires[1] / self.fires[0])
+        z = np.log(self.prior / (1 - self.prior)) + (v * (led * odds[1] + (1 - led) * odds[0])).sum(axis=1)
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def with_none(votes: np.ndarray) -> np.ndarray:
+    return np.concatenate([votes, ~votes.any(axis=1, keepdims=True)], axis=1)
+
+
+def moments(votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Of each class the weighted counts of pairs of voters that fire together, with a last column of ones: [class, i, j]."""
+    v = np.concatenate([votes, np.ones((len(votes), 1))], axis=1).astype(np.float64)
+    return np.stack([(v * (p * weight)[:, None]).T @ v for p in (1 - toxic, toxic)])
+
+
+def tree(m: np.ndarray) -> np.ndarray:
+    """Each voter's parent in the tree that shares most information within the classes (Chow and Liu); -1 where it shares no more
+    than chance would."""
+    total = m[:, -1, -1]
+    n, one, both = total[:, None, None], np.diagonal(m, axis1=1, axis2=2)[:, :-1], m[:, :-1, :-1]
+    k = one.shape[1]
+    info = np.zeros((k, k))
+    for c in range(2):
+        cells = [both[c], one[c][:, None] - both[c], one[c][None, :] - both[c], n[c] - one[c][:, None] - one[c][None, :] + both[c]]
+        a, b = one[c] / max(total[c], 1e-9), 1 - one[c] / max(total[c], 1e-9)
+        for cell, x, y in zip(cells, (a, a, b, b), (a, b, a, b)):
+            p = np.maximum(cell, 0) / max(total[c], 1e-9)
+            info += total[c] * p * np.log(np.maximum(p, 1e-12) / np.maximum(np.outer(x, y), 1e-12))
+    info[:, -1] = info[-1, :] = -1.0  # that no other voter fires stands alone
+    np.fill_diagonal(info, -1.0)
+    parent = np.full(k, -1)
+    left = set(range(k - 1)) - {0}
+    best, lead = info[0].copy(), np.zeros(k, int)
+    while left:
+        i = max(left, key=lambda j: (best[j], -j))
+        left.remove(i)
+        if best[i] > 3.84 / 2:  # no chance association at one in twenty
+            parent[i] = lead[i]
+        more = info[i] > best
+        best, lead = np.where(more, info[i], best), np.where(more, i, lead)
+    return parent
+
+
+def maximised(m: np.ndarray, parent: np.ndarray, smooth: float = 0.05) -> LabelModel:
+    """The rates of largest likelihood along a tree for these moments, lightly smoothed."""
+    total, one, both = m[:, -1, -1], np.diagonal(m, axis1=1, axis2=2)[:, :-1], m[:, :-1, :-1]
+    k = one.shape[1]
+    fires = np.zeros((2, 2, k))
+    for c in range(2):
+        with_parent = both[c][np.arange(k), np.maximum(parent, 0)] * (parent >= 0)
+        led = one[c][np.maximum(parent, 0)] * (parent >= 0)
+        fires[c, 1] = (with_parent + smooth) / (led + 2 * smooth)
+        fires[c, 0] = (one[c] - with_parent + smooth) / (total[c] - led + 2 * smooth)
+    return LabelModel(parent, np.clip(fires, 1e-6, 1 - 1e-6), float(np.clip(total[1] / max(total.sum(), 1e-9), 1e-3, 1 - 1e-3)))
+
+
+def label_model(patterns: DataFrame, seeds: np.ndarray, seed_toxic: np.ndarray, rounds: int = 12, parts: int = 16) -> tuple[LabelModel, list[dict]]:
+    """EM over patterns(votes binary, n), a written table of packed votes and how many documents cast them. Starts from the seeds'
+    votes and classes, whose moments weigh as much as those of all documents in every round; which voters repeat each other is
+    read from the seeds, as a tree that could move would take the classes' part."""
+    own = with_none(seeds)
+    first = moments(own, seed_toxic.astype(float), np.ones(len(own)))
+    parent = tree(first)
+    model, k, told = maximised(first, parent), seeds.shape[1], []
+    documents_ = patterns.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    few = patterns.coalesce(parts)
     for r in range(rounds):
-        before = post
-        weight = np.where(labelled, 1.0, 0.0 if r == 0 else unlabelled)
-        held = np.where(labelled, known == 1, post)  # labelled rows hold the classes in place; their own posterior is the model's
-        for c, p in ((1, held * weight), (0, (1 - held) * weight)):
-            rate[c] = (p @ v + 0.05) / (p.sum() + 0.1)
-        prior = np.clip((held * weight).sum() / weight.sum(), 1e-3, 1 - 1e-3)
-        if r % 10 == 0:
-            corr = np.zeros((v.shape[1],) * 2)
-            for c, p in ((1, held * weight), (0, (1 - held) * weight)):
-                d = v - rate[c]
-                cov = (d * p[:, None]).T @ d / max(p.sum(), 1)
-                sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-                corr += cov / sd / sd[:, None] / 2
-            np.fill_diagonal(corr, 0)
-            share = 1 / (1 + (corr[:-1, :-1] ** 2).sum(axis=1))
-            share = np.append(share, 1.0)
-        z = np.log(prior / (1 - prior)) + v @ (np.log(rate[1] / rate[0]) * share)
-        post = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        if np.abs(post - before).max() < 1e-4:
+
+        def expect(batches: Iterator[pa.RecordBatch], model: LabelModel = model) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((2, k + 2, k + 2))
+            for batch in batches:
+                if len(batch):
+                    raw = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(len(batch), -1)
+                    v = with_none(np.unpackbits(raw, axis=1)[:, :k].astype(bool))
+                    total += moments(v, model.posterior(v), batch.column(1).to_numpy(zero_copy_only=False).astype(float))
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        got = few.mapInArrow(expect, "sums binary").collect() if documents_ else []  # parts rows of (voters + 2) ** 2 numbers
+        all_ = sum((np.frombuffer(x["sums"]).reshape(first.shape) for x in got), np.zeros(first.shape))
+        fresh = maximised(first + all_ * (len(own) / max(documents_, 1)), parent)
+        moved = float(np.abs(fresh.fires - model.fires).max())
+        told.append({"round": r, "prior": fresh.prior, "moved": moved})
+        model = fresh
+        if moved < 1e-3:
             break
-    return post, {"prior": float(prior), "fires_toxic": rate[1].round(4).tolist(), "fires_clean": rate[0].round(4).tolist(), "weight": share.round(3).tolist()}
+    return model, told
 
 
 def logistic(rows: np.ndarray, cols: np.ndarray, n: int, m: int, y: np.ndarray, l2: float = 1.0, rounds: int = 400) -> tuple[np.ndarray, float]:
@@ -170,19 +251,32 @@ def logistic(rows: np.ndarray, cols: np.ndarray, n: int, m: int, y: np.ndarray,
     return lw, lb
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = 6000, pool_rows: int = 2000, voters: int = 96, vocabulary: int = 2048) -> Model:
-    """A model from at most sample_rows labelled rows of each class and pool_rows unlabelled ones, the least by a hash of
-    the id. Rows whose crc32(id as text) mod 5 is 0 are held out: their labels are never read."""
+def calibration(z: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[float, float]:
+    """Platt's line: slope and shift that turn scores into log-odds of the labels, by Newton steps."""
+    a, w = np.stack([z, np.ones(len(z))], 1), np.array([1.0, 0.0])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        step = np.linalg.solve((a * (p * (1 - p) + 1e-9)[:, None]).T @ a + np.diag([1e-3, 1e-3]), a.T @ (p - y) + 1e-3 * (w - [1.0, 0.0]))
+        w = w - step * min(1.0, 5 / (np.abs(step).max() + 1e-12))
+        if np.abs(step).max() < 1e-6:
+            break
+    return max(float(w[0]), 1e-3), float(w[1])
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = 6000, voters: int = 96, vocabulary: int = 2048) -> Model:
+    """A model from seeds, at most sample_rows labelled documents of each class, the least by a hash of the id, and from the votes
+    on all documents. Rows whose crc32(id as text) mod 5 is 0 are held out: their labels are never read. A document's label is
+    the greatest of its rows; of several texts with its id the least counts."""
     spark = docs.sparkSession
     held = F.crc32(F.col(f"`{id_col}`").cast("string")) % 5 == 0
     known = labels.where(F.col(f"`{id_col}`").isNotNull() & ~held & F.col(f"`{label_col}`").isin(0, 1)).groupBy(F.col(f"`{id_col}`").alias("_id")).agg(F.max(F.col(f"`{label_col}`").cast("int")).alias("_label"))
     share = known.agg(F.coalesce(F.avg("_label"), F.lit(0.5))).first()[0]
-    order = F.xxhash64("_id")
-    few = [known.where(F.col("_label") == c).orderBy(order).limit(sample_rows) for c in (0, 1)]
-    rest = docs.select(F.col(f"`{id_col}`").alias("_id")).where("_id is not null").orderBy(order).limit(pool_rows).withColumn("_label", F.lit(-1))
-    wanted = few[0].unionByName(few[1]).unionByName(rest).groupBy("_id").agg(F.max("_label").alias("_label"))
-    rows = written(docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text")).join(F.broadcast(wanted), "_id").select("text", F.col("_label").alias("label")), "toxic-sample").repartition(2 * spark.sparkContext.defaultParallelism)
-    sums = rows.where("label >= 0").mapInArrow(_counts, "feature long, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where("pos + neg >= 3")
+    few = [known.where(F.col("_label") == c).orderBy(F.xxhash64("_id")).limit(sample_rows) for c in (0, 1)]
+    wanted = few[0].unionByName(few[1])  # at most 2 * sample_rows rows
+    texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    one = texts.join(F.broadcast(wanted), "_id").groupBy("_id").agg(F.min("text").alias("text"), F.max("_label").alias("label"))
+    rows = written(one.select("text", "label"), "toxic-seeds").repartition(2 * spark.sparkContext.defaultParallelism)
+    sums = rows.mapInArrow(_counts, "feature long, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where("pos + neg >= 3")
     size = rows.groupBy("label").count().collect()
     n1, n0 = (sum(r["count"] for r in size if r["label"] == c) for c in (1, 0))
     if not n1 or not n0:
@@ -194,23 +288,29 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     scored = sums.where(F.col("pos") + F.col("neg") < n1 + n0).withColumn("g", part(F.col("pos"), F.lit(float(n1))) + part(F.col("neg"), F.lit(float(n0)))).withColumn("up", p > q)
     best = scored.where("g > 12").orderBy(F.desc("g"), "feature").limit(vocabulary).collect()  # 12: one in a million by chance
     lexicon = [r["feature"] for r in best if r["up"] and r["pos"] >= 3 and (r["neg"] + 0.5) / n0 * 8 < r["pos"] / n1][:voters]
+    lexicon = np.sort(np.array(lexicon, np.int64).view(U64))
     vocab = np.sort(np.array([r["feature"] for r in best], np.int64).view(U64))
     got = rows.mapInArrow(_hits(vocab), "label int, hits array<int>, shapes array<boolean>").collect()
-    rows_ = np.concatenate([np.full(len(r["hits"]), i) for i, r in enumerate(got)]).astype(np.int64) if got else np.zeros(0, np.int64)
+    rows_ = np.concatenate([np.full(len(r["hits"]), i) for i, r in enumerate(got)]).astype(np.int64)
     cols_ = np.concatenate([np.array(r["hits"], np.int64) for r in got])
-    known_ = np.array([r["label"] for r in got])
-    place = np.searchsorted(vocab, np.array(lexicon, np.int64).view(U64)) if lexicon else np.zeros(0, np.int64)
-    votes = np.zeros((len(got), len(place) + len(SHAPES)), bool)
+    votes = np.zeros((len(got), len(lexicon) + len(SHAPES)), bool)
     column = np.full(len(vocab), -1)
-    column[place] = np.arange(len(place))
+    column[np.searchsorted(vocab, lexicon)] = np.arange(len(lexicon))
     on = column[cols_] >= 0 if len(cols_) else np.zeros(0, bool)
     votes[rows_[on], column[cols_[on]]] = True
-    votes[:, len(place) :] = np.array([r["shapes"] for r in got], bool).reshape(len(got), len(SHAPES))
-    post, report = label_model(votes, known_)
+    votes[:, len(lexicon) :] = np.array([r["shapes"] for r in got], bool).reshape(len(got), len(SHAPES))
+    patterns = written(vote_patterns(docs, lexicon, text_col), "votes")
+    labeller, told = label_model(patterns, votes, np.array([r["label"] for r in got]))
+    dropped(patterns)
+    post = labeller.posterior(with_none(votes))
     w, b = logistic(rows_, cols_, len(got), len(vocab), post)
-    inner = float(np.clip(post.mean(), 1e-3, 1 - 1e-3))
-    b += float(np.log((share + 1e-3) / (1 - share + 1e-3)) - np.log(inner / (1 - inner)))
-    return Model(vocab, w, b, report | {"voters": votes.shape[1], "labelled": int(n1 + n0)})
+    truth = np.array([r["label"] for r in got])
+    z = np.bincount(rows_, w[cols_], minlength=len(got)) + b
+    slope, shift = calibration(z, truth)
+    w, b = w * slope, b * slope + shift
+    b += float(np.log((share + 1e-3) / (1 - share + 1e-3)) - np.log((n1 + 1e-3) / (n0 + 1e-3)))
+    report = {"voters": votes.shape[1], "seeds": int(n1 + n0), "rounds": told, "leaning": int((labeller.parent >= 0).sum()), "fires": labeller.fires.round(4).tolist()}
+    return Model(vocab, w, b, report)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

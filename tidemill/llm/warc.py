@@ -14,6 +14,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 from typing import BinaryIO
 
 import pyarrow as pa
@@ -75,16 +76,13 @@ def _write(folder: str, roll: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
                     name = f"{root}/part-{task.partitionId():06d}-{task.taskAttemptId()}-{len(files):04d}.warc.gz"
                     out = fs.open_output_stream(name)
                     files.append([name, 0, 0])
-                gz = zlib.compressobj(1, zlib.DEFLATED, 31)
-                done = [gz.compress(record(ids[i], urls[i], body, digests[i], refers[i]))]
-                if refers[i] is None:
-                    for a in range(0, len(body), 1 << 20):
-                        done.append(gz.compress(body[a : a + (1 << 20)]))
-                done += [gz.compress(b"\r\n\r\n"), gz.flush()]
-                for part in done:
-                    out.write(part)
+                gz, size = zlib.compressobj(1, zlib.DEFLATED, 31), 0
+                pieces = (body[k : k + (1 << 20)] for k in range(0, len(body) if refers[i] is None else 0, 1 << 20))
+                for piece in chain([record(ids[i], urls[i], body, digests[i], refers[i])], pieces, [b"\r\n\r\n"]):
+                    size += out.write(gz.compress(piece))  # each piece goes out as it is made
+                size += out.write(gz.flush())
                 files[-1][1] += 1
-                files[-1][2] += sum(map(len, done))
+                files[-1][2] += size
         if out is not None:
             out.close()
         yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in files], pa.string()), pa.array([f[1] for f in files], pa.int64()), pa.array([f[2] for f in files], pa.int64())], ["file", "records", "bytes"])
@@ -222,10 +220,13 @@ def archive_pages(pages: DataFrame, least_revisit: int = 0, folder: str | None =
 
 def records(files: DataFrame) -> DataFrame:
     """A row per record read back: page_id, payload_bytes, payload_digest, record_type, refers_to; revisits have the
-    size of the response that they refer to."""
+    size of the response that they refer to, and it is an error if that one's payload is not what they state."""
     last = written(read_warc(files, with_data=False).where("last").select("page_id", "record_type", "refers_to", "digest", "payload_bytes", "stated_digest"), "records")
     full = last.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("digest").alias("own"), F.col("payload_bytes").alias("size")).dropDuplicates(["refers_to", "own"])
-    revisits = last.where("record_type = 'revisit'").join(full, ["refers_to"]).where(F.col("own") == F.col("stated_digest"))
+    again = last.where("record_type = 'revisit'")
+    revisits = again.join(full, (again["refers_to"] == full["refers_to"]) & (again["stated_digest"] == full["own"]), "left").select(again["*"], "own", "size")
+    lost = F.raise_error(F.concat(F.lit("the response that a revisit refers to has another payload or is missing: "), F.coalesce(F.col("refers_to").cast("string"), F.lit("?"))))
+    revisits = revisits.withColumn("size", F.when(F.col("own").isNotNull(), F.col("size")).otherwise(lost.cast("long")))
     out = lambda df, size, digest: df.select("page_id", F.col(size).alias("payload_bytes"), F.col(digest).alias("payload_digest"), "record_type", "refers_to")
     return out(last.where("record_type = 'response'"), "payload_bytes", "digest").unionByName(out(revisits, "size", "own"))
 
