@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tidemill.operators import onset
-from tidemill.sources import files
+from tidemill.sources import files, sinks
 from tidemill.sources import views as V
 from tidemill.streaming import live
 
@@ -49,13 +49,55 @@ def test_sinks(spark, tmp_path):
         files.append_bars(bars, str(tmp_path / "bars"))
     assert spark.read.parquet(str(tmp_path / "bars")).count() == 40
     rows = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], "id int, body string")
-    kept = files.payload_store(rows, "body", str(tmp_path / "store"))
+    for _ in range(2):
+        kept = sinks.payload_store(rows, "body", str(tmp_path / "store"))
     assert kept.select("digest").distinct().count() == 2 and spark.read.parquet(str(tmp_path / "store")).count() == 2
-    (tmp_path / "src").mkdir()
-    (tmp_path / "src" / "f").write_bytes(b"abc")
-    assert files.manifest(spark, str(tmp_path / "src")).first()["length"] == 3
-    files.write_merged_csv([rows, rows], str(tmp_path / "csv"))
-    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 6
+    sinks.write_merged_csv([rows, rows], str(tmp_path / "csv"), {"twice": F.col("id") * 2}, "id")
+    got = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+    assert got.count() == 6 and all(int(r["twice"]) == 2 * int(r["id"]) for r in got.collect())
+
+
+def test_backups_are_checked_by_prefix(spark, tmp_path):
+    for name, body in (("a/x", b"abc"), ("a/y", b"12345"), ("z", b"q"), ("w", b"ww")):
+        (tmp_path / "src" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "src" / name).write_bytes(body)
+    wanted = sinks.manifest(spark, str(tmp_path / "src")).cache()
+    assert {r["name"]: r["length"] for r in wanted.collect()} == {"a/x": 3, "a/y": 5, "z": 1, "w": 2}
+    (tmp_path / "copy" / "a").mkdir(parents=True)
+    (tmp_path / "copy" / "a" / "x").write_bytes(b"abcdef")  # grown since
+    (tmp_path / "copy" / "a" / "y").write_bytes(b"1234")
+    (tmp_path / "copy" / "w").write_bytes(b"wv")
+    assert {r["name"]: r["status"] for r in sinks.verified(wanted, str(tmp_path / "copy")).collect()} == {"a/x": "ok", "a/y": "short", "z": "missing", "w": "changed"}
+
+
+def test_state_and_notifications(spark, tmp_path):
+    path = str(tmp_path / "state")
+    assert sinks.get_state(spark, path, "a") is None
+    sinks.set_state(spark, path, {"a": "1", "b": "2"}, 1)
+    sinks.set_state(spark, path, {"a": None}, 2)
+    assert sinks.get_state(spark, path, "a") is None and sinks.get_state(spark, path, "b") == "2" and sinks.get_state(spark, path, "c") is None
+    out = tmp_path / "sent"
+    out.mkdir()
+
+    def send(text, to=str(out)):
+        import uuid
+
+        with open(f"{to}/{uuid.uuid4().hex}", "w") as f:
+            f.write(text)
+
+    sinks.notified(spark.createDataFrame([("x",), ("y",)], "message string"), send)
+    assert sorted(f.read_text() for f in out.iterdir()) == ["x", "y"]
+
+
+def test_tail_stops_before_an_incomplete_line(spark, tmp_path):
+    f = tmp_path / "log.jsonl"
+    f.write_bytes(b'{"a":1}\n{"a":2}\n{"a"')
+    read = lambda offset: [(r["value"], r["offset"]) for r in files.tail_lines(spark.createDataFrame([(f"file://{f}", offset)], "uri string, offset long")).collect()]
+    assert read(0) == [('{"a":1}', 8), ('{"a":2}', 16)]
+    f.write_bytes(f.read_bytes() + b":3}\n")
+    assert read(16) == [('{"a":3}', 24)] and read(24) == []
+    f.write_bytes(b"new\n")
+    assert read(24) == [("new", 4)]
 
 
 def test_cooldown_stream_equals_batch(spark, tmp_path):

@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,8 +42,9 @@ def csv_window(spark: SparkSession, path: str, start: str, end: str) -> DataFram
 
 def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for content in batch.column(0):
-            with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
+        for uri in batch.column(0).to_pylist():
+            fs, path = pafs.FileSystem.from_uri(uri)
+            with fs.open_input_file(path) as raw, zipfile.ZipFile(raw) as z:
                 names = [n for n in sorted(z.namelist()) if n.lower().endswith(".csv")]
                 if not names:
                     continue
@@ -53,8 +55,10 @@ def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def zip_lines(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-06: lines of the first CSV of each zip file, a byte-order mark removed; a file is streamed in a task of its own."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("content").mapInArrow(_unzip, "value string")
+    """SRC-06: lines of the first CSV of each zip file, a byte-order mark removed; a file is streamed in a task of its own, whatever
+    its size."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path")
+    return files.repartition(F.col("path")).mapInArrow(_unzip, "value string")
 
 
 def klines_of_json(payload: DataFrame, column: str = "value") -> DataFrame:
@@ -94,21 +98,29 @@ def append_bars(bars: DataFrame, path: str) -> None:
     bars.withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz")).withColumn("day", F.to_date("ts")).write.mode("append").partitionBy("day").parquet(path)
 
 
-def write_merged_csv(parts: list[DataFrame], path: str) -> None:
-    """SNK-11: several frames as CSV with a header."""
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    out.write.mode("overwrite").option("header", True).csv(path)
-
-
-def payload_store(rows: DataFrame, column: str, path: str) -> DataFrame:
-    """SNK-12: payloads once each under their SHA-256, gzip-compressed; returns the rows with their digest."""
-    keyed = rows.withColumn("digest", F.sha2(F.col(column).cast("binary"), 256))
-    keyed.select("digest", column).groupBy("digest").agg(F.first(column).alias(column)).write.mode("append").option("compression", "gzip").parquet(path)
-    return keyed.drop(column)
-
-
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """SNK-13: path, length and SHA-256 of files, to compare a backup with its source."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.regexp_extract("path", "[^/]*$", 0).alias("name"), "length", F.sha2("content", 256).alias("digest"))
+def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for uri, begin in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            fs, path = pafs.FileSystem.from_uri(uri)
+            with fs.open_input_file(path) as f:
+                size, at, left = f.size(), begin, b""
+                at = begin if begin <= size else 0  # the file was replaced by a shorter one
+                f.seek(at)
+                while some := f.read(1 << 20):
+                    lines = (left + some).split(b"\n")
+                    left = lines.pop()
+                    ends = []
+                    for x in lines:
+                        at += len(x) + 1
+                        ends.append(at)
+                    yield pa.RecordBatch.from_arrays([pa.array([uri] * len(lines), pa.string()), pa.array([x.decode("utf-8", "replace") for x in lines], pa.string()), pa.array(ends, pa.int64())], ["uri", "value", "offset"])
+
+
+def tail_lines(files: DataFrame) -> DataFrame:
+    """SRC-20: of files(uri, offset) the lines that end after their offset, never past an incomplete one: uri, value, offset (where
+    the line ends, from which the next reading goes on). A file shorter than its offset is read from its beginning."""
+    return files.select("uri", c_long("offset")).repartition(F.col("uri")).mapInArrow(_tails, "uri string, value string, offset long")
+
+
+def c_long(name: str) -> Column:
+    return F.col(name).cast("long").alias(name)
