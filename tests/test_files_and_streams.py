@@ -101,11 +101,11 @@ def test_tail_stops_before_an_incomplete_line(spark, tmp_path):
 
 
 def test_cooldown_stream_equals_batch(spark, tmp_path):
-    fires = V.fires(spark, SMALL).select("token", "t", "seq").orderBy("t")
+    fires = V.fires(spark, SMALL).select("token", "t", "seq", F.timestamp_millis("t").alias("ts")).orderBy("t")
     n = fires.count()
     fires.limit(n // 2).coalesce(1).write.parquet(str(tmp_path / "in"))
     fires.offset(n // 2).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = live.event_stream(spark, str(tmp_path / "in"), "token long, t long, seq long", 10)
+    stream = live.event_stream(spark, str(tmp_path / "in"), "token long, t long, seq long, ts timestamp", 10)
     live.run_once(live.cooldown(stream, 8 * 3_600_000), str(tmp_path / "out"), str(tmp_path / "cp"))
     got = {(r["token"], r["seq"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     want = {(r["token"], r["seq"]) for r in onset.spaced(fires, 8 * 3_600_000, ["token"]).collect()}
@@ -131,3 +131,39 @@ def test_confirmation_stream(spark, tmp_path):
     t = live.event_stream(spark, str(tmp_path / "t"), "token long, trade_ts timestamp")
     live.run_once(live.confirmations(f, t), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert sorted(str(r["trade_ts"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["2023-12-31 23:59:00", "2024-01-01 00:01:00"]
+
+
+def in_two_files(df, path):
+    n = df.count()
+    df.limit(n // 2).coalesce(1).write.parquet(str(path))
+    df.offset(n // 2).coalesce(1).write.mode("append").parquet(str(path))
+
+
+def test_slots_and_ladders_equal_batch_across_triggers(spark, tmp_path):
+    from tidemill.operators import book
+
+    firings = spark.createDataFrame([("a", i * 3 % 50 + i // 17 * 50, i % 3) for i in range(60)], "symbol string, i long, cell_id long").orderBy("i", "cell_id")
+    in_two_files(firings, tmp_path / "f")
+    for _ in range(2):  # a run that is started again goes on from its checkpoint
+        live.run_once(live.positions(live.event_stream(spark, str(tmp_path / "f"), "symbol string, i long, cell_id long"), 10, 2), str(tmp_path / "fo"), str(tmp_path / "fc"))
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "fo")).select("symbol", "i", "cell_id", "reason").collect())
+    assert got == sorted(tuple(r) for r in onset.single_slot(firings, 10, 2).collect())
+    ev = book.ladder_events(spark, SMALL).select("token", "seq", "kind", F.col("price").cast("long").alias("price"), "size").orderBy("seq")
+    in_two_files(ev, tmp_path / "l")
+    live.run_once(live.ladders(live.event_stream(spark, str(tmp_path / "l"), "token long, seq long, kind string, price long, size double")), str(tmp_path / "lo"), str(tmp_path / "lc"))
+    got = {(r["token"], r["seq"]): r["best"] for r in spark.read.parquet(str(tmp_path / "lo")).collect()}
+    assert got == {(r["token"], r["seq"]): r["best"] for r in book.best_asks(ev).collect()}
+
+
+def test_candidates_end_once(spark, tmp_path):
+    at = "timestamp_millis(t) AS ts"
+    cand = spark.createDataFrame([(1, 1, 1_000), (1, 2, 100_000), (1, 3, 900_000), (2, 4, 1_000)], "token long, seq long, t long").selectExpr("token", "seq", "t", at)
+    conf = spark.createDataFrame([(1, 61_000), (1, 161_001), (2, 500), (9, 50_000_000)], "token long, t long").selectExpr("token", "t", at)
+    cand.coalesce(1).write.parquet(str(tmp_path / "c"))
+    conf.coalesce(1).write.parquet(str(tmp_path / "k"))
+    out = live.expiring(live.event_stream(spark, str(tmp_path / "c"), "token long, seq long, t long, ts timestamp"), live.event_stream(spark, str(tmp_path / "k"), "token long, t long, ts timestamp"), 60_000, "1 second")
+    live.run_once(out, str(tmp_path / "out"), str(tmp_path / "cp"))
+    spark.createDataFrame([(9, 90_000_000)], "token long, t long").selectExpr("token", "t", at).coalesce(1).write.mode("append").parquet(str(tmp_path / "k"))
+    live.run_once(out, str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = sorted((r["seq"], r["result"], r["at"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(1, "confirmed", 61_000), (2, "expired", 160_000), (3, "expired", 960_000), (4, "expired", 61_000)]

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidemill.plans import registry
 
-MODULES = ("operators.bars", "operators.features", "operators.rules", "operators.asof", "operators.book", "operators.onset", "operators.model", "operators.events", "operators.text", "operators.checks", "operators.pipelines", "sources.feeds", "sources.sinks")
+MODULES = ("operators.bars", "operators.features", "operators.rules", "operators.asof", "operators.book", "operators.onset", "operators.model", "operators.events", "operators.text", "operators.checks", "operators.lifecycle", "operators.pipelines", "sources.feeds", "sources.sinks")
 for _m in MODULES:
     import_module(f"tidemill.{_m}")
 

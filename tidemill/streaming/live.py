@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidemill.functions.folds import kept_apart
+
 
 def event_stream(spark, path: str, schema: str, files_at_a_time: int = 1) -> DataFrame:
     """SRC-20: a directory of Parquet files as a stream."""
@@ -37,28 +38,112 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -
     return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("opened"), F.col("w.end").alias("closed"), "user_id", "n")
 
 
-def cooldown(events: DataFrame, gap_ms: int) -> DataFrame:
-    """STR-05/17: per token, events at least gap_ms after the last one kept; state is one number a token. events(token, t, seq).
+def _frames(frames: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    return pd.concat(list(frames)).sort_values(order)
+
 
-    Rows of a trigger are taken in order of (t, seq); the batch twin is onset.spaced.
-    """
+def cooldown(events: DataFrame, gap_ms: int, late: str = "1 hour") -> DataFrame:
+    """STR-05: per token, events at least gap_ms after the last one kept; state is one number a token, dropped once the watermark is
+    past the gap, when it can't suppress any more. events(token, t, seq, ts); rows of a trigger are taken in order of (t, seq); the
+    batch twin is onset.spaced."""
 
     def keep(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last: Any = state.get[0] if state.exists else None
-        rows = pd.concat(list(frames)).sort_values(["t", "seq"])
-        out = []
-        for r in rows.itertuples():
-            if last is None or r.t - last >= gap_ms:
-                out.append((key[0], r.t, r.seq))
-                last = r.t
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = _frames(frames, ["t", "seq"])
+        at, last = kept_apart(rows["t"].to_numpy(), gap_ms, state.get[0] if state.exists else None)
         state.update((last,))
-        yield pd.DataFrame(out, columns=["token", "t", "seq"])
-
-    return events.groupBy("token").applyInPandasWithState(keep, "token long, t long, seq long", "last long", "append", GroupStateTimeout.NoTimeout)
+        state.setTimeoutTimestamp(max(last + gap_ms, state.getCurrentWatermarkMs() + 1))
+        yield rows.iloc[at][["token", "t", "seq"]]
+
+    return events.withWatermark("ts", late).groupBy("token").applyInPandasWithState(keep, "token long, t long, seq long", "last long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def positions(firings: DataFrame, horizon: int, buffer: int) -> DataFrame:
+    """STR-04: single slots of firings(symbol, i, cell_id), the reason of each; state is the open or last entry's bar, one number a
+    symbol, which a restart resumes from the checkpoint. The batch twin is onset.single_slot."""
+
+    def slot(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows, entry, reasons = _frames(frames, ["i", "cell_id"]), state.get[0] if state.exists else None, []
+        for i in rows["i"].tolist():
+            if entry is None or i >= entry + horizon + buffer:
+                entry = i
+                reasons.append("taken")
+            else:
+                reasons.append("lost_tie" if i == entry else "in_position" if i < entry + horizon else "buffer")
+        state.update((entry,))
+        yield rows.assign(reason=reasons)[["symbol", "i", "cell_id", "reason"]]
+
+    return firings.groupBy("symbol").applyInPandasWithState(slot, "symbol string, i long, cell_id long, reason string", "entry long", "append", GroupStateTimeout.NoTimeout)
+
+
+def ladders(events: DataFrame) -> DataFrame:
+    """STR-14/15: the best ask after every event(token, seq, kind, price, size); state is the ladder, NULL after a gap until the next
+    snapshot. The batch twin is book.best_asks."""
+
+    def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        live, prices, sizes = state.get if state.exists else (False, [], [])
+        ladder = dict(zip(prices, sizes))
+        rows, best = _frames(frames, ["seq"]), []
+        for kind, price, size in zip(rows["kind"], rows["price"], rows["size"]):
+            if kind != "delta":
+                live, ladder = kind == "book", {}
+            if live:
+                ladder[int(price)] = float(size)
+                if not size > 0:
+                    del ladder[int(price)]
+            best.append(min(ladder) if live and ladder else None)
+        state.update((live, list(ladder), list(ladder.values())))
+        yield pd.DataFrame({"token": rows["token"], "seq": rows["seq"], "best": pd.array(best, dtype="Int64")})
+
+    return events.groupBy("token").applyInPandasWithState(follow, "token long, seq long, best long", "live boolean, prices array<long>, sizes array<double>", "append", GroupStateTimeout.NoTimeout)
+
+
+def expiring(candidates: DataFrame, confirms: DataFrame, wait_ms: int, late: str = "10 minutes") -> DataFrame:
+    """STR-11: each candidate(token, seq, t, ts) ends once: confirmed by the first confirm(token, t, ts) up to its deadline, the
+    deadline included, or expired when the watermark has passed it. State is the open candidates of a token and the confirms that
+    may still answer a late one."""
+    kind = "token long, seq long, t long, ts timestamp"
+    both = candidates.selectExpr("token", "seq", "t", "ts").unionByName(confirms.selectExpr("token", "CAST(NULL AS long) AS seq", "t", "ts"))
+    assert both.columns == [x.split()[0] for x in kind.split(", ")]
+
+    def judge(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        open_t, open_seq, seen = map(list, state.get) if state.exists else ([], [], [])
+        if not state.hasTimedOut:
+            rows = _frames(frames, ["t"])
+            for seq, t in zip(rows["seq"], rows["t"]):
+                if pd.isna(seq):
+                    seen.append(int(t))
+                else:
+                    open_t.append(int(t))
+                    open_seq.append(int(seq))
+        seen.sort()
+        mark, out, rest = state.getCurrentWatermarkMs(), [], []
+        for t, seq in sorted(zip(open_t, open_seq)):
+            first = next((x for x in seen if t <= x <= t + wait_ms), None)
+            if mark > t + wait_ms:  # nothing earlier can come any more
+                out.append((key[0], seq, "expired" if first is None else "confirmed", t + wait_ms if first is None else first))
+            else:
+                rest.append((t, seq))
+        seen = [x for x in seen if x >= mark - wait_ms or any(t <= x for t, _ in rest)]
+        if rest or seen:
+            state.update(([t for t, _ in rest], [q for _, q in rest], seen))
+            state.setTimeoutTimestamp(max(mark + 1, (min(rest)[0] if rest else seen[-1]) + wait_ms + 1))
+        else:
+            state.remove()
+        yield pd.DataFrame(out, columns=["token", "seq", "result", "at"])
+
+    return both.withWatermark("ts", late).groupBy("token").applyInPandasWithState(judge, "token long, seq long, result string, at long", "t array<long>, seq array<long>, seen array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def first_arrivals(events: DataFrame, key: list[str], late: str = "1 hour") -> DataFrame:
+    """STR-17: each key once, as it first arrives; state is dropped with the watermark."""
+    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(key)
 
 
 def run_once(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", partition: list[str] | None = None) -> None:
-    """SNK-08/09, STR-19: everything there is, to Parquet, with recovery from the checkpoint."""
+    """Everything there is, to Parquet, with recovery from the checkpoint."""
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if partition:
         writer = writer.partitionBy(*partition)
