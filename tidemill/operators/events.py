@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.clean import holds, ratio, rounded
 from tidemill.plans.registry import query
 from tidemill.sources import views as V
+from tidemill.sources.files import millis_of
 
 c = F.col
 HOUR = 3_600_000
@@ -50,35 +51,55 @@ def prj13(spark: SparkSession, d: str) -> DataFrame:
     return a.select("token", "seq", all_.alias("passes"), why.alias("reasons"))
 
 
+def yes_price(price: Column, is_yes: Column) -> Column:
+    """FN-17: a No price as its Yes price, in decimals."""
+    p = price.cast("decimal(10,6)")
+    return F.when(is_yes, p).otherwise(F.lit(1).cast("decimal(10,6)") - p)
+
+
+def net_cents(y: Column, e: Column, fee: float = 0.07) -> Column:
+    """FN-14: cents a share of an entry at e that settles at y, after a fee on e (1 - e)."""
+    return (y - e - fee * e * (1 - e)) * 100
+
+
+def pnl(entry: Column, exit_: Column, size: Column, cost: float = 0.0) -> Column:
+    """FN-15: struct(gross, net, roi) of a position, NULL where a price is."""
+    gross = (exit_ - entry) * size
+    return F.struct(gross.alias("gross"), (gross - cost).alias("net"), ratio(gross - cost, entry * size).alias("roi"))
+
+
 @query("fn17_price_normalise", V.sql("trades", "SELECT token, seq, CAST(CASE WHEN side = 'buy' THEN CAST(price / 500 AS DECIMAL(10,6)) ELSE 1 - CAST(price / 500 AS DECIMAL(10,6)) END AS DOUBLE) AS p_yes FROM trades"))
 def fn17(spark: SparkSession, d: str) -> DataFrame:
-    """FN-17: a No price as its Yes price, in decimals."""
-    p = (c("price") / 500).cast("decimal(10,6)")
-    return V.trades(spark, d).select("token", "seq", F.when(c("side") == "buy", p).otherwise(F.lit(1).cast("decimal(10,6)") - p).cast("double").alias("p_yes"))
+    return V.trades(spark, d).select("token", "seq", yes_price(c("price") / 500, c("side") == "buy").cast("double").alias("p_yes"))
 
 
 @query("fn14_net_after_fee", V.sql("trades", "SELECT token, seq, round((CASE WHEN side = 'buy' THEN 1 ELSE 0 END - e - 0.07 * e * (1 - e)) * 100, 6) AS net_cents FROM (SELECT *, price / 500 AS e FROM trades)"))
 def fn14(spark: SparkSession, d: str) -> DataFrame:
     e = c("price") / 500
     y = F.when(c("side") == "buy", 1).otherwise(0)
-    return rounded(V.trades(spark, d).select("token", "seq", ((y - e - 0.07 * e * (1 - e)) * 100).alias("net_cents")))
+    return rounded(V.trades(spark, d).select("token", "seq", net_cents(y, e).alias("net_cents")))
 
 
 @query("fn15_pnl", V.sql("trades", "WITH p AS (SELECT token, seq, price, size, lead(price) OVER (PARTITION BY token ORDER BY t, seq) AS x FROM trades) SELECT token, seq, round((x - price) * size, 4) AS gross, round((x - price) * size - 0.5, 4) AS net, round(((x - price) * size - 0.5) / nullif(price * size, 0), 4) AS roi FROM p"))
 def fn15(spark: SparkSession, d: str) -> DataFrame:
     x = F.lead("price").over(Window.partitionBy("token").orderBy("t", "seq"))
-    p = V.trades(spark, d).withColumn("gross", (x - c("price")) * c("size")).withColumn("net", c("gross") - 0.5)
-    return rounded(p.select("token", "seq", "gross", "net", ratio(c("net"), c("price") * c("size")).alias("roi")), 4)
+    p = V.trades(spark, d).select("token", "seq", "price", "size", x.alias("x"))
+    return rounded(p.select("token", "seq", pnl(c("price"), c("x"), c("size"), 0.5).alias("p")).select("token", "seq", "p.*"), 4)
 
 
 # Reports
 
 
-@query("agg12_heartbeat", V.sql("trades", "SELECT t // 900000 * 900000 AS bucket, CAST(count(*) FILTER (side = 'buy') AS BIGINT) AS buys, CAST(count(*) FILTER (side = 'sell') AS BIGINT) AS sells, coalesce(sum(size) FILTER (side = 'buy'), 0) AS buy_size, coalesce(sum(size) FILTER (side = 'sell'), 0) AS sell_size FROM trades GROUP BY 1"))
-def agg12(spark: SparkSession, d: str) -> DataFrame:
+def heartbeat(rows: DataFrame, every_ms: int = 900_000) -> DataFrame:
+    """AGG-12: counts and sizes of either side, rows(t, side, size), in buckets of time."""
     buy = c("side") == "buy"
     size = lambda x: F.coalesce(F.sum(F.when(x, c("size"))), F.lit(0.0))
-    return V.trades(spark, d).groupBy((F.floor(c("t") / 900_000) * 900_000).alias("bucket")).agg(F.count_if(buy).alias("buys"), F.count_if(~buy).alias("sells"), size(buy).alias("buy_size"), size(~buy).alias("sell_size"))
+    return rows.groupBy((F.floor(c("t") / every_ms) * every_ms).alias("bucket")).agg(F.count_if(buy).alias("buys"), F.count_if(~buy).alias("sells"), size(buy).alias("buy_size"), size(~buy).alias("sell_size"))
+
+
+@query("agg12_heartbeat", V.sql("trades", "SELECT t // 900000 * 900000 AS bucket, CAST(count(*) FILTER (side = 'buy') AS BIGINT) AS buys, CAST(count(*) FILTER (side = 'sell') AS BIGINT) AS sells, coalesce(sum(size) FILTER (side = 'buy'), 0) AS buy_size, coalesce(sum(size) FILTER (side = 'sell'), 0) AS sell_size FROM trades GROUP BY 1"))
+def agg12(spark: SparkSession, d: str) -> DataFrame:
+    return heartbeat(V.trades(spark, d))
 
 
 @query("agg02_by_group", "SELECT event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS total, CAST(count(*) FILTER (value > 250) AS BIGINT) AS large FROM events GROUP BY event_type")
@@ -87,21 +108,30 @@ def agg02(spark: SparkSession, d: str) -> DataFrame:
     return rounded(V.events(spark, d).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.count_if(c("value") > 250).alias("large")), 4)
 
 
+def elementwise_mean(rows: DataFrame, js: str) -> DataFrame:
+    """AGG-04: mean and count at each position of JSON lists of numbers, NULLs left out: pos, mean, n."""
+    e = rows.select(F.posexplode(F.from_json(js, "array<double>")).alias("pos", "x"))
+    return e.groupBy("pos").agg(F.avg("x").alias("mean"), F.count("x").alias("n"))
+
+
 @query("agg04_elementwise_mean", "WITH a AS (SELECT l_orderkey, list(CASE WHEN l_discount > 0 THEN l_quantity END ORDER BY l_linenumber, l_quantity, l_discount) AS q FROM lineitem GROUP BY 1), e AS (SELECT q[pos + 1] AS v, pos FROM (SELECT q, unnest(range(len(q))) AS pos FROM a)) SELECT CAST(pos AS INT) AS pos, round(avg(v), 4) AS mean, CAST(count(v) AS BIGINT) AS n FROM e GROUP BY pos")
 def agg04(spark: SparkSession, d: str) -> DataFrame:
-    """AGG-04: mean at each position of JSON arrays, NULLs left out."""
     li = V.table(spark, d, "lineitem")
     q = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity", "l_discount", F.when(c("l_discount") > 0, c("l_quantity")).alias("q")))).alias("a"))
-    js = q.select(F.to_json(F.transform("a", lambda x: F.struct(x["q"].alias("q")))).alias("js"))
-    e = js.select(F.posexplode(F.from_json("js", "array<struct<q:double>>")).alias("pos", "x"))
-    return rounded(e.groupBy("pos").agg(F.avg("x.q").alias("mean"), F.count("x.q").alias("n")), 4)
+    js = q.select(F.to_json(F.transform("a", lambda x: x["q"])).alias("js"))
+    return rounded(elementwise_mean(js, "js"), 4)
 
 
-@query("agg05_time_in_position", V.sql("fires", "SELECT t0 // 86400000 AS day, round(sum(greatest(0, least(t0 + 7200000, (t0 // 86400000 + 1) * 86400000) - t0)) / 60000.0 / 1440, 4) AS share FROM (SELECT t AS t0 FROM fires WHERE value > 200) GROUP BY 1"))
+def time_in_position(spans: DataFrame, day_ms: int = 86_400_000) -> DataFrame:
+    """AGG-05: the share of each day that spans(start, stop) cover, a span that passes midnight counting for each of its days."""
+    one = spans.withColumn("day", F.explode(F.sequence(F.floor(c("start") / day_ms), F.floor((c("stop") - 1) / day_ms))))
+    held = F.greatest(F.lit(0), F.least(c("stop"), (c("day") + 1) * day_ms) - F.greatest(c("start"), c("day") * day_ms))
+    return one.groupBy("day").agg((F.sum(held) / day_ms).alias("share"))
+
+
+@query("agg05_time_in_position", V.sql("fires", "WITH s AS (SELECT t AS a, t + 7200000 AS b FROM fires WHERE value > 200), e AS (SELECT *, unnest(range(a // 86400000, (b - 1) // 86400000 + 1)) AS day FROM s) SELECT day, round(sum(least(b, (day + 1) * 86400000) - greatest(a, day * 86400000)) / 86400000.0, 6) AS share FROM e GROUP BY day"))
 def agg05(spark: SparkSession, d: str) -> DataFrame:
-    day = F.floor(c("t") / 86_400_000)
-    held = F.greatest(F.lit(0), F.least(c("t") + 7_200_000, (day + 1) * 86_400_000) - c("t"))
-    return rounded(V.fires(spark, d).where("value > 200").groupBy(day.alias("day")).agg((F.sum(held) / 60_000 / 1440).alias("share")), 4)
+    return rounded(time_in_position(V.fires(spark, d).where("value > 200").select(c("t").alias("start"), (c("t") + 7_200_000).alias("stop"))))
 
 
 @query("agg19_grouping_sets", V.sql("fires", "SELECT token % 2 AS gap, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT t // 86400000) AS BIGINT) AS windows, round(avg(value), 4) AS mean_entry, round(avg(CASE WHEN value > 100 THEN 1.0 ELSE 0 END), 4) AS win_rate FROM fires GROUP BY GROUPING SETS ((), (token % 2))"))
@@ -110,14 +140,18 @@ def agg19(spark: SparkSession, d: str) -> DataFrame:
     return rounded(spark.sql("SELECT gap, count(*) AS n, count(DISTINCT w) AS windows, avg(value) AS mean_entry, avg(CASE WHEN value > 100 THEN 1D ELSE 0D END) AS win_rate FROM {f} GROUP BY GROUPING SETS ((), (gap))", f=f), 4)
 
 
-@query("agg20_cluster_t", V.sql("fires", "WITH m AS (SELECT avg(value) AS mu, count(*) AS n FROM fires), w AS (SELECT sum(value - mu) AS s FROM fires, m GROUP BY t // 86400000) SELECT round(any_value(mu), 4) AS mean, round(sqrt(sum(s * s)) / any_value(n), 4) AS se, round(any_value(mu) / (sqrt(sum(s * s)) / any_value(n)), 4) AS t FROM w, m"))
-def agg20(spark: SparkSession, d: str) -> DataFrame:
+def cluster_t(rows: DataFrame, x: str, cluster: Column) -> DataFrame:
     """AGG-20: a mean with its error by clusters, in two levels: sums and counts of a cluster, then all."""
-    g = V.fires(spark, d).groupBy(F.floor(c("t") / 86_400_000).alias("w")).agg(F.sum("value").alias("s"), F.count(F.lit(1)).alias("n"))
+    g = rows.groupBy(cluster.alias("w")).agg(F.sum(x).alias("s"), F.count(F.lit(1)).alias("n"))
     a = g.agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum(c("s") * c("s")).alias("ss"), F.sum(c("s") * c("n")).alias("sn"), F.sum(c("n") * c("n")).alias("nn"))
     mu = c("s") / c("n")
     se = F.sqrt(c("ss") - 2 * mu * c("sn") + mu * mu * c("nn")) / c("n")
-    return rounded(a.select(mu.alias("mean"), se.alias("se"), (mu / se).alias("t")), 4)
+    return a.select(mu.alias("mean"), se.alias("se"), (mu / se).alias("t"))
+
+
+@query("agg20_cluster_t", V.sql("fires", "WITH m AS (SELECT avg(value) AS mu, count(*) AS n FROM fires), w AS (SELECT sum(value - mu) AS s FROM fires, m GROUP BY t // 86400000) SELECT round(any_value(mu), 4) AS mean, round(sqrt(sum(s * s)) / any_value(n), 4) AS se, round(any_value(mu) / (sqrt(sum(s * s)) / any_value(n)), 4) AS t FROM w, m"))
+def agg20(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(cluster_t(V.fires(spark, d), "value", F.floor(c("t") / 86_400_000)), 4)
 
 
 @query("agg30_winner", V.sql("trades", "SELECT token, t // 86400000 AS day, arg_max(side, (p, side)) AS winner, max(p) >= 6000 AS resolved FROM (SELECT token, t // 86400000 * 86400000 AS t, side, sum(price) AS p FROM trades GROUP BY ALL) GROUP BY ALL"))
@@ -147,11 +181,27 @@ def fn30(spark: SparkSession, d: str) -> DataFrame:
 # Change logs and resolution
 
 
+def changes(rows: DataFrame, value: str, key: str = "token", order: tuple[str, ...] = ("t", "seq")) -> DataFrame:
+    """WIN-24: rows whose value differs from the one before it, the first one included; NULL is a value."""
+    p = F.lag(F.struct(value)).over(Window.partitionBy(key).orderBy(*order))
+    return rows.withColumn("_p", p).where(c("_p").isNull() | ~c(value).eqNullSafe(c(f"_p.{value}"))).drop("_p")
+
+
+def high_water(rows: DataFrame, value: str, order: str, key: str = "token") -> DataFrame:
+    """WIN-26: rows with `stale`: whether the value is under the greatest one before it in order; NULL for the first."""
+    high = F.max(value).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("stale", c(value) < high)
+
+
+def last_values(rows: DataFrame, value: str, key: str = "token", order: tuple[str, ...] = ("t", "seq")) -> DataFrame:
+    """WIN-28: each key's last value."""
+    return rows.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(value))
+
+
 @query("win24_changes", V.sql("mids", "WITH m AS (SELECT token, t, seq, CAST(floor(mid / 100) AS BIGINT) AS level, lag(CAST(floor(mid / 100) AS BIGINT)) OVER (PARTITION BY token ORDER BY t, seq) AS p FROM mids) SELECT token, t, seq, level FROM m WHERE level IS DISTINCT FROM p"))
 def win24(spark: SparkSession, d: str) -> DataFrame:
     m = V.mids(spark, d).withColumn("level", F.floor(c("mid") / 100))
-    p = F.lag("level").over(Window.partitionBy("token").orderBy("t", "seq"))
-    return m.withColumn("p", p).where(~c("level").eqNullSafe(c("p"))).select("token", "t", "seq", "level")
+    return changes(m, "level").select("token", "t", "seq", "level")
 
 
 CDC = """WITH p AS (SELECT o_custkey % 20 AS grp, CAST(o_orderdate AS DATE) - DATE '1992-01-01' AS d, o_custkey AS k, max(o_totalprice) AS v FROM orders GROUP BY ALL),
@@ -177,13 +227,12 @@ def win25(spark: SparkSession, d: str) -> DataFrame:
 @query("win26_high_water", V.sql("mids", "SELECT token, seq, t < max(t) OVER (PARTITION BY token ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stale FROM (SELECT token, seq, t - CASE WHEN seq % 13 = 0 THEN 90000000 ELSE 0 END AS t FROM mids)"))
 def win26(spark: SparkSession, d: str) -> DataFrame:
     m = V.mids(spark, d).withColumn("t", c("t") - F.when(c("seq") % 13 == 0, 90_000_000).otherwise(0))
-    high = F.max("t").over(Window.partitionBy("token").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
-    return m.select("token", "seq", (c("t") < high).alias("stale"))
+    return high_water(m, "t", "seq").select("token", "seq", "stale")
 
 
 @query("win28_last_value", V.sql("mids", "SELECT token, arg_max(mid, (t, seq)) AS final_mid FROM mids GROUP BY token"))
 def win28(spark: SparkSession, d: str) -> DataFrame:
-    return V.mids(spark, d).groupBy("token").agg(F.max_by("mid", F.struct("t", "seq")).alias("final_mid"))
+    return last_values(V.mids(spark, d), "mid").withColumnRenamed("mid", "final_mid")
 
 
 def resolved_entities(matches: DataFrame, feed: DataFrame, within_ms: int = 3 * HOUR, close_ms: int = 30 * 60_000) -> DataFrame:
@@ -258,13 +307,17 @@ def jn18(spark: SparkSession, d: str) -> DataFrame:
     return named_entities(games, feed, {"Sevens": "T7"})
 
 
+def routed(rows: DataFrame, routes: DataFrame, id_col: str, keys: list[Column]) -> DataFrame:
+    """JN-15/16: the slugs of rows by any of several keys, routes(key, slug): exploded to one key each, joined, made distinct."""
+    each = rows.select(id_col, F.explode(F.array(*keys)).alias("key"))
+    return each.join(routes, "key").select(id_col, "slug").distinct()
+
+
 @query("jn16_routing", "WITH k AS (SELECT DISTINCT user_id % 50 AS key, 'u' || CAST(user_id % 10 AS VARCHAR) AS slug FROM events) SELECT e.event_id, k.slug FROM events e JOIN k ON k.key = e.user_id UNION SELECT e.event_id, k.slug FROM events e JOIN k ON k.key = e.event_id % 50")
 def jn16(spark: SparkSession, d: str) -> DataFrame:
-    """JN-15/16: rows routed by any of several keys: exploded to one key each, joined, made distinct."""
     e = V.events(spark, d)
-    route = e.select((c("user_id") % 50).alias("key"), F.concat(F.lit("u"), (c("user_id") % 10).cast("string")).alias("slug")).distinct()
-    keys = e.select("event_id", F.explode(F.array(c("user_id"), c("event_id") % 50)).alias("key"))
-    return keys.join(route, "key").select("event_id", "slug").distinct()
+    routes = e.select((c("user_id") % 50).alias("key"), F.concat(F.lit("u"), (c("user_id") % 10).cast("string")).alias("slug")).distinct()
+    return routed(e, routes, "event_id", [c("user_id"), c("event_id") % 50])
 
 
 def children(parents: DataFrame, rows: DataFrame, key: str, foreign: str) -> DataFrame:
@@ -295,12 +348,17 @@ def jn21(spark: SparkSession, d: str) -> DataFrame:
     return j.groupBy("token").agg(F.count_if(c("there").isNull()).alias("missing"), F.count_if(c("there").isNotNull() & ~c("mid").eqNullSafe(c("other"))).alias("different"))
 
 
+def ruled(rows: DataFrame, rules: DataFrame, key: str, value: str) -> DataFrame:
+    """PRJ-10: rows under a table of rules(key, op gt or lt, thr, target), a row for each rule that holds. The table is small and
+    broadcast if Spark's size check allows it."""
+    hit = F.when(c("op") == "gt", c(value) > c("thr")).otherwise(c(value) < c("thr"))
+    return rows.join(rules, key).where(hit)
+
+
 @query("prj10_rule_table", "SELECT e.event_id, r.target FROM events e JOIN (VALUES ('click', 'gt', 400.0, 'up'), ('click', 'lt', 50.0, 'down'), ('view', 'gt', 450.0, 'up')) r(kind, op, thr, target) ON r.kind = e.event_type AND CASE r.op WHEN 'gt' THEN e.value > r.thr ELSE e.value < r.thr END")
 def prj10(spark: SparkSession, d: str) -> DataFrame:
-    """PRJ-09/10: a small table of rules (key, comparison, threshold, target) applied to rows."""
     rules = spark.sql("SELECT * FROM VALUES ('click', 'gt', 400.0D, 'up'), ('click', 'lt', 50.0D, 'down'), ('view', 'gt', 450.0D, 'up') AS r(event_type, op, thr, target)")
-    hit = F.when(c("op") == "gt", c("value") > c("thr")).otherwise(c("value") < c("thr"))
-    return V.events(spark, d).join(F.broadcast(rules), "event_type").where(hit).select("event_id", "target")
+    return ruled(V.events(spark, d), rules, "event_type", "value").select("event_id", "target")
 
 
 def in_discovery(kickoff_ms: Column, at_ms: Column, back_ms: int = 4 * HOUR, ahead_ms: int = 7 * 24 * HOUR) -> Column:
@@ -327,13 +385,17 @@ def prj16(spark: SparkSession, d: str) -> DataFrame:
     return o.select(key, end.alias("e"), in_discovery(k, F.lit(820_454_400_000)).alias("watched")).select("o_orderkey", "e.end_ms", "e.reason", "watched")
 
 
+def stride_sample(rows: DataFrame, most: int = 5, key: str = "token", order: tuple[str, ...] = ("t", "seq")) -> DataFrame:
+    """SRT-07: at most `most` evenly spaced rows of each key, and the last."""
+    w = Window.partitionBy(key)
+    m = rows.withColumns({"_i": F.row_number().over(w.orderBy(*order)) - 1, "_n": F.count(F.lit(1)).over(w)})
+    step = F.greatest(F.lit(1), F.floor(c("_n") / most))
+    return m.where(((c("_i") % step == 0) & (F.floor(c("_i") / step) < most)) | (c("_i") == c("_n") - 1)).drop("_i", "_n")
+
+
 @query("srt07_stride_sample", V.sql("mids", "WITH m AS (SELECT token, t, seq, row_number() OVER (PARTITION BY token ORDER BY t, seq) - 1 AS i, count(*) OVER (PARTITION BY token) AS n FROM mids) SELECT token, t, seq FROM m WHERE (i % greatest(1, n // 5) = 0 AND i // greatest(1, n // 5) < 5) OR i = n - 1"))
 def srt07(spark: SparkSession, d: str) -> DataFrame:
-    """SRT-07: at most five evenly spaced rows and the last."""
-    w = Window.partitionBy("token")
-    m = V.mids(spark, d).withColumns({"i": F.row_number().over(w.orderBy("t", "seq")) - 1, "n": F.count(F.lit(1)).over(w)})
-    step = F.greatest(F.lit(1), F.floor(c("n") / 5))
-    return m.where(((c("i") % step == 0) & (F.floor(c("i") / step) < 5)) | (c("i") == c("n") - 1)).select("token", "t", "seq")
+    return stride_sample(V.mids(spark, d)).select("token", "t", "seq")
 
 
 @query("fn25_slugs", "SELECT page_id, regexp_extract(url, 'https?://([^/]+)', 1) AS host, regexp_matches(url, '/[a-z]{2}/[0-9]+') AS valid, regexp_extract(url, '/([a-z]{2})/([0-9]+)', 2) AS number FROM pages")
@@ -350,15 +412,30 @@ def fn26(spark: SparkSession, d: str) -> DataFrame:
     return V.events(spark, d).select("event_id", F.from_json("props", "k int")["k"].alias("k"), F.from_json(F.concat(F.lit("["), c("props"), F.lit("]")), kind)[0]["k"].alias("k_array"))
 
 
+def digest(*columns: Column) -> Column:
+    """FN-32: SHA-256 of the columns as one canonical JSON object."""
+    return F.sha2(F.to_json(F.struct(*columns)), 256)
+
+
+def utc_day(ts: Column) -> Column:
+    """FN-29: the day in UTC."""
+    return F.date_format(ts, "yyyy-MM-dd")
+
+
+def us_date(ts: Column) -> Column:
+    """FN-29: the date of a US evening, six hours behind UTC."""
+    return F.date_format(ts - F.expr("INTERVAL 6 HOURS"), "yyyyMMdd")
+
+
 @query("fn32_digest", "SELECT o_orderkey, sha256('{\"id\":' || o_orderkey || ',\"status\":\"' || o_orderstatus || '\"}') AS digest FROM orders")
 def fn32(spark: SparkSession, d: str) -> DataFrame:
     """FN-32, SNK-12: digest of canonical JSON."""
-    return V.table(spark, d, "orders").select("o_orderkey", F.sha2(F.to_json(F.struct(c("o_orderkey").alias("id"), c("o_orderstatus").alias("status"))), 256).alias("digest"))
+    return V.table(spark, d, "orders").select("o_orderkey", digest(c("o_orderkey").alias("id"), c("o_orderstatus").alias("status")).alias("digest"))
 
 
 @query("fn29_day_keys", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts - INTERVAL 6 HOUR, '%Y%m%d') AS us_day FROM events")
 def fn29(spark: SparkSession, d: str) -> DataFrame:
-    return V.events(spark, d).select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.date_format(c("ts") - F.expr("INTERVAL 6 HOURS"), "yyyyMMdd").alias("us_day"))
+    return V.events(spark, d).select("event_id", utc_day(c("ts")).alias("day"), us_date(c("ts")).alias("us_day"))
 
 
 @query("fn20_time_units", "SELECT event_id, CASE WHEN x > 1e15 THEN x // 1000 WHEN x < 1e11 THEN x * 1000 ELSE x END AS ms FROM (SELECT event_id, CASE event_id % 3 WHEN 0 THEN epoch_us(ts) WHEN 1 THEN epoch_us(ts) // 1000 ELSE epoch_us(ts) // 1000000 END AS x FROM events)")
@@ -367,7 +444,7 @@ def fn20(spark: SparkSession, d: str) -> DataFrame:
     us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     x = F.when(c("event_id") % 3 == 0, us).when(c("event_id") % 3 == 1, F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")).otherwise(V.epoch("ts"))
     e = V.events(spark, d).withColumn("x", x)
-    return e.select("event_id", F.when(c("x") > 10**15, F.floor(c("x") / 1000)).when(c("x") < 10**11, c("x") * 1000).otherwise(c("x")).alias("ms"))
+    return e.select("event_id", millis_of(c("x")).alias("ms"))
 
 
 @query("snk06_widening_window", V.sql("fires", "SELECT token, t // 86400000 AS epoch, min(t - 60000) AS t_back, max(t + 120000) AS t_fwd FROM fires GROUP BY ALL"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -176,48 +176,74 @@ def fn19(spark: SparkSession, d: str) -> DataFrame:
     return V.events(spark, d).select("event_id", minute_hint(clock).alias("minute"))
 
 
+def next_hour_of_day(ts: Column, hour: int = 6) -> Column:
+    """FN-34: the first time of that hour after ts."""
+    at = F.date_trunc("day", ts).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hour))
+    return F.when(ts >= at, at + F.expr("INTERVAL 1 DAY")).otherwise(at)
+
+
+def best_artifacts(artifacts: DataFrame, today: Column, key: str, day: str) -> DataFrame:
+    """PRJ-19: each key's artifact of today, else the latest before."""
+    return artifacts.where(c(day) <= today).groupBy(key).agg(F.max(day).alias("best"))
+
+
+def backfill_plan(spark: SparkSession, first: str, last: str, built: DataFrame) -> DataFrame:
+    """PRJ-20: the days of a range that are not in built(day)."""
+    days = spark.sql(f"SELECT explode(sequence(date'{first}', date'{last}')) AS day")
+    return days.join(built.select("day").distinct(), "day", "left_anti")
+
+
+def in_scope(sec: Column, config: Column, least_s: int, configs: list[str]) -> Column:
+    """PRJ-08: from a second of the window on, for some configurations."""
+    return (sec >= least_s) & config.isin(*configs)
+
+
+def under_configs(rows: DataFrame, configs: list[tuple[int, float]]) -> DataFrame:
+    """JN-24: every row under every configuration (id, threshold), the configurations as an array on the row."""
+    one = F.array(*[F.struct(F.lit(i).alias("config_id"), F.lit(t).alias("thr")) for i, t in configs])
+    return rows.select("*", F.explode(one).alias("_k")).select(*rows.columns, "_k.*")
+
+
+def strike_violations(prices: DataFrame, group: str, strike: str, price: str) -> DataFrame:
+    """PRJ-12: each strike's price with that of the next strike; a lower strike that costs no less is a violation, NULL where one is
+    missing (0). Equal prices count."""
+    b = prices.withColumn("nxt", F.lead(price).over(Window.partitionBy(group).orderBy(strike))).where("nxt IS NOT NULL")
+    return b.withColumn("violation", F.when((c(price) != 0) & (c("nxt") != 0), c(price) >= c("nxt")))
+
+
 @query("fn34_daily_schedule", "SELECT o_orderkey, date_trunc('day', o_orderdate) + INTERVAL 6 HOUR + CASE WHEN o_orderdate >= date_trunc('day', o_orderdate) + INTERVAL 6 HOUR THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS settle_at FROM orders")
 def fn34(spark: SparkSession, d: str) -> DataFrame:
-    """FN-34: the first six o'clock after a time."""
     o = V.table(spark, d, "orders").withColumn("ts", c("o_orderdate").cast("timestamp_ntz"))
-    six = F.date_trunc("day", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 6 HOURS")
-    return o.select("o_orderkey", F.when(c("ts") >= six, six + F.expr("INTERVAL 1 DAY")).otherwise(six).alias("settle_at"))
+    return o.select("o_orderkey", next_hour_of_day(c("ts")).alias("settle_at"))
 
 
 @query("prj08_scope", "SELECT event_id FROM events WHERE extract(minute FROM ts) * 60 + floor(extract(second FROM ts)) >= 720 AND event_type IN ('click', 'view')")
 def prj08(spark: SparkSession, d: str) -> DataFrame:
-    return V.events(spark, d).where((F.minute("ts") * 60 + F.floor(F.second("ts")) >= 720) & c("event_type").isin("click", "view")).select("event_id")
+    return V.events(spark, d).where(in_scope(F.minute("ts") * 60 + F.floor(F.second("ts")), c("event_type"), 720, ["click", "view"])).select("event_id")
 
 
 @query("prj19_best_artifact", "SELECT o_custkey, max(o_orderdate) AS best FROM orders WHERE o_orderdate <= TIMESTAMP '1996-06-01' GROUP BY o_custkey")
 def prj19(spark: SparkSession, d: str) -> DataFrame:
-    """PRJ-19: today's, else the latest before."""
     o = V.table(spark, d, "orders").withColumn("o_orderdate", c("o_orderdate").cast("timestamp_ntz"))
-    return o.where(c("o_orderdate") <= F.lit("1996-06-01").cast("timestamp_ntz")).groupBy("o_custkey").agg(F.max("o_orderdate").alias("best"))
+    return best_artifacts(o, F.lit("1996-06-01").cast("timestamp_ntz"), "o_custkey", "o_orderdate")
 
 
 @query("prj20_backfill_plan", "SELECT strftime(d, '%Y-%m-%d') AS day FROM (SELECT unnest(generate_series(TIMESTAMP '2023-12-25', TIMESTAMP '2024-02-05', INTERVAL 1 DAY)) AS d) WHERE CAST(d AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events)")
 def prj20(spark: SparkSession, d: str) -> DataFrame:
-    """PRJ-20: days of a range that are not built yet."""
-    days = spark.sql("SELECT explode(sequence(date'2023-12-25', date'2024-02-05')) AS day")
-    return days.join(V.events(spark, d).select(F.to_date("ts").alias("day")).distinct(), "day", "left_anti").select(c("day").cast("string").alias("day"))
+    built = V.events(spark, d).select(F.to_date("ts").alias("day"))
+    return backfill_plan(spark, "2023-12-25", "2024-02-05", built).select(c("day").cast("string").alias("day"))
 
 
 @query("jn24_configs", "SELECT e.event_id, k.id AS config_id, e.value > k.thr AS hit FROM events e, (VALUES (1, 100.0), (2, 250.0), (3, 400.0)) k(id, thr)")
 def jn24(spark: SparkSession, d: str) -> DataFrame:
-    """JN-24: every row under every configuration, the configurations as an array on the row."""
-    one = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(t).alias("thr")) for i, t in ((1, 100.0), (2, 250.0), (3, 400.0))])
-    return V.events(spark, d).select("event_id", "value", F.explode(one).alias("k")).select("event_id", c("k.id").alias("config_id"), (c("value") > c("k.thr")).alias("hit"))
+    k = under_configs(V.events(spark, d).select("event_id", "value"), [(1, 100.0), (2, 250.0), (3, 400.0)])
+    return k.select("event_id", "config_id", (c("value") > c("thr")).alias("hit"))
 
 
 @query("prj12_strike_monotonic", "WITH a AS (SELECT l_orderkey, l_linenumber AS k, max(l_discount) AS p FROM lineitem GROUP BY ALL), b AS (SELECT *, lead(p) OVER (PARTITION BY l_orderkey ORDER BY k) AS nxt FROM a) SELECT l_orderkey, k, p, nxt, CASE WHEN p = 0 OR nxt = 0 THEN NULL ELSE p >= nxt END AS violation FROM b WHERE nxt IS NOT NULL")
 def prj12(spark: SparkSession, d: str) -> DataFrame:
-    """PRJ-12: a lower strike that costs no less than the next one; zero is a missing price, equality counts."""
-    from pyspark.sql import Window
-
     a = V.table(spark, d, "lineitem").groupBy("l_orderkey", c("l_linenumber").alias("k")).agg(F.max("l_discount").alias("p"))
-    b = a.withColumn("nxt", F.lead("p").over(Window.partitionBy("l_orderkey").orderBy("k"))).where("nxt IS NOT NULL")
-    return b.select("l_orderkey", "k", "p", "nxt", F.when((c("p") != 0) & (c("nxt") != 0), c("p") >= c("nxt")).alias("violation"))
+    return strike_violations(a, "l_orderkey", "k", "p")
 
 
 @query("str24_poll_schedule", V.sql("fires mids", "WITH s AS (SELECT token, seq, unnest(range(0, 8)) AS i, t FROM fires), p AS (SELECT token, seq, CAST(i AS INT) AS poll, t + i * 600000 AS t FROM s) SELECT p.token, p.seq, p.poll, m.mid FROM p ASOF LEFT JOIN (SELECT token, t, arg_max(mid, seq) AS mid FROM mids GROUP BY ALL) m ON m.token = p.token AND m.t <= p.t"))
