@@ -771,3 +771,39 @@ def test_queries_equal_their_sql(spark):
         key = sorted(got.columns)
         a, b = (x[key].astype(object).where(x[key].notna(), None).map(lambda v: str(int(v)) if isinstance(v, float) else str(v)).sort_values(key).reset_index(drop=True) for x in (got, want))
         assert a.equals(b), name
+
+
+@pytest.fixture(scope="module")
+def odd_dir(spark, odd, tmp_path_factory):
+    """The odd rows as a data folder: documents, labels (some repeated, some null) and pages."""
+    at = tmp_path_factory.mktemp("odd")
+    odd.write.parquet(str(at / "documents.parquet"))
+    spark.createDataFrame([(i, (i or 0) % 2, (i or 0) % 3 // 2) for i in (1, 4, 5, 6, 7, 7, 8, None)], "doc_id long, quality int, toxic int").write.parquet(str(at / "labels.parquet"))
+    odd.selectExpr("doc_id AS page_id", "source AS url", "text AS html", "1 AS payload", "2 AS digest").write.parquet(str(at / "pages.parquet"))
+    return str(at)
+
+
+@pytest.fixture(scope="module")
+def empty_dir(spark, odd_dir, tmp_path_factory):
+    at = tmp_path_factory.mktemp("empty")
+    for name in ("documents", "labels", "pages"):
+        spark.read.parquet(f"{odd_dir}/{name}.parquet").limit(0).write.parquet(str(at / f"{name}.parquet"))
+    return str(at)
+
+
+def test_queries_on_odd_and_empty_tables(spark, odd_dir, empty_dir):
+    from tidemill.llm import registry
+
+    for name, q in registry.queries().items():
+        rows = q(spark, odd_dir).collect()
+        of = Counter(r["page_id" if name.startswith("op1_") else "doc_id"] for r in rows if "piece" not in r or r["piece"] == 0)
+        assert of == Counter(r[0] for r in ODD), name
+        assert q(spark, empty_dir).count() == 0, name
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd_dir, empty_dir):
+    import corpus_pipeline
+
+    kept = {r["doc_id"] for r in corpus_pipeline.run(spark, odd_dir).collect()}
+    assert kept == {7, 8}  # 20 words or more; row 7 twice
+    assert corpus_pipeline.run(spark, empty_dir).count() == 0
