@@ -335,14 +335,15 @@ def _refined(open_: DataFrame, told: DataFrame, base: DataFrame, n: int, t: int,
     return open_
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, t: int = 90, seed: int | None = None, hot_rows: int = 1000) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, t: int = 90, seed: int | None = None, hot_rows: int = 20_000) -> DataFrame:
     """One row per input row: id, n_shingles (set size), component_id (least id reachable by links, itself included).
 
     Rows link when 100 * |intersection| >= t * |union| of their n-word shingle sets, A-Z folded. Null, empty and wordless
     texts have no set and link with nothing. Repeated rows and equal texts are one node. A set that only rows with null ids
     have links with nothing, and their component is null; other null ids share their set's component. Columns beside id and
     text are not read. Empty in, empty out. A set's size counts the distinct 64-bit hashes of its shingles; which shingles
-    two sets share is compared by their words. seed: of the hashes' keys, drawn if not given.
+    two sets share is compared by their words. seed: of the hashes' keys, drawn if not given. hot_rows: sets that may share a
+    signature before it is refined; from there on comparing sketches costs more than writing the finer signatures.
     """
     seed = K.draw(seed)
     text = F.col(f"`{text_col}`").cast("string")
@@ -374,17 +375,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     part = met.join(of, "key", "left").select("sig", "key", F.coalesce("component", F.struct("key", F.lit(0).cast("long").alias("check"))).alias("part"))
     mixed = part.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("sig")
     open_ = _refined(written(part.join(mixed, "sig", "left_semi"), "open"), told, base, n, t, seed, bands, hot_rows)
-    # in blocks of hot_rows sets: each set meets every block of its signature, in a task each
-    blocks = open_.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / hot_rows).cast("int").alias("blocks"))
-    full = open_.join(blocks, "sig").join(small, "key")
-    a, b = (full.select("sig", "blocks", *[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch", "wide", "part")]) for c in "ab")
-    a = a.withColumn("block", F.pmod(F.xxhash64("akey"), F.col("blocks")).cast("int")).drop("blocks")
-    b = b.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    cross = a.join(b, ["sig", "block"]).where((F.col("apart") != F.col("bpart")) & (F.col("akey") < F.col("bkey")) & near).select(F.col("akey").alias("hub"), F.col("bkey").alias("key")).distinct()
+    sized = lambda df: df.join(small, "key")
+    sides = lambda df, *more: (df.select("sig", *more, *[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch", "wide", "part")]) for c in "ab")
+    allowed = lambda pairs: pairs.where((F.col("apart") != F.col("bpart")) & (F.col("akey") < F.col("bkey")) & near).select(F.col("akey").alias("hub"), F.col("bkey").alias("key"))
+    hot = written(open_.groupBy("sig").count().where(F.col("count") > hot_rows), "hot")
+    a, b = sides(sized(open_ if hot.isEmpty() else open_.join(hot, "sig", "left_anti")))
+    cross = allowed(a.join(b, "sig"))  # one exchange, read twice
+    if not hot.isEmpty():  # in blocks of hot_rows sets: each set meets every block of its signature, in a task each
+        a, b = sides(sized(open_.join(hot.select("sig", F.ceil(F.col("count") / hot_rows).cast("int").alias("blocks")), "sig")), "blocks")
+        a = a.withColumn("block", F.pmod(F.xxhash64("akey"), F.col("blocks")).cast("int")).drop("blocks")
+        b = b.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+        cross = cross.unionByName(allowed(a.join(b, ["sig", "block"])))
+    cross = cross.distinct()
     pairs = written(cross, "pairs")
     more = written(verified(pairs, told, base, n, t, seed), "links")
     all_parts = connected_components(links.unionByName(more))
-    dropped(pairs, met, small, open_, links, more)
+    dropped(pairs, met, small, open_, hot, links, more)
     node = F.struct("key", "check")
     of_node = told.where("key is not null").groupBy(node.alias("node")).agg(F.min("id").alias("first"))
     named = of_node.join(all_parts, "node", "left").withColumn("part", F.coalesce("component", "node"))

@@ -186,9 +186,11 @@ def fit(stats: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str
 
 def verdict(stats: DataFrame, rules: Rules, stratum: str = "lang") -> DataFrame:
     """Adds kept: false if a base rule fails or a signal exceeds its stratum's cutoff. The cutoffs are a table, a row for each
-    stratum that has some, joined as Spark's size check sees fit."""
+    stratum that has some; it is broadcast up to 100,000 rows, and joined as Spark sees fit beyond that."""
     strata = sorted({s for cuts in rules.cutoffs.values() for s in cuts})
     table = stats.sparkSession.createDataFrame([(s, *(cuts.get(s) for cuts in rules.cutoffs.values())) for s in strata], ", ".join(["_stratum string", *(f"_cut_{n} double" for n in rules.cutoffs)]))
+    if len(strata) <= 100_000:
+        table = F.broadcast(table)
     over = F.lit(False)
     for signal in rules.cutoffs:
         over = over | F.coalesce(SIGNALS[signal]() > F.col(f"_cut_{signal}"), F.lit(False))
@@ -208,13 +210,15 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts have no words and go by the base rules, as do texts of under 20 words; a null lang is the stratum ''.
     Repeated rows are judged alike and stay or go together; null ids have no label and are judged like others. Extra columns
-    pass through under any name. Empty in, empty out. The rows are counted once: a copy is written with the counts.
+    pass through under any name. Empty in, empty out. Texts are counted twice, for the fit and for the verdict, as a copy of the
+    corpus with its counts would stay on disk until the result is written.
     """
     names = {c: f"_{i}" for i, c in enumerate(docs.columns)}
     plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    stats = written(statistics(plain, names["text"], tuple(names.values())), "rules")
+    stats = written(statistics(plain, names["text"], (names["doc_id"], names["lang"])), "rules")
     rules = fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"), names["lang"], names["doc_id"])
-    return verdict(stats, rules, names["lang"]).where("kept").select(*[F.col(n).alias(c) for c, n in names.items()])
+    dropped(stats)
+    return verdict(statistics(plain, names["text"], tuple(names.values())), rules, names["lang"]).where("kept").select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 QUERIES = {"op4_quality_rules": op4_quality_rules}
