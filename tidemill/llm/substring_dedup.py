@@ -192,7 +192,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     empty out.
     """
     others = [c for c in docs.columns if c != "text"]
-    cut = _cuts(docs, "text", others, 35, False, 8 << 20, 1 << 21, None)
+    cut = _cuts(docs, "text", others, 35, False, 4 << 20, 1 << 20, None)
     own = {c: F.col(f"_{i}") for i, c in enumerate(others)} | {"text": F.col("_kept")}
     if "n_chars" in own:
         own["n_chars"] = F.when(F.col("_n_removed") > 0, F.length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(own["n_chars"])
