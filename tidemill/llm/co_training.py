@@ -209,8 +209,10 @@ def fit(shown: DataFrame, labels: DataFrame, id_col: str = "doc_id", good_col: s
     a hash of the id, calibrates; all others are counted. A document's label is the greatest of its rows."""
     known = labels.where(F.col(good_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(good_col).cast("int")).alias("y"))
     kept = F.crc32(F.col("_id").cast("string")) % 4 == 0
-    told = written(shown.join(known, "_id"), "told")
-    rest = shown.join(known.select("_id"), "_id", "left_anti").withColumn("y", F.lit(-1))
+    # labels are attached once, by one shuffle at any size, so that no round joins; null ids have none
+    of = shown.where("_id IS NOT NULL").join(known.hint("shuffle_hash"), "_id", "left").unionByName(shown.where("_id IS NULL").withColumn("y", F.lit(None).cast("int")))
+    rows = written(of.select("_id", "c", "m", F.coalesce("y", F.lit(-1)).alias("y")), "told")
+    told, rest = rows.where("y >= 0"), rows.where("y < 0")
     held = told.where(kept).orderBy(F.xxhash64("_id"), "c").limit(sample_rows)
     own = _moments(told.where(~kept), None, sure)
     report: dict = {"labelled": int(own[0][:, 0, 0].sum()), "rounds": []}
@@ -232,7 +234,7 @@ def fit(shown: DataFrame, labels: DataFrame, id_col: str = "doc_id", good_col: s
         pair = fresh
         if moved < 1e-3:
             break
-    dropped(told)
+    dropped(rows)
     mix = (1.0, 0.0, 0.0)
     if len(set(x[:, 2])) == 2:
         both = np.stack([v.slope * x[:, i] + v.shift for i, v in enumerate(pair)], 1)
