@@ -88,13 +88,13 @@ def parts(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, int, np.
         a = b
 
 
-def words(data: np.ndarray, offs: np.ndarray, fold: bool = False, sep: np.ndarray = SEP, seed: int = 0) -> Words:
-    """Every word with its hash, its document's index and its bytes' place. fold: A-Z count as a-z. sep: bytes between words."""
+def bounds(data: np.ndarray, offs: np.ndarray, sep: np.ndarray = SEP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each word's document, first byte and last byte + 1, and which bytes belong to words."""
     n = len(data)
+    solid = ~sep[data]
     if not n:
         z = np.zeros(0, np.int64)
-        return Words(np.zeros(0, U64), z, z, z)
-    solid = ~sep[data]
+        return z, z, z, solid
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]
@@ -102,7 +102,22 @@ def words(data: np.ndarray, offs: np.ndarray, fold: bool = False, sep: np.ndarra
     first[inner] = solid[inner]
     last[inner - 1] = solid[inner - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return Words(rehash(data, start, end, solid, fold, seed), np.searchsorted(offs, start, "right") - 1, start, end)
+    return np.searchsorted(offs, start, "right") - 1, start, end, solid
+
+
+def words(data: np.ndarray, offs: np.ndarray, fold: bool = False, sep: np.ndarray = SEP, seed: int = 0) -> Words:
+    """Every word with its hash, its document's index and its bytes' place. fold: A-Z count as a-z. sep: bytes between words."""
+    doc, start, end, solid = bounds(data, offs, sep)
+    if not len(start):
+        return Words(np.zeros(0, U64), doc, start, end)
+    return Words(rehash(data, start, end, solid, fold, seed), doc, start, end)
+
+
+def word_ids(data: np.ndarray, start: np.ndarray, end: np.ndarray, solid: np.ndarray) -> np.ndarray:
+    """A number for each word, the same for equal words alone: no hash stands for a word."""
+    at = np.concatenate([[0], np.cumsum(end - start)])
+    column = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(at), pa.py_buffer(data[solid])])
+    return column.dictionary_encode().indices.to_numpy()
 
 
 def rehash(data: np.ndarray, start: np.ndarray, end: np.ndarray, solid: np.ndarray, fold: bool = False, seed: int = 0) -> np.ndarray:
