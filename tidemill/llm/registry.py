@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import co_training, jaccard_join, mixing, packing, quality_rules, runs, substring_dedup, tiff, token_counts, toxicity, warc
+from tidemill.llm import alignment, co_training, jaccard_join, mixing, packing, quality_rules, runs, substring_dedup, tiff, token_blocks, token_counts, toxicity, warc
 
-MODULES = (warc, co_training, substring_dedup, quality_rules, tiff, toxicity, token_counts, mixing, packing, jaccard_join, runs)
+MODULES = (warc, co_training, substring_dedup, quality_rules, tiff, toxicity, token_counts, mixing, packing, jaccard_join, runs, token_blocks, alignment)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
