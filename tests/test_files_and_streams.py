@@ -139,20 +139,13 @@ def in_two_files(df, path):
     df.offset(n // 2).coalesce(1).write.mode("append").parquet(str(path))
 
 
-def test_slots_and_ladders_equal_batch_across_triggers(spark, tmp_path):
-    from tidemill.operators import book
-
+def test_slots_equal_batch_across_triggers(spark, tmp_path):
     firings = spark.createDataFrame([("a", i * 3 % 50 + i // 17 * 50, i % 3) for i in range(60)], "symbol string, i long, cell_id long").orderBy("i", "cell_id")
     in_two_files(firings, tmp_path / "f")
     for _ in range(2):  # a run that is started again goes on from its checkpoint
         live.run_once(live.positions(live.event_stream(spark, str(tmp_path / "f"), "symbol string, i long, cell_id long"), 10, 2), str(tmp_path / "fo"), str(tmp_path / "fc"))
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "fo")).select("symbol", "i", "cell_id", "reason").collect())
     assert got == sorted(tuple(r) for r in onset.single_slot(firings, 10, 2).collect())
-    ev = book.ladder_events(spark, SMALL).select("token", "seq", "kind", F.col("price").cast("long").alias("price"), "size").orderBy("seq")
-    in_two_files(ev, tmp_path / "l")
-    live.run_once(live.ladders(live.event_stream(spark, str(tmp_path / "l"), "token long, seq long, kind string, price long, size double")), str(tmp_path / "lo"), str(tmp_path / "lc"))
-    got = {(r["token"], r["seq"]): r["best"] for r in spark.read.parquet(str(tmp_path / "lo")).collect()}
-    assert got == {(r["token"], r["seq"]): r["best"] for r in book.best_asks(ev).collect()}
 
 
 def test_candidates_end_once(spark, tmp_path):

@@ -75,7 +75,7 @@ def test_single_slot_trace(spark):
 
 
 def test_one_token_with_most_rows(spark):
-    """A token that holds nine tenths of the rows: as-of, sums, cooldown, slots and ladders against plain loops."""
+    """A token that holds nine tenths of the rows: as-of, sums and cooldown against plain loops."""
     import bisect
 
     rng = np.random.default_rng(4)
@@ -103,18 +103,6 @@ def test_one_token_with_most_rows(spark):
             want.add(s)
             last[k] = t
     assert {r["seq"] for r in onset.spaced(right, 600_000, ["token"]).collect()} == want
-    kinds = ["book" if i % 50 == 0 else "gap" if i % 333 == 0 else "delta" for i in range(n)]
-    ev = spark.createDataFrame([(k, s, kinds[s], int(p) % 12, float(rng.integers(0, 3))) for k, _, s, p, _ in rows], "token long, seq long, kind string, price int, size double")
-    got = {r["seq"]: r["best"] for r in book.best_asks(ev).collect()}
-    ladder, live = {}, {}
-    for r in ev.orderBy("seq").collect():
-        if r["kind"] != "delta":
-            ladder[r["token"]], live[r["token"]] = {}, r["kind"] == "book"
-        own = ladder.setdefault(r["token"], {})
-        if live.get(r["token"]):
-            own[r["price"]] = r["size"]
-        up = [p for p, q in own.items() if q > 0]
-        assert got[r["seq"]] == (min(up) if up and live.get(r["token"]) else None)
 
 
 def test_ewm_equals_pandas(spark):

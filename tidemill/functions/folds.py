@@ -65,3 +65,16 @@ def positions(df: DataFrame, key: str, by: str, bucket, name: str = "_at") -> Da
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offset = counts.select(key, "_bucket", before.alias("_before"))
     return dealt.withColumn("_own_at", own).join(offset, [key, "_bucket"]).withColumn(name, F.col("_own_at") + F.col("_before")).drop("_bucket", "_own_at", "_before")
+
+
+def carried(df: DataFrame, key: list[str], order: list[str], bucket, value, name: str) -> DataFrame:
+    """Adds the last value that is not null up to each row, in its key's order: within buckets, which must grow with the order, and
+    from the last bucket before that has one, so that a long series is filled in as many tasks as it has buckets."""
+    from pyspark.sql import Window
+
+    dealt = df.withColumns({"_bucket": bucket, "_value": value})
+    last = dealt.where(F.col("_value").isNotNull()).groupBy(*key, "_bucket").agg(F.max_by("_value", F.struct(*order)).alias("_last"))
+    all_ = dealt.select(*key, "_bucket").distinct().join(last, [*key, "_bucket"], "left")
+    before = all_.select(*key, "_bucket", F.last("_last", True).over(Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    own = F.last("_value", True).over(Window.partitionBy(*key, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return dealt.join(before, [*key, "_bucket"]).withColumn(name, F.coalesce(own, "_before")).drop("_bucket", "_value", "_before")

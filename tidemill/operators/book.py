@@ -1,16 +1,11 @@
-"""Order books: levels as arrays, walks by notional and quantity, statistics, ladders from snapshots and deltas."""
+"""Order books: levels as arrays, walks by notional and quantity, statistics. Ladders that messages change are in ladder.py."""
 
 from __future__ import annotations
 
-import heapq
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemill.functions.clean import ratio, rounded
-from tidemill.functions.folds import fold
 from tidemill.plans.registry import query
 from tidemill.sources import views as V
 
@@ -117,79 +112,6 @@ def agg08(spark: SparkSession, d: str) -> DataFrame:
     return rounded(V.trades(spark, d).groupBy("token", F.floor(c("t") / 86_400_000).alias("day")).agg(ratio(F.sum(c("price") * c("size")), F.sum("size")).alias("vwap")), 4)
 
 
-# Ladders from a stream: every fifth event of a user is a snapshot, every 23rd a gap, others set or delete one level.
-def ladder_events(spark: SparkSession, d: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    ev = V.events(spark, d)
-    kind = F.when(c("event_id") % 23 == 0, "gap").when(c("event_id") % 5 == 0, "book").otherwise("delta")
-    return ev.select((c("user_id") % 8).alias("token"), c("event_id").alias("seq"), kind.alias("kind"), (k % 10).alias("price"), F.when(c("event_id") % 7 == 0, 0.0).otherwise(c("value")).alias("size"))
-
-
-LADDER_SQL = """WITH ev AS (SELECT user_id % 8 AS token, event_id AS seq, CASE WHEN event_id % 23 = 0 THEN 'gap' WHEN event_id % 5 = 0 THEN 'book' ELSE 'delta' END AS kind,
-CAST(json_extract(props, '$.k') AS INT) % 10 AS price, CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value END AS size FROM events),
-g AS (SELECT *, last_value(CASE WHEN kind <> 'delta' THEN seq END IGNORE NULLS) OVER (PARTITION BY token ORDER BY seq ROWS UNBOUNDED PRECEDING) AS grp, last_value(CASE WHEN kind <> 'delta' THEN kind END IGNORE NULLS) OVER (PARTITION BY token ORDER BY seq ROWS UNBOUNDED PRECEDING) AS state FROM ev)"""
-
-
-def grouped(ev: DataFrame) -> DataFrame:
-    """STR-15: each event with the snapshot or gap that its ladder dates from; ladders after a gap are void."""
-    w = Window.partitionBy("token").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    mark = c("kind") != "delta"
-    return ev.withColumns({"grp": F.last(F.when(mark, c("seq")), True).over(w), "state": F.last(F.when(mark, c("kind")), True).over(w)})
-
-
-def validity(ev: DataFrame) -> DataFrame:
-    """STR-14: level versions with the events [seq, until) in which they hold, from snapshots and absolute-size deltas."""
-    live = grouped(ev).where("state = 'book'")
-    w = Window.partitionBy("token", "grp", "price").orderBy("seq")
-    return live.select("token", "grp", "price", "size", "seq", F.lead("seq").over(w).alias("until"))
-
-
-@query("str14_ladder_versions", f"{LADDER_SQL} SELECT token, grp, price, size, seq, lead(seq) OVER (PARTITION BY token, grp, price ORDER BY seq) AS until FROM g WHERE state = 'book'")
-def str14(spark: SparkSession, d: str) -> DataFrame:
-    return validity(ladder_events(spark, d))
-
-
-def best_asks(ev: DataFrame) -> DataFrame:
-    """STR-14/15: the best ask after every event of ev(token, seq, kind, price, size); NULL after a gap until the next snapshot.
-
-    Each snapshot's life is folded on its own, event after event, with the ladder as state.
-    """
-    rows = grouped(ev).select("token", "grp", "seq", "state", "price", "size")
-    schema = T.StructType([rows.schema["token"], rows.schema["seq"], T.StructField("best", rows.schema["price"].dataType)])
-
-    def step(pdf: pd.DataFrame, state: tuple | None) -> tuple[pd.DataFrame, tuple]:
-        sizes, heap = state or ({}, [])
-        best: list = []
-        for live, price, size in zip(pdf["state"], pdf["price"], pdf["size"]):
-            if live == "book" and not pd.isna(price):
-                if price not in sizes:
-                    heapq.heappush(heap, price)
-                sizes[price] = size
-                while heap and not sizes[heap[0]] > 0:
-                    del sizes[heapq.heappop(heap)]
-            best.append(heap[0] if live == "book" and heap else None)
-        return pd.DataFrame({"token": pdf["token"], "seq": pdf["seq"], "best": pd.array(best, dtype="Int64") if whole else best}), (sizes, heap)
-
-    whole = isinstance(rows.schema["price"].dataType, T.IntegralType)
-    return fold(rows, ["token", "grp"], ["seq"], step, schema)
-
-
-@query("str14_best_ask", f"""{LADDER_SQL}, v AS (SELECT token, grp, price, size, seq, lead(seq) OVER (PARTITION BY token, grp, price ORDER BY seq) AS until FROM g WHERE state = 'book')
-SELECT e.token, e.seq, min(v.price) FILTER (v.size > 0) AS best FROM g e LEFT JOIN v ON e.state = 'book' AND v.token = e.token AND v.grp = e.grp AND v.seq <= e.seq AND (v.until IS NULL OR v.until > e.seq) GROUP BY ALL""")
-def str14_best(spark: SparkSession, d: str) -> DataFrame:
-    return best_asks(ladder_events(spark, d))
-
-
-@query("str16_add_flow", f"{LADDER_SQL}, v AS (SELECT *, size - coalesce(lag(size) OVER (PARTITION BY token, grp, price ORDER BY seq), 0) AS d FROM g WHERE state = 'book') SELECT token, grp, CAST(count(*) FILTER (d > 0 AND kind = 'delta') AS BIGINT) AS adds, round(coalesce(sum(d) FILTER (d > 0 AND kind = 'delta'), 0), 4) AS added FROM v GROUP BY ALL")
-def str16(spark: SparkSession, d: str) -> DataFrame:
-    """STR-16: sizes added by deltas within each snapshot's life."""
-    live = grouped(ladder_events(spark, d)).where("state = 'book'")
-    w = Window.partitionBy("token", "grp", "price").orderBy("seq")
-    x = live.withColumn("d", c("size") - F.coalesce(F.lag("size").over(w), F.lit(0.0)))
-    add = (c("d") > 0) & (c("kind") == "delta")
-    return rounded(x.groupBy("token", "grp").agg(F.count_if(add).alias("adds"), F.coalesce(F.sum(F.when(add, c("d"))), F.lit(0.0)).alias("added")), 4)
-
-
 @query("agg15_staleness", V.sql("mids", "WITH m AS (SELECT token, t, floor(mid / 50) AS h, lag(floor(mid / 50)) OVER (PARTITION BY token ORDER BY t, seq) AS p FROM mids) SELECT token, CAST(count(*) FILTER (h = p) AS BIGINT) AS unchanged, CAST(count(DISTINCT h) AS BIGINT) AS distinct_hashes, max(t) - min(t) AS span_ms FROM m GROUP BY token"))
 def agg15(spark: SparkSession, d: str) -> DataFrame:
     m = V.mids(spark, d).withColumn("h", F.floor(c("mid") / 50))

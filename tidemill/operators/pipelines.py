@@ -14,7 +14,7 @@ from tidemill.functions.scratch import scratch
 from tidemill.operators import bars as B
 from tidemill.operators import features as X
 from tidemill.operators import model as M
-from tidemill.operators import onset, rules
+from tidemill.operators import ladder, onset, rules
 from tidemill.plans.registry import query
 from tidemill.sources import sinks
 from tidemill.sources import views as V
@@ -241,14 +241,14 @@ def pipe13(spark: SparkSession, d: str) -> DataFrame:
     return rounded(z.groupBy("symbol", "day").agg(F.count("z").alias("n"), F.avg("z").alias("mean"), F.stddev_samp("z").alias("std"), q(0.1).alias("q10"), q(0.9).alias("q90")), 4)
 
 
-def add_flow(ev: DataFrame, back: int = 30, near: float = 2.0) -> DataFrame:
-    """PIPE-14, STR-16: from ladder events (token, side, t_s, seq, price, before, after, best) per second the sizes added within
-    `near` of the best, summed over the last `back` seconds, and their asymmetry (up - down) / (up + down), NULL without any."""
-    add = (c("after") > c("before")) & (F.abs(c("price") - c("best")) <= near)
-    per = ev.where(add).groupBy("token", "t_s").agg(*[F.sum(F.when(c("side") == s, c("after") - c("before")).otherwise(0.0)).alias(s) for s in ("up", "down")])
+def add_flow(changes: DataFrame, back: int = 30, near: float = 0.02, side: tuple[str, str] = ("bid", "ask")) -> DataFrame:
+    """PIPE-14, STR-16: from changes of ladders (token, side, t_s, price, before, after, best; see ladder.changes) per second with any
+    the sizes added within `near` of the side's best, summed over the last `back` seconds, as up and down, and their asymmetry
+    (up - down) / (up + down), NULL without any."""
+    x = changes.withColumn("added", ladder.added(changes, near))
+    per = x.groupBy("token", "t_s").agg(*[F.coalesce(F.sum(F.when(c("side") == s, c("added"))), F.lit(0)).cast("double").alias(n) for s, n in zip(side, ("up", "down"))])
     w = Window.partitionBy("token").orderBy("t_s").rangeBetween(-(back - 1), 0)
-    seen = ev.select("token", "t_s").distinct().join(per, ["token", "t_s"], "left")
-    x = seen.select("token", "t_s", *[F.coalesce(F.sum(s).over(w), F.lit(0.0)).alias(s) for s in ("up", "down")])
+    x = per.select("token", "t_s", *[F.sum(s).over(w).alias(s) for s in ("up", "down")])
     return x.withColumn("v", ratio(c("up") - c("down"), c("up") + c("down")))
 
 
@@ -262,26 +262,32 @@ def run_diff(live: DataFrame, again: DataFrame, key: str, order: list[str], skip
     return j.groupBy(key).agg(F.count("a").alias("live_rows"), F.count("b").alias("replay_rows"), F.count_if(c("a").isNotNull() & c("b").isNotNull() & ~c("a").eqNullSafe(c("b"))).alias("differing"))
 
 
-FLOW = """WITH e AS (SELECT token, CASE WHEN side = 'buy' THEN 'up' ELSE 'down' END AS side, t // 1000000 AS t_s, seq, price, lag(size) OVER (PARTITION BY token, side ORDER BY t, seq) AS before, size AS after, max(price) OVER (PARTITION BY token ORDER BY t, seq ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS best FROM trades),
-p AS (SELECT token, t_s, sum(CASE WHEN side = 'up' THEN after - before ELSE 0 END) AS up, sum(CASE WHEN side = 'down' THEN after - before ELSE 0 END) AS down FROM e WHERE after > before AND abs(price - best) <= 200 GROUP BY ALL),
-d AS (SELECT DISTINCT token, t_s FROM e), s AS (SELECT d.token, d.t_s, coalesce(sum(up) OVER w, 0) AS up, coalesce(sum(down) OVER w, 0) AS down FROM d LEFT JOIN p USING (token, t_s) WINDOW w AS (PARTITION BY d.token ORDER BY d.t_s RANGE BETWEEN 29 PRECEDING AND CURRENT ROW)), v AS (SELECT *, (up - down) / nullif(up + down, 0) AS v FROM s)"""
+FLOW = f"""{ladder.WIRE},
+p AS (SELECT token, t // 1000000 AS t_s, coalesce(sum(added) FILTER (side = 'bid'), 0) AS up, coalesce(sum(added) FILTER (side = 'ask'), 0) AS down FROM adds GROUP BY ALL),
+s AS (SELECT token, t_s, sum(up) OVER w AS up, sum(down) OVER w AS down FROM p WINDOW w AS (PARTITION BY token ORDER BY t_s RANGE BETWEEN 29 PRECEDING AND CURRENT ROW)),
+f AS (SELECT *, (up - down) / nullif(up + down, 0) AS v FROM s)"""
 
 
 def _flow(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("token")
-    t = V.trades(spark, d).withColumn("before", F.lag("size").over(Window.partitionBy("token", "side").orderBy("t", "seq"))).withColumn("best", F.max("price").over(w.orderBy("t", "seq").rowsBetween(-4, 0)))
-    ev = t.select("token", F.when(c("side") == "buy", "up").otherwise("down").alias("side"), F.floor(c("t") / 1_000_000).alias("t_s"), "seq", "price", "before", c("size").alias("after"), "best")
-    return add_flow(ev, near=200.0)
+    """The flow of the driver's messages, whose seconds are thousands of seconds, as they are sparse."""
+    wire = ladder.wire(spark, d)
+    x = ladder.changes(ladder.book_events(wire)).join(wire.select("seq", F.floor(c("t") / 1_000_000).alias("t_s")), "seq")
+    return add_flow(x)
 
 
-@query("pipe14_add_flow", V.sql("trades", f"{FLOW} SELECT token, t_s, round(up, 4) AS up, round(down, 4) AS down, round(v, 6) AS v FROM v"))
+@query("pipe14_add_flow", f"{FLOW} SELECT token, t_s, round(up, 4) AS up, round(down, 4) AS down, round(v, 6) AS v FROM f")
 def pipe14(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_flow(spark, d))
 
 
-@query("pipe14_replay_diff", V.sql("trades", f"{FLOW}, a AS (SELECT token, up, down, v, row_number() OVER (PARTITION BY token ORDER BY t_s) AS i FROM v), b AS (SELECT token, CASE WHEN i % 19 = 0 THEN up + 1 ELSE up END AS up, down, v, i FROM a WHERE NOT (token = 3 AND i > 40)) SELECT token, CAST(count(a.i) AS BIGINT) AS live_rows, CAST(count(b.i) AS BIGINT) AS replay_rows, CAST(count(*) FILTER (a.i IS NOT NULL AND b.i IS NOT NULL AND (a.up IS DISTINCT FROM b.up)) AS BIGINT) AS differing FROM a FULL JOIN b USING (token, i) GROUP BY token"))
+@query("pipe14_replay_diff", f"""{FLOW},
+a AS (SELECT token, up, down, v, row_number() OVER (PARTITION BY token ORDER BY t_s) AS i FROM f),
+b AS (SELECT token, CASE WHEN i % 19 = 0 THEN up + 1 ELSE up END AS up, down, v, i FROM a WHERE NOT (token = 'tok3' AND i > 40))
+SELECT token, CAST(count(a.i) AS BIGINT) AS live_rows, CAST(count(b.i) AS BIGINT) AS replay_rows,
+  CAST(count(*) FILTER (a.i IS NOT NULL AND b.i IS NOT NULL AND (a.up IS DISTINCT FROM b.up)) AS BIGINT) AS differing
+FROM a FULL JOIN b USING (token, i) GROUP BY token""")
 def pipe14_diff(spark: SparkSession, d: str) -> DataFrame:
     live = _flow(spark, d).withColumn("wall", F.lit(1))
     i = F.row_number().over(Window.partitionBy("token").orderBy("t_s"))
-    again = live.withColumn("i", i).where(~((c("token") == 3) & (c("i") > 40))).withColumn("up", F.when(c("i") % 19 == 0, c("up") + 1).otherwise(c("up"))).withColumn("wall", F.lit(2)).drop("i")
+    again = live.withColumn("i", i).where(~((c("token") == "tok3") & (c("i") > 40))).withColumn("up", F.when(c("i") % 19 == 0, c("up") + 1).otherwise(c("up"))).withColumn("wall", F.lit(2)).drop("i")
     return run_diff(live, again, "token", ["t_s"], ("wall",))

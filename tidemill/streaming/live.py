@@ -7,9 +7,11 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemill.functions.folds import kept_apart
+from tidemill.operators import ladder
 
 
 def event_stream(spark, path: str, schema: str, files_at_a_time: int = 1) -> DataFrame:
@@ -78,26 +80,62 @@ def positions(firings: DataFrame, horizon: int, buffer: int) -> DataFrame:
     return firings.groupBy("symbol").applyInPandasWithState(slot, "symbol string, i long, cell_id long, reason string", "entry long", "append", GroupStateTimeout.NoTimeout)
 
 
-def ladders(events: DataFrame) -> DataFrame:
-    """STR-14/15: the best ask after every event(token, seq, kind, price, size); state is the ladder, NULL after a gap until the next
-    snapshot. The batch twin is book.best_asks."""
-
-    def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        live, prices, sizes = state.get if state.exists else (False, [], [])
-        ladder = dict(zip(prices, sizes))
-        rows, best = _frames(frames, ["seq"]), []
-        for kind, price, size in zip(rows["kind"], rows["price"], rows["size"]):
-            if kind != "delta":
-                live, ladder = kind == "book", {}
-            if live:
-                ladder[int(price)] = float(size)
-                if not size > 0:
-                    del ladder[int(price)]
-            best.append(min(ladder) if live and ladder else None)
-        state.update((live, list(ladder), list(ladder.values())))
-        yield pd.DataFrame({"token": rows["token"], "seq": rows["seq"], "best": pd.array(best, dtype="Int64")})
-
-    return events.groupBy("token").applyInPandasWithState(follow, "token long, seq long, best long", "live boolean, prices array<long>, sizes array<double>", "append", GroupStateTimeout.NoTimeout)
+class Ladders(StatefulProcessor):
+    """A token's book as keyed state: sizes by side and price, one entry a level, so that a trigger writes the levels that it changes,
+    not the ladder; whether the book is known, and its tick size."""
+
+    def __init__(self, within: int) -> None:
+        self.within = within
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.levels = handle.getMapState("levels", "side int, price long", "size long")
+        self.known = handle.getValueState("known", "tick long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        book: ladder.Book | None = None
+        if self.known.exists():
+            book = ladder.Book(self.known.get()[0])
+            for (side, price), (size,) in self.levels.iterator():
+                book.set(side, price, size)
+        before = {(s, p): q for s in (ladder.BID, ladder.ASK) for p, q in (book.sizes[s].items() if book else ())}
+        frame, out = _frames(rows, ["seq", "at"]), []
+        for seq, at, kind, tick, levels in zip(frame["seq"], frame["at"], frame["kind"], frame["tick"], frame["levels"]):
+            if kind not in ("delta", "tick"):
+                book = ladder.Book() if kind == "book" else None
+            if book is not None:
+                if kind != "delta":
+                    book.tick = None if pd.isna(tick) else int(tick)
+                for v in levels:
+                    book.set(ladder.ASK if v["side"] == "ask" else ladder.BID, int(v["price"]), int(v["size"]))
+            out.append((key[0], seq, at, *ladder.top(book, self.within)))
+        after = {(s, p): q for s in (ladder.BID, ladder.ASK) for p, q in (book.sizes[s].items() if book else ())}
+        for k in before.keys() - after.keys():
+            self.levels.removeKey(k)
+        for k, q in after.items():
+            if before.get(k) != q:
+                self.levels.updateValue(k, (q,))
+        if book is None:
+            self.known.clear()
+        else:
+            self.known.update((book.tick,))
+        yield pd.DataFrame(out, columns=["token", "seq", "at", *ladder.TOP]).astype({n: "Int64" for n in ladder.TOP})
+
+    def close(self) -> None:
+        pass
+
+
+def ladders(events: DataFrame, within: float = 0.01) -> DataFrame:
+    """STR-14/15: after each event of ladder.book_events the token's best bid and ask, as ladder.tops gives them, which is the batch
+    twin. The session's state store must be RocksDB's (see rocks)."""
+    schema = "token string, seq long, at int, " + ", ".join(f"{n} long" for n in ladder.TOP)
+    rows = events.select("token", "seq", "at", "kind", "tick", "levels").groupBy("token")
+    out = rows.transformWithStateInPandas(Ladders(round(within * ladder.SCALE)), schema, "append", "none")
+    return out.select("token", "seq", "at", *[ladder._number(n) for n in ladder.TOP])
+
+
+def rocks(spark) -> None:
+    """Keyed state of any size: the store that stateful processors need."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def expiring(candidates: DataFrame, confirms: DataFrame, wait_ms: int, late: str = "10 minutes") -> DataFrame:
