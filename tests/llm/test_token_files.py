@@ -1,5 +1,6 @@
 """Token block files against plain encodings, round trips, on odd rows and on empty tables."""
 
+import json
 import os
 import random
 import zlib
@@ -13,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests.conftest import MIDDLE
-from tidemill.llm import token_blocks
+from tidemill.llm import packing, token_blocks
 from tidemill.llm.shared import documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -94,3 +95,34 @@ def test_odd_rows_empty_tables_and_given_folders(spark, odd, empty, tmp_path):
     none = token_blocks.write_ids(empty)
     assert none.count() == 0 and token_blocks.read_ids(none).count() == 0
     assert not spark._jvm.org.apache.hadoop.fs.FileSystem.getLocal(spark._jsc.hadoopConfiguration()).cancelDeleteOnExit(spark._jvm.org.apache.hadoop.fs.Path(folder))
+
+
+def merged(symbols, ranks):
+    """BPE by pairs, the plain way: the pair of least rank first, from the left."""
+    while len(symbols) > 1:
+        best = min(range(len(symbols) - 1), key=lambda i: ranks.get((symbols[i], symbols[i + 1]), 1 << 60))
+        if (symbols[best], symbols[best + 1]) not in ranks:
+            break
+        symbols = [*symbols[:best], symbols[best] + symbols[best + 1], *symbols[best + 2 :]]
+    return symbols
+
+
+def test_plain_texts_are_encoded_as_the_library_does():
+    with open(PATH, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    ranks = {p: i for i, p in enumerate(pairs)}
+    ids = [model["vocab"]["".join(p)] for p in pairs]
+    assert ids == sorted(ids)  # ids are in the order of merges
+    for w in model["vocab"]:  # each entry is encoded as itself
+        if not w.startswith("<|"):
+            own = w.removesuffix("</w>")
+            letters = [*own[:-1], own[-1] + "</w>"] if w.endswith("</w>") else [*own]
+            assert merged(letters, ranks) == [w]
+    rng, tok, ours = random.Random(2), Tokenizer.from_file(PATH), packing.WordIds(PATH)
+    letters = [chr(c) for c in range(0x250)] + [" "] * 80 + list("aeiourstnl'.,7") * 12 + ["'s", "'ll ", "...", "<|endoftext|>", "界"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 120))) for _ in range(1500)] + ["don't 'tis ''s 's. it'sx'll 12.5% İ²", "\n \t", "'"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in ours.encode(texts)]
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    plain = [t for t in texts if ours.plain.takes(t)]
+    assert len(plain) > 20 and [ours.plain.encode(t) for t in plain] == ours._by_words(plain)

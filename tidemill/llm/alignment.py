@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemill.llm import kernels as K
+from tidemill.llm.packing import byte_letters
 from tidemill.llm.shared import documents, text_bytes, written
 from tidemill.llm.token_blocks import packed, unpacked
 
@@ -85,13 +86,6 @@ def vocabulary(entries: list[bytes | None]) -> Vocabulary:
     return Vocabulary(entries, np.array([len(x or b"") for x in entries], np.int64))
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters by which byte-level vocabularies write bytes: printable ones stand for themselves, the others follow from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 class ByteLevel:
     """A byte-level BPE file of the tokenizers library.
 

@@ -18,6 +18,7 @@ about 7 MB), which is why they are broadcast.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -113,8 +114,54 @@ def best_fit_decreasing(counts: dict[int, int], size: int) -> list[Place]:
     return places
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters by which byte-level vocabularies write bytes: printable ones stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+class PlainIds:
+    """The same tokenizer's ids of plain texts: letters up to U+024F (where all libraries agree on classes and nothing is
+    composed), no special token's beginning, no control that libraries take for white space or not.
+
+    Its pieces are written one a line, and merged by ranks with the line's end as the end-of-word mark. That gives the
+    merges by pairs where ids are in the order of the merges and each entry is encoded as itself (a test holds that):
+    merges that don't cross an entry's bounds go on in it as if it stood alone.
+    """
+
+    PLAIN = re.compile("[^\x1c-\x1f\u0250-\U0010ffff]*\\Z")
+    CONTRACTION = re.compile("\n'\n(s|t|re|ve|m|ll|d)")
+    NUMBERS = "0123456789\u00b2\u00b3\u00b9\u00bc\u00bd\u00be"
+    NUMBER = re.compile(f"[{NUMBERS}]")
+    #: Runs of all else but letters and white space. U+0307 comes of a letter's lower case.
+    MARKS = re.compile(f"[{re.escape(''.join(filter(lambda c: not c.isalpha() and not c.isspace() and not c.isnumeric(), map(chr, [*range(0x250), 0x307]))))}]+")
+
+    def __init__(self, vocab: dict[str, int], special: set[str]) -> None:
+        import tiktoken
+
+        of, self.special = byte_letters(), {x[:2] for x in special}
+        raw = lambda w: bytes(of[c] for c in w.removesuffix("</w>")) + b"\n" * w.endswith("</w>")
+        ranks = {raw(w): i for w, i in vocab.items() if w not in special}
+        if len(ranks) != len(vocab) - len(special):
+            raise ValueError("entries of the vocabulary can't be told apart")
+        self.ranks = tiktoken.Encoding("lines", pat_str=r"[^\n]*\n", mergeable_ranks=ranks, special_tokens={})
+
+    def takes(self, text: str) -> bool:
+        return self.PLAIN.match(text) is not None and not any(x in text for x in self.special)
+
+    def encode(self, text: str) -> bytes:
+        lines = self.MARKS.sub("\n\\g<0>\n", text.lower())
+        if "'" in text:
+            lines = self.CONTRACTION.sub("\n'\\1\n", lines)
+        if self.NUMBER.search(lines):
+            lines = self.NUMBER.sub(" \\g<0> ", lines)
+        return np.array(self.ranks.encode_ordinary("\n".join([*lines.split(), ""])), "<u4").tobytes()
+
+
 class WordIds:
-    """A tokenizer's ids of a text, by a bounded cache of the ids of words between white space.
+    """A tokenizer's ids of a text: of plain texts by PlainIds, of others by a bounded cache of the ids of words between white
+    space.
 
     Valid for tokenizers that drop white space and whose pieces end with an end-of-word mark, as word_bpe_49k: new words
     are encoded together, and the ids that end a piece show where each word's ids end.
@@ -134,7 +181,9 @@ class WordIds:
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.special = tuple({x.content[0] for x in self.tok.get_added_tokens_decoder().values()})
+        added = {x.content for x in self.tok.get_added_tokens_decoder().values()}
+        self.special = tuple({x[0] for x in added})
+        self.plain = PlainIds(vocab, added)
 
     def split(self, text: str) -> list[str]:
         if any(c in text for c in self.CONTROL):
@@ -200,6 +249,13 @@ class WordIds:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
+        out = [self.plain.encode(t) if t and self.plain.takes(t) else b"" for t in texts]
+        others = [i for i, t in enumerate(texts) if t and not out[i]]
+        for i, ids in zip(others, self._by_words([texts[i] for i in others])):
+            out[i] = ids
+        return out
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
         split = [self.split(t) if t else [] for t in texts]
         distinct = set(chain.from_iterable(split))
         if new := [w for w in distinct if w not in self.cache]:
