@@ -11,6 +11,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.sources import tails
+
 #: The columns of a raw kline line, in order; a thirteenth, the time as text, may follow.
 KLINE = ("open_time", "open", "high", "low", "close", "volume", "close_time", "quote_asset_volume", "num_trades", "taker_buy_base_volume", "taker_buy_quote_volume", "ignore")
 
@@ -99,12 +101,15 @@ def append_bars(bars: DataFrame, path: str) -> None:
 
 
 def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["inode", "head", "crc"]
     for batch in batches:
-        for uri, begin in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for uri, begin, *known in zip(*(batch.column(i).to_pylist() for i in range(5))):
             fs, path = pafs.FileSystem.from_uri(uri)
             with fs.open_input_file(path) as f:
-                size, at, left = f.size(), begin, b""
-                at = begin if begin <= size else 0  # the file was replaced by a shorter one
+                size, left = f.size(), b""
+                kept = known[0] is None or tails.same(uri, {**dict(zip(names, known)), "offset": begin}, size)
+                at = begin if kept and begin <= size else 0  # another file has taken its place
+                own = tails.who(uri, size)
                 f.seek(at)
                 while some := f.read(1 << 20):
                     lines = (left + some).split(b"\n")
@@ -113,13 +118,18 @@ def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for x in lines:
                         at += len(x) + 1
                         ends.append(at)
-                    yield pa.RecordBatch.from_arrays([pa.array([uri] * len(lines), pa.string()), pa.array([x.decode("utf-8", "replace") for x in lines], pa.string()), pa.array(ends, pa.int64())], ["uri", "value", "offset"])
+                    n = len(lines)
+                    yield pa.RecordBatch.from_arrays([pa.array([uri] * n, pa.string()), pa.array([x.decode("utf-8", "replace") for x in lines], pa.string()), pa.array(ends, pa.int64()), *(pa.array([own[k]] * n, pa.int64()) for k in names)], ["uri", "value", "offset", *names])
 
 
 def tail_lines(files: DataFrame) -> DataFrame:
-    """SRC-20: of files(uri, offset) the lines that end after their offset, never past an incomplete one: uri, value, offset (where
-    the line ends, from which the next reading goes on). A file shorter than its offset is read from its beginning."""
-    return files.select("uri", c_long("offset")).repartition(F.col("uri")).mapInArrow(_tails, "uri string, value string, offset long")
+    """SRC-20, as a batch: of files(uri, offset) the lines that end after their offset, never past an incomplete one: uri, value, offset
+    (where the line ends, from which the next reading goes on), and inode, head, crc, which tell the file from one in its place. A
+    file that is not the one these say (where given, in columns of these names), or is shorter than its offset, is read from its
+    beginning. Streams are in tails.py."""
+    known = [c_long(k) if k in files.columns else F.lit(None).cast("long").alias(k) for k in ("inode", "head", "crc")]
+    rows = files.select("uri", c_long("offset"), *known).repartition(F.col("uri"))
+    return rows.mapInArrow(_tails, "uri string, value string, offset long, inode long, head long, crc long")
 
 
 def c_long(name: str) -> Column:
