@@ -1,4 +1,4 @@
-"""Rolling and forward features of bars. Windows are partitioned by symbol; see frames.overlap_chunks for one long series."""
+"""Rolling and forward features of bars. Short windows are partitioned by symbol; long ones slide over chunks (functions.sliding)."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions.clean import clip, floor_at, holds, ratio, rounded
 from tidemill.functions.frames import forward, order, rolling, trailing
+from tidemill.functions.sliding import Roll, slide
 from tidemill.plans.registry import query
 from tidemill.sources import views as V
 
@@ -28,6 +29,14 @@ def parkinson(n: int) -> Column:
     return F.sqrt(rolling(F.avg, F.pow(F.log(ratio(c("high"), c("low"))), F.lit(2.0)), n, W()) / (4 * math.log(2)))
 
 
+def parkinsons(bars: DataFrame, windows: list[int]) -> DataFrame:
+    """WIN-02 for several windows of any length, as pk_n beside the bars' columns: a row costs the same for each, and a symbol is
+    spread over its chunks."""
+    squares = bars.withColumn("_sq", F.pow(F.log(ratio(c("high"), c("low"))), F.lit(2.0)))
+    out = slide(squares, {f"pk_{n}": Roll("avg", "_sq", n) for n in windows}).drop("_sq")
+    return out.withColumns({f"pk_{n}": F.sqrt(c(f"pk_{n}") / (4 * math.log(2))) for n in windows})
+
+
 def volume_ratio(n: int) -> Column:
     """WIN-04: volume over its mean of the last n bars."""
     return ratio(c("volume"), rolling(F.avg, c("volume"), n, W()))
@@ -149,7 +158,7 @@ PARK = {n: f"sqrt({least('avg', 'pow(ln(high / nullif(low, 0)), 2)', n)} / (4 *
 
 @query("win02_parkinson", V.sql("bars_1h", "SELECT symbol, ts, " + ", ".join(f"round({x}, 6) AS pk_{n}" for n, x in PARK.items()) + " FROM bars_1h"))
 def win02(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(_bars(spark, d).select("symbol", "ts", *[parkinson(n).alias(f"pk_{n}") for n in PARK]))
+    return rounded(parkinsons(_bars(spark, d).select("symbol", "ts", "high", "low"), list(PARK)).drop("high", "low"))
 
 
 @query("win03_vol_ratio", V.sql("bars_1h", f"SELECT symbol, ts, round(a / nullif(b, 0), 6) AS pk_ratio, round(close / nullif(open, 0) - 1, 6) AS ret FROM (SELECT symbol, ts, open, close, {PARK[5]} AS a, {PARK[30]} AS b FROM bars_1h)"))
@@ -219,8 +228,9 @@ def win11(spark: SparkSession, d: str) -> DataFrame:
 
 @query("win12_intrabar_zscore", V.sql("bars_1h", f"SELECT symbol, ts, round((r - ({least('avg', 'r', 1440, 100)})) / nullif({least('stddev_samp', 'r', 1440, 100)}, 0), 6) AS z_intrabar FROM (SELECT symbol, ts, close / open - 1 AS r FROM bars_1h)"))
 def win12(spark: SparkSession, d: str) -> DataFrame:
-    b = _bars(spark, d).withColumn("r", ratio(c("close"), c("open")) - 1)
-    return rounded(b.select("symbol", "ts", ratio(c("r") - rolling(F.avg, c("r"), 1440, W(), 100), rolling(F.stddev_samp, c("r"), 1440, W(), 100)).alias("z_intrabar")))
+    b = _bars(spark, d).select("symbol", "ts", (ratio(c("close"), c("open")) - 1).alias("r"))
+    b = slide(b, {"mean": Roll("avg", "r", 1440, 100), "std": Roll("std", "r", 1440, 100)})
+    return rounded(b.select("symbol", "ts", ratio(c("r") - c("mean"), c("std")).alias("z_intrabar")))
 
 
 @query("win14_forward_sum", V.sql("bars_1h", "SELECT symbol, ts, CASE WHEN count(volume) OVER w = 5 THEN round(sum(volume) OVER w, 6) END AS fwd_sum_5, CASE WHEN count(volume) OVER w = 5 THEN round(avg(volume) OVER w, 6) END AS fwd_mean_5 FROM bars_1h WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)"))

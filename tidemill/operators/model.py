@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.clean import ratio, rounded
 from tidemill.operators import features as X
+from tidemill.operators.walk import walk_fit
 from tidemill.plans.registry import query
 from tidemill.sources import views as V
 
@@ -23,31 +20,6 @@ def ols_one(y: Column, x: Column) -> tuple[Column, Column]:
     return slope, F.avg(y) - slope * F.avg(x)
 
 
-def ols(df: DataFrame, keys: list[str], target: str, names: list[str], least: int = 30) -> DataFrame:
-    """AGG-22/23: least squares with intercept for each group, in pandas; NULL with fewer than `least` complete rows."""
-    schema = ", ".join([*(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys), "n long, intercept double", *(f"b_{x} double" for x in names)])
-
-    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna(subset=[target, *names])
-        beta = np.full(len(names) + 1, np.nan)
-        if len(pdf) >= least:
-            a = np.column_stack([np.ones(len(pdf)), *(pdf[x].to_numpy(float) for x in names)])
-            beta = np.linalg.lstsq(a, pdf[target].to_numpy(float), rcond=None)[0]
-        row = [*key, len(pdf), *(None if math.isnan(b) else float(b) for b in beta)]
-        return pd.DataFrame([row], columns=[*keys, "n", "intercept", *(f"b_{x}" for x in names)])
-
-    return df.groupBy(*keys).applyInPandas(fit, schema)
-
-
-def walk_forward(rows: DataFrame, days: int, horizon_hours: int) -> DataFrame:
-    """AGG-23: each score date with its training rows: the `days` days before it, less the horizon. A row is copied to the
-    dates whose window it falls into, by explode, so the join is no range join."""
-    s = V.epoch("ts")
-    first = F.floor((s + horizon_hours * 3600) / 86_400) + 1
-    last = F.floor(s / 86_400) + days
-    return rows.withColumn("score_day", F.explode(F.sequence(first, F.greatest(first, last)))).where((s < c("score_day") * 86_400 - horizon_hours * 3600) & (s >= (c("score_day") - days) * 86_400))
-
-
 def features(spark: SparkSession, d: str) -> DataFrame:
     b = V.bars_1h(spark, d).withColumn("_ret", F.log(ratio(c("close"), F.lag("close").over(X.W()))))
     return b.select("symbol", "ts", "close", X.mean_abs_return(1).alias("mar_1"), X.mean_abs_return(4).alias("mar_4"), F.abs(X.forward_return(1)).alias("target"))
@@ -57,6 +29,11 @@ F_SQL = f"f AS (SELECT symbol, ts, close, {X.least('avg', 'abs(r)', 1)} AS mar_1
 WALK = f"""{F_SQL}, d AS (SELECT unnest(range(CAST(epoch(min(ts)) AS BIGINT) // 86400 - 6, CAST(epoch(max(ts)) AS BIGINT) // 86400 + 8)) AS score_day FROM f), t AS (SELECT d.score_day, f.* FROM d JOIN f ON epoch(ts) < score_day * 86400 - 3600 AND epoch(ts) >= (score_day - 5) * 86400)"""
 
 
+def daily(f: DataFrame) -> DataFrame:
+    """The model of each score day, from the five days before it less an hour."""
+    return walk_fit(f, V.epoch("ts"), {1: ("target", 3600)}, ["mar_4"], 5).drop("horizon")
+
+
 @query("agg22_ols", V.sql("bars_1h", f"WITH {F_SQL} SELECT symbol, CAST(regr_count(target, mar_4) AS BIGINT) AS n, round(regr_slope(target, mar_4), 6) AS slope, round(regr_intercept(target, mar_4), 6) AS intercept FROM f GROUP BY symbol"))
 def agg22(spark: SparkSession, d: str) -> DataFrame:
     slope, intercept = ols_one(c("target"), c("mar_4"))
@@ -66,8 +43,7 @@ def agg22(spark: SparkSession, d: str) -> DataFrame:
 
 @query("agg23_walk_forward", V.sql("bars_1h", f"WITH {WALK} SELECT score_day, CAST(regr_count(target, mar_4) AS BIGINT) AS n, CASE WHEN regr_count(target, mar_4) >= 30 THEN round(regr_intercept(target, mar_4), 6) END AS intercept, CASE WHEN regr_count(target, mar_4) >= 30 THEN round(regr_slope(target, mar_4), 6) END AS b_mar_4 FROM t GROUP BY score_day"))
 def agg23(spark: SparkSession, d: str) -> DataFrame:
-    t = walk_forward(features(spark, d), 5, 1)
-    return rounded(ols(t, ["score_day"], "target", ["mar_4"]))
+    return rounded(daily(features(spark, d)))
 
 
 SCORED = f"{WALK}, m AS (SELECT score_day, regr_intercept(target, mar_4) AS a, regr_slope(target, mar_4) AS b FROM t GROUP BY score_day HAVING regr_count(target, mar_4) >= 30), s AS (SELECT f.symbol, f.ts, f.close, f.target, a + b * mar_4 AS pred FROM f JOIN m ON m.score_day = CAST(floor(epoch(f.ts) / 86400) AS BIGINT) WHERE mar_4 IS NOT NULL)"
@@ -76,7 +52,7 @@ SCORED = f"{WALK}, m AS (SELECT score_day, regr_intercept(target, mar_4) AS a, r
 def scored(spark: SparkSession, d: str) -> DataFrame:
     """JN-19: each bar with the coefficients of its day. The models are one row a day."""
     f = features(spark, d)
-    m = ols(walk_forward(f, 5, 1), ["score_day"], "target", ["mar_4"])
+    m = daily(f)
     day = f.dropna(subset=["mar_4"]).withColumn("score_day", F.floor(V.epoch("ts") / 86_400))
     return day.join(m.where("intercept IS NOT NULL"), "score_day").select("symbol", "ts", "close", "target", (c("intercept") + c("b_mar_4") * c("mar_4")).alias("pred"))
 

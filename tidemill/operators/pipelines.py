@@ -14,7 +14,7 @@ from tidemill.functions.scratch import scratch
 from tidemill.operators import bars as B
 from tidemill.operators import features as X
 from tidemill.operators import model as M
-from tidemill.operators import ladder, onset, rules
+from tidemill.operators import ladder, onset, rules, walk
 from tidemill.plans.registry import query
 from tidemill.sources import sinks
 from tidemill.sources import views as V
@@ -53,12 +53,8 @@ def prepared(bars: DataFrame, b: Build) -> DataFrame:
 
 def trained(rows: DataFrame, b: Build) -> DataFrame:
     """AGG-23: a model for each symbol, score day and horizon, from the rows of the train_days days before it, less the horizon."""
-    long = rows.select("symbol", "ts", *[f"pk_{n}" for n in b.windows], F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), c(f"mar_next_{h}").alias("y")) for h in b.horizons])).alias("t")).select("*", "t.horizon", "t.y").drop("t")
-    s = V.epoch("ts")
-    first = F.floor((s + c("horizon") * b.step_s) / DAY)
-    dealt = long.withColumn("score_day", F.explode(F.sequence(first, F.greatest(first, F.floor(s / DAY) + b.train_days))))
-    dealt = dealt.where((s < c("score_day") * DAY - c("horizon") * b.step_s) & (s >= (c("score_day") - b.train_days) * DAY))
-    return M.ols(dealt, ["symbol", "score_day", "horizon"], "y", [f"pk_{n}" for n in b.windows], b.least_rows).where("intercept IS NOT NULL")
+    targets = {h: (f"mar_next_{h}", h * b.step_s) for h in b.horizons}
+    return walk.walk_fit(rows, V.epoch("ts"), targets, [f"pk_{n}" for n in b.windows], b.train_days, b.least_rows, ("symbol",)).where("intercept IS NOT NULL")
 
 
 def scored_days(rows: DataFrame, models: DataFrame, b: Build) -> DataFrame:
@@ -72,45 +68,50 @@ def scored_days(rows: DataFrame, models: DataFrame, b: Build) -> DataFrame:
 
 
 def pools(scored: DataFrame, b: Build) -> DataFrame:
-    """AGG-24: the z pool of each symbol and score day: forward returns to the strike over their volatility, of the rows of
-    pool_days days before it, less one group of bars; pools under least_pool are left out."""
-    z = scored.select("symbol", V.epoch("ts").alias("s"), ratio(F.try_element_at(c("ahead"), c("ttl").cast("int")), c("sigma")).alias("z")).where("z IS NOT NULL")
-    first = F.floor((c("s") + b.group * b.step_s) / DAY)
-    dealt = z.withColumn("score_day", F.explode(F.sequence(first, F.greatest(first, F.floor(c("s") / DAY) + b.pool_days))))
-    dealt = dealt.where((c("s") < c("score_day") * DAY - b.group * b.step_s) & (c("s") >= (c("score_day") - b.pool_days) * DAY))
-    big = dealt.groupBy("symbol", "score_day").count().where(c("count") >= b.least_pool).select("symbol", "score_day")
-    return dealt.join(big, ["symbol", "score_day"]).select("symbol", "score_day", "z")
+    """AGG-24: the z values - forward returns to the strike over their volatility - of each symbol and day as sorted runs; a score day's
+    pool is those of the pool_days days before it, less one group of bars."""
+    z = scored.select("symbol", V.epoch("ts").alias("s"), ratio(F.try_element_at(c("ahead"), c("ttl").cast("int")), c("sigma")).alias("z"))
+    return walk.day_runs(z, c("s"), "z", b.group * b.step_s)
 
 
 def window_quality(bars: DataFrame, days: DataFrame, b: Build) -> DataFrame:
-    """AGG-07: bars expected and there in each score day's training window."""
-    s = F.floor(V.epoch("ts") / DAY)
-    dealt = bars.select("symbol", "ts", F.explode(F.sequence(s + 1, s + b.train_days)).alias("score_day")).join(days, ["symbol", "score_day"])
+    """AGG-07: bars expected and there in each score day's training window: sums of the days' counts."""
+    day = bars.groupBy("symbol", F.floor(V.epoch("ts") / DAY).alias("score_day")).agg(F.countDistinct("ts").alias("n"))
+    both = day.unionByName(days.select("symbol", "score_day", F.lit(None).cast("long").alias("n")))
+    sums = both.select("symbol", "score_day", "n", F.sum("n").over(Window.partitionBy("symbol").orderBy("score_day").rangeBetween(-b.train_days, -1)).alias("actual"))
     expected = F.lit(b.train_days * DAY // b.step_s)
-    return dealt.groupBy("symbol", "score_day").agg(F.countDistinct("ts").alias("actual")).withColumn("expected", expected.cast("long")).withColumn("missing_pct", (c("expected") - c("actual")) * 100.0 / c("expected"))
+    return sums.where("n IS NULL AND actual > 0").drop("n").withColumn("expected", expected.cast("long")).withColumn("missing_pct", (c("expected") - c("actual")) * 100.0 / c("expected"))
 
 
 def build_artifacts(bars: DataFrame, path: str, b: Build = Build()) -> DataFrame:
-    """PIPE-04, SNK-02: models, pools and quality of every day that has all models and a pool, saved under path; returns what
-    load_artifacts reads back: a row for each symbol and day."""
+    """PIPE-04, SNK-02: models and quality of every day that has all models and a pool, and the pools' values once, as runs by day,
+    saved under path; returns what load_artifacts reads back: a row for each symbol and day."""
     rows = prepared(bars, b)
-    models = trained(rows, b)
+    sinks.save_partitions(trained(rows, b), f"{path}/trained", ["score_day"])
+    models = bars.sparkSession.read.parquet(f"{path}/trained").withColumn("score_day", c("score_day").cast("long"))
+    sinks.save_partitions(pools(scored_days(rows, models, b), b), f"{path}/pool", ["day"])
+    runs = saved_runs(bars.sparkSession, path)
     full = models.groupBy("symbol", "score_day").count().where(c("count") == len(b.horizons)).select("symbol", "score_day")
-    pool = pools(scored_days(rows, models, b), b)
-    ready = full.join(pool.select("symbol", "score_day").distinct(), ["symbol", "score_day"])
+    big = walk.pool_sizes(runs, b.pool_days, most=-(-b.group * b.step_s // DAY)).where(c("pool_size") >= b.least_pool).select("symbol", "score_day")
+    ready = full.join(big, ["symbol", "score_day"])
     sinks.save_partitions(models.join(ready, ["symbol", "score_day"], "left_semi"), f"{path}/models", ["score_day"])
-    sinks.save_partitions(pool.join(ready, ["symbol", "score_day"], "left_semi"), f"{path}/pool", ["score_day"])
     sinks.save_partitions(window_quality(bars, ready, b), f"{path}/quality", ["score_day"])
-    return load_artifacts(bars.sparkSession, path)
+    return load_artifacts(bars.sparkSession, path, b)
 
 
-def load_artifacts(spark: SparkSession, path: str) -> DataFrame:
+def saved_runs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/pool").withColumn("day", c("day").cast("long"))
+
+
+def load_artifacts(spark: SparkSession, path: str, b: Build = Build()) -> DataFrame:
     """The saved artifacts: models of each horizon as a map, the pool's size, ends and median, and the window's quality."""
-    models, pool, quality = (spark.read.parquet(f"{path}/{x}").withColumn("score_day", c("score_day").cast("long")) for x in ("models", "pool", "quality"))
+    models, quality = (spark.read.parquet(f"{path}/{x}").withColumn("score_day", c("score_day").cast("long")) for x in ("models", "quality"))
+    runs = saved_runs(spark, path)
     slopes = [x for x in models.columns if x.startswith("b_")]
     m = models.groupBy("symbol", "score_day").agg(F.map_from_entries(F.collect_list(F.struct("horizon", F.struct("intercept", "n", *slopes)))).alias("models"))
-    z = pool.groupBy("symbol", "score_day").agg(F.count("z").alias("pool_size"), F.min("z").alias("pool_lo"), F.median("z").alias("pool_mid"), F.max("z").alias("pool_hi"))
-    return m.join(z, ["symbol", "score_day"]).join(quality, ["symbol", "score_day"], "left")
+    z = walk.pool_sizes(runs, b.pool_days, most=-(-b.group * b.step_s // DAY))
+    mid = walk.pool_medians(runs, m.select("symbol", "score_day"), b.pool_days)
+    return m.join(z, ["symbol", "score_day"]).join(mid, ["symbol", "score_day"]).join(quality, ["symbol", "score_day"], "left")
 
 
 _PK = {n: X.PARK[n] if n in X.PARK else "" for n in (5, 15)}
@@ -137,6 +138,20 @@ def pipe04(spark: SparkSession, d: str) -> DataFrame:
     return rounded(rounded(out.select("symbol", "score_day", "intercept_3"), 5).join(rounded(out.drop("intercept_3"), 4), ["symbol", "score_day"]), 6)
 
 
+@query("fn06_daily_pools", V.sql("bars_1h", PIPE04[: PIPE04.index("e AS (SELECT symbol, d, count(*) AS pool_size")] + """
+v AS (SELECT q.symbol, q.s, q.d, ln(b.close / 100) / nullif(sqrt(pi() / 2) * greatest(mar, 0) * sqrt(q.ttl), 0) AS x FROM q JOIN f b ON b.symbol = q.symbol AND b.s = q.s WHERE mar IS NOT NULL)
+SELECT v.symbol, v.s, round(count(*) FILTER (u.z > v.x) * 1.0 / count(*), 6) AS p_yes
+FROM v JOIN u ON u.symbol = v.symbol AND u.d = v.d AND u.s < u.d * 86400 - 54000 AND u.s >= (u.d - 4) * 86400 WHERE v.x IS NOT NULL GROUP BY ALL"""))
+def fn06_daily(spark: SparkSession, d: str) -> DataFrame:
+    """FN-06 by the artifact's pools: for each bar the share of its own day's pool over its distance from the strike."""
+    b = Build()
+    rows = prepared(V.bars_1h(spark, d), b)
+    scored = scored_days(rows, trained(rows, b), b)
+    x = scored.select("symbol", V.epoch("ts").alias("s"), "score_day", ratio(F.log(c("close") / 100), c("sigma")).alias("x")).where("x IS NOT NULL")
+    out = walk.pool_shares(x, pools(scored, b), "x", b.pool_days)
+    return rounded(out.select("symbol", "s", c("share").alias("p_yes")).where("p_yes IS NOT NULL"))
+
+
 # PIPE-05: replay and reconciliation
 
 

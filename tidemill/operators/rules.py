@@ -5,14 +5,11 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemill.functions.clean import holds, rounded
-from tidemill.functions.folds import positions
-from tidemill.functions.frames import order, overlap_chunks, trailing
+from tidemill.functions.sliding import Roll, slide
 from tidemill.operators import features as X
 from tidemill.plans.registry import query
 from tidemill.sources import views as V
@@ -31,29 +28,10 @@ def side_of(common: dict, long: dict, short: dict) -> Column:
     return F.when(all_hold(common) & all_hold(long), "long").when(all_hold(common) & all_hold(short), "short")
 
 
-def decile(x: str, n: int, least: int, by=None) -> Column:
-    """WIN-13, small windows: the decile (1 to 10) of x among the last n values, ties at their mean rank."""
-    w = trailing(n, by or order())
-    seen = F.collect_list(x).over(w)
-    below = F.size(F.filter(seen, lambda v: v < c(x)))
-    same = F.size(F.filter(seen, lambda v: v == c(x)))
-    pct = (below + (same + 1) / 2) / F.size(seen)
-    return F.when(c(x).isNotNull() & (F.size(seen) >= least), F.least(F.lit(9), F.floor(pct * 10)).cast("int") + 1)
-
-
 def decile_chunked(df: DataFrame, x: str, n: int, least: int, chunk: int = 20_000, key: str = "symbol", by: str = "ts", bucket: Column | None = None) -> DataFrame:
-    """WIN-13, large windows: the same, by overlap chunks, each ranked in pandas; the series is parallel in its chunks. Rows are
-    numbered by buckets of time (bucket; ten days of a timestamp if not given)."""
-    at = positions(df, key, by, F.floor(V.epoch(by) / 864_000) if bucket is None else bucket)
-    out_schema = T.StructType([*df.schema.fields, T.StructField("decile", T.IntegerType())])
-
-    def rank(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_at")
-        pct = pdf[x].rolling(n, min_periods=least).rank(pct=True, method="average")
-        pdf["decile"] = ((pct * 10 + 1e-9).astype("float").where(pct.notna()) // 1).clip(upper=9).add(1).astype("Int32")
-        return pdf.loc[pdf["_own"], [f.name for f in out_schema]]
-
-    return overlap_chunks(at, "_at", chunk, n - 1).groupBy(key, "_chunk").applyInPandas(rank, out_schema)
+    """WIN-13: adds decile, that (1 to 10) of x among the last n values, ties at their mean rank; exact at any n, and a row is in two
+    chunks at most. Rows are numbered by buckets of time (bucket; ten days of a timestamp if not given)."""
+    return slide(df, {"decile": Roll("decile", x, n, least)}, key, by, bucket, chunk)
 
 
 class Cell(NamedTuple):
@@ -114,7 +92,7 @@ NUM = "k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS i
 
 @query("win13_decile", V.sql("bars_1h", f"WITH f AS (SELECT symbol, ts, num_trades FROM bars_1h), {NUM} SELECT symbol, ts, d AS decile FROM ({_decile_sql('num_trades', 50, 25)})"))
 def win13(spark: SparkSession, d: str) -> DataFrame:
-    return V.bars_1h(spark, d).select("symbol", "ts", decile("num_trades", 50, 25).alias("decile"))
+    return decile_chunked(V.bars_1h(spark, d).select("symbol", "ts", "num_trades"), "num_trades", 50, 25).select("symbol", "ts", "decile")
 
 
 @query("win13_decile_chunked", V.sql("bars_1h", f"WITH f AS (SELECT symbol, ts, num_trades FROM bars_1h), {NUM} SELECT symbol, ts, d AS decile FROM ({_decile_sql('num_trades', 200, 100)})"))
@@ -124,8 +102,8 @@ def win13_chunked(spark: SparkSession, d: str) -> DataFrame:
 
 
 def deciles(spark: SparkSession, d: str) -> DataFrame:
-    b = V.bars_1h(spark, d).withColumns({"pk": X.parkinson(5), "ret": X.cum_return(3)})
-    return b.select("symbol", "ts", "close", decile("pk", 100, 50).alias("d_pk"), decile("ret", 100, 50).alias("d_ret"), decile("volume", 100, 50).alias("d_vol"))
+    b = V.bars_1h(spark, d).select("symbol", "ts", "close", "volume", X.parkinson(5).alias("pk"), X.cum_return(3).alias("ret"))
+    return slide(b, {name: Roll("decile", x, 100, 50) for name, x in (("d_pk", "pk"), ("d_ret", "ret"), ("d_vol", "volume"))}).select("symbol", "ts", "close", "d_pk", "d_ret", "d_vol")
 
 
 DEC = f"""f AS (SELECT symbol, ts, close, volume, {X.PARK[5]} AS pk, close / lag(open, 2) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS ret FROM bars_1h), {NUM},
