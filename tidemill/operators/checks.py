@@ -218,18 +218,18 @@ def prj09(spark: SparkSession, d: str) -> DataFrame:
     return rounded(e.select("event_id", contrarian_trigger(c("ttl"), c("p")).alias("x")).where("x IS NOT NULL").select("event_id", "x.*"))
 
 
-ROLES = "(VALUES ('home'), ('away'), ('draw'))"
-
-
-@query("prj14_implied_direction", f"""WITH g AS (SELECT a.r AS role, b.r AS other, d.d AS direction, l.l AS lead FROM {ROLES} a(r), {ROLES} b(r), (VALUES (1), (-1)) d(d), (VALUES (-2), (-1), (0), (1), (2), (NULL)) l(l) WHERE a.r <> b.r),
+@query("prj14_implied_direction", """WITH g AS (SELECT event_id, ['home', 'away', 'draw'][1 + event_id % 3] AS role, ['home', 'away', 'draw'][1 + (event_id % 3 + 1 + k % 2) % 3] AS other,
+  CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END AS direction, CASE WHEN k % 6 < 5 THEN k % 6 - 2 END AS lead FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events)),
 s AS (SELECT *, CASE WHEN direction > 0 THEN role WHEN role = 'home' THEN 'away' ELSE 'home' END AS scorer, CASE WHEN (lead > 0) = (direction > 0) THEN 'away' ELSE 'home' END AS drawn FROM g)
-SELECT role, other, direction, lead, CASE WHEN role <> 'draw' AND other <> 'draw' THEN CASE WHEN other = scorer THEN 1 ELSE -1 END WHEN lead IS NULL THEN NULL WHEN role <> 'draw' THEN CASE WHEN CASE WHEN scorer = 'home' THEN lead ELSE -lead END >= 0 THEN -1 ELSE 1 END WHEN lead = 0 THEN 0 WHEN other = drawn THEN 1 ELSE -1 END AS implied FROM s""")
+SELECT event_id, CASE WHEN role <> 'draw' AND other <> 'draw' THEN CASE WHEN other = scorer THEN 1 ELSE -1 END WHEN lead IS NULL THEN NULL
+  WHEN role <> 'draw' THEN CASE WHEN CASE WHEN scorer = 'home' THEN lead ELSE -lead END >= 0 THEN -1 ELSE 1 END
+  WHEN lead = 0 THEN 0 WHEN other = drawn THEN 1 ELSE -1 END AS implied FROM s""")
 def prj14(spark: SparkSession, d: str) -> DataFrame:
-    """All combinations of two books, a direction and a lead."""
-    one = lambda name, values: F.explode(F.array(*[F.lit(v) for v in values])).alias(name)
-    roles = ("home", "away", "draw")
-    g = spark.range(1).select(one("role", roles)).select("role", one("other", roles)).select("role", "other", one("direction", (1, -1))).select("*", one("lead", (-2, -1, 0, 1, 2, None))).where("role <> other")
-    return g.select("*", implied_direction(c("role"), c("other"), c("direction"), c("lead")).alias("implied"))
+    """Each event as a move of one book, and what it implies for another, at a lead that it states or not."""
+    k, e = F.from_json("props", "k int")["k"], c("event_id")
+    role = lambda i: F.element_at(F.array(*map(F.lit, ("home", "away", "draw"))), (1 + i % 3).cast("int"))
+    g = V.events(spark, d).select("event_id", role(e).alias("role"), role(e % 3 + 1 + k % 2).alias("other"), F.when(e % 2 == 0, 1).otherwise(-1).alias("direction"), F.when(k % 6 < 5, k % 6 - 2).alias("lead"))
+    return g.select("event_id", implied_direction(c("role"), c("other"), c("direction"), c("lead")).alias("implied"))
 
 
 @query("prj18_sentinel", "SELECT event_id, CASE WHEN s IS DISTINCT FROM 'ok' THEN 'primary_' || coalesce(s, 'unknown') WHEN event_id % 11 = 0 OR event_id % 12 = 0 THEN 'primary_missing_or_stale_score' WHEN a IS NULL OR a < 0 OR a > 30 THEN 'primary_observation_expired' END AS failure FROM (SELECT event_id, CASE event_id % 9 WHEN 0 THEN 'backoff' WHEN 1 THEN NULL ELSE 'ok' END AS s, CASE WHEN event_id % 10 <> 0 THEN event_id % 50 - 5 END AS a FROM events)")
@@ -282,12 +282,15 @@ def fn35(spark: SparkSession, d: str) -> DataFrame:
     return V.events(spark, d).select("event_id", retry_after_s(F.when(k % 3 == 0, "17").when(k % 3 == 1, "soon"), k % 9).alias("wait_s"))
 
 
-@query("fn12_execution_returns", V.sql("trades", "WITH p AS (SELECT token, seq, price, size, side, lead(price) OVER (PARTITION BY token ORDER BY t, seq) AS x FROM trades) SELECT token, seq, round(s * (x / price - 1) * 1e4, 4) AS ret_mid_bps, round(s * (x * 0.99 / (price * 1.01) - 1) * 1e4, 4) AS ret_rung_1, round(s * (x / price - 1) * 1e4 - s * (x * 0.99 / (price * 1.01) - 1) * 1e4, 4) AS cost_rung_1, round(CASE WHEN size > 50 THEN s * (x * 0.95 / (price * 1.05) - 1) * 1e4 END, 4) AS ret_rung_2 FROM (SELECT *, CASE WHEN side = 'buy' THEN 1 ELSE -1 END AS s FROM p WHERE price > 1 AND x > 1)"))
+@query("fn12_execution_returns", V.sql("trades", """WITH p AS (SELECT token, seq, nullif(price, 0) AS price, size, CASE WHEN side = 'buy' THEN 1 ELSE -1 END AS s, lead(price) OVER (PARTITION BY token ORDER BY t, seq) AS x FROM trades)
+SELECT token, seq, round(s * (x / price - 1) * 1e4, 4) AS ret_mid_bps, round(s * (x * 0.99 / (price * 1.01) - 1) * 1e4, 4) AS ret_rung_1,
+  round(s * (x / price - 1) * 1e4 - s * (x * 0.99 / (price * 1.01) - 1) * 1e4, 4) AS cost_rung_1, round(CASE WHEN size > 50 THEN s * (x * 0.95 / (price * 1.05) - 1) * 1e4 END, 4) AS ret_rung_2 FROM p"""))
 def fn12(spark: SparkSession, d: str) -> DataFrame:
+    """Each trade left at the next one's price; the second rung fills large ones only."""
     x = F.lead("price").over(Window.partitionBy("token").orderBy("t", "seq"))
-    p = V.trades(spark, d).withColumn("x", x).where("price > 1 AND x > 1").withColumn("s", F.when(c("side") == "buy", 1).otherwise(-1))
+    p = V.trades(spark, d).withColumn("x", x).withColumn("s", F.when(c("side") == "buy", 1).otherwise(-1))
     rung2 = lambda v: F.when(c("size") > 50, v)
-    r = execution_returns(c("s"), F.array(c("price") * 1.01, rung2(c("price") * 1.05)), F.array(c("x") * 0.99, rung2(c("x") * 0.95)), c("price"), c("x"), c("s") * (c("x") / c("price") - 1) * 1e4)
+    r = execution_returns(c("s"), F.array(c("price") * 1.01, rung2(c("price") * 1.05)), F.array(c("x") * 0.99, rung2(c("x") * 0.95)), c("price"), c("x"), c("s") * (ratio(c("x"), c("price")) - 1) * 1e4)
     out = p.select("token", "seq", r.alias("r"))
     return rounded(out.select("token", "seq", "r.ret_mid_bps", F.get("r.ret_exec_bps", F.lit(0)).alias("ret_rung_1"), F.get("r.cost_bps", F.lit(0)).alias("cost_rung_1"), F.get("r.ret_exec_bps", F.lit(1)).alias("ret_rung_2")), 4)
 
@@ -336,6 +339,7 @@ def agg20_report(spark: SparkSession, d: str) -> DataFrame:
 
 @query("agg13_window_stats", V.sql("trades", "SELECT t // 86400000 AS day, CAST(count(*) AS BIGINT) AS n, min(t) AS first_t, max(t) AS last_t, min(price) AS min_price, max(price) AS max_price, round(avg(price), 6) AS avg_price FROM trades WHERE size > 50 GROUP BY 1"))
 def agg13(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics of the trades that trigger, those over a size."""
     t = V.trades(spark, d).where("size > 50").withColumn("day", F.floor(c("t") / 86_400_000))
     return rounded(window_stats(t, "day", ["price"]))
 

@@ -38,17 +38,46 @@ def agg29(spark: SparkSession, d: str) -> DataFrame:
     return rounded(V.trades(spark, d).select("token", "seq", ref.alias("ref"), noise.alias("noise")), 4)
 
 
-@query("prj13_impulse_checks", V.sql("trades", """WITH a AS (SELECT token, t, seq, price, size, lag(price) OVER (PARTITION BY token ORDER BY t, seq) AS p FROM trades)
-SELECT token, seq, CASE WHEN NOT (price > p) OR NOT (size >= 30) OR NOT (price < 250) THEN false WHEN price > p AND size >= 30 AND price < 250 THEN true END AS passes,
-array_to_string(list_filter([CASE WHEN NOT (price > p) THEN 'not_up' END, CASE WHEN NOT (size >= 30) THEN 'small' END, CASE WHEN NOT (price < 250) THEN 'dear' END], lambda x: x IS NOT NULL), ',') AS reasons FROM a"""))
+def impulse_checks(role: Column, d: Column, ref: Column, home: Column, away: Column, minute: Column) -> Column:
+    """PRJ-13: of a move d (1 or -1) of a book's price from ref, in a match that stands home to away in a minute (unknown ones NULL):
+    struct(gate, gate_reasons, hypothesis, favoured_side, lead_home, f_minute30, f_leader1_up).
+
+    The gate fails, with its reasons, on a dead price, a favoured side that leads by two, or a draw that rises at a level score; it is
+    unknown where that takes a score that isn't known. The hypothesis fails for a late fall of a favourite's price that leads, and
+    for a rising draw at a level score."""
+    lead, draw, up = home - away, role == "draw", d > 0
+    side = F.when(draw, F.lit(None)).when(up, role).otherwise(F.when(role == "home", "away").otherwise("home"))
+    ahead = F.when(side == "home", lead).when(side == "away", -lead)
+    why = F.array_compact(F.array(F.when(~ref.between(0.05, 0.95), "dead_price"), F.when(ahead >= 2, "favoured_leads_by_2"), F.when(draw & up & (lead == 0), "draw_up_level")))
+    unknown = ref.isNull() | ((~draw | up) & lead.isNull())
+    gate = F.when(F.size(why) > 0, False).when(~unknown, True)
+    late = F.when(minute.isNotNull(), minute < 75)
+    leads = F.when(role == "home", lead > 0).otherwise(lead < 0)
+    hypothesis = F.when(draw, F.when(up, lead != 0).otherwise(True)).when(up | (ref < 0.85) | F.coalesce(late, F.lit(False)), True).when(lead.isNotNull(), F.when(leads, late).otherwise(True))
+    first = F.when(~draw & up, ahead == 1).otherwise(False)
+    shown = {"gate": gate, "gate_reasons": why, "hypothesis": hypothesis, "favoured_side": side, "lead_home": lead, "f_minute30": minute >= 30, "f_leader1_up": first}
+    return F.struct(*[x.alias(n) for n, x in shown.items()])
+
+
+@query("prj13_impulse_checks", V.sql("trades", """WITH a AS (SELECT token, seq, CASE seq % 3 WHEN 0 THEN 'home' WHEN 1 THEN 'away' ELSE 'draw' END AS role,
+  CASE WHEN price > lag(price) OVER (PARTITION BY token ORDER BY t, seq) THEN 1 ELSE -1 END AS d, CAST(floor(price) AS INT) % 101 / 100.0::DOUBLE AS ref,
+  CASE WHEN seq % 11 <> 0 THEN CAST(size AS INT) % 4 END AS h, CAST(size AS INT) // 4 % 3 AS w, CASE WHEN seq % 7 <> 0 THEN seq % 91 END AS minute FROM trades),
+b AS (SELECT *, h - w AS lead, CASE WHEN role = 'draw' THEN NULL WHEN d > 0 THEN role WHEN role = 'home' THEN 'away' ELSE 'home' END AS side FROM a),
+g AS (SELECT *, CASE side WHEN 'home' THEN lead WHEN 'away' THEN -lead END AS ahead FROM b),
+r AS (SELECT *, list_filter([CASE WHEN ref < 0.05 OR ref > 0.95 THEN 'dead_price' END, CASE WHEN ahead >= 2 THEN 'favoured_leads_by_2' END,
+  CASE WHEN role = 'draw' AND d > 0 AND lead = 0 THEN 'draw_up_level' END], lambda x: x IS NOT NULL) AS why FROM g)
+SELECT token, seq, CASE WHEN len(why) > 0 THEN false WHEN (role = 'draw' AND d < 0) OR lead IS NOT NULL THEN true END AS gate, array_to_string(why, ',') AS reasons,
+  CASE WHEN role = 'draw' AND d < 0 THEN true WHEN role = 'draw' THEN lead <> 0 WHEN d > 0 OR ref < 0.85 OR coalesce(minute < 75, false) THEN true
+       WHEN lead IS NULL THEN NULL WHEN CASE role WHEN 'home' THEN lead > 0 ELSE lead < 0 END THEN minute < 75 ELSE true END AS hypothesis,
+  side AS favoured_side, CAST(lead AS BIGINT) AS lead_home, minute >= 30 AS f_minute30, CASE WHEN role <> 'draw' AND d > 0 THEN ahead = 1 ELSE false END AS f_leader1_up FROM r"""))
 def prj13(spark: SparkSession, d: str) -> DataFrame:
-    """PRJ-13: three-valued checks with the reasons that fail: false if one is false, else unknown if one is unknown."""
-    p = F.lag("price").over(Window.partitionBy("token").orderBy("t", "seq"))
-    a = V.trades(spark, d).withColumn("p", p)
-    checks = {"not_up": c("price") > c("p"), "small": c("size") >= 30, "dear": c("price") < 250}
-    all_ = checks["not_up"] & checks["small"] & checks["dear"]
-    why = F.array_join(F.array_compact(F.array(*[F.when(~x, F.lit(n)) for n, x in checks.items()])), ",")
-    return a.select("token", "seq", all_.alias("passes"), why.alias("reasons"))
+    """The checks of every trade's move against the one before it."""
+    q, k = c("seq"), c("size").cast("int")
+    move = F.when(c("price") > F.lag("price").over(Window.partitionBy("token").orderBy("t", "seq")), 1).otherwise(-1)
+    role = F.when(q % 3 == 0, "home").when(q % 3 == 1, "away").otherwise("draw")
+    x = V.trades(spark, d).select("token", "seq", role.alias("role"), move.alias("d"), (F.floor("price").cast("int") % 101 / 100).alias("ref"), F.when(q % 11 != 0, k % 4).alias("h"), (F.floor(k / 4) % 3).cast("int").alias("w"), F.when(q % 7 != 0, q % 91).alias("minute"))
+    x = x.select("token", "seq", impulse_checks(c("role"), c("d"), c("ref"), c("h"), c("w"), c("minute")).alias("x")).select("token", "seq", "x.*")
+    return x.withColumn("lead_home", c("lead_home").cast("long")).withColumn("reasons", F.array_join("gate_reasons", ",")).drop("gate_reasons")
 
 
 def yes_price(price: Column, is_yes: Column) -> Column:
@@ -166,10 +195,10 @@ def agg32(spark: SparkSession, d: str) -> DataFrame:
     return V.table(spark, d, "orders").groupBy("o_orderstatus").agg((F.max("o_orderkey") + 1).alias("next_id"))
 
 
-@query("agg14_ask_stats", "SELECT user_id, round(min(value) FILTER (value > 5), 4) AS lo, round(max(value) FILTER (value > 5), 4) AS hi, round(avg(value) FILTER (value > 5), 4) AS mean, CAST(count(*) FILTER (value > 5) AS BIGINT) AS n FROM events GROUP BY user_id")
+@query("agg14_ask_stats", "SELECT user_id, round(min(value) FILTER (value > 0), 4) AS lo, round(max(value) FILTER (value > 0), 4) AS hi, round(avg(value) FILTER (value > 0), 4) AS mean, CAST(count(*) FILTER (value > 0) AS BIGINT) AS n FROM events GROUP BY user_id")
 def agg14(spark: SparkSession, d: str) -> DataFrame:
-    """AGG-13/14/33: statistics over valid asks alone."""
-    v = F.when(c("value") > 5, c("value"))
+    """AGG-13/14/33: statistics over valid asks alone: NULL and 0 are none."""
+    v = F.when(c("value") > 0, c("value"))
     return rounded(V.events(spark, d).groupBy("user_id").agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.avg(v).alias("mean"), F.count(v).alias("n")), 4)
 
 
@@ -295,16 +324,20 @@ def named_entities(games: DataFrame, feed: DataFrame, alias: dict[str, str] | No
     return j.select("slug", status.alias("status"), F.when(c("n") == 1, c("e.id")).alias("id"), F.when(c("n") == 1, c("e.home") == name(c("a"))).alias("a_home"))
 
 
-@query("jn18_set_equality", """WITH g AS (SELECT o_orderkey AS slug, CASE WHEN o_custkey % 40 = 7 THEN 'Sevens' ELSE 'T' || (o_custkey % 40) END AS a, 'T' || (o_orderkey % 40) AS b FROM orders),
-e AS (SELECT l_orderkey * 10 + l_linenumber AS id, 'T' || (l_suppkey % 40) AS home, 'T' || (l_partkey % 40) AS away FROM lineitem WHERE l_quantity < 3),
-n AS (SELECT list_sort(list_distinct([home, away])) AS k, count(*) AS n, min(id) AS id, arg_min(home, id) AS home FROM e GROUP BY 1), x AS (SELECT slug, CASE WHEN a = 'Sevens' THEN 'T7' ELSE a END AS a, b FROM g)
-SELECT slug, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE 'matched' END AS status, CASE WHEN n = 1 THEN id END AS id, CASE WHEN n = 1 THEN home = a END AS a_home FROM x LEFT JOIN n ON n.k = list_sort(list_distinct([a, b]))""")
+@query("jn18_set_equality", """WITH g AS (SELECT o_orderkey AS slug, CASE WHEN o_custkey % 400 = 7 THEN 'Sevens' ELSE 'T' || (o_custkey % 400) END AS a,
+  'T' || (o_orderkey % 400) AS b FROM orders),
+e AS (SELECT min(l_orderkey * 10 + l_linenumber) AS id, 'T' || (l_suppkey % 400) AS home, 'T' || (l_partkey % 400) AS away FROM lineitem GROUP BY l_suppkey, l_partkey),
+n AS (SELECT list_sort(list_distinct([home, away])) AS k, count(*) AS n, min(id) AS id, arg_min(home, id) AS home FROM e GROUP BY 1),
+x AS (SELECT slug, CASE WHEN a = 'Sevens' THEN 'T7' ELSE a END AS a, b FROM g)
+SELECT slug, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE 'matched' END AS status, CASE WHEN n = 1 THEN id END AS id,
+  CASE WHEN n = 1 THEN home = a END AS a_home FROM x LEFT JOIN n ON n.k = list_sort(list_distinct([a, b]))""")
 def jn18(spark: SparkSession, d: str) -> DataFrame:
-    team = lambda x: F.concat(F.lit("T"), (x % 40).cast("string"))
+    """Orders' two teams against a feed of an event for each supplier and part of lineitem."""
+    team = lambda x: F.concat(F.lit("T"), (x % 400).cast("string"))
     a = team(c("o_custkey"))
     games = V.table(spark, d, "orders").select(c("o_orderkey").alias("slug"), F.when(a == "T7", "Sevens").otherwise(a).alias("a"), team(c("o_orderkey")).alias("b"))
-    feed = V.table(spark, d, "lineitem").where("l_quantity < 3").select((c("l_orderkey") * 10 + c("l_linenumber")).alias("id"), team(c("l_suppkey")).alias("home"), team(c("l_partkey")).alias("away"))
-    return named_entities(games, feed, {"Sevens": "T7"})
+    once = V.table(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.min(c("l_orderkey") * 10 + c("l_linenumber")).alias("id"))
+    return named_entities(games, once.select("id", team(c("l_suppkey")).alias("home"), team(c("l_partkey")).alias("away")), {"Sevens": "T7"})
 
 
 def routed(rows: DataFrame, routes: DataFrame, id_col: str, keys: list[Column]) -> DataFrame:
@@ -327,6 +360,7 @@ def children(parents: DataFrame, rows: DataFrame, key: str, foreign: str) -> Dat
 
 @query("jn02_star", "SELECT DISTINCT o_orderkey, o_orderpriority, l_suppkey, l_returnflag FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'O'")
 def jn02(spark: SparkSession, d: str) -> DataFrame:
+    """The children of parents that a filter leaves: orders that are not open, as captures that are done."""
     o = V.table(spark, d, "orders").where("o_orderstatus <> 'O'").select("o_orderkey", "o_orderpriority")
     return children(o, V.table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag"), "o_orderkey", "l_orderkey")
 
@@ -474,9 +508,11 @@ def sequence_check(rows: DataFrame, scope: list[str], seq: str = "seq", at: str
     return x.groupBy(*scope).agg(F.count(F.lit(1)).alias("n"), broken.alias("breaks"), F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"), F.max("_w").alias("largest_wait"), (broken == 0).alias("in_sequence"))
 
 
-@query("pipe10_sequence_check", V.sql("mids", """WITH n AS (SELECT token, t, row_number() OVER (PARTITION BY token ORDER BY t, seq) + CASE WHEN token % 2 = 0 AND seq % 97 = 0 THEN 1 ELSE 0 END AS q FROM mids WHERE token < 6),
+@query("pipe10_sequence_check", V.sql("mids fires", """WITH n AS (SELECT token, t, row_number() OVER (PARTITION BY token ORDER BY t, seq) + CASE WHEN token % 2 = 0 AND seq % 97 = 0 THEN 1 ELSE 0 END AS q FROM mids WHERE token IN (SELECT token FROM fires)),
 l AS (SELECT *, lag(q) OVER w AS p, t - lag(t) OVER w AS wait FROM n WINDOW w AS (PARTITION BY token ORDER BY t, q))
 SELECT token, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (p + 1 <> q) AS BIGINT) AS breaks, min(q) AS first_seq, max(q) AS last_seq, max(wait) AS largest_wait, count(*) FILTER (p + 1 <> q) = 0 AS in_sequence FROM l GROUP BY token"""))
 def pipe10(spark: SparkSession, d: str) -> DataFrame:
     n = F.row_number().over(Window.partitionBy("token").orderBy("t", "seq")) + F.when((c("token") % 2 == 0) & (c("seq") % 97 == 0), 1).otherwise(0)
-    return sequence_check(V.mids(spark, d).where("token < 6").select("token", "t", n.cast("long").alias("q")), ["token"], "q")
+    scope = V.fires(spark, d).select("token").distinct()  # the tokens that are relayed
+    frames = V.mids(spark, d).join(scope, "token", "left_semi")
+    return sequence_check(frames.select("token", "t", n.cast("long").alias("q")), ["token"], "q")

@@ -128,11 +128,13 @@ def str18(spark: SparkSession, d: str) -> DataFrame:
     return gap_actions(b, 6, 20).select("symbol", "i", "missing", "action", "armed")
 
 
-@query("str19_restart", "SELECT o_orderkey AS entry_id, CASE WHEN o_custkey % 5 < 4 AND o_orderkey % 97 + 20 <= 20 * (o_custkey % 5) + 10 THEN 'missed_exit' ELSE 'resume' END AS status FROM orders WHERE o_orderstatus = 'P'")
+@query("str19_restart", """WITH l AS (SELECT o_custkey % 5 AS symbol, max(o_orderkey % 83) AS last_i FROM orders WHERE o_custkey % 5 < 4 GROUP BY 1)
+SELECT o_orderkey AS entry_id, CASE WHEN o_orderkey % 97 + 20 <= last_i THEN 'missed_exit' ELSE 'resume' END AS status FROM orders LEFT JOIN l ON l.symbol = o_custkey % 5""")
 def str19(spark: SparkSession, d: str) -> DataFrame:
-    p = V.table(spark, d, "orders").where("o_orderstatus = 'P'").select((c("o_custkey") % 5).alias("symbol"), c("o_orderkey").alias("entry_id"), (c("o_orderkey") % 97 + 20).alias("exit_i"))
-    last = spark.range(4).select(c("id").alias("symbol"), (c("id") * 20 + 10).alias("last_i"))
-    return restarted(p, last).select("entry_id", "status")
+    """Orders as positions with an exit bar; a symbol without bars resumes."""
+    o = V.table(spark, d, "orders").select((c("o_custkey") % 5).alias("symbol"), c("o_orderkey").alias("entry_id"), (c("o_orderkey") % 97 + 20).alias("exit_i"), (c("o_orderkey") % 83).alias("i"))
+    last = o.where("symbol < 4").groupBy("symbol").agg(F.max("i").alias("last_i"))
+    return restarted(o.drop("i"), last).select("entry_id", "status")
 
 
 @query("str20_cadence", V.sql("fires mids", f"SELECT f.token, f.seq, m.seq AS sample, CASE WHEN m.t <= f.t + 5000 OR m.t >= f.t + {4 * HOUR} - 3600000 THEN 0.1 ELSE 1.0 END::DOUBLE AS every_s FROM fires f JOIN mids m ON m.token = f.token AND m.t BETWEEN f.t AND f.t + {4 * HOUR}"))
