@@ -3,6 +3,7 @@ retention, poll schedules. Streaming twins are in streaming.live."""
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,27 +19,62 @@ c = F.col
 HOUR = 3_600_000
 
 
-def thinned(rows: DataFrame, slow_ms: int, key: str = "token") -> DataFrame:
+def kept_fast(t: np.ndarray, fast: np.ndarray, slow_ms: int, last: int | None) -> tuple[list[int], int | None]:
+    """Places in ascending times that are fast, or at least slow_ms after the last one kept; and the time of the last."""
+    quick, at, out = np.flatnonzero(fast), 0 if last is None else int(np.searchsorted(t, last + slow_ms)), []
+    k = 0
+    while True:
+        while k < len(quick) and out and quick[k] <= out[-1]:
+            k += 1
+        at = min(at, int(quick[k]) if k < len(quick) else len(t))
+        if at >= len(t):
+            return out, last
+        out.append(at)
+        last = int(t[at])
+        at = max(at + 1, int(np.searchsorted(t, last + slow_ms)))
+
+
+def thinned(rows: DataFrame, slow_ms: int, key: str = "token", until: int | None = None) -> DataFrame:
     """STR-07: of rows(key, t, seq, fast) those in a reaction (fast), others at least slow_ms after the last kept one; and a keepalive
-    for each slow_ms without a kept row before the next one: key, t, seq (the row that stands), kind (kept, keepalive)."""
+    for each slow_ms without a kept row before the next one, and after the last one up to `until`: key, t, seq (the row that stands),
+    kind (kept, keepalive). The streaming twin, whose keepalives time alone emits, is streaming.timers.thinned."""
     base = rows.select(key, c("t").cast("long").alias("t"), c("seq").cast("long").alias("seq"), holds(c("fast")).alias("fast"))
     schema = T.StructType([base.schema[key], *[T.StructField(x, T.LongType()) for x in ("t", "seq")]])
 
     def step(pdf: pd.DataFrame, last: int | None) -> tuple[pd.DataFrame, int | None]:
-        keep = []
-        for t, fast in zip(pdf["t"].tolist(), pdf["fast"].tolist()):
-            ok = fast or last is None or t - last >= slow_ms
-            last = t if ok else last
-            keep.append(ok)
-        return pdf.loc[keep, schema.names], last
+        at, last = kept_fast(pdf["t"].to_numpy(), pdf["fast"].to_numpy(bool), slow_ms, last)
+        return pdf.iloc[at][schema.names], last
 
     kept = fold(base, [key], ["t", "seq"], step, schema)
-    nxt = F.lead("t").over(Window.partitionBy(key).orderBy("t", "seq"))
+    nxt = F.coalesce(F.lead("t").over(Window.partitionBy(key).orderBy("t", "seq")), F.lit(None if until is None else until + 1).cast("long"))
     n = F.greatest(F.coalesce(F.floor((nxt - c("t") - 1) / slow_ms), F.lit(0)), F.lit(0))
     each = kept.withColumn("n", n).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), c("n"))))
     return each.select(key, (c("t") + c("i") * slow_ms).alias("t"), "seq", F.when(c("i") == 0, "kept").otherwise("keepalive").alias("kind"))
 
 
+SECOND = 1000
+
+
+def second_states(rows: DataFrame, epoch_ms: int = 900_000, wait_ms: int = 1000, key: str = "token") -> DataFrame:
+    """STR-01/08/09/10: of rows(key, t, recv, seq, value), taken as they are received (recv, seq), the state at the end of each second of
+    a key's epoch: key, epoch, at (the second's end), n, total, last (how many values, their sum, the last), late.
+
+    A second is over, and is given as it stands, once a row with a later t is received, or any row wait_ms after it. A row whose second
+    is given already is late: it is counted, once, and changes the seconds after those. State begins with an epoch's first row and
+    nothing is given behind the epoch's end. The streaming twin is streaming.timers.second_states."""
+    epoch = F.floor(c("t") / epoch_ms) * epoch_ms
+    x = rows.select(key, epoch.alias("epoch"), "t", "recv", "seq", "value")
+    w = Window.partitionBy(key, "epoch").orderBy("recv", "seq")
+    upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    horizon = F.max(F.greatest(c("t"), c("recv") - wait_ms)).over(upto)
+    done = F.least(F.ceil(horizon / SECOND) * SECOND - SECOND, c("epoch") + epoch_ms)
+    x = x.withColumns({"done": done, "first": (F.floor(F.first("t").over(upto) / SECOND) + 1) * SECOND})
+    x = x.withColumn("done", F.greatest(c("done"), c("first") - SECOND)).withColumn("is_late", (c("t") <= c("done")) & (c("done") >= c("first")))
+    state = {"n": F.count(F.lit(1)).over(before), "total": F.sum("value").over(before), "last": F.lag("value").over(w), "late": F.coalesce(F.sum(c("is_late").cast("long")).over(before), F.lit(0)), "prev": F.lag("done").over(w)}
+    each = x.withColumns(state).where((c("n") > 0) & (c("done") > c("prev")))
+    return each.select(key, "epoch", F.explode(F.sequence(c("prev") + SECOND, c("done"), F.lit(SECOND).cast("long"))).alias("at"), "n", "total", "last", "late")
+
+
 def accepted(rows: DataFrame, key: str, at: str, arrival: list[str]) -> DataFrame:
     """STR-17: rows with `accepted`: whether their time is beyond all that came before them in order of arrival. Rows at a time seen
     before are duplicates, earlier ones are out of order; both are rejected."""
@@ -115,6 +151,21 @@ def str07(spark: SparkSession, d: str) -> DataFrame:
     return thinned(near, 4 * HOUR)
 
 
+@query("str08_second_states", V.sql("trades", """WITH e AS (SELECT token, t // 100 AS t, t // 100 + seq % 7 * 300 + CASE WHEN seq % 11 = 0 THEN 9000 ELSE 0 END AS recv, seq, size AS v FROM trades),
+x AS (SELECT *, t // 900000 * 900000 AS epoch FROM e),
+h AS (SELECT *, max(greatest(t, recv - 1000)) OVER w AS h, (first_value(t) OVER w // 1000 + 1) * 1000 AS b0, count(*) OVER w - 1 AS n, sum(v) OVER w - v AS total, lag(v) OVER w AS last
+  FROM x WINDOW w AS (PARTITION BY token, epoch ORDER BY recv, seq ROWS UNBOUNDED PRECEDING)),
+d AS (SELECT *, greatest(least((h - 1) // 1000 * 1000, epoch + 900000), b0 - 1000) AS done FROM h),
+l AS (SELECT *, CASE WHEN t <= done AND done >= b0 THEN 1 ELSE 0 END AS is_late FROM d),
+p AS (SELECT *, lag(done) OVER w AS prev, sum(is_late) OVER w - is_late AS late FROM l WINDOW w AS (PARTITION BY token, epoch ORDER BY recv, seq ROWS UNBOUNDED PRECEDING))
+SELECT token, epoch, unnest(range(prev + 1000, done + 1000, 1000)) AS at, n, total, last, CAST(late AS BIGINT) AS late FROM p WHERE n > 0 AND done > prev"""))
+def str08(spark: SparkSession, d: str) -> DataFrame:
+    """Trades ten times as dense, received up to eleven seconds late."""
+    t = F.floor(c("t") / 100)
+    rows = V.trades(spark, d).select("token", t.alias("t"), (t + c("seq") % 7 * 300 + F.when(c("seq") % 11 == 0, 9000).otherwise(0)).alias("recv"), "seq", c("size").alias("value"))
+    return second_states(rows)
+
+
 @query("str17_rejected_rows", V.sql("mids", "WITH o AS (SELECT token, seq, t - CASE WHEN seq % 11 = 0 THEN 7200000 ELSE 0 END AS t FROM mids) SELECT token, seq, coalesce(t > max(t) OVER (PARTITION BY token ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS accepted FROM o"))
 def str17(spark: SparkSession, d: str) -> DataFrame:
     o = V.mids(spark, d).withColumn("t", c("t") - F.when(c("seq") % 11 == 0, 7_200_000).otherwise(0))
