@@ -93,14 +93,17 @@ def _write(folder: str, roll: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
 def write_warc(records: DataFrame, folder: str | None = None, roll_bytes: int = 256 << 20) -> DataFrame:
     """Writes records(id, url, payload binary, digest, refers_to) and returns the table of the files: file, records, bytes.
 
-    A record with refers_to is a revisit without payload. Files are closed beyond roll_bytes.
+    A record with refers_to is a revisit without payload. Files are closed beyond roll_bytes. A folder that is given is the
+    caller's and stays; else it is one in the shared folder that ends with the session.
     """
     spark = records.sparkSession
+    own = folder is None
     folder = folder or f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     rows = records.select(F.col("id").cast("long"), F.col("url").cast("string"), F.col("payload").cast("binary"), F.col("digest").cast("string"), F.col("refers_to").cast("long"))
     done = written(rows.mapInArrow(_write(folder, roll_bytes), "file string, records long, bytes long"), "warc-files")
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    if own:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return done.withColumn("file", F.concat(F.lit(folder.rstrip("/")), F.regexp_extract("file", r"/[^/]*$", 0)))
 
 
@@ -126,11 +129,11 @@ class Members:
                 self.held += got
                 return True
 
-    def upto(self, end: bytes, most: int = 1 << 20) -> bytes | None:
-        """Through the next occurrence of end; None at the end of the stream."""
-        while (at := self.held.find(end)) < 0:
-            if len(self.held) > most:
-                raise ValueError("a header is too long")
+    def upto(self, end: bytes) -> bytes | None:
+        """Through the next occurrence of end, however far; None at the end of the stream."""
+        seen = 0
+        while (at := self.held.find(end, seen)) < 0:
+            seen = max(0, len(self.held) - len(end) + 1)
             if not self._more():
                 if self.held.strip():
                     raise ValueError("the archive ends within a record")
@@ -201,7 +204,7 @@ def read_warc(files: DataFrame, chunk_bytes: int = 1 << 20, with_data: bool = Tr
 
     with_data=False leaves data null where only digests are asked for; the payload is streamed and hashed all the same.
     """
-    spread = files.select("file").repartition(F.col("file"))
+    spread = files.select("file").repartition(max(1, min(100_000, files.count())), "file")
     return spread.mapInArrow(_read(chunk_bytes, with_data), CHUNKS)
 
 
@@ -209,7 +212,9 @@ def archive_pages(pages: DataFrame, least_revisit: int = 0, folder: str | None =
     """Writes a WARC record per row of pages(page_id, url, html) and returns the files' table, as write_warc does.
 
     Of rows with equal payloads of least_revisit bytes or more that with the least page_id is the response, the others
-    revisit it. Null html: an empty payload. Null ids are responses. Repeated rows with the least id are responses each.
+    revisit it. Null html: an empty payload. Null ids are responses. Repeated rows with the least id are responses each. Urls and
+    payloads of any length are written and read whole. An empty table writes no file. Columns beside page_id, url and html are not
+    read, so their names can't clash.
     """
     base = pages.select(F.col("page_id").alias("id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload")).withColumn("digest", base32_sha1(F.col("payload")))
     known = base.where((F.octet_length("payload") >= least_revisit) & F.col("id").isNotNull()).select("id", "digest")
