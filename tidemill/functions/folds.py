@@ -34,10 +34,13 @@ def fold(df: DataFrame, key: list[str], order: list[str], step: Step, schema: T.
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, state = None, None
         for pdf in frames:
+            outs = []
             for k, rows in runs(pdf, key):
                 out, state = step(rows, state if k == held else None)
                 held = k
-                yield out
+                outs.append(out)
+            if outs:
+                yield pd.concat(outs, ignore_index=True) if len(outs) > 1 else outs[0]
 
     dealt = df.repartition(*[F.col(k) for k in key]).sortWithinPartitions(*key, *order)
     return dealt.mapInPandas(run, schema)
