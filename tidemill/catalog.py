@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidemill.plans import registry
 
-MODULES = ("operators.bars", "operators.features", "operators.rules", "operators.asof", "operators.book", "operators.ladder", "operators.onset", "operators.model", "operators.events", "operators.text", "operators.names", "operators.checks", "operators.lifecycle", "operators.pipelines", "sources.feeds", "sources.sinks", "sources.tails", "sources.pages", "sources.store")
+MODULES = ("operators.bars", "operators.features", "operators.rules", "operators.asof", "operators.book", "operators.ladder", "operators.onset", "operators.model", "operators.events", "operators.text", "operators.names", "operators.checks", "operators.lifecycle", "operators.pipelines", "operators.sweeps", "sources.feeds", "sources.sinks", "sources.tails", "sources.pages", "sources.store")
 for _m in MODULES:
     import_module(f"tidemill.{_m}")
 

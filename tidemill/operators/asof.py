@@ -213,8 +213,8 @@ def win29(spark: SparkSession, d: str) -> DataFrame:
 
 @query("win23_trailing_sum", V.sql("trades", f"SELECT token, t, seq, sum(size) OVER (PARTITION BY token ORDER BY t RANGE BETWEEN {HOUR - 1} PRECEDING AND CURRENT ROW) AS size_1h FROM trades"))
 def win23(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("token").orderBy("t").rangeBetween(-(HOUR - 1), 0)
-    return V.trades(spark, d).select("token", "t", "seq", F.sum("size").over(w).alias("size_1h"))
+    t = V.trades(spark, d)
+    return trailing_sums(t.select("token", "t", "seq"), t, {"size_1h": c("size")}, HOUR)
 
 
 @query("agg27_realised_vol", V.sql("fires mids", f"""WITH g AS (SELECT token, seq, t - k * {HOUR} AS t, k FROM (SELECT *, unnest(range(0, 13)) AS k FROM fires)),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.clean import clip, floor_at, holds, ratio, rounded
+from tidemill.functions.folds import carried
 from tidemill.functions.frames import forward, order, rolling, trailing
 from tidemill.functions.sliding import Roll, slide
 from tidemill.plans.registry import query
@@ -254,8 +255,10 @@ SELECT symbol, ts, CAST(ttl AS BIGINT) AS ttl, coalesce(last_value(CASE WHEN ttl
 def win17(spark: SparkSession, d: str) -> DataFrame:
     """FN-01 and WIN-17: the close of the group's last bar is the strike of what follows; before the first, the first open."""
     b = _bars(spark, d).withColumn("ttl", time_to_strike(F.hour("ts")).cast("bigint"))
-    filled = F.last(F.when(c("ttl") == 15, c("close")), ignorenulls=True).over(W().rowsBetween(Window.unboundedPreceding, 0))
-    return b.select("symbol", "ts", "ttl", F.coalesce(filled, F.first("open").over(W().rowsBetween(Window.unboundedPreceding, 0))).alias("strike"))
+    month = F.floor(V.epoch("ts") / 2_592_000)
+    filled = carried(b, ["symbol"], ["ts"], month, F.when(c("ttl") == 15, c("close")), "strike")
+    first = b.groupBy("symbol").agg(F.min_by("open", "ts").alias("_first"))
+    return filled.join(first, "symbol").select("symbol", "ts", "ttl", F.coalesce("strike", "_first").alias("strike"))
 
 
 @query("fn05_sigma", V.sql("bars_1h", f"""WITH a AS (SELECT symbol, ts, ln(close / lag(close) OVER (PARTITION BY symbol ORDER BY ts)) AS r, (((13 - extract(hour FROM ts)) % 15) + 15) % 15 + 1 AS ttl FROM bars_1h),

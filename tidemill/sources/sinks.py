@@ -91,8 +91,11 @@ def get_state(spark: SparkSession, path: str, key: str) -> str | None:
 
 def numbered(rows: DataFrame, order: list[str], after: int = 0) -> DataFrame:
     """event_seq from after + 1 on, in the order of the columns: ranges of the order are numbered on their own and counts of the
-    ranges before complete the numbers."""
-    dealt = rows.repartitionByRange(*[c(x) for x in order]).withColumn("_range", F.spark_partition_id())
+    ranges before complete the numbers. The ranges are written to a table first, so that both readings of them are of the same."""
+    spark = rows.sparkSession
+    at = scratch(spark, "ranges")
+    rows.repartitionByRange(*[c(x) for x in order]).withColumn("_range", F.spark_partition_id()).write.parquet(at)
+    dealt = spark.read.parquet(at)
     own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -109,11 +112,9 @@ def write_sequenced(rows: DataFrame, path: str, order: list[str], partition: lis
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         last = 0
-    at = scratch(spark, "sequenced")
-    rows.write.parquet(at)
-    whole = spark.read.parquet(at)
-    numbered(whole, order, last).write.mode("append").partitionBy(*partition).json(path)
-    return last + whole.count()
+    out = numbered(rows, order, last)
+    out.write.mode("append").partitionBy(*partition).json(path)
+    return last + out.count()
 
 
 def append_daily(rows: DataFrame, path: str, ts: str = "ts") -> None:
