@@ -71,3 +71,16 @@ def test_one_symbol_in_chunks(spark):
     one = out.where("symbol = 'b'").first()
     assert one["s"] is None and one["d"] is None and one["k"] == 1
     assert slide(df.limit(0), rolls).count() == 0
+
+
+def test_features_of_chunks_equal_those_of_the_series(spark):
+    from tests.conftest import SMALL
+    from tidemill.operators import features as X
+    from tidemill.sources import views as V
+
+    bars = V.bars_1h(spark, SMALL)
+    made = lambda: {"pk": X.parkinson(10), "z": X.log_zscore(bars["volume"], 12), "v": X.vwap(24), "f": X.forward_return(3), "r": X.cum_return(6)}
+    whole, parts = bars.withColumns(made()), X.spread(bars, made, 24, 3, chunk=40)
+    assert whole.columns == parts.columns
+    shown = lambda df: sorted((r["symbol"], r["ts"], *(None if r[c] is None else round(r[c], 9) for c in ("pk", "z", "v", "f", "r"))) for r in df.collect())
+    assert shown(whole) == shown(parts)

@@ -86,8 +86,8 @@ def prefix_vwap(points: DataFrame, trades: DataFrame, back_ms: int) -> DataFrame
 
 
 def hold(spans: DataFrame, series: DataFrame, value: str) -> DataFrame:
-    """JN-10, AGG-17: the samples of a closed span [start, stop] of the same token. Spans are cut into minutes, so the join is
-    on token and minute and stays linear in the samples."""
+    """JN-10, AGG-17: the samples of a closed span [start, stop] of the same token. Spans are cut into hours, so the join is
+    on token and hour and stays linear in the samples."""
     cut = spans.withColumn("_m", F.explode(F.sequence(F.floor(c("start") / 3_600_000), F.floor(c("stop") / 3_600_000))))
     s = series.select("token", F.floor(c("t") / 3_600_000).alias("_m"), c("t").alias("_t"), c("seq").alias("_s"), c(value).alias("_v"))
     return cut.join(s, ["token", "_m"]).where((c("_t") >= c("start")) & (c("_t") <= c("stop"))).drop("_m")
@@ -229,11 +229,17 @@ def agg27(spark: SparkSession, d: str) -> DataFrame:
     return rounded(r.groupBy("token", "seq").agg(F.when(F.count("r") >= 2, F.stddev_samp("r")).alias("rv"), F.count("r").alias("n")))
 
 
+def z_shock(before: Column, now: Column, sign: Column, rv: Column, delta_s: float, grid_s: float = 5.0) -> Column:
+    """FN-07: log return from before to now in units of rv, the deviation of a grid's step, over delta_s seconds; NULL unless all three
+    are positive."""
+    return F.when((before > 0) & (now > 0) & (rv > 0), F.log(ratio(now, before)) * sign / (rv * F.sqrt(F.lit(delta_s / grid_s))))
+
+
 @query("fn07_z_shock", V.sql("fires mids", f"""WITH m AS (SELECT token, t, seq, mid, lag(mid) OVER w AS prev, stddev_samp(ln(mid)) OVER (PARTITION BY token ORDER BY t, seq ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS rv FROM mids WINDOW w AS (PARTITION BY token ORDER BY t, seq))
 SELECT token, t, seq, round(CASE WHEN prev > 0 AND mid > 0 AND rv > 0 THEN ln(mid / prev) * (CASE WHEN token % 2 = 0 THEN 1 ELSE -1 END) / (rv * sqrt(10 / 5)) END, 6) AS z FROM m"""))
 def fn07(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("token").orderBy("t", "seq")
     m = V.mids(spark, d).withColumns({"prev": F.lag("mid").over(w), "rv": F.stddev_samp(F.log("mid")).over(w.rowsBetween(-19, 0))})
     sign = F.when(c("token") % 2 == 0, 1).otherwise(-1)
-    z = F.when((c("prev") > 0) & (c("mid") > 0) & (c("rv") > 0), F.log(ratio(c("mid"), c("prev"))) * sign / (c("rv") * F.sqrt(F.lit(2.0))))
+    z = z_shock(c("prev"), c("mid"), sign, c("rv"), 10.0)
     return rounded(m.select("token", "t", "seq", z.alias("z")))

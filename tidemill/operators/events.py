@@ -163,10 +163,16 @@ def agg05(spark: SparkSession, d: str) -> DataFrame:
     return rounded(time_in_position(V.fires(spark, d).where("value > 200").select(c("t").alias("start"), (c("t") + 7_200_000).alias("stop"))))
 
 
+def segment_stats(rows: DataFrame, segment: str, x: str, window: str, over: float) -> DataFrame:
+    """AGG-19: entries, windows, mean x and share of x over a bound, of all rows (a NULL segment) and of each segment."""
+    win = F.when(c(x) > over, 1.0).otherwise(0.0)
+    return rows.groupingSets([[], [segment]], segment).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(window).alias("windows"), F.avg(x).alias("mean_entry"), F.avg(win).alias("win_rate"))
+
+
 @query("agg19_grouping_sets", V.sql("fires", "SELECT token % 2 AS gap, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT t // 86400000) AS BIGINT) AS windows, round(avg(value), 4) AS mean_entry, round(avg(CASE WHEN value > 100 THEN 1.0 ELSE 0 END), 4) AS win_rate FROM fires GROUP BY GROUPING SETS ((), (token % 2))"))
 def agg19(spark: SparkSession, d: str) -> DataFrame:
     f = V.fires(spark, d).select((c("token") % 2).alias("gap"), "value", F.floor(c("t") / 86_400_000).alias("w"))
-    return rounded(spark.sql("SELECT gap, count(*) AS n, count(DISTINCT w) AS windows, avg(value) AS mean_entry, avg(CASE WHEN value > 100 THEN 1D ELSE 0D END) AS win_rate FROM {f} GROUP BY GROUPING SETS ((), (gap))", f=f), 4)
+    return rounded(segment_stats(f, "gap", "value", "w", 100.0), 4)
 
 
 def cluster_t(rows: DataFrame, x: str, cluster: Column) -> DataFrame:
@@ -183,11 +189,16 @@ def agg20(spark: SparkSession, d: str) -> DataFrame:
     return rounded(cluster_t(V.fires(spark, d), "value", F.floor(c("t") / 86_400_000)), 4)
 
 
+def winners(rows: DataFrame, keys: list[str], side: str, x: str, least: float) -> DataFrame:
+    """AGG-30: of each group the side of the greatest x (of equal ones the last in order), and whether that reaches `least`."""
+    return rows.groupBy(*keys).agg(F.max_by(side, F.struct(x, side)).alias("winner"), (F.max(x) >= least).alias("resolved"))
+
+
 @query("agg30_winner", V.sql("trades", "SELECT token, t // 86400000 AS day, arg_max(side, (p, side)) AS winner, max(p) >= 6000 AS resolved FROM (SELECT token, t // 86400000 * 86400000 AS t, side, sum(price) AS p FROM trades GROUP BY ALL) GROUP BY ALL"))
 def agg30(spark: SparkSession, d: str) -> DataFrame:
     day = F.floor(c("t") / 86_400_000).alias("day")
     s = V.trades(spark, d).groupBy("token", day, "side").agg(F.sum("price").alias("p"))
-    return s.groupBy("token", "day").agg(F.max_by("side", F.struct("p", "side")).alias("winner"), (F.max("p") >= 6000).alias("resolved"))
+    return winners(s, ["token", "day"], "side", "p", 6000.0)
 
 
 @query("agg32_next_id", "SELECT o_orderstatus, CAST(max(o_orderkey) + 1 AS BIGINT) AS next_id FROM orders GROUP BY 1")
@@ -195,11 +206,15 @@ def agg32(spark: SparkSession, d: str) -> DataFrame:
     return V.table(spark, d, "orders").groupBy("o_orderstatus").agg((F.max("o_orderkey") + 1).alias("next_id"))
 
 
+def valid_stats(rows: DataFrame, keys: list[str], x: str) -> DataFrame:
+    """AGG-14: least, greatest, mean and number of the values of a group that are there and over 0: keys, lo, hi, mean, n."""
+    v = F.when(c(x) > 0, c(x))
+    return rows.groupBy(*keys).agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.avg(v).alias("mean"), F.count(v).alias("n"))
+
+
 @query("agg14_ask_stats", "SELECT user_id, round(min(value) FILTER (value > 0), 4) AS lo, round(max(value) FILTER (value > 0), 4) AS hi, round(avg(value) FILTER (value > 0), 4) AS mean, CAST(count(*) FILTER (value > 0) AS BIGINT) AS n FROM events GROUP BY user_id")
 def agg14(spark: SparkSession, d: str) -> DataFrame:
-    """AGG-13/14/33: statistics over valid asks alone: NULL and 0 are none."""
-    v = F.when(c("value") > 0, c("value"))
-    return rounded(V.events(spark, d).groupBy("user_id").agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.avg(v).alias("mean"), F.count(v).alias("n")), 4)
+    return rounded(valid_stats(V.events(spark, d), ["user_id"], "value"), 4)
 
 
 @query("fn30_messages", V.sql("fires", "SELECT token, seq, printf('token %d: %.2f at %d', token, value, t) AS message FROM fires"))
@@ -238,19 +253,25 @@ polls AS (SELECT grp, d, row_number() OVER (PARTITION BY grp ORDER BY d) AS i FR
 l AS (SELECT *, lag(i) OVER w AS pi, lag(v) OVER w AS pv, lead(i) OVER w AS ni FROM x WINDOW w AS (PARTITION BY grp, k ORDER BY i)), n AS (SELECT grp, max(i) AS m FROM polls GROUP BY grp)"""
 
 
+def change_log(rows: DataFrame, key: str, poll: str, k: str, v: str) -> DataFrame:
+    """WIN-25, SET-04: of rows(key, poll, k, v), the entries k that each poll of a key found and their values, what changed from poll to
+    poll: key, i (the poll's number), k, kind - new, changed or gone. One that comes back counts as changed."""
+    polls = rows.select(key, poll).distinct().withColumn("i", F.row_number().over(Window.partitionBy(key).orderBy(poll)))
+    w = Window.partitionBy(key, k).orderBy("i")
+    x = rows.join(polls, [key, poll]).select(key, "i", k, v, F.lag("i").over(w).alias("_pi"), F.lag(v).over(w).alias("_pv"), F.lead("i").over(w).alias("_ni"))
+    ends = polls.groupBy(key).agg(F.max("i").alias("_m"))
+    here = F.when(c("_pi").isNull(), "new").when((c("_pi") < c("i") - 1) | ~c(v).eqNullSafe(c("_pv")), "changed")
+    gone = F.when((c("i") < c("_m")) & (c("_ni").isNull() | (c("_ni") > c("i") + 1)), "gone")
+    log = x.join(ends, key).select(key, k, F.explode(F.array(F.struct(c("i").alias("i"), here.alias("kind")), F.struct((c("i") + 1).alias("i"), gone.alias("kind")))).alias("e"))
+    return log.select(key, "e.i", k, "e.kind").where("kind IS NOT NULL")
+
+
 @query("win25_change_log", f"{CDC} SELECT grp, CAST(i AS INT) AS i, k, 'new' AS kind FROM l WHERE pi IS NULL UNION ALL SELECT grp, CAST(i AS INT), k, 'changed' FROM l WHERE pi IS NOT NULL AND (pi < i - 1 OR v IS DISTINCT FROM pv) UNION ALL SELECT grp, CAST(i + 1 AS INT), k, 'gone' FROM l JOIN n USING (grp) WHERE i < m AND (ni IS NULL OR ni > i + 1)")
 def win25(spark: SparkSession, d: str) -> DataFrame:
-    """WIN-25, SET-04: per poll, keys that are new, changed or gone; one that comes back counts as changed."""
+    """Customers' greatest order of a day, in twenty groups, each day a poll."""
     o = V.table(spark, d, "orders")
     p = o.groupBy((c("o_custkey") % 20).alias("grp"), F.to_date("o_orderdate").alias("d"), c("o_custkey").alias("k")).agg(F.max("o_totalprice").alias("v"))
-    polls = p.select("grp", "d").distinct().withColumn("i", F.row_number().over(Window.partitionBy("grp").orderBy("d")))
-    w = Window.partitionBy("grp", "k").orderBy("i")
-    x = p.join(polls, ["grp", "d"]).select("grp", "i", "k", "v", F.lag("i").over(w).alias("pi"), F.lag("v").over(w).alias("pv"), F.lead("i").over(w).alias("ni"))
-    ends = polls.groupBy("grp").agg(F.max("i").alias("m"))
-    here = F.when(c("pi").isNull(), "new").when((c("pi") < c("i") - 1) | ~c("v").eqNullSafe(c("pv")), "changed")
-    gone = F.when((c("i") < c("m")) & (c("ni").isNull() | (c("ni") > c("i") + 1)), "gone")
-    log = x.join(ends, "grp").select("grp", "k", F.explode(F.array(F.struct(c("i").alias("i"), here.alias("kind")), F.struct((c("i") + 1).alias("i"), gone.alias("kind")))).alias("e"))
-    return log.select("grp", "e.i", "k", "e.kind").where("kind IS NOT NULL")
+    return change_log(p, "grp", "d", "k", "v")
 
 
 @query("win26_high_water", V.sql("mids", "SELECT token, seq, t < max(t) OVER (PARTITION BY token ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stale FROM (SELECT token, seq, t - CASE WHEN seq % 13 = 0 THEN 90000000 ELSE 0 END AS t FROM mids)"))

@@ -1,8 +1,11 @@
-"""Rolling and forward features of bars. Short windows are partitioned by symbol; long ones slide over chunks (functions.sliding)."""
+"""Rolling and forward features of bars. Short windows are partitioned by symbol, or by its chunks (spread);
+long ones slide over chunks (functions.sliding)."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from contextvars import ContextVar
 
 import numpy as np
 import pandas as pd
@@ -11,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.clean import clip, floor_at, holds, ratio, rounded
-from tidemill.functions.folds import carried
-from tidemill.functions.frames import forward, order, rolling, trailing
+from tidemill.functions.folds import carried, positions
+from tidemill.functions.frames import forward, order, overlap_chunks, rolling, trailing
 from tidemill.functions.sliding import Roll, slide
 from tidemill.plans.registry import query
 from tidemill.sources import views as V
@@ -20,9 +23,24 @@ from tidemill.sources import views as V
 c = F.col
 
 
+_KEY: ContextVar[tuple[str, ...]] = ContextVar("key", default=("symbol",))
+
+
 def W() -> WindowSpec:  # noqa: N802
     """A symbol's bars in order. A function, as windows need a session."""
-    return order()
+    return order(list(_KEY.get()))
+
+
+def spread(bars: DataFrame, features: Callable[[], dict[str, Column]], back: int, ahead: int = 0, chunk: int = 20_000) -> DataFrame:
+    """bars with features that reach at most `back` rows back and `ahead` rows forward, a symbol's bars spread over chunks of its
+    series: features() is called with W() within a chunk, so any of this module's is exact there, but for ewm."""
+    dealt = overlap_chunks(positions(bars, "symbol", "ts", F.floor(V.epoch("ts") / 864_000)), "_at", chunk, back, ahead)
+    token = _KEY.set(("symbol", "_chunk"))
+    try:
+        out = dealt.withColumns(features())
+    finally:
+        _KEY.reset(token)
+    return out.where("_own").drop("_at", "_chunk", "_own")
 
 
 def parkinson(n: int) -> Column:
@@ -187,7 +205,7 @@ VWAP = f"({least('sum', '(open + high + low + close) / 4 * volume', 24)}) / null
 
 @query("win06_rolling_vwap", V.sql("bars_1h", f"SELECT symbol, ts, round({VWAP}, 6) AS vwap_24, round(close / ({VWAP}) - 1, 6) AS vwap_gap FROM bars_1h"))
 def win06(spark: SparkSession, d: str) -> DataFrame:
-    b = _bars(spark, d).withColumn("vwap_24", vwap(24))
+    b = spread(_bars(spark, d), lambda: {"vwap_24": vwap(24)}, 24)
     return rounded(b.select("symbol", "ts", "vwap_24", (ratio(c("close"), c("vwap_24")) - 1).alias("vwap_gap")))
 
 

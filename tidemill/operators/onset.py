@@ -189,21 +189,35 @@ def str13(spark: SparkSession, d: str) -> DataFrame:
     return rounded(entry.join(out, ["symbol", "i"], "left").select("symbol", c("i").alias("entry_i"), "entry_px", "exit_px", ((ratio(c("exit_px"), c("entry_px")) - 1) * 10000).alias("ret_bps")), 4)
 
 
+def capture_windows(fires: DataFrame, length_ms: int, key: str = "token") -> DataFrame:
+    """STR-03: windows that last length_ms from their last signal(key, t, seq): key, opened, closed, n. One at a window's very end opens a
+    new one."""
+    w = Window.partitionBy(key).orderBy("t", "seq")
+    new = F.when(holds(c("t") - F.lag("t").over(w) < length_ms), 0).otherwise(1)
+    s = fires.withColumn("_new", new).withColumn("_w", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return s.groupBy(key, "_w").agg(F.min("t").alias("opened"), (F.max("t") + length_ms).alias("closed"), F.count(F.lit(1)).alias("n")).drop("_w")
+
+
 @query("str03_extending_windows", V.sql("fires", f"WITH g AS (SELECT token, t, CASE WHEN t - lag(t) OVER (PARTITION BY token ORDER BY t, seq) < {2 * HOUR} THEN 0 ELSE 1 END AS n, seq FROM fires), s AS (SELECT *, sum(n) OVER (PARTITION BY token ORDER BY t, seq ROWS UNBOUNDED PRECEDING) AS w FROM g) SELECT token, min(t) AS opened, max(t) + {2 * HOUR} AS closed, CAST(count(*) AS BIGINT) AS n FROM s GROUP BY token, w"))
 def str03(spark: SparkSession, d: str) -> DataFrame:
-    """STR-03: a window lasts two hours from its last signal; one at its very end opens a new window."""
-    w = Window.partitionBy("token").orderBy("t", "seq")
-    new = F.when(holds(c("t") - F.lag("t").over(w) < 2 * HOUR), 0).otherwise(1)
-    s = V.fires(spark, d).withColumn("n", new).withColumn("w", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return s.groupBy("token", "w").agg(F.min("t").alias("opened"), (F.max("t") + 2 * HOUR).alias("closed"), F.count(F.lit(1)).alias("n")).drop("w")
+    return capture_windows(V.fires(spark, d), 2 * HOUR)
+
+
+def late_counts(rows: DataFrame, key: str = "token", span: int = 1 << 16) -> DataFrame:
+    """STR-09: of each key how many rows(key, t, seq) are behind the highest time received before them (late) and how many there are.
+    Highest times are carried through stretches of seq, so a hot key is spread."""
+    part = F.floor(c("seq") / span)
+    tops = rows.groupBy(key, part.alias("_p")).agg(F.max("t").alias("_top"))
+    before = tops.select(key, "_p", F.max("_top").over(Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    own = F.max("t").over(Window.partitionBy(key, "_p").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
+    x = rows.withColumn("_p", part).join(before, [key, "_p"]).withColumn("_high", F.greatest(own, "_before"))
+    return x.groupBy(key).agg(F.count_if(c("t") < c("_high")).alias("late"), F.count(F.lit(1)).alias("n"))
 
 
 @query("str09_late_events", V.sql("trades", "WITH o AS (SELECT token, seq, t - (CASE WHEN seq % 11 = 0 THEN 7200000 ELSE 0 END) AS t FROM trades), m AS (SELECT *, max(t) OVER (PARTITION BY token ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hw FROM o) SELECT token, CAST(count(*) FILTER (t < hw) AS BIGINT) AS late, CAST(count(*) AS BIGINT) AS n FROM m GROUP BY token"))
 def str09(spark: SparkSession, d: str) -> DataFrame:
-    """STR-09, STR-17: events behind the highest time seen before them."""
-    o = V.trades(spark, d).withColumn("t", c("t") - F.when(c("seq") % 11 == 0, 7_200_000).otherwise(0))
-    hw = F.max("t").over(Window.partitionBy("token").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
-    return o.withColumn("hw", hw).groupBy("token").agg(F.count_if(c("t") < c("hw")).alias("late"), F.count(F.lit(1)).alias("n"))
+    """Trades, each eleventh of which is two hours behind."""
+    return late_counts(V.trades(spark, d).withColumn("t", c("t") - F.when(c("seq") % 11 == 0, 7_200_000).otherwise(0)))
 
 
 @query("str11_confirm_or_expire", V.sql("fires trades", f"SELECT f.token, f.seq, CASE WHEN min(x.t) IS NOT NULL THEN 'confirmed' ELSE 'expired' END AS result, coalesce(min(x.t), f.t + {HOUR}) AS at FROM fires f LEFT JOIN trades x ON x.token = f.token AND x.t BETWEEN f.t AND f.t + {HOUR} GROUP BY f.token, f.seq, f.t"))
@@ -216,9 +230,15 @@ def str11(spark: SparkSession, d: str) -> DataFrame:
     return nxt.select("token", "seq", F.when(ok, "confirmed").otherwise("expired").alias("result"), F.when(ok, c("x")).otherwise(c("t") + HOUR).alias("at"))
 
 
+def price_jumps(rows: DataFrame, x: str, amount: float = 0.05, pct: float = 20.0, alone: float = 30.0, key: str = "token") -> DataFrame:
+    """PRJ-11, WIN-27: rows(key, t, seq, x) that rise against the row before by an amount and a share in percent, or by a share alone:
+    key, t, seq, delta, pct. A first row, and one after a price of 0 or less, is none."""
+    m = rows.withColumn("_p", F.lag(x).over(Window.partitionBy(key).orderBy("t", "seq")))
+    m = m.withColumn("delta", c(x) - c("_p")).withColumn("pct", ratio(c("delta"), c("_p")) * 100)
+    big = ((c("delta") >= amount) & (c("pct") >= pct)) | (c("pct") >= alone)
+    return m.where((c("_p") > 0) & (c("delta") > 0) & big).select(key, "t", "seq", "delta", "pct")
+
+
 @query("prj11_price_jump", V.sql("mids", "WITH m AS (SELECT token, t, seq, mid, lag(mid) OVER (PARTITION BY token ORDER BY t, seq) AS p FROM mids) SELECT token, t, seq, round(mid - p, 4) AS delta, round((mid - p) / p * 100, 4) AS pct FROM m WHERE p > 0 AND mid > p AND ((mid - p >= 50 AND (mid - p) / p * 100 >= 20) OR (mid - p) / p * 100 >= 300)"))
 def prj11(spark: SparkSession, d: str) -> DataFrame:
-    """PRJ-11, WIN-27: rises against the row before, by amount and share or by share alone."""
-    m = V.mids(spark, d).withColumn("p", F.lag("mid").over(Window.partitionBy("token").orderBy("t", "seq")))
-    m = m.withColumn("delta", c("mid") - c("p")).withColumn("pct", ratio(c("delta"), c("p")) * 100)
-    return rounded(m.where((c("p") > 0) & (c("delta") > 0) & (((c("delta") >= 50) & (c("pct") >= 20)) | (c("pct") >= 300))).select("token", "t", "seq", "delta", "pct"), 4)
+    return rounded(price_jumps(V.mids(spark, d), "mid", 50.0, 20.0, 300.0), 4)
