@@ -209,7 +209,8 @@ def wire(spark: SparkSession, d: str) -> DataFrame:
     gap = F.to_json(F.struct(F.lit("gap").alias("kind"), F.array(token).alias("tokens")))
     tick = F.to_json(F.struct(F.lit("tick_size_change").alias("event_type"), token.alias("asset_id"), F.lit("0.001").alias("new_tick_size")))
     text = F.when(e % 23 == 0, gap).when(e % 41 == 0, tick).when(e % 7 == 0, book).otherwise(delta)
-    return V.events(spark, d).select(e.alias("seq"), V.millis("ts").alias("t"), F.when(e % 2 == 0, F.concat(F.lit("["), text, F.lit("]"))).otherwise(text).alias("m"))
+    rows = V.events(spark, d).repartition(spark.sparkContext.defaultParallelism, "event_id")  # the table is one file
+    return rows.select(e.alias("seq"), V.millis("ts").alias("t"), F.when(e % 2 == 0, F.concat(F.lit("["), text, F.lit("]"))).otherwise(text).alias("m"))
 
 
 WIRE = """WITH e AS (SELECT event_id AS seq, epoch_us(ts) // 1000 AS t, 'tok' || (user_id % 8) AS token, 'tok' || ((user_id + 1) % 8) AS other,

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.clean import rounded
-from tidemill.operators.text import overlap, similarity, words, words_sql
+from tidemill.operators.text import overlap, similarity, similarity_of_words, words, words_sql
 from tidemill.plans.registry import query
 from tidemill.sources import views as V
 
@@ -26,11 +26,11 @@ def _by_rarity(names: DataFrame, name: str, counts: DataFrame) -> DataFrame:
     return each.groupBy(name).agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "word"))), lambda x: x["word"]).alias("_w"))
 
 
-def best_matches(names: DataFrame, candidates: DataFrame, least: float = 100.0, measure: Callable[[Column, Column], Column] = similarity, slack: float = 1.0) -> DataFrame:
+def best_matches(names: DataFrame, candidates: DataFrame, least: float = 100.0, measure: Callable[[Column, Column], Column] = similarity_of_words, slack: float = 1.0) -> DataFrame:
     """FN-24, JN-17: for each of names(name) the candidates(candidate) of the greatest measure, of at least `least`: name, candidate,
     score, margin (over the runner-up that reaches `least`; NULL without one). Ties go to the candidate that comes first.
 
-    measure(name, candidate) is overlap's share and count of common words, plus at most `slack`. Names without words, and those
+    measure, of two names' words, is overlap's share and count of common words, plus at most `slack`. Names without words, and those
     that no candidate reaches, have no row; repeated names have one."""
     a = names.select("name").distinct().withColumn("_w", words(c("name"))).where(F.size("_w") > 0)
     b = candidates.select("candidate").distinct().withColumn("_w", words(c("candidate"))).where(F.size("_w") > 0)
@@ -41,10 +41,10 @@ def best_matches(names: DataFrame, candidates: DataFrame, least: float = 100.0,
         y = _by_rarity(x, name, counts).withColumn(own, F.size("_w")).withColumn(other, F.explode(F.array(*map(F.lit, others))) if others else F.lit(0))
         fewer = F.least(own, other)
         need = F.greatest(F.ceil((F.lit(least) - slack) / (100 / fewer + 10)), F.lit(1)).cast("int")
-        return y.where(need <= fewer).select(name, own, other, F.explode(F.slice("_w", F.lit(1), c(own) - need + 1)).alias("word"))
+        return y.where(need <= fewer).select(name, F.array_sort("_w").alias(f"{own}w"), own, other, F.explode(F.slice("_w", F.lit(1), c(own) - need + 1)).alias("word"))
 
-    pairs = indexed(a, "name", "_ka", "_kb", sizes[1]).join(indexed(b, "candidate", "_kb", "_ka", sizes[0]), ["word", "_ka", "_kb"]).select("name", "candidate").distinct()
-    scored = pairs.withColumn("score", measure(c("name"), c("candidate"))).where(c("score") >= least)
+    pairs = indexed(a, "name", "_ka", "_kb", sizes[1]).join(indexed(b, "candidate", "_kb", "_ka", sizes[0]), ["word", "_ka", "_kb"]).select("name", "candidate", "_kaw", "_kbw").dropDuplicates(["name", "candidate"])
+    scored = pairs.withColumn("score", measure(c("_kaw"), c("_kbw"))).where(c("score") >= least)
     w = Window.partitionBy("name").orderBy(F.desc("score"), "candidate")
     top = scored.withColumn("_at", F.row_number().over(w)).withColumn("_next", F.lead("score").over(w)).where("_at = 1")
     return top.select("name", "candidate", "score", (c("score") - c("_next")).alias("margin"))
@@ -85,7 +85,7 @@ def fn24_best(spark: SparkSession, d: str) -> DataFrame:
     """Every part's full name against all names without a brand, by shared words."""
     p = V.table(spark, d, "part")
     full, short = F.concat_ws(" ", "p_brand", "p_name", "p_type"), F.concat_ws(" ", "p_name", "p_type")
-    return rounded(best_matches(p.select(full.alias("name")), p.select(short.alias("candidate")), 80.0, lambda a, b: overlap(words(a), words(b)), 0.0))
+    return rounded(best_matches(p.select(full.alias("name")), p.select(short.alias("candidate")), 80.0, overlap, 0.0))
 
 
 @query("fn25_event_roles", """WITH o AS (SELECT o_orderkey AS k, 'Alpha' || (o_custkey % 50) AS h, 'Beta' || (o_orderkey % 50) AS w, o_orderkey * 1000 AS t FROM orders)

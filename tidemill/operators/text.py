@@ -49,7 +49,11 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def similarity(a: Column, b: Column) -> Column:
     """FN-24: overlap plus the matching-run ratio of the sorted words; 0 where a name has no words."""
-    wa, wb = words(a), words(b)
+    return similarity_of_words(words(a), words(b))
+
+
+def similarity_of_words(wa: Column, wb: Column) -> Column:
+    """The same of the names' words, as words() gives them."""
     return F.when(F.least(F.size(wa), F.size(wb)) > 0, overlap(wa, wb) + sequence_ratio(F.array_join(wa, " "), F.array_join(wb, " "))).otherwise(overlap(wa, wb))
 
 
