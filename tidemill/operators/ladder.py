@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions.clean import rounded
 from tidemill.functions.folds import carried
+from tidemill.functions.scratch import scratch
 from tidemill.plans.registry import query
 from tidemill.sources import views as V
 
@@ -240,8 +241,11 @@ def _doubles(df: DataFrame) -> DataFrame:
     return df.select(*[c(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else c(f.name) for f in df.schema])
 
 
-def _events(spark: SparkSession, d: str, *keep: str) -> DataFrame:
-    return book_events(wire(spark, d), keep=keep)
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    """The events, parsed once and written, as lives() reads them three times."""
+    path = scratch(spark, "book-events")
+    book_events(wire(spark, d)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @query("str14_ladder_versions", f"{WIRE} SELECT token, life, side, price, size, seq, until FROM v")
