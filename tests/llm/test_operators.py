@@ -228,13 +228,43 @@ def test_base_counts_equal_brute_force(spark, odd, empty):
 def test_thresholds_keep_their_promise():
     assert abs(quality_rules.binomial_tail(0, 100, 0.05) - 0.95**100) < 1e-12
     assert quality_rules.binomial_tail(5, 5, 0.3) == 1.0
-    few = {("upper_share", "en"): {20: (0, 50), 70: (100, 0)}}
-    assert quality_rules.choose(few, 1).cutoffs["upper_share"] == {}  # 100 good documents certify nothing at this level
-    many = {("upper_share", "en"): {20: (0, 50), 30: (4000, 0), 70: (6000, 0)}}
-    rules = quality_rules.choose(many, 1)
-    cut = rules.cutoffs["upper_share"]["en"]
-    assert quality_rules.GRID[29] <= cut <= quality_rules.GRID[20]
-    assert next(r for r in rules.report if r["signal"] == "upper_share")["good_rejected"] == 0
+    assert quality_rules.least_good(4, 0.03, 0.05) == 144 and 0.97**144 <= 0.05 / 4 < 0.97**143
+    few = quality_rules.Path(143, 4, 0.03, 0.05)
+    few.move({"upper_share": {20: (0, 0, 50)}})
+    assert few.ended and few.cutoffs() == {}  # 143 good documents certify nothing at this level
+    path = quality_rules.Path(150, 4, 0.03, 0.05)
+    path.move({"upper_share": {20: (0, 0, 50), 30: (9, 20, 5)}, "echo_share": {10: (0, 0, 30), 12: (0, 0, 30)}})
+    assert path.setting == dict.fromkeys(quality_rules.SIGNALS, -1) | {"echo_share": 12} and path.best == 60
+    path.move({"upper_share": {20: (0, 0, 40), 30: (9, 20, 5)}})
+    path.move({"upper_share": {30: (0, 20, 5)}})  # it looks free to those that lay the path, and fails the test
+    assert path.ended and path.moves == 3 and path.cutoffs() == {"upper_share": quality_rules.GRID[20], "echo_share": quality_rules.GRID[12]}
+
+
+def test_good_documents_are_safe_with_the_stated_probability():
+    """300 draws of labelled documents whose rules truly reject more than alpha from some cutoff on: at most delta of the
+    chosen settings go beyond it (a chance of 1e-6 for the bound below)."""
+    rng = np.random.default_rng(5)
+    signals, grid, alpha, delta = list(quality_rules.SIGNALS), len(quality_rules.GRID), 0.05, 0.1
+    odds = np.full((len(signals), grid + 1), 0.0)
+    odds[:3, 20:32] = 0.002  # each of three rules rejects 2.4 % of the good ones by cutoff 31, all of them 7 %
+    odds[:, grid] = 1 - odds[:, :grid].sum(1)
+    wrong = chosen = 0
+    for _ in range(300):
+        good = np.stack([rng.choice(grid + 1, 450, p=o) for o in odds], 1)
+        bad = np.stack([rng.integers(15, 45, 2000) if i < 3 else np.full(2000, grid) for i in range(len(signals))], 1)
+        every = np.concatenate([good, bad])
+        kind = np.concatenate([np.where(np.arange(450) < 150, 0, 1), np.full(2000, 2)])
+        path = quality_rules.Path(300, 1, alpha, delta, good_weight=1.0)
+        while not path.ended:
+            rest = (every > np.array(list(path.setting.values()))).all(1)
+            counts = {}
+            for i, s in enumerate(signals):
+                by = np.stack([np.bincount(every[rest & (kind == c), i], minlength=grid + 1) for c in range(3)], 1)
+                counts[s] = {int(a): tuple(int(x) for x in by[a]) for a in np.flatnonzero(by.sum(1))}
+            path.move(counts)
+        true = 1 - np.prod([1 - odds[i, : path.chosen[s] + 1].sum() for i, s in enumerate(signals)])
+        wrong, chosen = wrong + (true > alpha), chosen + bool(path.cutoffs())
+    assert chosen > 250 and wrong <= 300 * delta + 25
 
 
 def plain_verdicts(rows, labels, alpha=0.03, delta=0.05):
@@ -250,20 +280,35 @@ def plain_verdicts(rows, labels, alpha=0.03, delta=0.05):
     good = {i: max(x) for i, x in labels.items()}
     held = [r for r in rows if not r["base_failed"] and r["doc_id"] in good]
     strata = {r["lang"] or "" for r in held}
-    level, share = delta / (6 * len(strata)), alpha / 6
     cut = {}
-    for name, f in signals.items():
-        for s in strata:
-            own = [(f(r), good[r["doc_id"]]) for r in held if (r["lang"] or "") == s]
-            n = sum(y for _, y in own)
-            best = 0
-            for c in quality_rules.GRID:
-                k, bad = sum(y for v, y in own if v > c), sum(1 - y for v, y in own if v > c)
-                tail = sum(Fraction(comb(n, i)) * Fraction(share) ** i * (1 - Fraction(share)) ** (n - i) for i in range(k + 1)) if n < 3000 else quality_rules.binomial_tail(k, n, share)
-                if not n or tail > level:
-                    break
-                if bad - 10 * k > best:
-                    best, cut[name, s] = bad - 10 * k, c
+    for s in strata:
+        own = [([f(r) for f in signals.values()], good[r["doc_id"]], zlib.crc32(str(r["doc_id"]).encode()) % 3 == 0) for r in held if (r["lang"] or "") == s]
+        n = sum(y == 1 and not lays for _, y, lays in own)
+
+        def rejected(setting):
+            """Documents that lay the path, that test it, and bad ones, beyond a setting's cutoffs."""
+            hit = [(y, lays) for v, y, lays in own if any(at >= 0 and x > quality_rules.GRID[at] for x, at in zip(v, setting))]
+            return sum(y == 1 and lays for y, lays in hit), sum(y == 1 and not lays for y, lays in hit), sum(y == 0 for y, _ in hit)
+
+        setting, best, chosen, going = [-1] * 6, 0, [-1] * 6, n > 0
+        while going:
+            now = rejected(setting)
+            options = []
+            for i in range(6):
+                for at in range(setting[i] + 1, len(quality_rules.GRID)):
+                    then = rejected([*setting[:i], at, *setting[i + 1 :]])
+                    options.append((-(then[2] - now[2] - 10 * (then[0] - now[0])), then[0] - now[0], at, i))
+            gain, _, end, i = min(options, default=(0, 0, 0, 0))
+            if gain >= 0:
+                break
+            while going and setting[i] < end:
+                setting[i] += 1
+                g, k, bad = rejected(setting)
+                tail = sum(Fraction(comb(n, j)) * Fraction(alpha) ** j * (1 - Fraction(alpha)) ** (n - j) for j in range(k + 1)) if n < 500 else quality_rules.binomial_tail(k, n, alpha)
+                going = tail <= delta / len(strata)
+                if going and bad - 10 * (g + k) > best:
+                    best, chosen = bad - 10 * (g + k), list(setting)
+        cut |= {(name, s): quality_rules.GRID[at] for name, at in zip(signals, chosen) if at >= 0}
     return {r["doc_id"]: not r["base_failed"] and not any((name, r["lang"] or "") in cut and f(r) > cut[name, r["lang"] or ""] for name, f in signals.items()) for r in rows}, cut
 
 

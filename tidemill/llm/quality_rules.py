@@ -1,15 +1,18 @@
 """Quality rules with risk-controlled thresholds.
 
-Each rule rejects a document whose signal exceeds a cutoff. Cutoffs are chosen per stratum from labelled holdouts: going
-from the mildest cutoff to stricter ones, a cutoff stays certified while the exact binomial test rejects "more than
-alpha / rules of the good documents of this stratum lie above it" at level delta / (rules * strata); the first failure
-ends a rule's sequence (fixed-sequence testing needs no further correction along the grid; Bonferroni covers rules and
-strata). So with probability 1 - delta, in every stratum, the rules together reject at most alpha of the good documents.
-Of its certified cutoffs a rule takes the one that rejects most labelled bad documents, a good one counting as ten bad
-ones; strata without enough labelled good documents certify nothing and reject nothing beyond the base rules.
-
-All labelled documents that pass the base rules count, by a histogram over a fixed grid that Spark sums; only the sums
-(strata x rules x grid rows) reach the driver.
+Each rule rejects a document whose signal exceeds a cutoff; a setting is a cutoff for each rule, or none. Settings are chosen per
+stratum from labelled holdouts, and what is certified is a setting as a whole: the good documents that any of its rules rejects.
+A third of the good documents, by a hash of the id, and the bad ones lay a path of settings from mild to strict: the next move
+tightens the rule that rejects most bad documents that nothing rejects yet, a good one counting as ten bad ones, and goes there
+by every cutoff on its way. The other two thirds, which the path has not seen, certify it: a setting holds while the exact
+binomial test rejects "more than alpha of the good documents of this stratum are rejected" at level delta / strata; the first
+failure ends the path (fixed-sequence testing needs no further correction along it, and Bonferroni covers the strata). So with
+probability 1 - delta, in every stratum, the rules together reject at most alpha of the good documents. Of the certified settings
+of its path a stratum takes the one that gains most; strata without enough labelled good documents certify nothing and reject
+nothing beyond the base rules.
+
+All labelled documents that pass the base rules count. They are written once as distinct lists of strictness with their counts;
+each move is a sum over those that the present settings keep, of which strata x rules x grid rows reach the driver.
 """
 
 from __future__ import annotations
@@ -48,7 +51,7 @@ GRID = [round(4.0 * (11 / 12) ** i, 6) for i in range(70)]
 
 
 class Rules(NamedTuple):
-    """cutoffs: signal -> stratum -> cutoff. report: a dict for each rule and stratum that has labelled documents."""
+    """cutoffs: signal -> stratum -> cutoff. report: a dict for each stratum with enough good documents."""
 
     cutoffs: dict[str, dict[str, float]]
     report: list[dict]
@@ -132,56 +135,101 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 
 
 def least_good(n_strata: int, alpha: float, delta: float) -> int:
-    """Good documents that a stratum must have for a cutoff that rejects none of them to be certified."""
-    return math.ceil(math.log(delta / max(1, len(SIGNALS) * n_strata)) / math.log1p(-alpha / len(SIGNALS)))
-
-
-def choose(counts: dict[tuple[str, str], dict[int, tuple[int, int]]], n_strata: int, alpha: float = 0.03, delta: float = 0.05, good_weight: float = 10.0) -> Rules:
-    """counts: (signal, stratum) -> strictness at which a document is first rejected -> (good, bad) documents. n_strata: all
-    strata with labelled documents, of which those without the least good documents may be left out."""
-    level = delta / max(1, len(SIGNALS) * n_strata)
-    share = alpha / len(SIGNALS)
-    cutoffs: dict[str, dict[str, float]] = {s: {} for s in SIGNALS}
-    report = []
-    for (signal, stratum), by in sorted(counts.items()):
-        n_good, n_bad = (sum(x[i] for x in by.values()) for i in (0, 1))
-        k = bad = 0
-        best, chosen = 0.0, None
-        for i, cut in enumerate(GRID):
-            g, b = by.get(i, (0, 0))
-            k, bad = k + g, bad + b
-            if not n_good or binomial_tail(k, n_good, share) > level:
-                break
-            if (gain := bad - good_weight * k) > best:
-                best, chosen = gain, (cut, k, bad)
-        if chosen:
-            cutoffs[signal][stratum] = chosen[0]
-        report.append({"signal": signal, "stratum": stratum, "good": n_good, "bad": n_bad, "cutoff": chosen and chosen[0], "good_rejected": chosen[1] if chosen else 0, "bad_rejected": chosen[2] if chosen else 0})
-    return Rules(cutoffs, report)
+    """Good documents that must test a stratum's path for a setting that rejects none of them to be certified."""
+    return math.ceil(math.log(delta / max(1, n_strata)) / math.log1p(-alpha))
+
+
+class Path:
+    """A stratum's way from no cutoffs to stricter settings, and the best setting that was certified on it.
+
+    setting: the number of cutoffs of the grid that each signal has passed, less one. It moves by the counts of documents that it
+    keeps: signal -> strictness at which a document is first rejected -> (good that lay the path, good that test it, bad).
+    """
+
+    def __init__(self, n_good: int, n_strata: int, alpha: float, delta: float, good_weight: float = 10.0) -> None:
+        self.n_good, self.level, self.alpha, self.weight = n_good, delta / max(1, n_strata), alpha, good_weight
+        self.setting = dict.fromkeys(SIGNALS, -1)
+        self.rejected, self.moves, self.ended = np.zeros(3, np.int64), 0, not n_good
+        self.best, self.chosen, self.chosen_rejected = 0.0, dict(self.setting), self.rejected
+
+    def move(self, counts: dict[str, dict[int, tuple[int, int, int]]]) -> None:
+        """One move: to the cutoff of one rule that gains most (ties: fewest good documents, the mildest, the first rule)."""
+        best = None
+        for i, signal in enumerate(SIGNALS):
+            guides = bad = 0
+            for at in sorted(a for a in counts.get(signal, {}) if self.setting[signal] < a < len(GRID)):
+                g, _, b = counts[signal][at]
+                guides, bad = guides + g, bad + b
+                if (gain := bad - self.weight * guides) > 0 and (best is None or (-gain, guides, at, i) < best[0]):
+                    best = (-gain, guides, at, i), signal, at
+        if best is None:
+            self.ended = True
+            return
+        self.moves += 1
+        _, signal, end = best
+        for at in sorted(a for a in counts[signal] if self.setting[signal] < a <= end):
+            self.rejected = self.rejected + np.array(counts[signal][at])
+            self.setting[signal] = at
+            guides, tests, bad = (int(x) for x in self.rejected)
+            if binomial_tail(tests, self.n_good, self.alpha) > self.level:
+                self.ended = True
+                return
+            if (gain := bad - self.weight * (guides + tests)) > self.best:
+                self.best, self.chosen, self.chosen_rejected = gain, dict(self.setting), self.rejected
+
+    def cutoffs(self) -> dict[str, float]:
+        return {signal: GRID[at] for signal, at in self.chosen.items() if at >= 0}
 
 
 def fit(stats: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", good_col: str = "quality", alpha: float = 0.03, delta: float = 0.05, label_id: str = "doc_id") -> Rules:
     """Cutoffs from every labelled document that passes the base rules. A null stratum is the stratum ''.
 
     A document is an id: one with several labels is good if one of them is, and of several rows with its id the one that is
-    rejected first counts, so copies of a label or of a row add nothing. Only strata with enough good documents to
-    certify a cutoff reach the driver, of which there are at most one for each least_good labelled documents.
+    rejected first counts, so copies of a label or of a row add nothing. Ids whose crc32 as text is divisible by 3 lay the paths.
+    Only strata with enough good documents to certify a setting reach the driver, of which there are at most one for each
+    least_good labelled documents. No labels, or no documents: no cutoffs.
     """
     held = labels.where(F.col(f"`{label_id}`").isNotNull()).groupBy(F.col(f"`{label_id}`").alias("_id")).agg(F.max(F.col(f"`{good_col}`")).alias("_good")).where(F.col("_good").isNotNull())
     own = F.coalesce(F.col(f"`{stratum}`").cast("string"), F.lit(""))
     edges = F.array(*[F.lit(x) for x in GRID])
     first = lambda s: F.aggregate(edges, F.lit(0), lambda n, e: n + F.when(s <= e, 1).otherwise(0))  # noqa: E731  rejected from the first cutoff below the signal on
+    at = [f"at_{n}" for n in SIGNALS]
     rows = stats.where(~F.col("base_failed")).select(F.col(f"`{id_col}`").alias("_id"), own.alias("stratum"), *[first(s()).alias(f"at_{n}") for n, s in SIGNALS.items()]).join(held, "_id")
-    docs = rows.groupBy("_id").agg(F.min("stratum").alias("stratum"), F.max("_good").alias("_good"), *[F.min(f"at_{n}").alias(f"at_{n}") for n in SIGNALS])
-    long = docs.select("stratum", "_good", F.explode(F.array(*[F.struct(F.lit(n).alias("signal"), F.col(f"at_{n}").alias("at")) for n in SIGNALS])).alias("x"))
-    sums = written(long.groupBy("stratum", "x.signal", "x.at").agg(F.count_if(F.col("_good") == 1).alias("good"), F.count_if(F.col("_good") == 0).alias("bad")), "sums")
-    n_strata = sums.select("stratum").distinct().count()
-    enough = sums.groupBy("stratum", "signal").agg(F.sum("good").alias("n")).where(F.col("n") >= least_good(n_strata, alpha, delta)).select("stratum").distinct()
-    counts: dict[tuple[str, str], dict[int, tuple[int, int]]] = {}
-    for r in sums.join(enough, "stratum").collect():
-        counts.setdefault((r["signal"], r["stratum"]), {})[r["at"]] = (r["good"], r["bad"])
-    dropped(sums)
-    return choose(counts, n_strata, alpha, delta)
+    docs = rows.groupBy("_id").agg(F.min("stratum").alias("stratum"), F.max("_good").alias("_good"), *[F.min(a).alias(a) for a in at])
+    good, lays = F.col("_good") == 1, F.crc32(F.col("_id").cast("string")) % 3 == 0
+    lists = written(docs.groupBy("stratum", *at).agg(F.count_if(good & lays).alias("guides"), F.count_if(good & ~lays).alias("tests"), F.count_if(F.col("_good") == 0).alias("bad")), "strictness")
+    sizes = lists.groupBy("stratum").agg(F.sum("guides").alias("guides"), F.sum("tests").alias("tests"), F.sum("bad").alias("bad"))
+    n_strata = sizes.count()
+    size = {r["stratum"]: r for r in sizes.where(F.col("tests") >= least_good(n_strata, alpha, delta)).collect()}
+    paths = {s: Path(r["tests"], n_strata, alpha, delta) for s, r in size.items()}
+    while going := [s for s, p in sorted(paths.items()) if not p.ended]:
+        for s, counts in _kept_counts(lists, {s: paths[s].setting for s in going}).items():
+            paths[s].move(counts)
+    dropped(lists)
+    cutoffs: dict[str, dict[str, float]] = {n: {} for n in SIGNALS}
+    for s, p in sorted(paths.items()):
+        for n, cut in p.cutoffs().items():
+            cutoffs[n][s] = cut
+    report = [
+        {"stratum": s, "good_testing": p.n_good, "good_guiding": size[s]["guides"], "bad": size[s]["bad"], "moves": p.moves, "cutoffs": p.cutoffs()}
+        | dict(zip(("guiding_rejected", "testing_rejected", "bad_rejected"), (int(x) for x in p.chosen_rejected)))
+        for s, p in sorted(paths.items())
+    ]
+    return Rules(cutoffs, report)
+
+
+def _kept_counts(lists: DataFrame, settings: dict[str, dict[str, int]]) -> dict[str, dict[str, dict[int, tuple[int, int, int]]]]:
+    """For each stratum of settings the counts, by signal and strictness, of documents that its setting keeps."""
+    table = lists.sparkSession.createDataFrame([(s, *(c[n] for n in SIGNALS)) for s, c in settings.items()], ", ".join(["stratum string", *(f"to_{n} int" for n in SIGNALS)]))
+    kept = lists.join(F.broadcast(table) if len(settings) <= 100_000 else table, "stratum")
+    for n in SIGNALS:
+        kept = kept.where(F.col(f"at_{n}") > F.col(f"to_{n}"))
+    long = kept.select("stratum", "guides", "tests", "bad", F.explode(F.array(*[F.struct(F.lit(n).alias("signal"), F.col(f"at_{n}").alias("at")) for n in SIGNALS])).alias("x"))
+    sums = long.groupBy("stratum", "x.signal", "x.at").agg(F.sum("guides").alias("guides"), F.sum("tests").alias("tests"), F.sum("bad").alias("bad")).where(F.col("at") < len(GRID))
+    found: dict[str, dict[str, dict[int, tuple[int, int, int]]]] = {s: {} for s in settings}
+    for r in sums.collect():
+        found[r["stratum"]].setdefault(r["signal"], {})[r["at"]] = (r["guides"], r["tests"], r["bad"])
+    return found
 
 
 def verdict(stats: DataFrame, rules: Rules, stratum: str = "lang") -> DataFrame:
@@ -200,6 +248,8 @@ def verdict(stats: DataFrame, rules: Rules, stratum: str = "lang") -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and verdicts of all documents. Null and empty texts have no words and fail the base rules; a null lang is the
+    stratum ''; repeated rows are judged alike, and a row with a null id like others; no documents, no rows."""
     stats = written(statistics(documents(spark, sf_dir), carry=("doc_id", "lang")), "op4")
     rules = fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return verdict(stats, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
