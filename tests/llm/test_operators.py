@@ -189,6 +189,50 @@ def test_hot_signatures_are_refined_and_joined_in_blocks(spark):
     assert [(r["n_shingles"], r["component_id"]) for r in got] == brute_components(ts, 1, 90)
 
 
+def test_large_sets_skip_their_empty_segments():
+    """Before, sets of 1,654 to 2,584 shingles indexed some 50 empty segments each, which any two of them share by chance."""
+    for t in (80, 90):
+        for low, high in jaccard_join.limits(t, 60_000):
+            b = jaccard_join.allocate(low, high, 100_000, t)
+            if low >= 100:
+                empty = (b.segments - b.deletions) * (1 - 1 / b.segments) ** low
+                assert empty + 2 * empty**0.5 <= b.skipped + 1
+
+
+@pytest.mark.parametrize("small", [2, 24, 1000])
+def test_allowed_pairs_equal_plain_loops(small):
+    rng = np.random.default_rng(small)
+    group = np.sort(rng.choice([1, 2, 3, 5, 8, 8, 8, 8], 400))
+    run = np.cumsum(np.append(True, (group[1:] != group[:-1]) | (rng.random(399) < 0.4)))
+    base = [np.unique(rng.integers(1, 1 << 63, k, dtype=np.uint64)) for k in (60, 70, 1600)]
+    sets = [np.concatenate([own[int(rng.integers(0, len(own) // 4)) :], rng.integers(1, 1 << 63, int(rng.integers(0, 12)), dtype=np.uint64)]) for own in (base[i] for i in rng.integers(0, 3, 400))]
+    n = np.array([len(s) for s in sets])
+    sketches, wide = (np.array([jaccard_join.sketch(s, bits) for s in sets], np.int64).view(np.uint64) for bits in (jaccard_join.SKETCH, jaccard_join.WIDE))
+    large = n >= jaccard_join.LARGE
+    at = np.where(large, np.cumsum(large) - 1, -1)
+    got = Counter(x for i, j in jaccard_join._allowed(n, run, sketches, wide[large], at, group, 80, small, 512) for x in zip(i.tolist(), j.tolist()))
+    want = set()
+    for i in range(400):
+        for j in range(i + 1, 400):
+            most = jaccard_join.differences(int(n[i]), int(n[j]), 80)
+            apart = lambda x: int(np.bitwise_count(x[i] ^ x[j]).sum())  # noqa: B023, E731
+            if group[i] == group[j] and run[i] != run[j] and abs(n[i] - n[j]) <= most and apart(sketches) <= most and (not (large[i] and large[j]) or apart(wide) <= most):
+                want.add((i, j))
+    assert set(got) == want and want and max(got.values()) == 1
+
+
+def test_pairs_of_groups_over_many_batches():
+    kind = pa.schema([("sig", pa.int64()), ("cell", pa.int32()), ("part", pa.int64()), ("check", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("sketch", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
+    own = jaccard_join.sketch(np.arange(1, 50, dtype=np.uint64))
+    rows = [(g, c, k // 2, 0, 1000 * g + 100 * c - k, 49, own, None) for g, c, size in ((1, 0, 1), (1, 1, 7), (2, 0, 40), (4, 0, 2), (5, 0, 3)) for k in range(size)]
+    table = pa.table([list(x) for x in zip(*rows)], schema=kind)
+    want = sorted((min(x[4], y[4]), max(x[4], y[4])) for i, x in enumerate(rows) for y in rows[:i] if x[:2] == y[:2] and x[2] != y[2])
+    for size in (1, 3, 8, 100):
+        batches = table.to_batches(max_chunksize=size)
+        got = [x for b in jaccard_join._compare(80)(iter([batches[0].slice(0, 0), *batches])) for x in zip(b["hub"].to_pylist(), b["key"].to_pylist())]
+        assert sorted(got) == want
+
+
 def test_jaccard_odd_rows(spark, odd, empty):
     kept = jaccard_join.stage(spark, odd, "")
     assert kept.columns == odd.columns

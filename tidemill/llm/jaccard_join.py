@@ -23,7 +23,8 @@ needs no proof, since the result is reachability. Verification compares the shin
 
 Hot signatures. A sample of the sets shows which signatures are very common; their rows are dealt to several tasks. A
 signature that still joins more than hot_rows sets across components is refined: a similar pair also shares a signature of
-any other cut of the universe, so the group falls apart into groups by both. What stays large is joined in blocks.
+any other cut of the universe, so the group falls apart into groups by both. What stays large is joined in blocks. In tasks the sketches of a
+group are compared many at a time, each set with those of other components only.
 """
 
 from __future__ import annotations
@@ -74,20 +75,34 @@ def limits(t: int, largest: int = 1 << 40) -> list[tuple[int, int]]:
     return out
 
 
+def beyond(mean: float, e: int) -> float:
+    """By how much a Poisson number of this mean exceeds e, on average."""
+    if mean > 1000:  # as a normal number
+        sd = math.sqrt(mean)
+        z = (e - mean) / sd
+        return sd * math.exp(-z * z / 2) / math.sqrt(2 * math.pi) + (mean - e) * math.erfc(z / math.sqrt(2)) / 2
+    mean = max(mean, 1e-300)
+    return sum((k - e) * math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)) for k in range(e + 1, int(max(e, mean) + 10 * math.sqrt(mean) + 40)))
+
+
+def skips(h: int) -> list[int]:
+    """How many subsets a set may skip: up to 48, and up to a quarter of h, as the empty ones of a set grow with h."""
+    return sorted({0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48} | {e for k in range(1, 9) if (e := h * k // 32) > 48})
+
+
 def allocate(low: int, high: int, docs: int, t: int, pair_cost: float = 40.0) -> Band:
     """The cheapest (d, e) for a band that holds so many documents: signatures written plus candidates by chance."""
     h = differences(high, high * 100 // t, t)
     best, chosen = math.inf, Band(low, high, h + 1, 0, 0)
     for d in range(0, 3):
-        for e in (0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48):
+        for e in skips(h):
             m = h + 1 + e - d
             if m < max(d, 1) or (m == d and e) or m - d - e < 0:
                 continue
             size = low / m
             empty, one = math.exp(-size), size * math.exp(-size)
             plain = m - d
-            # chance that a given plain segment is empty and still indexed, as more than e are empty
-            over = sum(max(0, k - e) * math.exp(k * math.log(max(plain * empty, 1e-300)) - plain * empty - math.lgamma(k + 1)) for k in range(e + 1, e + 40)) / max(plain, 1)
+            over = beyond(plain * empty, e) / max(plain, 1)  # chance that a given plain segment is empty and still indexed
             chance = plain * (over**2 + 1e-4 * (one / (1 + e)) ** 2) + d * ((empty + one) ** 2)
             written_ = (m - d - e) + d * (1 + size)
             cost = written_ + pair_cost * docs / 2 * chance
@@ -299,6 +314,91 @@ def verified(pairs: DataFrame, told: DataFrame, base: DataFrame, n: int, t: int,
     return dealt.mapInArrow(_verify(n, seed, t), f"a {NODE}, b {NODE}")
 
 
+def _allowed(n: np.ndarray, run: np.ndarray, sketches: np.ndarray, wide: np.ndarray, at: np.ndarray, group: np.ndarray, t: int, small: int = 24, cells: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group that lie in different runs and whose sizes and sketches don't rule out similarity.
+
+    Rows come in order of group and run. sketches: 64-bit words by row; at: a row's place in wide, -1 for none. Small groups
+    are compared all at once, row by row at each distance; of larger ones a block of rows at a time with all rows behind it.
+    """
+    bits = np.ascontiguousarray(sketches.T)
+    edge = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
+    size = np.diff(edge)
+    most = lambda i, j: (n[i] + n[j]) * (100 - t) // (100 + t)
+
+    def left(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x, y = at[i], at[j]
+        both = np.flatnonzero((x >= 0) & (y >= 0))
+        far = np.zeros(len(i), bool)
+        for k in np.array_split(both, len(both) // 4096 + 1):
+            far[k] = np.bitwise_count(wide[x[k]] ^ wide[y[k]]).sum(1, dtype=np.int64) > most(i[k], j[k])
+        return i[~far], j[~far]
+
+    little = np.repeat(size <= small, size)
+    for k in range(1, min(small, int(size.max(initial=0)))):
+        i = np.flatnonzero(little[:-k] & (group[:-k] == group[k:]) & (run[:-k] != run[k:]) & (np.abs(n[:-k] - n[k:]) <= (n[:-k] + n[k:]) * (100 - t) // (100 + t)))
+        for i in np.array_split(i, len(i) // cells + 1):
+            apart = np.bitwise_count(sketches[i] ^ sketches[i + k]).sum(1, dtype=np.int64)
+            i = i[apart <= most(i, i + k)]
+            yield left(i, i + k)
+    for a, z in zip(edge[:-1][size > small], edge[1:][size > small]):
+        ends = a + np.searchsorted(run[a:z], run[a:z], "right")
+        i = a
+        while i < z and ends[i - a] < z:  # the last run has nothing behind it
+            rows = max(1, cells // int(z - i))
+            stop = min(z, i + rows)
+            # a block of one run meets what follows the run; runs in a block meet what follows its first row's run
+            begin = int(ends[i - a])
+            stop = min(stop, begin) if begin - i > 1 else stop
+            r, c = np.arange(i, stop)[:, None], np.arange(begin, z)[None, :]
+            apart = np.zeros((len(r), c.shape[1]), np.uint16)
+            for w in bits:
+                apart += np.bitwise_count(w[i:stop, None] ^ w[None, begin:z])
+            limit = most(r, c)
+            ok = (apart <= limit) & (np.abs(n[r] - n[c]) <= limit) & (run[r] != run[c]) & (r < c)
+            x, y = np.nonzero(ok)
+            yield left(x + i, y + begin)
+            i = stop
+
+
+def _compare(t: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (sig, cell, part's key and check, key, n, sketch, wide) in order of the first four: pairs (hub, key) that may be
+    similar. What is held is a batch and the one group that has begun in it."""
+
+    def pairs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        sig, cell, part, check, key, n = (rows.column(i).to_numpy() for i in range(6))
+        new = np.ones(len(sig), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (cell[1:] != cell[:-1])
+        run = new.copy()
+        run[1:] |= (part[1:] != part[:-1]) | (check[1:] != check[:-1])
+        lists = [pa.concat_arrays(rows.column(i).chunks) for i in (6, 7)]
+        sketches, wide = (x.flatten().to_numpy().view(U64).reshape(-1, bits // 64) for x, bits in zip(lists, (SKETCH, WIDE)))
+        has = lists[1].is_valid().to_numpy(zero_copy_only=False)
+        at = np.where(has, np.cumsum(has) - 1, -1)
+        for i, j in _allowed(n, np.cumsum(run), sketches, wide, at, np.cumsum(new), t):
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(key[i], key[j])), pa.array(np.maximum(key[i], key[j]))], ["hub", "key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            sig, cell = (batch.column(i).to_numpy() for i in range(2))
+            last = int(np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (cell[1:] != cell[:-1])]))[-1])
+            name = lambda b, i: (b.column(0)[i].as_py(), b.column(1)[i].as_py())
+            if held and (last or name(held[-1], len(held[-1]) - 1) != name(batch, 0)):
+                yield from pairs([*held, batch.slice(0, last)])
+                held = []
+            elif last:
+                yield from pairs([batch.slice(0, last)])
+            held.append(batch.slice(last))
+        if held:
+            yield from pairs(held)
+
+    return run
+
+
 def _met(base: DataFrame, n: int, t: int, seed: int, bands: list[Band], hot_rows: int) -> DataFrame:
     """(sig, key): every signature that two sets or more share, in one exchange of all signatures.
 
@@ -375,18 +475,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     part = met.join(of, "key", "left").select("sig", "key", F.coalesce("component", F.struct("key", F.lit(0).cast("long").alias("check"))).alias("part"))
     mixed = part.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("sig")
     open_ = _refined(written(part.join(mixed, "sig", "left_semi"), "open"), told, base, n, t, seed, bands, hot_rows)
-    sized = lambda df: df.join(small, "key")
-    sides = lambda df, *more: (df.select("sig", *more, *[F.col(x).alias(f"{c}{x}") for x in ("key", "n", "sketch", "wide", "part")]) for c in "ab")
-    allowed = lambda pairs: pairs.where((F.col("apart") != F.col("bpart")) & (F.col("akey") < F.col("bkey")) & near).select(F.col("akey").alias("hub"), F.col("bkey").alias("key"))
-    hot = written(open_.groupBy("sig").count().where(F.col("count") > hot_rows), "hot")
-    a, b = sides(sized(open_ if hot.isEmpty() else open_.join(hot, "sig", "left_anti")))
-    cross = allowed(a.join(b, "sig"))  # one exchange, read twice
-    if not hot.isEmpty():  # in blocks of hot_rows sets: each set meets every block of its signature, in a task each
-        a, b = sides(sized(open_.join(hot.select("sig", F.ceil(F.col("count") / hot_rows).cast("int").alias("blocks")), "sig")), "blocks")
-        a = a.withColumn("block", F.pmod(F.xxhash64("akey"), F.col("blocks")).cast("int")).drop("blocks")
-        b = b.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-        cross = cross.unionByName(allowed(a.join(b, ["sig", "block"])))
-    cross = cross.distinct()
+    hot = written(open_.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / max(1, hot_rows // 2)).cast("int").alias("blocks")).where(F.col("blocks") > 2), "hot")
+    rows = open_.withColumn("cell", F.lit(0))
+    if not hot.isEmpty():  # in blocks of hot_rows / 2 sets: each two blocks of a signature meet in a cell
+        own = open_.join(hot, "sig").withColumn("x", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        other = own.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("x != y")
+        cells = other.select(*open_.columns, (F.least("x", "y") * F.col("blocks") + F.greatest("x", "y")).alias("cell"))
+        rows = open_.join(hot, "sig", "left_anti").withColumn("cell", F.lit(0)).unionByName(cells)
+    rows = rows.join(small, "key").select("sig", "cell", F.col("part.key").alias("part"), F.col("part.check").alias("check"), "key", "n", "sketch", "wide")
+    cross = rows.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "part", "check").mapInArrow(_compare(t), "hub long, key long").distinct()
     pairs = written(cross, "pairs")
     more = written(verified(pairs, told, base, n, t, seed), "links")
     all_parts = connected_components(links.unionByName(more))
