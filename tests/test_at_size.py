@@ -21,3 +21,11 @@ def test_pairs_of_a_brand_over_several_runs(spark, tmp_path):
     # runs of which no key of the first comes before one of the second are never laid out: about half of the pairs of runs
     plan = text.brand_pairs(spark, d, kinds, "kinds", 4)._jdf.queryExecution().optimizedPlan().toString()
     assert "least_a" in plan and "most_b" in plan
+
+
+def test_sequence_ratio_of_a_brand_over_several_runs(spark, tmp_path):
+    parts = [(k, "b", ("OAK", "OAK PIN", "TIN CASE")[k % 3]) for k in range(600)]
+    d = written(tmp_path, "part", parts, ["p_partkey", "p_brand", "p_type"])
+    out = text.fn24_ratio(spark, d)
+    assert out.count() == 600 * 599 // 2 and out.distinct().count() == 600 * 599 // 2
+    assert {r["ratio"] for r in out.where("a % 3 = 0 AND b % 3 = 1").select("ratio").distinct().collect()} == {110.6}
