@@ -1,7 +1,11 @@
 """What larger tables and odd values bring: pairs in runs, equal times, zeros, days without a model."""
 
+import os
+
+import duckdb
 import pandas as pd
 
+from tidemill import catalog
 from tidemill.operators import text
 
 
@@ -29,3 +33,32 @@ def test_sequence_ratio_of_a_brand_over_several_runs(spark, tmp_path):
     out = text.fn24_ratio(spark, d)
     assert out.count() == 600 * 599 // 2 and out.distinct().count() == 600 * 599 // 2
     assert {r["ratio"] for r in out.where("a % 3 = 0 AND b % 3 = 1").select("ratio").distinct().collect()} == {110.6}
+
+
+def against_sql(spark, d, name):
+    """A query's rows and its SQL's, in order, values as texts so that NULL, NaN and infinities are told apart."""
+    con = duckdb.connect()
+    for f in os.listdir(d):
+        con.execute(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM '{d}/{f}'")
+    want = con.execute(catalog.oracle_sql()[name])
+    columns = [x[0] for x in want.description]
+    text = lambda v: f"{v + 0.0:.6f}".replace("-nan", "nan") if isinstance(v, float) else str(v)
+    plain = lambda rows: sorted([text(v) for v in r] for r in rows)
+    want = plain(want.fetchall())
+    assert plain(catalog.queries()[name](spark, d).select(*columns).collect()) == want
+    return columns, want
+
+
+def events(tmp_path, rows):
+    """Events of one user from (seconds, type, value)."""
+    start = pd.Timestamp("2024-01-01")
+    full = [(i, start + pd.Timedelta(microseconds=round(s * 1e6)), 8, kind, value, '{"k": 60}') for i, (s, kind, value) in enumerate(rows)]
+    return written(tmp_path, "events", full, ["event_id", "ts", "user_id", "event_type", "value", "props"])
+
+
+def test_hold_stats_of_entries_at_zero_and_unknown_mids(spark, tmp_path):
+    day = 86_400
+    d = events(tmp_path, [(0, "error", 0.0), (1, "view", 5.0), (2, "view", 0.0), (day, "error", 0.0), (day + 1, "view", 0.0), (2 * day, "error", 3.0), (2 * day + 1, "view", None), (3 * day, "error", 1e-6), (3 * day + 1, "view", None), (3 * day + 2, "view", 7.5e7), (3 * day + 3, "view", None)])
+    columns, rows = against_sql(spark, d, "agg17_hold_stats")
+    high, mean = columns.index("mfe_bps"), columns.index("mean_mid")
+    assert [r[high] for r in rows] == ["inf", "nan", "None", f"{(7.5e7 / 1e-6 - 1) * 1e4:.6f}"] and rows[2][mean] == "None"

@@ -20,6 +20,12 @@ def ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
+def ieee_ratio(a: Column, b: Column) -> Column:
+    """a / b as SQL engines without a check divide: infinite where b is 0, NaN for 0 / 0. For queries held against such SQL."""
+    a, b = a.cast("double"), b.cast("double")
+    return F.when(b == 0, a * float("inf")).otherwise(F.try_divide(a, b))
+
+
 def holds(condition: Column) -> Column:
     """False where the condition is unknown."""
     return F.coalesce(condition, F.lit(False))
@@ -35,9 +41,11 @@ def clip(x: Column, low: float, high: float) -> Column:
 
 
 def half_up(x: Column, digits: int) -> Column:
-    """x rounded to digits, ties up, by arithmetic that SQL engines share."""
+    """x rounded to digits, ties up, by arithmetic that SQL engines share. What has no digits behind the point, infinities and NaN
+    included, stays: a floor is a bigint in Spark."""
     unit = 10.0**digits
-    return F.floor(x * unit + 0.5).cast("double") / unit
+    y = x * unit + 0.5
+    return F.when(F.abs(y) < 2.0**52, F.floor(y).cast("double")).otherwise(y) / unit
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
