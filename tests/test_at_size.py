@@ -71,3 +71,12 @@ def test_epochs_of_times_next_to_a_boundary(spark, tmp_path):
     columns, rows = against_sql(spark, d, "fn02_epoch_floor")
     at = columns.index("epoch_15m")
     assert [r[at] for r in rows if r[columns.index("event_id")] in ("4", "5", "6")] == ["1704067200", "1704068100", "1704068100"]
+
+
+def test_shocks_after_a_mid_of_zero(spark, tmp_path):
+    mids = [10.0 + i % 7 for i in range(70)]
+    mids[10], mids[50] = 0.0, None
+    d = events(tmp_path, [(i, "view", m) for i, m in enumerate(mids)])
+    columns, rows = against_sql(spark, d, "fn07_z_shock")
+    z = {int(r[columns.index("seq")]): r[columns.index("z")] for r in rows}
+    assert [i for i in z if z[i] == "nan"] and all(z[i] == "nan" for i in range(12, 30)) and z[11] == "None" and z[30] != "nan"

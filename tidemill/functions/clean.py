@@ -26,6 +26,11 @@ def ieee_ratio(a: Column, b: Column) -> Column:
     return F.when(b == 0, a * float("inf")).otherwise(F.try_divide(a, b))
 
 
+def ieee_log(x: Column) -> Column:
+    """The natural logarithm as SQL engines without a check take it: -infinity of 0, NaN of less. Spark's is NULL there."""
+    return F.when(x == 0, float("-inf")).when(x < 0, float("nan")).otherwise(F.log(x))
+
+
 def holds(condition: Column) -> Column:
     """False where the condition is unknown."""
     return F.coalesce(condition, F.lit(False))
