@@ -103,3 +103,8 @@ def test_realised_vol_over_rows_of_one_time_and_zeros(spark, tmp_path):
     rows = [(s + 10, kind, v) for s, kind, v in rows]
     columns, got = against_sql(spark, events(tmp_path, rows), "agg27_realised_vol")
     assert "nan" in {r[columns.index("rv")] for r in got}
+
+
+def test_artifacts_where_no_day_has_a_model(spark, tmp_path):
+    rows = [(h * 3_600 + k, "view", v) for h in range(24 * 8) for k, v in enumerate((0.0, 5.0 + h % 9))]
+    assert against_sql(spark, events(tmp_path, rows), "pipe04_artifacts")[1] == []

@@ -88,9 +88,9 @@ def build_artifacts(bars: DataFrame, path: str, b: Build = Build()) -> DataFrame
     saved under path; returns what load_artifacts reads back: a row for each symbol and day."""
     rows = prepared(bars, b)
     sinks.save_partitions(trained(rows, b), f"{path}/trained", ["score_day"])
-    models = bars.sparkSession.read.parquet(f"{path}/trained").withColumn("score_day", c("score_day").cast("long"))
+    models = saved(bars.sparkSession, path, "trained", b)
     sinks.save_partitions(pools(scored_days(rows, models, b), b), f"{path}/pool", ["day"])
-    runs = saved_runs(bars.sparkSession, path)
+    runs = saved(bars.sparkSession, path, "pool", b)
     full = models.groupBy("symbol", "score_day").count().where(c("count") == len(b.horizons)).select("symbol", "score_day")
     big = walk.pool_sizes(runs, b.pool_days, most=-(-b.group * b.step_s // DAY)).where(c("pool_size") >= b.least_pool).select("symbol", "score_day")
     ready = full.join(big, ["symbol", "score_day"])
@@ -99,14 +99,18 @@ def build_artifacts(bars: DataFrame, path: str, b: Build = Build()) -> DataFrame
     return load_artifacts(bars.sparkSession, path, b)
 
 
-def saved_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/pool").withColumn("day", c("day").cast("long"))
+def saved(spark: SparkSession, path: str, part: str, b: Build) -> DataFrame:
+    """A part of the artifacts; without rows where no day had any to save, as such a folder holds no file to tell its columns."""
+    fits = "symbol string, horizon int, n long, intercept double, " + "".join(f"b_pk_{n} double, " for n in b.windows) + "score_day long"
+    kinds = {"trained": fits, "models": fits, "quality": "symbol string, actual long, expected long, missing_pct double, score_day long", "pool": "symbol string, late int, zs array<double>, n long, lo double, hi double, day long"}
+    rows = sinks.stored(spark, f"{path}/{part}")
+    day = "day" if part == "pool" else "score_day"
+    return spark.createDataFrame([], kinds[part]) if rows is None else rows.withColumn(day, c(day).cast("long"))
 
 
 def load_artifacts(spark: SparkSession, path: str, b: Build = Build()) -> DataFrame:
     """The saved artifacts: models of each horizon as a map, the pool's size, ends and median, and the window's quality."""
-    models, quality = (spark.read.parquet(f"{path}/{x}").withColumn("score_day", c("score_day").cast("long")) for x in ("models", "quality"))
-    runs = saved_runs(spark, path)
+    models, quality, runs = (saved(spark, path, x, b) for x in ("models", "quality", "pool"))
     slopes = [x for x in models.columns if x.startswith("b_")]
     m = models.groupBy("symbol", "score_day").agg(F.map_from_entries(F.collect_list(F.struct("horizon", F.struct("intercept", "n", *slopes)))).alias("models"))
     z = walk.pool_sizes(runs, b.pool_days, most=-(-b.group * b.step_s // DAY))
