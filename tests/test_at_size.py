@@ -5,8 +5,11 @@ import os
 import duckdb
 import pandas as pd
 
+from pyspark.sql import functions as F
+
+from tests.conftest import SMALL
 from tidemill import catalog
-from tidemill.operators import text
+from tidemill.operators import names, text
 
 
 def written(tmp_path, table, rows, columns):
@@ -108,3 +111,17 @@ def test_realised_vol_over_rows_of_one_time_and_zeros(spark, tmp_path):
 def test_artifacts_where_no_day_has_a_model(spark, tmp_path):
     rows = [(h * 3_600 + k, "view", v) for h in range(24 * 8) for k, v in enumerate((0.0, 5.0 + h % 9))]
     assert against_sql(spark, events(tmp_path, rows), "pipe04_artifacts")[1] == []
+
+
+def test_a_name_is_aligned_only_where_the_ratio_decides(spark):
+    rows = [("Alpha", "Alpha Town", "Beta City"), ("Alpha City", "Alpha City Rovers", "Beta City"), ("Real Town", "Real Town", "Town Real"), ("Nord Ost", "Nord West", "Sud West"), ("Gamma", "Alpha", "Beta"), ("United", "East United", "United"), ("2024", "Alpha", "Beta")]
+    df = spark.createDataFrame(rows, "who string, home string, away string")
+    for least in (60.0, 60.6, 100.0, 110.5):
+        h, a = text.similarity(F.col("who"), F.col("home")), text.similarity(F.col("who"), F.col("away"))
+        plain = F.when((h != a) & (F.greatest(h, a) >= least), F.when(h > a, "home").otherwise("away"))
+        want = sorted((*r[:3], str(r[3])) for r in df.select("who", "home", "away", plain.alias("near")).collect())
+        assert sorted((r["who"], r["home"], r["away"], str(r["near"])) for r in names.nearer_team(df, least).collect()) == want
+    # questions and teams that come back are judged once: the aligning step reads distinct names, not the rows
+    plan = names.fn25_roles(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    at = plan.index("sequence_ratio(")
+    assert "Aggregate [who#" in plan[at:] and plan.count("sequence_ratio(") == 2

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.clean import rounded
-from tidemill.operators.text import overlap, similarity, similarity_of_words, words, words_sql
+from tidemill.operators.text import overlap, sequence_ratio, similarity_of_words, words, words_sql
 from tidemill.plans.registry import query
 from tidemill.sources import views as V
 
@@ -54,6 +54,24 @@ MARKET = "array<struct<kind: string, question: string, outcomes: string, tokens:
 MONEYLINE = ("moneyline", "child_moneyline")
 
 
+def nearer_team(asked: DataFrame, least: float) -> DataFrame:
+    """asked(who, home, away), distinct, with near: home or away, to which who is more similar, if that reaches `least`; else NULL.
+
+    Each name is cut into words once. A similarity is the overlap of words and a ratio of 1 at most, so strings are only aligned
+    where the ratio can decide: where the overlaps are that near to each other, or to `least`."""
+    names = asked.select(F.explode(F.array("who", "home", "away")).alias("name")).distinct().withColumn("_w", words(c("name")))
+    for x in ("who", "home", "away"):
+        asked = asked.join(names.select(c("name").alias(x), c("_w").alias(f"_{x}")), x)
+    h, a = overlap(c("_who"), c("_home")), overlap(c("_who"), c("_away"))
+    most = F.greatest(h, a)
+    open_ = (most + 1 >= least) & ((F.abs(h - a) <= 1) | (most < least))
+    text = lambda w: F.array_join(w, " ")
+    more = lambda w: F.coalesce(sequence_ratio(F.when(open_ & (F.size("_who") > 0) & (F.size(w) > 0), text("_who")), text(w)), F.lit(0.0))
+    x = asked.select("who", "home", "away", (h + more("_home")).alias("to_home"), (a + more("_away")).alias("to_away"))
+    near = F.when((c("to_home") != c("to_away")) & (F.greatest("to_home", "to_away") >= least), F.when(c("to_home") > c("to_away"), "home").otherwise("away"))
+    return x.select("who", "home", "away", near.alias("near"))
+
+
 def event_roles(events: DataFrame, least: float = 100.0) -> DataFrame:
     """FN-25: of events(event_id, title, slug, markets as MARKET, whose outcomes and tokens are JSON lists) those with one question for
     each of home, draw and away, all of one start: event_id, slug, home, away, kickoff_ms, roles (role -> its Yes and No token).
@@ -64,10 +82,11 @@ def event_roles(events: DataFrame, least: float = 100.0) -> DataFrame:
     good = events.where((F.size(teams) == 2) & c("slug").rlike(r"^[A-Za-z0-9_-]+$")).select("event_id", "slug", teams[0].alias("home"), teams[1].alias("away"), F.explode("markets").alias("m"))
     who = F.regexp_extract("m.question", r"(?i)^Will\s+(.*?)\s+win on\b", 1)
     x = good.where(c("m.kind").isin(*MONEYLINE)).select("event_id", "slug", "home", "away", "m.*", F.lower("m.question").contains("end in a draw").alias("draw"), who.alias("who"))
-    x = x.where(c("draw") | (c("who") != "")).withColumns({"to_home": similarity(c("who"), c("home")), "to_away": similarity(c("who"), c("away"))})
-    near = F.when((c("to_home") != c("to_away")) & (F.greatest("to_home", "to_away") >= least), F.when(c("to_home") > c("to_away"), "home").otherwise("away"))
+    x = x.where(c("draw") | (c("who") != ""))
+    asked = ["who", "home", "away"]
+    x = x.join(nearer_team(x.where(~c("draw")).select(*asked).distinct(), least), asked, "left")
     texts = lambda n: F.from_json(n, "array<string>")
-    x = x.withColumns({"role": F.when(c("draw"), "draw").otherwise(near), "o": texts("outcomes"), "k": texts("tokens")})
+    x = x.withColumns({"role": F.when(c("draw"), "draw").otherwise(c("near")), "o": texts("outcomes"), "k": texts("tokens")})
     x = x.where(c("role").isNotNull() & (F.size("k") == 2) & (F.array_sort(F.array_distinct("o")) == F.array(F.lit("No"), F.lit("Yes"))))
     token = lambda side: F.get("k", F.array_position("o", side) - 1)
     one = x.select("event_id", "slug", "home", "away", "role", "start_ms", F.struct(token("Yes").alias("yes"), token("No").alias("no")).alias("pair"))
@@ -105,7 +124,8 @@ def fn25_roles(spark: SparkSession, d: str) -> DataFrame:
     draw = one("moneyline", F.lit("Will the match End in a Draw?"), "d", t)
     total = one("totals", win(h), "x", t)
     markets = F.concat(F.array(home, away, total), F.when(k % 7 != 0, F.array(draw)).otherwise(F.array().cast(MARKET)), F.when(k % 11 == 0, F.array(home)).otherwise(F.array().cast(MARKET)))
-    ev = V.table(spark, d, "orders").select(k.alias("event_id"), F.concat(h, F.lit(" United vs. "), a, F.lit(" City")).alias("title"), F.concat(F.when(k % 13 == 0, "m ").otherwise("m-"), s).alias("slug"), markets.alias("markets"))
+    orders = V.table(spark, d, "orders").select("o_orderkey", "o_custkey").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")  # the table is one file
+    ev = orders.select(k.alias("event_id"), F.concat(h, F.lit(" United vs. "), a, F.lit(" City")).alias("title"), F.concat(F.when(k % 13 == 0, "m ").otherwise("m-"), s).alias("slug"), markets.alias("markets"))
     r = event_roles(ev)
     of = lambda role, side: F.try_element_at("roles", F.lit(role))[side].alias(f"{role}_{side}")
     return r.select("event_id", "slug", "home", "away", "kickoff_ms", of("home", "yes"), of("draw", "no"), of("away", "no"))

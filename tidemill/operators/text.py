@@ -29,7 +29,7 @@ def decomposed(name: pd.Series) -> pd.Series:
 def words(name: Column, generic: list[str] = GENERIC) -> Column:
     """FN-23: a name's words in lower case, accents folded, generic words and numbers left out, each once, sorted."""
     ascii_ = F.lower(F.regexp_replace(name, "[^A-Za-z0-9 ]+", " "))
-    plain = F.when(name.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.lower(decomposed(name)), "[^a-z0-9 ]+", " ")).otherwise(ascii_)
+    plain = F.when(name.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.lower(decomposed(F.when(name.rlike(r"[^\x00-\x7F]"), name))), "[^a-z0-9 ]+", " ")).otherwise(ascii_)
     own = F.filter(F.split(plain, " +"), lambda w: (w != "") & ~w.isin(*generic) & ~w.rlike(r"^[0-9]{2,4}$"))
     return F.array_sort(F.array_distinct(own))
 
@@ -44,7 +44,8 @@ def overlap(a: Column, b: Column) -> Column:
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """FN-24: ratio of matching runs of two strings; an Arrow UDF, for pairs that a join has already narrowed down."""
-    return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
+    known = {(x, y): SequenceMatcher(None, x, y).ratio() for x, y in set(zip(a, b)) if x is not None and y is not None}
+    return pd.Series([known.get(pair) for pair in zip(a, b)], dtype="float64")
 
 
 def similarity(a: Column, b: Column) -> Column:
