@@ -3,12 +3,14 @@
 import os
 
 import duckdb
+import numpy as np
 import pandas as pd
 
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tidemill import catalog
+from tidemill.operators import events as market_events
 from tidemill.operators import names, text
 
 
@@ -125,3 +127,25 @@ def test_a_name_is_aligned_only_where_the_ratio_decides(spark):
     plan = names.fn25_roles(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     at = plan.index("sequence_ratio(")
     assert "Aggregate [who#" in plan[at:] and plan.count("sequence_ratio(") == 2
+
+
+def test_nearest_of_many_events_at_one_time(spark):
+    random = np.random.default_rng(5)
+    matches = [(f"m{i}", int(random.integers(1, 4)), int(random.integers(1, 4)), int(random.integers(-600, 600)) * 60_000) for i in range(300)]
+    feed = [(int(i), int(random.integers(1, 4)), int(random.integers(1, 4)), int(random.integers(-40, 40)) * 900_000) for i in random.permutation(60)]
+    want = set()
+    for slug, home, away, at in matches:
+        near = sorted((abs(start - at), i, h != home) for i, h, a, start in feed if home != away and {h, a} == {home, away} and abs(start - at) <= 10_800_000)
+        if home == away:
+            want.add((slug, "team_identity_conflict", None, None, None))
+        elif not near:
+            want.add((slug, "missing", None, None, None))
+        elif len(near) > 1 and near[1][0] - near[0][0] <= 1_800_000:
+            want.add((slug, "ambiguous", None, None, None))
+        else:
+            want.add((slug, "matched", near[0][1], near[0][2], near[0][0]))
+    assert {x[1] for x in want} == {"team_identity_conflict", "missing", "ambiguous", "matched"}
+    found = market_events.resolved_entities(spark.createDataFrame(matches, "slug string, home long, away long, kickoff_ms long"), spark.createDataFrame(feed, "id long, home long, away long, start_ms long"))
+    assert {tuple(r) for r in found.collect()} == want
+    # a match is not joined with the events near to it
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()

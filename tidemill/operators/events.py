@@ -291,25 +291,34 @@ def resolved_entities(matches: DataFrame, feed: DataFrame, within_ms: int = 3 *
 
     Gives slug, status, id, swapped, delta_ms. status: team_not_whitelisted where an id is NULL, team_identity_conflict where
     both are one, missing, ambiguous where the runner-up is at most close_ms farther off than the nearest, else matched.
-    The join is on the pair of teams and a bucket of within_ms, with the two buckets beside it.
+    Of the feed's events only distinct times of a pair are kept, each with its first id, whether it has others, and the times beside
+    it; a match sees the last one up to its kickoff and the first one after it, in one order of both by pair and bucket of within_ms
+    (a feed's time goes to the buckets beside its own too). So no match is joined with all events near to it.
     """
-    pair = lambda p: (F.least(c(f"{p}home"), c(f"{p}away")), F.greatest(c(f"{p}home"), c(f"{p}away")))
+    pair = (F.least("home", "away").alias("lo"), F.greatest("home", "away").alias("hi"))
+    own = F.floor(c("_t") / within_ms)
+    near = lambda x: F.when(x <= within_ms, x)
+    times = feed.where("home <> away AND start_ms IS NOT NULL").groupBy(*pair, c("start_ms").alias("_t")).agg(F.min(F.struct("id", c("home").alias("ehome"))).alias("e"), F.max("id").alias("last"))
+    times = times.withColumn("_b", F.explode(F.array(own - 1, own, own + 1)))
+    w = Window.partitionBy("lo", "hi", "_b")
+    beside = w.orderBy("_t")
+    event = F.struct("_t", "e.id", "e.ehome", (c("e.id") != c("last")).alias("more"), F.lag("_t").over(beside).alias("before"), F.lead("_t").over(beside).alias("after"))
+    have = times.select("lo", "hi", "_b", "_t", F.lit(0).alias("_side"), event.alias("_e"))
     m = matches.select("slug", "home", "away", "kickoff_ms")
-    ids = m.where("home <> away")
-    lo, hi = pair("")
-    bucket = F.floor(c("kickoff_ms") / within_ms)
-    want = ids.select("slug", "home", "kickoff_ms", lo.alias("lo"), hi.alias("hi"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("bucket"))
-    have = feed.select("id", c("home").alias("ehome"), c("away").alias("eaway"), "start_ms")
-    lo, hi = pair("e")
-    have = have.select("id", "ehome", "start_ms", lo.alias("lo"), hi.alias("hi"), F.floor(c("start_ms") / within_ms).alias("bucket")).dropDuplicates(["id"])
-    near = want.join(have, ["lo", "hi", "bucket"]).withColumn("delta_ms", F.abs(c("start_ms") - c("kickoff_ms"))).where(c("delta_ms") <= within_ms)
-    w = Window.partitionBy("slug").orderBy("delta_ms", "id")
-    first = near.withColumns({"k": F.row_number().over(w), "nxt": F.lead("delta_ms").over(w)}).where("k = 1")
-    first = first.select("slug", "id", (c("ehome") != c("home")).alias("swapped"), "delta_ms", holds(c("nxt") - c("delta_ms") <= close_ms).alias("close"))
-    j = m.join(first, "slug", "left")
-    status = F.when(c("home").isNull() | c("away").isNull(), "team_not_whitelisted").when(c("home") == c("away"), "team_identity_conflict").when(c("id").isNull(), "missing").when(c("close"), "ambiguous").otherwise("matched")
-    known = lambda x: F.when(status == "matched", c(x)).alias(x)
-    return j.select("slug", status.alias("status"), known("id"), known("swapped"), known("delta_ms"))
+    want = m.where("home <> away").select(*pair, c("kickoff_ms").alias("_t"), F.lit(1).alias("_side"), "slug", "home").withColumn("_b", own)
+    seen = have.unionByName(want, allowMissingColumns=True)
+    seen = seen.withColumn("past", F.last("_e", True).over(w.orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)))
+    seen = seen.withColumn("next", F.last("_e", True).over(w.orderBy(F.desc("_t"), F.desc("_side")).rowsBetween(Window.unboundedPreceding, 0))).where("_side = 1")
+    x = seen.withColumns({"back": near(c("_t") - c("past._t")), "ahead": near(c("next._t") - c("_t"))}).withColumn("delta_ms", F.least("back", "ahead"))
+    earlier = holds((c("back") < c("ahead")) | ((c("back") == c("ahead")) & (c("past.id") < c("next.id"))) | c("ahead").isNull())
+    one = F.when(earlier, c("past")).otherwise(c("next"))
+    x = x.withColumns({"one": one, "other": F.when(earlier, F.least("ahead", near(c("_t") - c("past.before")))).otherwise(F.least("back", near(c("next.after") - c("_t"))))})
+    close = holds(F.when(c("one.more"), c("delta_ms")).otherwise(c("other")) - c("delta_ms") <= close_ms)
+    known = x.select("slug", F.when(c("delta_ms").isNull(), "missing").when(close, "ambiguous").otherwise("matched").alias("status"), "one", "home", "delta_ms")
+    only = lambda x: F.when(c("status") == "matched", x)
+    found = known.select("slug", "status", only(c("one.id")).alias("id"), only(c("one.ehome") != c("home")).alias("swapped"), only(c("delta_ms")).alias("delta_ms"))
+    rest = m.where("home IS NULL OR away IS NULL OR home = away").select("slug", F.when(c("home").isNull() | c("away").isNull(), "team_not_whitelisted").otherwise("team_identity_conflict").alias("status"))
+    return found.unionByName(rest, allowMissingColumns=True)
 
 
 MATCHES = """m AS (SELECT o_orderkey AS slug, CASE WHEN o_custkey % 10 < 9 THEN o_custkey % 10 END AS home, (o_custkey // 10) % 10 AS away, epoch_ms(o_orderdate) + (o_orderkey % 300) * 60000 AS kickoff_ms FROM orders),
